@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.config import StarConfig
+from keelson.functions.numbers import round_money
 from keelson.oracle import AS_OF
 from keelson.plans.flatten import flatten_star
 from keelson.plans.job import gold
@@ -67,8 +68,7 @@ def _star_table(name: str, geo_keys: int = 3) -> Query:
     return fn
 
 
-for _name in ("dim_time", "dim_logistics", "dim_product", "dim_customer_geo", "dim_context",
-              "fact_sales"):
+for _name in ("dim_time", "dim_logistics", "dim_product", "dim_customer_geo", "fact_sales"):
     register(_name)(_star_table(_name))
 register("fact_sales_geo2")(_star_table("fact_sales", geo_keys=2))
 
@@ -93,5 +93,153 @@ def q_status_counts(spark, sf_dir):
 
 
 def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
-    return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c)
-                       for c in df.columns])
+    def r(c: str):
+        return (round_money(F.col(c), 2) if digits[c] == 2 else F.round(c, digits[c])).alias(c)
+    return df.select(*[r(c) if c in digits else F.col(c) for c in df.columns])
+
+
+# --- audit ---------------------------------------------------------------------------
+from keelson.config import Dims  # noqa: E402
+from keelson.plans import insights as _ins  # noqa: E402
+from keelson.plans import kpi as _kpi  # noqa: E402
+from keelson.plans import marts as _marts  # noqa: E402
+from keelson.plans import rankings as _rk  # noqa: E402
+from keelson.plans.audit import audit_star, fact_integrity  # noqa: E402
+
+MONEY = ("total_sales", "total_profit", "first_half", "second_half")
+RATIO = ("margin_pct", "avg_ticket", "oil_avg", "oil_std", "late_rate", "on_time_rate",
+         "sales_trend_pct", "trend_pct", "share_pct", "avg_oil_price", "avg_profit",
+         "avg_margin_pct", "avg_share_pct", "oil_price")
+
+
+def presented(df: DataFrame) -> DataFrame:
+    """Round money to 2 decimals and ratios/means to 6 (see module docstring)."""
+    digits = {c: 2 for c in MONEY} | {c: 6 for c in RATIO}
+    return rounded(df, {c: d for c, d in digits.items()
+                        if c in df.columns and dict(df.dtypes)[c] == "double"})
+
+
+register("dim_context")(lambda spark, sf_dir: presented(gold(spark, sf_dir).star["dim_context"]))
+
+
+@register("gold_audit")
+def q_gold_audit(spark, sf_dir):
+    g = gold(spark, sf_dir)
+    return audit_star(g.star, g.silver)
+
+
+@register("fact_integrity")
+def q_fact_integrity(spark, sf_dir):
+    return presented(fact_integrity(gold(spark, sf_dir).star["fact_sales"]))
+
+
+PARTIAL_DIMS = Dims(product=True, customer_geo=False, logistics=False, time=False)
+NO_LOGISTICS_DIMS = Dims(product=True, customer_geo=False, logistics=False, time=True)
+
+
+@register("flatten_star_partial")
+def q_flatten_star_partial(spark, sf_dir):
+    return flatten_star(gold(spark, sf_dir).star, PARTIAL_DIMS)
+
+
+# --- KPIs ----------------------------------------------------------------------------
+@register("kpi_summary")
+def q_kpi_summary(spark, sf_dir):
+    return presented(_kpi.kpi_summary(flat(spark, sf_dir)))
+
+
+@register("kpi_summary_missing_cols")
+def q_kpi_summary_missing_cols(spark, sf_dir):
+    return presented(_kpi.kpi_summary(flatten_star(gold(spark, sf_dir).star, NO_LOGISTICS_DIMS)))
+
+
+FILTER_FROM_YEAR = 1998
+
+
+@register("kpi_summary_filtered")
+def q_kpi_summary_filtered(spark, sf_dir):
+    return presented(_kpi.kpi_summary(
+        flat(spark, sf_dir).filter(F.col("year") >= FILTER_FROM_YEAR)))
+
+
+@register("sales_trend")
+def q_sales_trend(spark, sf_dir):
+    return presented(_kpi.sales_trend(flat(spark, sf_dir)))
+
+
+@register("best_worst_category")
+def q_best_worst_category(spark, sf_dir):
+    top, worst = _kpi.best_worst(flat(spark, sf_dir))
+    return spark.range(1).select(top.alias("top_category"), worst.alias("worst_category"))
+
+
+@register("distinct_counts")
+def q_distinct_counts(spark, sf_dir):
+    return _kpi.distinct_counts(flat(spark, sf_dir))
+
+
+@register("silver_distinct_counts")
+def q_silver_distinct_counts(spark, sf_dir):
+    return _kpi.distinct_counts(gold(spark, sf_dir).silver)
+
+
+# --- marts and rankings --------------------------------------------------------------
+@register("daily_sales_vs_price")
+def q_daily_sales_vs_price(spark, sf_dir):
+    return presented(_marts.daily_sales_vs_price(flat(spark, sf_dir)))
+
+
+@register("category_mix_top5")
+def q_category_mix_top5(spark, sf_dir):
+    return presented(_rk.category_mix_top(flat(spark, sf_dir)))
+
+
+@register("late_city_top10")
+def q_late_city_top10(spark, sf_dir):
+    return _rk.late_city_top(flat(spark, sf_dir))
+
+
+@register("late_city_top3_total")
+def q_late_city_top3_total(spark, sf_dir):
+    return _rk.late_city_top_total(flat(spark, sf_dir))
+
+
+@register("lowest_margin_categories")
+def q_lowest_margin_categories(spark, sf_dir):
+    return presented(_rk.lowest_margin_categories(flat(spark, sf_dir)))
+
+
+@register("status_mode_matrix")
+def q_status_mode_matrix(spark, sf_dir):
+    return _marts.status_mode_long(flat(spark, sf_dir))
+
+
+@register("status_mode_matrix_wide")
+def q_status_mode_matrix_wide(spark, sf_dir):
+    return _marts.status_mode_wide(flat(spark, sf_dir))
+
+
+@register("category_quadrants")
+def q_category_quadrants(spark, sf_dir):
+    return presented(_rk.category_quadrants(flat(spark, sf_dir)))
+
+
+@register("champion_categories")
+def q_champion_categories(spark, sf_dir):
+    return presented(_rk.champion_categories(flat(spark, sf_dir)))
+
+
+@register("best_ticket_category")
+def q_best_ticket_category(spark, sf_dir):
+    return presented(_rk.best_ticket_category(flat(spark, sf_dir)))
+
+
+# --- insights ------------------------------------------------------------------------
+@register("insights")
+def q_insights(spark, sf_dir):
+    return _ins.insights(_kpi.kpi_summary(flat(spark, sf_dir)))
+
+
+@register("prompt_context")
+def q_prompt_context(spark, sf_dir):
+    return _ins.prompt_context(_kpi.kpi_summary(flat(spark, sf_dir)))

@@ -14,3 +14,13 @@ def safe_ratio(num: Column, den: Column) -> Column:
 def pct(num: Column, den: Column) -> Column:
     """Percentage ``num / den * 100``; NULL when ``den`` is 0 or NULL."""
     return safe_ratio(num, den) * F.lit(100.0)
+
+
+def round_money(c: Column, digits: int = 2) -> Column:
+    """Round to ``digits`` half-up, first cutting to 6 decimals.
+
+    Revenue values carry up to four decimals, so their sums often end exactly on a
+    half cent; the first cut removes the last-bit noise that summation order leaves, so
+    the half-up rule sees the exact half and the result does not depend on the order.
+    """
+    return F.round(F.round(c, 6), digits)

@@ -74,7 +74,7 @@ quotes AS (
   FROM events
 ),
 oil AS (
-  SELECT CAST(coalesce((SELECT round(price, 2) FROM quotes
+  SELECT CAST(coalesce((SELECT CAST(round(CAST(round(price, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) FROM quotes
                         ORDER BY quote_ts DESC, quote_id ASC LIMIT 1), 0.0) AS DOUBLE) AS oil_price
 ),
 typed AS (
@@ -159,15 +159,15 @@ cat AS (
 )"""
 
 
-def with_base(select: str) -> str:
-    return "WITH" + _BASE + "\n" + select.strip()
+def with_base(select: str, ctes: str = "") -> str:
+    return "WITH" + _BASE + ctes + "\n" + select.strip()
 
 
 SQL: dict[str, str] = {}
 
 
-def q(name: str, select: str) -> None:
-    SQL[name] = with_base(select)
+def q(name: str, select: str, ctes: str = "") -> None:
+    SQL[name] = with_base(select, ctes)
 
 
 q("silver", "SELECT * FROM silver")
@@ -188,15 +188,16 @@ SELECT rule, severity, violations FROM (
          CAST(count(*) FILTER (WHERE ship_days_real < 0) AS BIGINT) FROM typed
   UNION ALL SELECT 4, 'missing_category', 'warning',
          CAST(count(*) FILTER (WHERE category IS NULL) AS BIGINT) FROM typed)""")
-for _t in ("dim_time", "dim_logistics", "dim_product", "dim_customer_geo", "dim_context",
+q("dim_context", "SELECT ref_ts, round(oil_price, 6) AS oil_price FROM dim_context")
+for _t in ("dim_time", "dim_logistics", "dim_product", "dim_customer_geo",
            "fact_sales", "fact_sales_geo2", "flat"):
     q("flatten_star" if _t == "flat" else _t, f"SELECT * FROM {_t}")
 q("category_kpis", """
 SELECT p.category,
        CAST(count(f.product_id) AS BIGINT) AS total_orders,
-       round(sum(f.sales), 2) AS total_sales,
-       round(avg(f.daily_oil_price), 2) AS avg_oil_price,
-       round(sum(f.profit), 2) AS total_profit
+       CAST(round(CAST(round(sum(f.sales), 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales,
+       CAST(round(CAST(round(avg(f.daily_oil_price), 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_oil_price,
+       CAST(round(CAST(round(sum(f.profit), 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_profit
 FROM fact_sales f JOIN dim_product p ON f.product_id = p.product_id
 GROUP BY p.category
 ORDER BY total_sales DESC, p.category
@@ -205,3 +206,176 @@ q("status_counts", """
 SELECT l.delivery_status, CAST(count(*) AS BIGINT) AS total
 FROM fact_sales f JOIN dim_logistics l ON f.logistics_id = l.logistics_id
 GROUP BY 1""")
+
+q("gold_audit", """
+SELECT "check", value FROM (
+  SELECT 1 AS k, 'rows.silver' AS "check", CAST(count(*) AS BIGINT) AS value FROM silver
+  UNION ALL SELECT 2, 'rows.dim_time', CAST(count(*) AS BIGINT) FROM dim_time
+  UNION ALL SELECT 3, 'rows.dim_logistics', CAST(count(*) AS BIGINT) FROM dim_logistics
+  UNION ALL SELECT 4, 'rows.dim_product', CAST(count(*) AS BIGINT) FROM dim_product
+  UNION ALL SELECT 5, 'rows.dim_customer_geo', CAST(count(*) AS BIGINT) FROM dim_customer_geo
+  UNION ALL SELECT 6, 'rows.dim_context', CAST(count(*) AS BIGINT) FROM dim_context
+  UNION ALL SELECT 7, 'rows.fact_sales', CAST(count(*) AS BIGINT) FROM fact_sales
+  UNION ALL SELECT 8, 'null_ids.product_id', CAST(count(*) FILTER (WHERE product_id IS NULL) AS BIGINT) FROM fact_sales
+  UNION ALL SELECT 9, 'null_ids.customer_geo_id', CAST(count(*) FILTER (WHERE customer_geo_id IS NULL) AS BIGINT) FROM fact_sales
+  UNION ALL SELECT 10, 'null_ids.logistics_id', CAST(count(*) FILTER (WHERE logistics_id IS NULL) AS BIGINT) FROM fact_sales
+  UNION ALL SELECT 11, 'orphans.time_id', CAST(count(*) AS BIGINT) FROM
+     (SELECT DISTINCT time_id FROM fact_sales WHERE time_id IS NOT NULL
+      AND time_id NOT IN (SELECT time_id FROM dim_time))
+  UNION ALL SELECT 12, 'null_groups.dim_context', CAST(count(*) AS BIGINT) FROM dim_context WHERE ref_ts IS NULL
+  UNION ALL SELECT 13, 'fanout.fact_minus_silver',
+     CAST((SELECT count(*) FROM fact_sales) - (SELECT count(*) FROM silver) AS BIGINT))""")
+q("fact_integrity", """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(round(CAST(round(sum(sales), 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales,
+       round(avg(profit), 6) AS avg_profit FROM fact_sales""")
+q("flatten_star_partial", """
+SELECT f.time_id, f.full_date, f.product_id, f.customer_geo_id, f.logistics_id,
+       f.daily_oil_price AS oil_price, f.sales, f.profit, f.sales_per_customer, f.ship_days_real,
+       p.category, p.product
+FROM fact_sales f LEFT JOIN dim_product p ON f.product_id = p.product_id""")
+
+
+def _kpi(rel: str, status: bool = True, category: bool = True) -> tuple[str, str]:
+    late = ("avg(CASE WHEN delivery_status = 'Late delivery' THEN 1.0 ELSE 0.0 END) * 100"
+            if status else "0.0")
+    top = ("(SELECT category FROM kc ORDER BY s DESC, category LIMIT 1)" if category
+           else "CAST(NULL AS VARCHAR)")
+    worst = ("(SELECT category FROM kc ORDER BY p ASC, category LIMIT 1)" if category
+             else "CAST(NULL AS VARCHAR)")
+    kc = ("SELECT category, sum(sales) AS s, sum(profit) AS p FROM k_src "
+          "WHERE category IS NOT NULL GROUP BY category") if category else "SELECT 1 AS x"
+    ctes = f""",
+k_src AS (SELECT * FROM {rel}),
+kg AS (SELECT coalesce(sum(sales), 0.0) AS total_sales, coalesce(sum(profit), 0.0) AS total_profit,
+              CAST(count(*) AS BIGINT) AS total_orders, avg(oil_price) AS oil_avg,
+              stddev_samp(oil_price) AS oil_std, {late} AS late_rate FROM k_src),
+kr AS (SELECT sales, row_number() OVER (ORDER BY full_date ASC NULLS LAST, sales ASC) AS rn,
+              count(*) OVER () AS n FROM k_src),
+kh AS (SELECT coalesce(sum(sales) FILTER (WHERE rn <= n // 2), 0.0) AS first_half,
+              coalesce(sum(sales) FILTER (WHERE rn > n // 2), 0.0) AS second_half FROM kr),
+kc AS ({kc}),
+kpi AS (
+  SELECT total_sales, total_profit,
+         CASE WHEN total_sales > 0 THEN total_profit / total_sales * 100 ELSE 0.0 END AS margin_pct,
+         total_orders, total_sales / total_orders AS avg_ticket, oil_avg, oil_std, late_rate,
+         100.0 - late_rate AS on_time_rate,
+         CASE WHEN first_half > 0 THEN (second_half - first_half) / first_half * 100 ELSE 0.0 END
+           AS sales_trend_pct,
+         {top} AS top_category, {worst} AS worst_category,
+         first_half, second_half
+  FROM kg, kh
+)"""
+    select = """
+SELECT CAST(round(CAST(round(total_sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(round(total_profit, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_profit,
+       round(margin_pct, 6) AS margin_pct, total_orders, round(avg_ticket, 6) AS avg_ticket,
+       round(oil_avg, 6) AS oil_avg, round(oil_std, 6) AS oil_std, round(late_rate, 6) AS late_rate,
+       round(on_time_rate, 6) AS on_time_rate, round(sales_trend_pct, 6) AS sales_trend_pct,
+       top_category, worst_category
+FROM kpi"""
+    return select, ctes
+
+
+_FLAT_NO_LOGISTICS = "(SELECT * EXCLUDE (delivery_status, ship_mode, cust_city, cust_state, cust_country) FROM flat)"
+q("kpi_summary", *_kpi("flat"))
+q("kpi_summary_missing_cols", *_kpi(_FLAT_NO_LOGISTICS, status=False))
+q("kpi_summary_filtered", *_kpi("(SELECT * FROM flat WHERE year >= 1998)"))
+_sel, _ctes = _kpi("flat")
+q("sales_trend", """
+SELECT CAST(round(CAST(round(first_half, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS first_half, CAST(round(CAST(round(second_half, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS second_half,
+       round(sales_trend_pct, 6) AS trend_pct FROM kpi""", _ctes)
+q("best_worst_category", "SELECT top_category, worst_category FROM kpi", _ctes)
+q("distinct_counts", """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT cust_country) AS BIGINT) AS n_cust_country,
+       CAST(count(DISTINCT category) AS BIGINT) AS n_category,
+       CAST(count(DISTINCT cust_city) AS BIGINT) AS n_cust_city FROM flat""")
+q("silver_distinct_counts", """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT cust_country) AS BIGINT) AS n_cust_country,
+       CAST(count(DISTINCT category) AS BIGINT) AS n_category,
+       CAST(count(DISTINCT cust_city) AS BIGINT) AS n_cust_city FROM silver""")
+q("daily_sales_vs_price", """
+SELECT date_trunc('day', full_date)::TIMESTAMP AS day, CAST(round(CAST(round(sum(sales), 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales,
+       round(avg(oil_price), 6) AS avg_oil_price
+FROM flat WHERE full_date IS NOT NULL GROUP BY 1 ORDER BY 1""")
+q("category_mix_top5", """
+SELECT category, CAST(round(CAST(round(sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales, round(sales / sum(sales) OVER () * 100, 6) AS share_pct
+FROM (SELECT category, sales FROM cat ORDER BY sales DESC, category LIMIT 5)""")
+_LATE = """late AS (SELECT cust_city, CAST(count(*) AS BIGINT) AS late_count FROM flat
+          WHERE delivery_status = 'Late delivery' AND cust_city IS NOT NULL GROUP BY cust_city)"""
+q("late_city_top10", "SELECT cust_city, late_count FROM late ORDER BY late_count DESC, cust_city LIMIT 10",
+  ",\n" + _LATE)
+q("late_city_top3_total", """
+SELECT CAST(coalesce(sum(late_count), 0) AS BIGINT) AS late_top_total
+FROM (SELECT late_count FROM late ORDER BY late_count DESC, cust_city LIMIT 3)""", ",\n" + _LATE)
+q("lowest_margin_categories", """
+SELECT category, CAST(round(CAST(round(sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(round(profit, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_profit,
+       round(CASE WHEN sales <> 0 THEN profit / sales * 100 END, 6) AS margin_pct
+FROM cat ORDER BY CASE WHEN sales <> 0 THEN profit / sales * 100 END ASC NULLS LAST, category LIMIT 8""")
+_SM = """sm_src AS (SELECT delivery_status, ship_mode FROM flat
+            WHERE delivery_status IS NOT NULL AND ship_mode IS NOT NULL),
+sm_s AS (SELECT DISTINCT delivery_status FROM sm_src),
+sm_m AS (SELECT DISTINCT ship_mode FROM sm_src),
+sm_c AS (SELECT delivery_status, ship_mode, count(*) AS n FROM sm_src GROUP BY 1, 2)"""
+q("status_mode_matrix", """
+SELECT s.delivery_status, m.ship_mode, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM sm_s s CROSS JOIN sm_m m
+LEFT JOIN sm_c c ON c.delivery_status = s.delivery_status AND c.ship_mode = m.ship_mode""",
+  ",\n" + _SM)
+q("category_quadrants", """
+SELECT category, CAST(round(CAST(round(sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(round(profit, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_profit,
+       round(margin_pct, 6) AS margin_pct, round(share_pct, 6) AS share_pct,
+       round(avg(margin_pct) OVER (), 6) AS avg_margin_pct,
+       round(avg(share_pct) OVER (), 6) AS avg_share_pct
+FROM (SELECT category, sales, profit,
+             CASE WHEN sales <> 0 THEN profit / sales * 100 END AS margin_pct,
+             sales / sum(sales) OVER () * 100 AS share_pct
+      FROM (SELECT * FROM cat ORDER BY sales DESC, category LIMIT 15))""")
+q("champion_categories", """
+SELECT category, CAST(round(CAST(round(sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(round(profit, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_profit,
+       round(CASE WHEN sales <> 0 THEN profit / sales * 100 END, 6) AS margin_pct,
+       CAST(row_number() OVER (ORDER BY profit DESC, category) AS BIGINT) AS rank
+FROM (SELECT * FROM cat ORDER BY profit DESC, category LIMIT 5)""")
+q("best_ticket_category", """
+SELECT category, round(sales / n, 6) AS avg_ticket FROM cat
+ORDER BY sales / n DESC NULLS LAST, category LIMIT 1""")
+
+
+def _fmt(expr: str, spec: str) -> str:
+    return f"coalesce(format('{{:{spec}}}', {expr}), 'nan')"
+
+
+q("insights", f"""
+SELECT position, severity, title, message FROM (
+  SELECT 1 AS position,
+         CASE WHEN margin_pct > 15 THEN 'success' ELSE 'warning' END AS severity,
+         CASE WHEN margin_pct > 15 THEN 'Healthy margin' ELSE 'Margin under pressure' END AS title,
+         CASE WHEN margin_pct > 15
+              THEN 'Margin of ' || {_fmt('margin_pct', ',.1f')} || '% is above the 15% benchmark. Efficient operation.'
+              ELSE 'Margin of ' || {_fmt('margin_pct', ',.1f')} || '% is below 15%. Review operating costs.' END AS message
+  FROM kpi
+  UNION ALL
+  SELECT 2,
+         CASE WHEN late_rate > 10 THEN 'danger' ELSE 'success' END,
+         CASE WHEN late_rate > 10 THEN 'Logistics crisis' ELSE 'Delivery excellence' END,
+         CASE WHEN late_rate > 10 THEN {_fmt('late_rate', ',.1f')} || '% of deliveries late. Target: below 5%.'
+              ELSE 'Only ' || {_fmt('late_rate', ',.1f')} || '% of deliveries late.' END
+  FROM kpi WHERE late_rate > 10 OR late_rate < 5
+  UNION ALL
+  SELECT 3, 'warning', 'High oil-price volatility',
+         'Standard deviation of $' || {_fmt('oil_std', ',.2f')} || '. Hedging recommended.'
+  FROM kpi WHERE oil_std > 10)""", _ctes)
+q("prompt_context", f"""
+SELECT section, position, label, value FROM (
+  SELECT 'executive' AS section, 1 AS position, 'Revenue' AS label, '$ ' || {_fmt('total_sales', ',.0f')} AS value FROM kpi
+  UNION ALL SELECT 'executive', 2, 'Margin', {_fmt('margin_pct', ',.1f')} || '%' FROM kpi
+  UNION ALL SELECT 'executive', 3, 'Profit', '$ ' || {_fmt('total_profit', ',.0f')} FROM kpi
+  UNION ALL SELECT 'executive', 4, 'Trend', {_fmt('sales_trend_pct', '+.1f')} || '%' FROM kpi
+  UNION ALL SELECT 'executive', 5, 'Top category', coalesce(top_category, 'N/A') FROM kpi
+  UNION ALL SELECT 'executive', 6, 'Worst category', coalesce(worst_category, 'N/A') FROM kpi
+  UNION ALL SELECT 'logistics', 1, 'Late rate', {_fmt('late_rate', ',.1f')} || '%' FROM kpi
+  UNION ALL SELECT 'logistics', 2, 'On-time rate', {_fmt('on_time_rate', ',.1f')} || '%' FROM kpi
+  UNION ALL SELECT 'logistics', 3, 'Oil average', '$ ' || {_fmt('oil_avg', '.2f')} FROM kpi
+  UNION ALL SELECT 'logistics', 4, 'Oil volatility', '±' || {_fmt('oil_std', ',.1f')} FROM kpi
+  UNION ALL SELECT 'commercial', 1, 'Average ticket', '$ ' || {_fmt('avg_ticket', '.2f')} FROM kpi
+  UNION ALL SELECT 'commercial', 2, 'Margin', {_fmt('margin_pct', ',.1f')} || '%' FROM kpi
+  UNION ALL SELECT 'commercial', 3, 'Top product', coalesce(top_category, 'N/A') FROM kpi
+  UNION ALL SELECT 'commercial', 4, 'Total orders', {_fmt('total_orders', ',')} FROM kpi)""", _ctes)

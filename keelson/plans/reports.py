@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.config import DEFAULT_STAR, StarConfig
+from keelson.functions.numbers import round_money
 from keelson.operators.joins import bounded_broadcast
 
 TOP_CATEGORIES = 5
@@ -29,9 +30,9 @@ def category_kpis(fact: DataFrame, dim_product: DataFrame, product_rows: int | N
                             cfg.broadcast_rows)
     by_cat = per_id.join(dim, "product_id").groupBy("category").agg(
         F.sum("n").cast("bigint").alias("total_orders"),
-        F.round(F.sum("s"), 2).alias("total_sales"),
-        F.round(F.try_divide(F.sum("po"), F.sum("no")), 2).alias("avg_oil_price"),
-        F.round(F.sum("p"), 2).alias("total_profit"))
+        round_money(F.sum("s")).alias("total_sales"),
+        round_money(F.try_divide(F.sum("po"), F.sum("no"))).alias("avg_oil_price"),
+        round_money(F.sum("p")).alias("total_profit"))
     return by_cat.orderBy(F.col("total_sales").desc_nulls_last(), F.col("category")).limit(top)
 
 

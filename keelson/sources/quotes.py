@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keelson.functions.numbers import round_money
+
 
 def _recency(df: DataFrame) -> Column:
     # Latest time first; among equal times the smallest quote id wins.
@@ -32,7 +34,7 @@ def oil_price_frame(quotes: DataFrame, default: float = 0.0) -> DataFrame:
     """One row, ``oil_price``: latest quote over the table rounded to 2, or ``default``."""
     r = _recency(quotes)
     return quotes.agg(
-        F.coalesce(F.round(F.max_by("price", r), 2), F.lit(float(default)))
+        F.coalesce(round_money(F.max_by("price", r)), F.lit(float(default)))
         .cast("double").alias("oil_price"))
 
 
