@@ -22,6 +22,7 @@ from keelson.plans.job import gold
 from keelson.plans.quality import quality_report
 from keelson.plans.reports import category_kpis, status_counts
 from keelson.plans.silver import typed_orders
+from keelson.plans.star import fact_sales
 from keelson.sources.fixtures import bronze_orders, quotes_from_events
 from keelson.sources.quotes import latest_quote, oil_price_frame
 
@@ -62,15 +63,23 @@ def q_quality_report(spark, sf_dir):
     return quality_report(typed_orders(bronze_orders(spark, sf_dir), g.oil_price), AS_OF)
 
 
-def _star_table(name: str, geo_keys: int = 3) -> Query:
+def _star_table(name: str) -> Query:
     def fn(spark, sf_dir):
-        return gold(spark, sf_dir, StarConfig(geo_keys=geo_keys)).star[name]
+        return gold(spark, sf_dir).star[name]
     return fn
 
 
 for _name in ("dim_time", "dim_logistics", "dim_product", "dim_customer_geo", "fact_sales"):
     register(_name)(_star_table(_name))
-register("fact_sales_geo2")(_star_table("fact_sales", geo_keys=2))
+
+
+@register("fact_sales_geo2")
+def q_fact_sales_geo2(spark, sf_dir):
+    """The fact joined on (city, state) only: same silver and dims, fan-out kept."""
+    g = gold(spark, sf_dir)
+    s = g.star
+    return fact_sales(g.silver, s["dim_product"], s["dim_customer_geo"], s["dim_logistics"],
+                      StarConfig(geo_keys=2), s.rows)
 
 
 @register("flatten_star")
@@ -143,9 +152,20 @@ def q_flatten_star_partial(spark, sf_dir):
 
 
 # --- KPIs ----------------------------------------------------------------------------
+def trend_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales-trend row of the full analysis frame, computed once per session."""
+    return gold(spark, sf_dir).remember("trend", lambda: _kpi.sales_trend(flat(spark, sf_dir)))
+
+
+def kpi_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI row of the full analysis frame, computed once per session."""
+    return gold(spark, sf_dir).remember(
+        "kpi", lambda: _kpi.kpi_summary(flat(spark, sf_dir), trend_row(spark, sf_dir)))
+
+
 @register("kpi_summary")
 def q_kpi_summary(spark, sf_dir):
-    return presented(_kpi.kpi_summary(flat(spark, sf_dir)))
+    return presented(kpi_row(spark, sf_dir))
 
 
 @register("kpi_summary_missing_cols")
@@ -164,7 +184,7 @@ def q_kpi_summary_filtered(spark, sf_dir):
 
 @register("sales_trend")
 def q_sales_trend(spark, sf_dir):
-    return presented(_kpi.sales_trend(flat(spark, sf_dir)))
+    return presented(trend_row(spark, sf_dir))
 
 
 @register("best_worst_category")
@@ -237,9 +257,9 @@ def q_best_ticket_category(spark, sf_dir):
 # --- insights ------------------------------------------------------------------------
 @register("insights")
 def q_insights(spark, sf_dir):
-    return _ins.insights(_kpi.kpi_summary(flat(spark, sf_dir)))
+    return _ins.insights(kpi_row(spark, sf_dir))
 
 
 @register("prompt_context")
 def q_prompt_context(spark, sf_dir):
-    return _ins.prompt_context(_kpi.kpi_summary(flat(spark, sf_dir)))
+    return _ins.prompt_context(kpi_row(spark, sf_dir))

@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import threading
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +33,16 @@ class Gold:
     silver_rows: int
     star: Star
     oil_price: float
+    memo: dict = field(default_factory=dict)
+
+    def remember(self, name: str, build) -> DataFrame:
+        """A small result written once under the gold folder and read back."""
+        with _LOCK:
+            if name not in self.memo:
+                path = f"{self.root}/memo/{name}"
+                build().write.mode("overwrite").parquet(path)
+                self.memo[name] = self.silver.sparkSession.read.parquet(path)
+            return self.memo[name]
 
 
 def build_gold(spark: SparkSession, bronze: DataFrame, quotes: DataFrame | None, root: str,
@@ -68,7 +78,7 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
 
 
 _CACHE: dict[tuple, Gold] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
 def gold(spark: SparkSession, sf_dir: str, star: StarConfig = DEFAULT_STAR,

@@ -37,27 +37,30 @@ from keelson.plans.marts import category_mart, has
 
 def half_split(flat: DataFrame) -> tuple[float, float]:
     """Revenue of the first ``n // 2`` rows (by date, NULL last) and of the rest."""
-    n = flat.count()
-    k = n // 2
-    total = flat.agg(F.coalesce(F.sum("sales"), F.lit(0.0))).first()[0]
-    if k == 0:
-        return 0.0, float(total)
     ts = F.col("full_date")
     per_ts = flat.groupBy("full_date").agg(F.count("*").alias("c"), F.sum("sales").alias("s"))
     ranked = prefix_weights(per_ts, [ts.asc_nulls_last()], F.col("c"), "before")
+    # n and the total come from the (checkpointed) per-timestamp table, not the fact.
+    k = F.floor(ranked.agg(F.sum("c")).scalar() / 2)
     before, c = F.col("before"), F.col("c")
-    head = ranked.agg(
+    straddles = (before < k) & (before + c > k)
+    res = ranked.agg(
         F.coalesce(F.sum(F.when(before + c <= k, F.col("s"))), F.lit(0.0)).alias("head"),
-    ).first()["head"]
-    boundary = ranked.filter((before < k) & (before + c > k)).select(
-        "full_date", (F.lit(k) - before).alias("need")).collect()  # at most one row
-    if boundary:
-        b_ts, need = boundary[0]["full_date"], int(boundary[0]["need"])
-        rows = flat.filter(ts.eqNullSafe(F.lit(b_ts).cast("timestamp_ntz")))
+        F.coalesce(F.sum("s"), F.lit(0.0)).alias("total"),
+        # at most one timestamp straddles the split point
+        F.collect_list(F.when(straddles, F.struct(
+            ts.alias("ts"), (k - before).alias("need")))).alias("boundary"),
+    ).first()
+    if res is None:
+        return 0.0, 0.0
+    head, total = float(res["head"]), float(res["total"])
+    if res["boundary"]:
+        b = res["boundary"][0]
+        rows = flat.filter(ts.eqNullSafe(F.lit(b["ts"]).cast("timestamp_ntz")))
         per_value = rows.groupBy("sales").agg(F.count("*").alias("c"))
         head += weighted_split_sum(per_value, [F.col("sales").asc()], "c", "sales",
-                                   F.lit(need)).first()["head_value"]
-    return float(head), float(total) - float(head)
+                                   F.lit(int(b["need"]))).first()["head_value"]
+    return head, total - head
 
 
 def _trend_pct(first: float, second: float) -> float:
@@ -114,11 +117,14 @@ KPI_COLUMNS = ("total_sales", "total_profit", "margin_pct", "total_orders", "avg
                "top_category", "worst_category")
 
 
-def kpi_summary(flat: DataFrame) -> DataFrame:
-    """The KPI row (C7). Empty input gives ``None`` in the reference; here an error."""
+def kpi_summary(flat: DataFrame, trend: DataFrame | None = None) -> DataFrame:
+    """The KPI row (C7). Empty input gives ``None`` in the reference; here an error.
+
+    ``trend`` may pass an already computed ``sales_trend`` row of the same frame.
+    """
     if flat.isEmpty():
         raise ValueError("no rows: KPIs are undefined")
-    trend = sales_trend(flat).first()["trend_pct"]
+    trend = (trend if trend is not None else sales_trend(flat)).first()["trend_pct"]
     top, worst = best_worst(flat)
     g = flat.agg(*_global_columns(flat))
     s, p = F.col("total_sales"), F.col("total_profit")

@@ -16,7 +16,10 @@ from keelson.config import TOP_LATE_CITIES_PRIORITY
 from keelson.functions.numbers import pct, safe_ratio
 from keelson.plans.marts import category_mart, late_city_counts
 
-_ALL = Window.partitionBy()
+
+def _all() -> Window:
+    """The whole (already limited) frame as one window."""
+    return Window.partitionBy()
 
 
 def _margin(df: DataFrame) -> DataFrame:
@@ -27,7 +30,7 @@ def category_mix_top(flat: DataFrame, k: int = TOP_MIX) -> DataFrame:
     """Top categories by revenue, with each one's share of the k shown."""
     top = (category_mart(flat).orderBy(F.col("total_sales").desc(), "category").limit(k)
            .select("category", "total_sales"))
-    return top.withColumn("share_pct", pct(F.col("total_sales"), F.sum("total_sales").over(_ALL)))
+    return top.withColumn("share_pct", pct(F.col("total_sales"), F.sum("total_sales").over(_all())))
 
 
 def late_city_top(flat: DataFrame, k: int = TOP_LATE_CITIES) -> DataFrame:
@@ -52,9 +55,9 @@ def category_quadrants(flat: DataFrame, k: int = QUADRANT_TOP) -> DataFrame:
     top = (category_mart(flat).orderBy(F.col("total_sales").desc(), "category").limit(k)
            .drop("orders"))
     out = _margin(top).withColumn(
-        "share_pct", pct(F.col("total_sales"), F.sum("total_sales").over(_ALL)))
-    return (out.withColumn("avg_margin_pct", F.avg("margin_pct").over(_ALL))
-            .withColumn("avg_share_pct", F.avg("share_pct").over(_ALL)))
+        "share_pct", pct(F.col("total_sales"), F.sum("total_sales").over(_all())))
+    return (out.withColumn("avg_margin_pct", F.avg("margin_pct").over(_all()))
+            .withColumn("avg_share_pct", F.avg("share_pct").over(_all())))
 
 
 def champion_categories(flat: DataFrame, k: int = CHAMPIONS) -> DataFrame:
