@@ -263,3 +263,29 @@ def q_insights(spark, sf_dir):
 @register("prompt_context")
 def q_prompt_context(spark, sf_dir):
     return _ins.prompt_context(kpi_row(spark, sf_dir))
+
+
+# --- raw file path -------------------------------------------------------------------
+from keelson.plans.silver import clean_orders  # noqa: E402
+from keelson.sources.csv_bronze import land_bronze_csv, write_bronze_csv  # noqa: E402
+
+
+def landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze view written as the raw Latin-1 file, then parsed and landed (once)."""
+    g = gold(spark, sf_dir)
+
+    def build() -> DataFrame:
+        csv_path = f"{g.root}/raw_csv"
+        write_bronze_csv(bronze_orders(spark, sf_dir), csv_path)
+        return land_bronze_csv(spark, csv_path, f"{g.root}/raw_landing")
+    return g.remember("bronze_csv", build)
+
+
+@register("bronze_csv_scan")
+def q_bronze_csv_scan(spark, sf_dir):
+    return landed_csv(spark, sf_dir)
+
+
+@register("silver_from_csv")
+def q_silver_from_csv(spark, sf_dir):
+    return clean_orders(landed_csv(spark, sf_dir), gold(spark, sf_dir).oil_price)

@@ -379,3 +379,4 @@ SELECT section, position, label, value FROM (
   UNION ALL SELECT 'commercial', 2, 'Margin', {_fmt('margin_pct', ',.1f')} || '%' FROM kpi
   UNION ALL SELECT 'commercial', 3, 'Top product', coalesce(top_category, 'N/A') FROM kpi
   UNION ALL SELECT 'commercial', 4, 'Total orders', {_fmt('total_orders', ',')} FROM kpi)""", _ctes)
+SQL["silver_from_csv"] = SQL["silver"]
