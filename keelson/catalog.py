@@ -289,3 +289,30 @@ def q_bronze_csv_scan(spark, sf_dir):
 @register("silver_from_csv")
 def q_silver_from_csv(spark, sf_dir):
     return clean_orders(landed_csv(spark, sf_dir), gold(spark, sf_dir).oil_price)
+
+
+# --- market extensions ---------------------------------------------------------------
+from keelson.plans import market as _mk  # noqa: E402
+from keelson.sources.fixtures import weekly_price_series  # noqa: E402
+
+RATIO_EXTRA = ("corr_sales_price", "slope_sales_price", "corr_profit_price", "price")
+
+
+def _round6(df: DataFrame) -> DataFrame:
+    return rounded(df, {c: 6 for c in RATIO_EXTRA if c in df.columns})
+
+
+@register("price_asof_sales")
+def q_price_asof_sales(spark, sf_dir):
+    return presented(_mk.price_asof_sales(flat(spark, sf_dir), weekly_price_series(spark, sf_dir)))
+
+
+@register("sales_price_corr")
+def q_sales_price_corr(spark, sf_dir):
+    return _round6(_mk.sales_price_corr(flat(spark, sf_dir), weekly_price_series(spark, sf_dir)))
+
+
+@register("price_sensitivity")
+def q_price_sensitivity(spark, sf_dir):
+    return _round6(_mk.price_sensitivity(gold(spark, sf_dir).silver,
+                                         weekly_price_series(spark, sf_dir)))

@@ -380,3 +380,33 @@ SELECT section, position, label, value FROM (
   UNION ALL SELECT 'commercial', 3, 'Top product', coalesce(top_category, 'N/A') FROM kpi
   UNION ALL SELECT 'commercial', 4, 'Total orders', {_fmt('total_orders', ',')} FROM kpi)""", _ctes)
 SQL["silver_from_csv"] = SQL["silver"]
+
+_PRICES = """prices AS (
+  SELECT date_trunc('week', o_orderdate)::TIMESTAMP AS price_day,
+         round(avg(o_totalprice) / 1000, 2) AS price
+  FROM orders GROUP BY 1
+),
+days AS (
+  SELECT date_trunc('day', full_date)::TIMESTAMP AS day, sum(sales) AS total_sales
+  FROM flat WHERE full_date IS NOT NULL GROUP BY 1
+),
+days_px AS (
+  SELECT d.day, d.total_sales, p.price_day, p.price
+  FROM days d ASOF LEFT JOIN prices p ON d.day >= p.price_day
+)"""
+q("price_asof_sales", """
+SELECT day, CAST(round(CAST(round(total_sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales,
+       price_day, round(price, 6) AS price FROM days_px""", ",\n" + _PRICES)
+q("sales_price_corr", """
+SELECT CAST(count(price) AS BIGINT) AS days, round(corr(total_sales, price), 6) AS corr_sales_price
+FROM days_px""", ",\n" + _PRICES)
+q("price_sensitivity", """
+SELECT category, order_region, CAST(count(price) AS BIGINT) AS n,
+       round(corr(sales, price), 6) AS corr_sales_price,
+       round(regr_slope(sales, price), 6) AS slope_sales_price,
+       round(corr(profit, price), 6) AS corr_profit_price
+FROM (SELECT s.category, s.order_region, s.sales, s.profit, p.price
+      FROM (SELECT *, date_trunc('day', order_ts)::TIMESTAMP AS day FROM silver
+            WHERE order_ts IS NOT NULL) s
+      ASOF LEFT JOIN prices p ON s.day >= p.price_day)
+GROUP BY category, order_region""", ",\n" + _PRICES)

@@ -75,3 +75,22 @@ def test_half_split_odd_count_and_null_last(spark):
     rows = [(None, 100.0), (dt.datetime(2020, 1, 2), 2.0), (dt.datetime(2020, 1, 1), 1.0)]
     df = spark.createDataFrame(rows, "full_date timestamp_ntz, sales double")
     assert half_split(df) == (1.0, 102.0)
+
+
+def test_asof_join_matches_brute_force(spark):
+    from keelson.operators.asof import asof_join
+    rng = random.Random(11)
+    base = dt.datetime(2021, 1, 1)
+    quotes = [(g, base + dt.timedelta(days=rng.randint(5, 300)), float(i))
+              for i, g in enumerate(rng.choice("xy") for _ in range(40))]
+    quotes = list({(g, t): (g, t, v) for g, t, v in quotes}.values())
+    left = [(rng.choice("xyz"), base + dt.timedelta(days=rng.randint(0, 330)), i) for i in range(300)]
+    left += [(g, t, 1000 + i) for i, (g, t, _) in enumerate(quotes[:5])]  # exact-time hits
+    ldf = spark.createDataFrame(left, "g string, t timestamp_ntz, id int")
+    rdf = spark.createDataFrame(quotes, "g string, qt timestamp_ntz, v double")
+    got = {r.id: (r.match_time, r.v) for r in
+           asof_join(ldf, rdf, "t", "qt", ["v"], by=["g"], grain="month").collect()}
+    for g, t, i in left:
+        cands = [(qt, v) for qg, qt, v in quotes if qg == g and qt <= t]
+        want = max(cands) if cands else (None, None)
+        assert got[i] == want, (g, t, i)
