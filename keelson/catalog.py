@@ -316,3 +316,21 @@ def q_sales_price_corr(spark, sf_dir):
 def q_price_sensitivity(spark, sf_dir):
     return _round6(_mk.price_sensitivity(gold(spark, sf_dir).silver,
                                          weekly_price_series(spark, sf_dir)))
+
+
+# --- streaming ingestion -------------------------------------------------------------
+from keelson.streaming.ingest import run_silver_ingest  # noqa: E402
+
+
+@register("silver_stream")
+def q_silver_stream(spark, sf_dir):
+    """Silver built by the streaming ingest from the raw file: equal to batch silver."""
+    g = gold(spark, sf_dir)
+
+    def build() -> DataFrame:
+        landing = f"{g.root}/stream_landing"
+        write_bronze_csv(bronze_orders(spark, sf_dir), landing)
+        out = f"{g.root}/stream_silver"
+        run_silver_ingest(spark, landing, out, f"{g.root}/stream_ckpt", g.oil_price)
+        return spark.read.parquet(out)
+    return g.remember("silver_stream", build)

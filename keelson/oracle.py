@@ -410,3 +410,4 @@ FROM (SELECT s.category, s.order_region, s.sales, s.profit, p.price
             WHERE order_ts IS NOT NULL) s
       ASOF LEFT JOIN prices p ON s.day >= p.price_day)
 GROUP BY category, order_region""", ",\n" + _PRICES)
+SQL["silver_stream"] = SQL["silver"]

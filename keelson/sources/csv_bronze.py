@@ -32,6 +32,28 @@ def read_header(spark: SparkSession, path: str, encoding: str = LATIN1) -> list[
     return spark.read.option("header", True).option("encoding", encoding).csv(path).columns
 
 
+def raw_schema(names: list[str]) -> T.StructType:
+    """All columns as text, plus the corrupt-line column."""
+    return T.StructType([T.StructField(n, T.StringType()) for n in names]
+                        + [T.StructField(_CORRUPT, T.StringType())])
+
+
+def csv_options(encoding: str = LATIN1) -> dict[str, str]:
+    return {"header": "true", "encoding": encoding, "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": _CORRUPT, "columnPruning": "false"}
+
+
+def parse_lines(raw: DataFrame, names: list[str],
+                na_tokens: tuple[str, ...] = NA_TOKENS) -> DataFrame:
+    """Drop over-long lines, map missing-value tokens to NULL (batch or stream)."""
+    line = F.col(_CORRUPT)
+    fields = F.size(F.split(F.regexp_replace(line, _QUOTED, ""), ",", -1))
+    kept = raw.filter(line.isNull() | (fields <= len(names)))
+    tokens = list(na_tokens)
+    return kept.select(*[F.when(~F.col(f"`{n}`").isin(tokens), F.col(f"`{n}`")).alias(n)
+                         for n in names])
+
+
 def read_bronze_csv(spark: SparkSession, path: str, encoding: str = LATIN1,
                     na_tokens: tuple[str, ...] = NA_TOKENS) -> DataFrame:
     """All header columns as text, names trimmed; over-long lines removed.
@@ -40,19 +62,8 @@ def read_bronze_csv(spark: SparkSession, path: str, encoding: str = LATIN1,
     prune columns.
     """
     names = [h.strip() for h in read_header(spark, path, encoding)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
-                          + [T.StructField(_CORRUPT, T.StringType())])
-    raw = (spark.read.schema(schema)
-           .option("header", True).option("encoding", encoding)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
-           .option("columnPruning", "false")
-           .csv(path))
-    line = F.col(_CORRUPT)
-    fields = F.size(F.split(F.regexp_replace(line, _QUOTED, ""), ",", -1))
-    kept = raw.filter(line.isNull() | (fields <= len(names)))
-    tokens = list(na_tokens)
-    return kept.select(*[F.when(~F.col(f"`{n}`").isin(tokens), F.col(f"`{n}`")).alias(n)
-                         for n in names])
+    raw = spark.read.schema(raw_schema(names)).options(**csv_options(encoding)).csv(path)
+    return parse_lines(raw, names, na_tokens)
 
 
 def land_bronze_csv(spark: SparkSession, csv_path: str, out_path: str,
@@ -63,7 +74,8 @@ def land_bronze_csv(spark: SparkSession, csv_path: str, out_path: str,
 
 
 def write_bronze_csv(bronze: DataFrame, path: str, ts_format: str = "M/d/yyyy H:mm",
-                     encoding: str = LATIN1, stray_blank: bool = True) -> None:
+                     encoding: str = LATIN1, stray_blank: bool = True,
+                     mode: str = "overwrite") -> None:
     """Write a bronze frame as the raw file would look: text dates, Latin-1, header.
 
     ``stray_blank`` appends a blank to the first header name, as in the raw file whose
@@ -74,5 +86,5 @@ def write_bronze_csv(bronze: DataFrame, path: str, ts_format: str = "M/d/yyyy H:
     for i, c in enumerate(bronze.columns):
         e = F.date_format(F.col(f"`{c}`"), ts_format) if c in ts_names else F.col(f"`{c}`")
         cols.append(e.cast("string").alias(c + " " if (stray_blank and i == 0) else c))
-    (bronze.select(*cols).write.mode("overwrite")
+    (bronze.select(*cols).write.mode(mode)
      .option("header", True).option("encoding", encoding).csv(path))
