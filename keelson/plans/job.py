@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from keelson.config import DEFAULT_CLEAN, DEFAULT_STAR, CleanConfig, StarConfig
 from keelson.plans.star import Star, build_star
 from keelson.plans.silver import clean_orders
-from keelson.session import scratch_dir
+from keelson.session import scratch_dir, session_key
 from keelson.sources.fixtures import bronze_orders, quotes_from_events
 from keelson.sources.quotes import oil_price_value
 
@@ -84,7 +84,7 @@ _LOCK = threading.RLock()
 def gold(spark: SparkSession, sf_dir: str, star: StarConfig = DEFAULT_STAR,
          clean: CleanConfig = DEFAULT_CLEAN) -> Gold:
     """Gold tables for ``sf_dir``, built once per session (and per configuration)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), star, clean)
+    key = (session_key(spark), os.path.abspath(sf_dir), star, clean)
     with _LOCK:
         if key not in _CACHE:
             _CACHE[key] = build_gold(spark, bronze_orders(spark, sf_dir),

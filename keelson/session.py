@@ -38,15 +38,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; registers a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no context object
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None and not configured:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="keelson-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies a running session (for per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return f"session-{id(spark)}"
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
