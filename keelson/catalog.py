@@ -9,22 +9,31 @@ means to 6) so that summation order cannot change the compared values.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.config import StarConfig
+from keelson.config import Dims, StarConfig
 from keelson.functions.numbers import round_money
 from keelson.oracle import AS_OF
+from keelson.plans import insights as _ins
+from keelson.plans import kpi as _kpi
+from keelson.plans import market as _mk
+from keelson.plans import marts as _marts
+from keelson.plans import rankings as _rk
+from keelson.plans.audit import audit_star, fact_integrity
 from keelson.plans.flatten import flatten_star
 from keelson.plans.job import gold
 from keelson.plans.quality import quality_report
 from keelson.plans.reports import category_kpis, status_counts
-from keelson.plans.silver import typed_orders
+from keelson.plans.silver import clean_orders, typed_orders
 from keelson.plans.star import fact_sales
-from keelson.sources.fixtures import bronze_orders, quotes_from_events
+from keelson.sources.csv_bronze import land_bronze_csv, write_bronze_csv
+from keelson.sources.fixtures import bronze_orders, quotes_from_events, weekly_price_series
 from keelson.sources.quotes import latest_quote, oil_price_frame
+from keelson.streaming.ingest import run_silver_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,9 +46,18 @@ def register(name: str) -> Callable[[Query], Query]:
     return deco
 
 
-def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flat(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
+    """The analysis frame with only the named dimensions joined (all when none named).
+
+    Dimension joins are LEFT joins on a unique id, so they never change the rows; a query
+    that reads no column of a dimension skips its join (Catalyst cannot drop it itself,
+    and a large dimension would otherwise cost a shuffle of the fact).
+    """
     g = gold(spark, sf_dir)
-    return flatten_star(g.star)
+    if not dims:
+        return flatten_star(g.star)
+    return flatten_star(g.star, Dims(product="product" in dims, customer_geo="geo" in dims,
+                                     logistics="logistics" in dims, time="time" in dims))
 
 
 @register("silver")
@@ -108,12 +126,6 @@ def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
 
 # --- audit ---------------------------------------------------------------------------
-from keelson.config import Dims  # noqa: E402
-from keelson.plans import insights as _ins  # noqa: E402
-from keelson.plans import kpi as _kpi  # noqa: E402
-from keelson.plans import marts as _marts  # noqa: E402
-from keelson.plans import rankings as _rk  # noqa: E402
-from keelson.plans.audit import audit_star, fact_integrity  # noqa: E402
 
 MONEY = ("total_sales", "total_profit", "first_half", "second_half")
 RATIO = ("margin_pct", "avg_ticket", "oil_avg", "oil_std", "late_rate", "on_time_rate",
@@ -154,13 +166,15 @@ def q_flatten_star_partial(spark, sf_dir):
 # --- KPIs ----------------------------------------------------------------------------
 def trend_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales-trend row of the full analysis frame, computed once per session."""
-    return gold(spark, sf_dir).remember("trend", lambda: _kpi.sales_trend(flat(spark, sf_dir)))
+    return gold(spark, sf_dir).remember(
+        "trend", lambda: _kpi.sales_trend(flat(spark, sf_dir, "none")))
 
 
 def kpi_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The KPI row of the full analysis frame, computed once per session."""
     return gold(spark, sf_dir).remember(
-        "kpi", lambda: _kpi.kpi_summary(flat(spark, sf_dir), trend_row(spark, sf_dir)))
+        "kpi", lambda: _kpi.kpi_summary(flat(spark, sf_dir, "product", "logistics"),
+                                 trend_row(spark, sf_dir)))
 
 
 @register("kpi_summary")
@@ -179,7 +193,8 @@ FILTER_FROM_YEAR = 1998
 @register("kpi_summary_filtered")
 def q_kpi_summary_filtered(spark, sf_dir):
     return presented(_kpi.kpi_summary(
-        flat(spark, sf_dir).filter(F.col("year") >= FILTER_FROM_YEAR)))
+        flat(spark, sf_dir, "product", "logistics", "time").filter(
+            F.col("year") >= FILTER_FROM_YEAR)))
 
 
 @register("sales_trend")
@@ -189,13 +204,13 @@ def q_sales_trend(spark, sf_dir):
 
 @register("best_worst_category")
 def q_best_worst_category(spark, sf_dir):
-    top, worst = _kpi.best_worst(flat(spark, sf_dir))
+    top, worst = _kpi.best_worst(flat(spark, sf_dir, "product"))
     return spark.range(1).select(top.alias("top_category"), worst.alias("worst_category"))
 
 
 @register("distinct_counts")
 def q_distinct_counts(spark, sf_dir):
-    return _kpi.distinct_counts(flat(spark, sf_dir))
+    return _kpi.distinct_counts(flat(spark, sf_dir, "product", "geo"))
 
 
 @register("silver_distinct_counts")
@@ -206,52 +221,52 @@ def q_silver_distinct_counts(spark, sf_dir):
 # --- marts and rankings --------------------------------------------------------------
 @register("daily_sales_vs_price")
 def q_daily_sales_vs_price(spark, sf_dir):
-    return presented(_marts.daily_sales_vs_price(flat(spark, sf_dir)))
+    return presented(_marts.daily_sales_vs_price(flat(spark, sf_dir, "none")))
 
 
 @register("category_mix_top5")
 def q_category_mix_top5(spark, sf_dir):
-    return presented(_rk.category_mix_top(flat(spark, sf_dir)))
+    return presented(_rk.category_mix_top(flat(spark, sf_dir, "product")))
 
 
 @register("late_city_top10")
 def q_late_city_top10(spark, sf_dir):
-    return _rk.late_city_top(flat(spark, sf_dir))
+    return _rk.late_city_top(flat(spark, sf_dir, "geo", "logistics"))
 
 
 @register("late_city_top3_total")
 def q_late_city_top3_total(spark, sf_dir):
-    return _rk.late_city_top_total(flat(spark, sf_dir))
+    return _rk.late_city_top_total(flat(spark, sf_dir, "geo", "logistics"))
 
 
 @register("lowest_margin_categories")
 def q_lowest_margin_categories(spark, sf_dir):
-    return presented(_rk.lowest_margin_categories(flat(spark, sf_dir)))
+    return presented(_rk.lowest_margin_categories(flat(spark, sf_dir, "product")))
 
 
 @register("status_mode_matrix")
 def q_status_mode_matrix(spark, sf_dir):
-    return _marts.status_mode_long(flat(spark, sf_dir))
+    return _marts.status_mode_long(flat(spark, sf_dir, "logistics"))
 
 
 @register("status_mode_matrix_wide")
 def q_status_mode_matrix_wide(spark, sf_dir):
-    return _marts.status_mode_wide(flat(spark, sf_dir))
+    return _marts.status_mode_wide(flat(spark, sf_dir, "logistics"))
 
 
 @register("category_quadrants")
 def q_category_quadrants(spark, sf_dir):
-    return presented(_rk.category_quadrants(flat(spark, sf_dir)))
+    return presented(_rk.category_quadrants(flat(spark, sf_dir, "product")))
 
 
 @register("champion_categories")
 def q_champion_categories(spark, sf_dir):
-    return presented(_rk.champion_categories(flat(spark, sf_dir)))
+    return presented(_rk.champion_categories(flat(spark, sf_dir, "product")))
 
 
 @register("best_ticket_category")
 def q_best_ticket_category(spark, sf_dir):
-    return presented(_rk.best_ticket_category(flat(spark, sf_dir)))
+    return presented(_rk.best_ticket_category(flat(spark, sf_dir, "product")))
 
 
 # --- insights ------------------------------------------------------------------------
@@ -266,19 +281,26 @@ def q_prompt_context(spark, sf_dir):
 
 
 # --- raw file path -------------------------------------------------------------------
-from keelson.plans.silver import clean_orders  # noqa: E402
-from keelson.sources.csv_bronze import land_bronze_csv, write_bronze_csv  # noqa: E402
 
+_RAW_LOCK = threading.RLock()
 
-def landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bronze view written as the raw Latin-1 file, then parsed and landed (once)."""
+
+def raw_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The bronze view written once as the raw Latin-1 file; returns its folder."""
     g = gold(spark, sf_dir)
+    with _RAW_LOCK:
+        path = f"{g.root}/raw_csv"
+        if "raw_csv" not in g.memo:
+            write_bronze_csv(bronze_orders(spark, sf_dir), path)
+            g.memo["raw_csv"] = path
+        return path
 
-    def build() -> DataFrame:
-        csv_path = f"{g.root}/raw_csv"
-        write_bronze_csv(bronze_orders(spark, sf_dir), csv_path)
-        return land_bronze_csv(spark, csv_path, f"{g.root}/raw_landing")
-    return g.remember("bronze_csv", build)
+
+def landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw file parsed and landed as a Parquet bronze table (once)."""
+    g = gold(spark, sf_dir)
+    return g.remember("bronze_csv", lambda: land_bronze_csv(
+        spark, raw_csv(spark, sf_dir), f"{g.root}/raw_landing"))
 
 
 @register("bronze_csv_scan")
@@ -292,8 +314,6 @@ def q_silver_from_csv(spark, sf_dir):
 
 
 # --- market extensions ---------------------------------------------------------------
-from keelson.plans import market as _mk  # noqa: E402
-from keelson.sources.fixtures import weekly_price_series  # noqa: E402
 
 RATIO_EXTRA = ("corr_sales_price", "slope_sales_price", "corr_profit_price", "price")
 
@@ -304,12 +324,14 @@ def _round6(df: DataFrame) -> DataFrame:
 
 @register("price_asof_sales")
 def q_price_asof_sales(spark, sf_dir):
-    return presented(_mk.price_asof_sales(flat(spark, sf_dir), weekly_price_series(spark, sf_dir)))
+    return presented(_mk.price_asof_sales(flat(spark, sf_dir, "none"),
+                                         weekly_price_series(spark, sf_dir)))
 
 
 @register("sales_price_corr")
 def q_sales_price_corr(spark, sf_dir):
-    return _round6(_mk.sales_price_corr(flat(spark, sf_dir), weekly_price_series(spark, sf_dir)))
+    return _round6(_mk.sales_price_corr(flat(spark, sf_dir, "none"),
+                                        weekly_price_series(spark, sf_dir)))
 
 
 @register("price_sensitivity")
@@ -319,7 +341,6 @@ def q_price_sensitivity(spark, sf_dir):
 
 
 # --- streaming ingestion -------------------------------------------------------------
-from keelson.streaming.ingest import run_silver_ingest  # noqa: E402
 
 
 @register("silver_stream")
@@ -328,9 +349,8 @@ def q_silver_stream(spark, sf_dir):
     g = gold(spark, sf_dir)
 
     def build() -> DataFrame:
-        landing = f"{g.root}/stream_landing"
-        write_bronze_csv(bronze_orders(spark, sf_dir), landing)
         out = f"{g.root}/stream_silver"
-        run_silver_ingest(spark, landing, out, f"{g.root}/stream_ckpt", g.oil_price)
+        run_silver_ingest(spark, raw_csv(spark, sf_dir), out, f"{g.root}/stream_ckpt",
+                          g.oil_price)
         return spark.read.parquet(out)
     return g.remember("silver_stream", build)
