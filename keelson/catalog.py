@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.config import Dims, StarConfig
+from keelson.config import RAW_TO_SILVER, Dims, StarConfig
 from keelson.functions.numbers import round_money
 from keelson.oracle import AS_OF
 from keelson.plans import insights as _ins
@@ -28,10 +28,10 @@ from keelson.plans.flatten import flatten_star
 from keelson.plans.job import gold
 from keelson.plans.quality import quality_report
 from keelson.plans.reports import category_kpis, status_counts
-from keelson.plans.silver import clean_orders, typed_orders
+from keelson.plans.silver import clean_orders
 from keelson.plans.star import fact_sales
 from keelson.sources.csv_bronze import land_bronze_csv, write_bronze_csv
-from keelson.sources.fixtures import bronze_orders, quotes_from_events, weekly_price_series
+from keelson.sources.fixtures import quotes_from_events, weekly_price_series
 from keelson.sources.quotes import latest_quote, oil_price_frame
 from keelson.streaming.ingest import run_silver_ingest
 
@@ -77,8 +77,7 @@ def q_latest_quote(spark, sf_dir):
 
 @register("quality_report")
 def q_quality_report(spark, sf_dir):
-    g = gold(spark, sf_dir)
-    return quality_report(typed_orders(bronze_orders(spark, sf_dir), g.oil_price), AS_OF)
+    return quality_report(gold(spark, sf_dir).typed, AS_OF)
 
 
 def _star_table(name: str) -> Query:
@@ -291,7 +290,9 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     with _RAW_LOCK:
         path = f"{g.root}/raw_csv"
         if "raw_csv" not in g.memo:
-            write_bronze_csv(bronze_orders(spark, sf_dir), path)
+            # the landed typed bronze under its raw header names (no second derivation)
+            raw = g.typed.select(*[F.col(new).alias(old) for old, new in RAW_TO_SILVER])
+            write_bronze_csv(raw, path)
             g.memo["raw_csv"] = path
         return path
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keelson.config import DEFAULT_CLEAN, DEFAULT_STAR, CleanConfig, StarConfig
 from keelson.plans.star import Star, build_star
-from keelson.plans.silver import clean_orders
+from keelson.plans.silver import fill_orders, keep_valid, typed_orders
 from keelson.session import scratch_dir, session_key
 from keelson.sources.fixtures import bronze_orders, quotes_from_events
 from keelson.sources.quotes import oil_price_value
@@ -29,6 +29,7 @@ from keelson.sources.quotes import oil_price_value
 @dataclass
 class Gold:
     root: str
+    typed: DataFrame       # landed bronze: typed, before fill and filter
     silver: DataFrame
     silver_rows: int
     star: Star
@@ -47,14 +48,21 @@ class Gold:
 
 def build_gold(spark: SparkSession, bronze: DataFrame, quotes: DataFrame | None, root: str,
                clean: CleanConfig = DEFAULT_CLEAN, star: StarConfig = DEFAULT_STAR) -> Gold:
+    """Land typed bronze once, derive silver from it, build the star.
+
+    The typed bronze table (renamed and cast, before fill and filter) feeds both silver
+    and the quality audit, so the raw input is read and parsed once.
+    """
     price = oil_price_value(quotes, clean.default_oil_price)
-    silver = clean_orders(bronze, price, clean)
+    typed_orders(bronze, price, clean).write.mode("overwrite").parquet(f"{root}/bronze_typed")
+    typed = spark.read.parquet(f"{root}/bronze_typed")
+    silver = keep_valid(fill_orders(typed, clean))
     silver.write.mode("overwrite").parquet(f"{root}/silver")
     silver = spark.read.parquet(f"{root}/silver")
     n = silver.count()
     if n == 0:
         raise ValueError("silver is empty: nothing to model")
-    return Gold(root=root, silver=silver, silver_rows=n,
+    return Gold(root=root, typed=typed, silver=silver, silver_rows=n,
                 star=build_star(silver, f"{root}/gold", star), oil_price=price)
 
 
@@ -64,13 +72,12 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     """The full batch: returns the gold tables plus the quality and star audits."""
     from keelson.plans.audit import audit_star
     from keelson.plans.quality import quality_report
-    from keelson.plans.silver import typed_orders
 
     root = out_dir or scratch_dir(spark, "run")
     bronze = bronze_orders(spark, sf_dir)
     quotes = quotes_from_events(spark, sf_dir)
     g = build_gold(spark, bronze, quotes, root, clean, star)
-    quality = quality_report(typed_orders(bronze, g.oil_price, clean), as_of)
+    quality = quality_report(g.typed, as_of)
     audit = audit_star(g.star, g.silver)
     audit.write.mode("overwrite").parquet(f"{root}/audit")
     return {"silver": g.silver, **g.star.tables, "quality": quality,
