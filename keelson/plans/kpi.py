@@ -140,8 +140,14 @@ def kpi_summary(flat: DataFrame, trend: DataFrame | None = None) -> DataFrame:
     )
 
 
-def distinct_counts(df: DataFrame) -> DataFrame:
-    """Row count and distinct countries, categories, cities (A14); NULL not counted."""
+def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
+    """Row count and distinct countries, categories, cities (A14); NULL not counted.
+
+    ``approx=True`` uses HyperLogLog sketches (one fixed-size state per task, no
+    distinct shuffle) for very large inputs.
+    """
+    def n_distinct(c: str):
+        return F.approx_count_distinct(c) if approx else F.count_distinct(c)
     return df.agg(F.count("*").cast("bigint").alias("rows"),
-                  *[F.count_distinct(c).cast("bigint").alias(f"n_{c}")
+                  *[n_distinct(c).cast("bigint").alias(f"n_{c}")
                     for c in ("cust_country", "category", "cust_city") if c in df.columns])

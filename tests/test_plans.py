@@ -143,3 +143,26 @@ def test_fill_values(spark):
               "ship_days_real int, ship_days_sched int")
     r = fill_orders(spark.createDataFrame([(None,) * 6], schema)).first()
     assert tuple(r) == ("UNCATEGORIZED", "UNKNOWN", "UNKNOWN", "N/A", 0, 0)
+
+
+def test_empty_inputs_raise(spark, tmp_path):
+    import pytest
+
+    from keelson.plans.job import build_gold
+    from keelson.sources.fixtures import bronze_orders
+    from tests.conftest import SF_SMALL
+    with pytest.raises(ValueError):
+        kpi_summary(_flat(spark, []))
+    with pytest.raises(ValueError, match="silver is empty"):
+        build_gold(spark, bronze_orders(spark, SF_SMALL).limit(0), None, str(tmp_path / "g"))
+
+
+def test_distinct_counts_exact_and_approx(spark):
+    from keelson.plans.kpi import distinct_counts
+    t = dt.datetime(2020, 1, 1)
+    f = _flat(spark, [(t, 1.0, 0.0, 1.0, "x", c, city, "m")
+                      for c, city in (("A", "p"), ("B", "p"), ("B", None))])
+    exact = distinct_counts(f).first()
+    assert (exact.rows, exact.n_category, exact.n_cust_city) == (3, 2, 1)
+    approx = distinct_counts(f, approx=True).first()
+    assert (approx.n_category, approx.n_cust_city) == (2, 1)

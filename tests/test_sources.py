@@ -37,3 +37,14 @@ def test_latest_quote_and_default_price(spark):
     assert oil_price_value(q) == 80.12
     assert oil_price_value(q.limit(0)) == 0.0
     assert oil_price_value(None) == 0.0
+
+
+def test_append_snapshot_skips_empty_batch(spark):
+    from keelson.sources.quotes import append_snapshot
+    d = tempfile.mkdtemp(prefix="keelson-snap-")
+    q = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), "BRENT", 80.0, "USD", "x")],
+                              "quote_id long, quote_ts timestamp_ntz, indicator string, "
+                              "price double, currency string, source string")
+    assert append_snapshot(latest_quote(q), f"{d}/t") is True
+    assert append_snapshot(latest_quote(q.limit(0)), f"{d}/t") is False
+    assert spark.read.parquet(f"{d}/t").count() == 1
