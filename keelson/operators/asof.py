@@ -27,14 +27,29 @@ _T, _B, _SIDE, _HIT, _PREV = "_aj_t", "_aj_b", "_aj_side", "_aj_hit", "_aj_prev"
 
 def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
               values: Sequence[str], by: Sequence[str] = (), grain: str = "month",
-              match_time: str = "match_time") -> DataFrame:
-    """Left join of ``right``'s ``values`` (and ``match_time``) onto ``left``."""
+              match_time: str = "match_time", right_unit: str | None = None) -> DataFrame:
+    """Left join of ``right``'s ``values`` (and ``match_time``) onto ``left``.
+
+    ``right_unit`` (for example ``"day"``) may be given when every left time is the start
+    of such a unit. Right rows are then grouped by the half-open interval
+    ``(unit start, next unit start]`` they fall in (the unit of ``time - 1 microsecond``);
+    each interval lies wholly before or wholly after any left time, so only its last row
+    can be a match, and the right side is reduced to one row per ``(by, interval)`` — a
+    burst of quotes in one bucket no longer lands in one task.
+    """
     by = list(by)
     hit = F.struct(F.col(_T).alias(match_time), *[F.col(v) for v in values])
     keys = (left.select(*by, F.col(left_time).alias(_T)).filter(F.col(_T).isNotNull())
             .distinct().withColumn(_SIDE, F.lit(1)))
     rights = (right.select(*by, F.col(right_time).alias(_T), *values)
-              .filter(F.col(_T).isNotNull()).withColumn(_SIDE, F.lit(0)))
+              .filter(F.col(_T).isNotNull()))
+    if right_unit:
+        interval = F.date_trunc(right_unit, F.col(_T) - F.expr("INTERVAL 1 MICROSECOND"))
+        last = (rights.groupBy(*by, interval.alias("_aj_u"))
+                .agg(F.max_by(F.struct(F.col(_T), *[F.col(v) for v in values]),
+                              F.col(_T)).alias("_aj_last")))
+        rights = last.select(*by, F.col("_aj_last.*"))
+    rights = rights.withColumn(_SIDE, F.lit(0))
     both = (keys.unionByName(rights, allowMissingColumns=True)
             .withColumn(_B, F.date_trunc(grain, F.col(_T))))
 

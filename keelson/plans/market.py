@@ -19,7 +19,8 @@ from keelson.plans.marts import daily_sales_vs_price
 def price_asof_sales(flat: DataFrame, prices: DataFrame) -> DataFrame:
     """``(day, total_sales, price_day, price)``: daily revenue with the as-of price."""
     days = daily_sales_vs_price(flat).select("day", "total_sales")
-    j = asof_join(days, prices, "day", "price_day", ["price"], match_time="price_day")
+    j = asof_join(days, prices, "day", "price_day", ["price"], match_time="price_day",
+                  right_unit="day")
     return j.select("day", "total_sales", "price_day", "price")
 
 
@@ -36,7 +37,8 @@ def price_sensitivity(silver: DataFrame, prices: DataFrame) -> DataFrame:
     rows = (silver.filter(F.col("order_ts").isNotNull())
             .select("category", "order_region", "sales", "profit",
                     day_start(F.col("order_ts")).alias("day")))
-    j = asof_join(rows, prices, "day", "price_day", ["price"], match_time="price_day")
+    j = asof_join(rows, prices, "day", "price_day", ["price"], match_time="price_day",
+                  right_unit="day")
     return j.groupBy("category", "order_region").agg(
         F.count("price").cast("bigint").alias("n"),
         F.corr("sales", "price").alias("corr_sales_price"),

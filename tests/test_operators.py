@@ -94,3 +94,18 @@ def test_asof_join_matches_brute_force(spark):
         cands = [(qt, v) for qg, qt, v in quotes if qg == g and qt <= t]
         want = max(cands) if cands else (None, None)
         assert got[i] == want, (g, t, i)
+
+
+def test_asof_join_right_unit_reduction(spark):
+    from keelson.operators.asof import asof_join
+    base = dt.datetime(2022, 3, 1)
+    # many quotes inside single days; left times are day starts
+    quotes = [(base + dt.timedelta(days=d, minutes=m), float(d * 1000 + m))
+              for d in (0, 2, 5) for m in range(0, 1440, 37)]
+    left = [(base + dt.timedelta(days=d), d) for d in range(8)]
+    ldf = spark.createDataFrame(left, "t timestamp_ntz, id int")
+    rdf = spark.createDataFrame(quotes, "qt timestamp_ntz, v double")
+    got = {r.id: r.v for r in asof_join(ldf, rdf, "t", "qt", ["v"], right_unit="day").collect()}
+    for t, i in left:
+        cands = [(qt, v) for qt, v in quotes if qt <= t]
+        assert got[i] == (max(cands)[1] if cands else None)
