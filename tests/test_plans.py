@@ -166,3 +166,35 @@ def test_distinct_counts_exact_and_approx(spark):
     assert (exact.rows, exact.n_category, exact.n_cust_city) == (3, 2, 1)
     approx = distinct_counts(f, approx=True).first()
     assert (approx.n_category, approx.n_cust_city) == (2, 1)
+
+
+def test_fact_join_with_hot_key_without_broadcast(spark):
+    """A third of the rows on one product; dims joined by sort-merge with AQE skew split."""
+    t = dt.datetime(2020, 1, 1)
+    rows = []
+    for i in range(3000):
+        prod = "hot" if i % 3 == 0 else f"p{i % 200}"
+        rows.append(("A" if i % 2 else "B", prod, f"c{i % 7}", "s", "k",
+                     "Late delivery" if i % 5 else None, "m", i % 4, 2, t, float(i), 1.0, 1.0, 1.0))
+    s = spark.createDataFrame(rows, SILVER).repartition(8)
+    p, g, lg = dim_product(s), dim_customer_geo(s), dim_logistics(s)
+    from collections import Counter
+    want = Counter(tuple(r) for r in fact_sales(s, p, g, lg).collect())
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = Counter(tuple(r) for r in
+                      fact_sales(s, p, g, lg, StarConfig(broadcast_rows=0)).collect())
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == want and sum(got.values()) == 3000
