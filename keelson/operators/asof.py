@@ -27,7 +27,8 @@ _T, _B, _SIDE, _HIT, _PREV = "_aj_t", "_aj_b", "_aj_side", "_aj_hit", "_aj_prev"
 
 def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
               values: Sequence[str], by: Sequence[str] = (), grain: str = "month",
-              match_time: str = "match_time", right_unit: str | None = None) -> DataFrame:
+              match_time: str = "match_time", right_unit: str | None = None,
+              broadcast_keys: int = 1_000_000) -> DataFrame:
     """Left join of ``right``'s ``values`` (and ``match_time``) onto ``left``.
 
     ``right_unit`` (for example ``"day"``) may be given when every left time is the start
@@ -36,6 +37,9 @@ def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str
     each interval lies wholly before or wholly after any left time, so only its last row
     can be a match, and the right side is reduced to one row per ``(by, interval)`` — a
     burst of quotes in one bucket no longer lands in one task.
+
+    The mapping has one row per distinct ``(by, left time)``; it is counted and, when at
+    most ``broadcast_keys`` rows, broadcast to the left rows, which then are not shuffled.
     """
     by = list(by)
     hit = F.struct(F.col(_T).alias(match_time), *[F.col(v) for v in values])
@@ -74,6 +78,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str
     mapping = (within.join(carried, [*by, _B], "left")
                .select(*[F.col(b).alias(k) for b, k in zip(by, by_keys)], F.col(_T),
                        F.coalesce(_HIT, _PREV).alias(_HIT)))
+    if keys.count() <= broadcast_keys:  # size check before the broadcast
+        mapping = F.broadcast(mapping)
     cond = [left[b] == mapping[k] for b, k in zip(by, by_keys)]
     joined = left.join(mapping, [*cond, left[left_time] == mapping[_T]], "left")
     return joined.select(left["*"], *[F.col(f"{_HIT}.{c}").alias(c)
