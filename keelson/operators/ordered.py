@@ -32,19 +32,17 @@ _LOCAL = "_kp_local"
 _PW = "_kp_pw"
 
 
-def _num_partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return requested
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
 def range_layout(df: DataFrame, order: Sequence[Column], partitions: int | None = None) -> DataFrame:
-    """Range-partition ``df`` by ``order``, tag the partition, checkpoint (reliable)."""
+    """Range-partition ``df`` by ``order``, tag the partition, checkpoint (reliable).
+
+    Without an explicit ``partitions`` the shuffle uses the session's partition count and
+    AQE may merge small neighbouring partitions; merging keeps adjacent ranges together,
+    so partition numbers still follow the order.
+    """
     checkpoint_root(df.sparkSession)
-    n = _num_partitions(df, partitions)
-    return (df.repartitionByRange(n, *order)
-            .withColumn(_PART, F.spark_partition_id())
-            .checkpoint(eager=True))
+    laid = (df.repartitionByRange(partitions, *order) if partitions
+            else df.repartitionByRange(*order))
+    return laid.withColumn(_PART, F.spark_partition_id()).checkpoint(eager=True)
 
 
 def prefix_weights(df: DataFrame, order: Sequence[Column], weight: Column | None = None,

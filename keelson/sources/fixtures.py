@@ -74,10 +74,9 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     # is the exchange a sort-merge join needs anyway; stating it keeps the join
     # co-located and spreads the per-line work over all tasks even when a table is a
     # single file.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     orders = orders.join(cust, orders.o_custkey == cust.c_custkey)
-    li = li.repartition(parts, "l_orderkey")
-    orders = orders.repartition(parts, "o_orderkey")
+    li = li.repartition("l_orderkey")
+    orders = orders.repartition("o_orderkey")
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
          .join(part, li.l_partkey == part.p_partkey)
          .join(supp, li.l_suppkey == supp.s_suppkey))
