@@ -77,10 +77,10 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     bronze = bronze_orders(spark, sf_dir)
     quotes = quotes_from_events(spark, sf_dir)
     g = build_gold(spark, bronze, quotes, root, clean, star)
-    quality = quality_report(g.typed, as_of)
-    audit = audit_star(g.star, g.silver)
-    audit.write.mode("overwrite").parquet(f"{root}/audit")
-    return {"silver": g.silver, **g.star.tables, "quality": quality,
+    quality_report(g.typed, as_of).write.mode("overwrite").parquet(f"{root}/quality")
+    audit_star(g.star, g.silver).write.mode("overwrite").parquet(f"{root}/audit")
+    return {"silver": g.silver, **g.star.tables,
+            "quality": spark.read.parquet(f"{root}/quality"),
             "audit": spark.read.parquet(f"{root}/audit")}
 
 

@@ -112,11 +112,6 @@ def _global_columns(flat: DataFrame) -> list[Column]:
     return cols
 
 
-KPI_COLUMNS = ("total_sales", "total_profit", "margin_pct", "total_orders", "avg_ticket",
-               "oil_avg", "oil_std", "late_rate", "on_time_rate", "sales_trend_pct",
-               "top_category", "worst_category")
-
-
 def kpi_summary(flat: DataFrame, trend: DataFrame | None = None) -> DataFrame:
     """The KPI row (C7). Empty input gives ``None`` in the reference; here an error.
 

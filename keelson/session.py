@@ -7,7 +7,6 @@ directory under the system temp folder created and registered, as tests need.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,12 +68,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the checkpoint root for tables written by a job."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/keelson/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can inspect a local path (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from keelson.catalog import QUERIES, flat
 from keelson.plans.job import gold, run
+from keelson.plans.star import read_star
 from tests.conftest import SF_CHECK, SF_SMALL
 
 
@@ -37,3 +38,5 @@ def test_run_writes_all_tables(spark, tmp_path):
     audit = {r.check: r.value for r in out["audit"].collect()}
     assert audit["fanout.fact_minus_silver"] == 0 and audit["orphans.time_id"] == 0
     assert out["quality"].count() == 4
+    reopened = read_star(spark, str(tmp_path / "run" / "gold"))
+    assert reopened["fact_sales"].count() == out["fact_sales"].count()
