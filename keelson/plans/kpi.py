@@ -112,6 +112,32 @@ def _global_columns(flat: DataFrame) -> list[Column]:
     return cols
 
 
+def _one_pass(flat: DataFrame) -> DataFrame:
+    """Global KPI aggregates and the category arg-max/arg-min from one scan of ``flat``.
+
+    Grouping sets ``((), (category))`` compute the global row and one row per category in
+    the same aggregation (map-side partial aggregates, one shuffle of at most one row per
+    category and task); a final aggregate over that small result picks the global values
+    and the best and worst categories.
+    """
+    if not has(flat, "category"):
+        return flat.agg(*_global_columns(flat)).select(
+            "*", F.lit(None).cast("string").alias("top_category"),
+            F.lit(None).cast("string").alias("worst_category"))
+    parts = flat.groupingSets([[], ["category"]], "category").agg(
+        *_global_columns(flat), F.grouping("category").alias("_kpi_global"))
+    is_global = F.col("_kpi_global") == 1
+    is_cat = (F.col("_kpi_global") == 0) & F.col("category").isNotNull()
+    glob = ("total_sales", "total_profit", "total_orders", "oil_avg", "oil_std", "late_rate")
+    # ties go to the alphabetically first category (first in key order)
+    return parts.agg(
+        *[F.max(F.when(is_global, F.col(c))).alias(c) for c in glob],
+        F.min_by(F.col("category"), F.when(is_cat, F.struct(
+            -F.col("total_sales"), F.col("category")))).alias("top_category"),
+        F.min_by(F.col("category"), F.when(is_cat, F.struct(
+            F.col("total_profit"), F.col("category")))).alias("worst_category"))
+
+
 def kpi_summary(flat: DataFrame, trend: DataFrame | None = None) -> DataFrame:
     """The KPI row (C7). Empty input gives ``None`` in the reference; here an error.
 
@@ -120,18 +146,17 @@ def kpi_summary(flat: DataFrame, trend: DataFrame | None = None) -> DataFrame:
     if flat.isEmpty():
         raise ValueError("no rows: KPIs are undefined")
     trend = (trend if trend is not None else sales_trend(flat)).first()["trend_pct"]
-    top, worst = best_worst(flat)
-    g = flat.agg(*_global_columns(flat))
+    g = _one_pass(flat)
     s, p = F.col("total_sales"), F.col("total_profit")
     return g.select(
         s.alias("total_sales"), p.alias("total_profit"),
         F.when(s > 0, p / s * 100).otherwise(F.lit(0.0)).alias("margin_pct"),
-        "total_orders",
+        F.col("total_orders").cast("bigint").alias("total_orders"),
         safe_ratio(s, F.col("total_orders")).alias("avg_ticket"),
         "oil_avg", "oil_std", "late_rate",
         (F.lit(100.0) - F.col("late_rate")).alias("on_time_rate"),
         F.lit(float(trend)).alias("sales_trend_pct"),
-        top.alias("top_category"), worst.alias("worst_category"),
+        "top_category", "worst_category",
     )
 
 
