@@ -37,9 +37,14 @@ def main() -> None:
     from keelson.catalog import QUERIES
     from keelson.session import local_session
     spark = local_session(8)
+    from keelson.catalog import flat
+    from keelson.plans.kpi import _one_pass
     for name in HEADLINE:
         df = QUERIES[name](spark, sf)
         print(f"### {name}\n\n```\n{plan_text(df)}\n```\n")
+    # kpi_summary itself is memoised (a stored one-row table); this is how it is built
+    one = _one_pass(flat(spark, sf, "product", "logistics"))
+    print(f"### kpi_summary (the aggregation behind it)\n\n```\n{plan_text(one)}\n```\n")
 
 
 if __name__ == "__main__":
