@@ -39,4 +39,9 @@ def to_timestamp_ntz(c: Column, fmt: str, source_type: T.DataType | None = None)
         return c
     if isinstance(source_type, (T.TimestampType, T.DateType)):
         return c.cast("timestamp_ntz")
-    return F.try_to_timestamp(c.cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+    text, pattern = c.cast("string"), F.lit(fmt)
+    # try_to_timestamp decides validity (NULL for bad text); the value itself is parsed
+    # zone-free, so a wall-clock time that falls in a daylight-saving gap of the session
+    # time zone is not shifted. CASE WHEN only evaluates the branch it takes.
+    return F.when(F.try_to_timestamp(text, pattern).isNotNull(),
+                  F.to_timestamp_ntz(text, pattern))

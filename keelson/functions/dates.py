@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,3 +26,30 @@ def date_parts(c: Column) -> dict[str, Column]:
         "day_of_week": day_of_week_sunday0(c),
         "quarter": F.quarter(c).cast("bigint"),
     }
+
+
+# pattern letter run -> (part function, zero-padded width)
+_PARTS = {
+    "yyyy": (F.year, 4), "MM": (F.month, 2), "M": (F.month, 1), "dd": (F.dayofmonth, 2),
+    "d": (F.dayofmonth, 1), "HH": (F.hour, 2), "H": (F.hour, 1), "mm": (F.minute, 2),
+    "ss": (F.second, 2),
+}
+
+
+def format_ntz(c: Column, fmt: str) -> Column:
+    """Render a zone-less timestamp as text with a date pattern, without the session zone.
+
+    ``date_format`` converts through the session time zone, which shifts wall-clock
+    times inside a daylight-saving gap; here each field comes from the zone-free date
+    parts. Supported letters: yyyy, MM, M, dd, d, HH, H, mm, ss; other characters are
+    copied.
+    """
+    pieces = []
+    for tok in re.findall(r"yyyy|MM|M|dd|d|HH|H|mm|ss|[^yMdHms]+|.", fmt):
+        if tok in _PARTS:
+            fn, width = _PARTS[tok]
+            part = fn(c).cast("string")
+            pieces.append(F.lpad(part, width, "0") if width > 1 else part)
+        else:
+            pieces.append(F.lit(tok))
+    return F.when(c.isNotNull(), F.concat(*pieces))

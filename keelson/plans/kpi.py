@@ -48,15 +48,17 @@ def half_split(flat: DataFrame) -> tuple[float, float]:
         F.coalesce(F.sum(F.when(before + c <= k, F.col("s"))), F.lit(0.0)).alias("head"),
         F.coalesce(F.sum("s"), F.lit(0.0)).alias("total"),
         # at most one timestamp straddles the split point
+        # (the timestamp travels as text: a Python datetime literal would pick up the
+        # driver's time zone)
         F.collect_list(F.when(straddles, F.struct(
-            ts.alias("ts"), (k - before).alias("need")))).alias("boundary"),
+            ts.cast("string").alias("ts"), (k - before).alias("need")))).alias("boundary"),
     ).first()
     if res is None:
         return 0.0, 0.0
     head, total = float(res["head"]), float(res["total"])
     if res["boundary"]:
         b = res["boundary"][0]
-        rows = flat.filter(ts.eqNullSafe(F.lit(b["ts"]).cast("timestamp_ntz")))
+        rows = flat.filter(ts.eqNullSafe(F.lit(b["ts"]).cast("timestamp_ntz")))  # NULL-safe
         per_value = rows.groupBy("sales").agg(F.count("*").alias("c"))
         head += weighted_split_sum(per_value, [F.col("sales").asc()], "c", "sales",
                                    F.lit(int(b["need"]))).first()["head_value"]

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.config import NA_TOKENS, TS_COLUMNS, RAW_TO_SILVER
+from keelson.config import NA_TOKENS, RAW_TO_SILVER, TS_COLUMNS
+from keelson.functions.dates import format_ntz
 
 LATIN1 = "ISO-8859-1"
 _CORRUPT = "_corrupt_line"
@@ -84,7 +85,7 @@ def write_bronze_csv(bronze: DataFrame, path: str, ts_format: str = "M/d/yyyy H:
     ts_names = {raw for raw, silver in RAW_TO_SILVER if silver in TS_COLUMNS}
     cols = []
     for i, c in enumerate(bronze.columns):
-        e = F.date_format(F.col(f"`{c}`"), ts_format) if c in ts_names else F.col(f"`{c}`")
+        e = format_ntz(F.col(f"`{c}`"), ts_format) if c in ts_names else F.col(f"`{c}`")
         cols.append(e.cast("string").alias(c + " " if (stray_blank and i == 0) else c))
     (bronze.select(*cols).write.mode(mode)
      .option("header", True).option("encoding", encoding).csv(path))

@@ -60,3 +60,25 @@ def test_round_money_sees_exact_half(spark):
     # 0.1 + 0.2 + 0.005 is 0.30500000000000005 in binary; the exact sum is 0.305.
     df = spark.createDataFrame([(0.1,), (0.2,), (0.005,)], "v double").coalesce(1)
     assert df.agg(round_money(F.sum("v"))).first()[0] == 0.31
+
+
+def test_timestamp_parse_ignores_session_zone_gaps(spark):
+    # 2:30 on 6 April 1997 does not exist in New York (clocks jumped from 2:00 to 3:00)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("4/6/1997 2:30",), ("junk",)], "v string")
+        got = [r[0] for r in df.select(to_timestamp_ntz(F.col("v"), "M/d/yyyy H:mm")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(1997, 4, 6, 2, 30), None]
+
+
+def test_format_ntz_round_trip(spark):
+    from keelson.functions.dates import format_ntz
+    df = spark.createDataFrame([(dt.datetime(1997, 4, 6, 2, 30),), (None,),
+                                (dt.datetime(2018, 1, 31, 22, 5),)], "ts timestamp_ntz")
+    got = [r[0] for r in df.select(format_ntz(F.col("ts"), "M/d/yyyy H:mm")).collect()]
+    assert got == ["4/6/1997 2:30", None, "1/31/2018 22:05"]
+    iso = df.select(format_ntz(F.col("ts"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    assert iso == "1997-04-06 02:30:00"
