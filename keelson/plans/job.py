@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from keelson.config import DEFAULT_CLEAN, DEFAULT_STAR, CleanConfig, StarConfig
-from keelson.plans.star import Star, build_star
+from keelson.plans.star import Star, build_star, read_star
 from keelson.plans.silver import fill_orders, keep_valid, typed_orders
 from keelson.session import scratch_dir, session_key
 from keelson.sources.fixtures import bronze_orders, quotes_from_events
@@ -88,11 +88,35 @@ _CACHE: dict[tuple, Gold] = {}
 _LOCK = threading.RLock()
 
 
+GOLD_ROOT_CONF = "spark.keelson.gold.root"
+
+
+def open_gold(spark: SparkSession, root: str) -> Gold:
+    """Open the tables a previous ``run`` wrote under ``root`` (nothing is rebuilt).
+
+    Row counts come from Parquet footers; the run's price from one silver row.
+    """
+    silver = spark.read.parquet(f"{root}/silver")
+    star = read_star(spark, f"{root}/gold")
+    star.rows = {name: df.count() for name, df in star.tables.items()}
+    first = silver.select("oil_price").limit(1).collect()
+    return Gold(root=root, typed=spark.read.parquet(f"{root}/bronze_typed"), silver=silver,
+                silver_rows=silver.count(), star=star,
+                oil_price=float(first[0][0]) if first else 0.0)
+
+
 def gold(spark: SparkSession, sf_dir: str, star: StarConfig = DEFAULT_STAR,
          clean: CleanConfig = DEFAULT_CLEAN) -> Gold:
-    """Gold tables for ``sf_dir``, built once per session (and per configuration)."""
-    key = (session_key(spark), os.path.abspath(sf_dir), star, clean)
+    """Gold tables for ``sf_dir``, built once per session (and per configuration).
+
+    When the session sets ``spark.keelson.gold.root`` to the output folder of a previous
+    ``run`` (``python -m keelson run``), the stored tables are opened instead of built.
+    """
+    stored = spark.conf.get(GOLD_ROOT_CONF, None)
+    key = (session_key(spark), os.path.abspath(sf_dir), star, clean, stored)
     with _LOCK:
+        if key not in _CACHE and stored:
+            _CACHE[key] = open_gold(spark, stored)
         if key not in _CACHE:
             _CACHE[key] = build_gold(spark, bronze_orders(spark, sf_dir),
                                      quotes_from_events(spark, sf_dir),

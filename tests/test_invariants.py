@@ -40,3 +40,16 @@ def test_run_writes_all_tables(spark, tmp_path):
     assert out["quality"].count() == 4
     reopened = read_star(spark, str(tmp_path / "run" / "gold"))
     assert reopened["fact_sales"].count() == out["fact_sales"].count()
+
+
+def test_queries_can_read_a_stored_run(spark, tmp_path):
+    from keelson.plans.job import GOLD_ROOT_CONF
+    root = str(tmp_path / "stored")
+    run(spark, SF_SMALL, root)
+    spark.conf.set(GOLD_ROOT_CONF, root)
+    try:
+        got = QUERIES["category_kpis"](spark, SF_SMALL).collect()
+        assert QUERIES["gold_audit"](spark, SF_SMALL).count() == 13
+    finally:
+        spark.conf.unset(GOLD_ROOT_CONF)
+    assert got == QUERIES["category_kpis"](spark, SF_SMALL).collect()
