@@ -9,6 +9,7 @@ ids that were stored; its row count (known from the write) decides the broadcast
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -138,9 +139,14 @@ def build_star(silver: DataFrame, root: str, cfg: StarConfig = DEFAULT_STAR) ->
     builders = {"dim_time": dim_time, "dim_logistics": dim_logistics,
                 "dim_product": dim_product, "dim_customer_geo": dim_customer_geo,
                 "dim_context": dim_context}
-    for name, fn in builders.items():
-        star.tables[name], star.rows[name] = _write_read(spark, fn(silver), f"{root}/{name}",
-                                                         DIM_SORT[name])
+    # The five dimensions are independent: their jobs are submitted from parallel driver
+    # threads, so Spark runs their (often small) stages side by side.
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        def build(name: str, fn) -> tuple[DataFrame, int]:
+            return _write_read(spark, fn(silver), f"{root}/{name}", DIM_SORT[name])
+        futures = {name: pool.submit(build, name, fn) for name, fn in builders.items()}
+        for name, fut in futures.items():
+            star.tables[name], star.rows[name] = fut.result()
     fact = fact_sales(silver, star["dim_product"], star["dim_customer_geo"],
                       star["dim_logistics"], cfg, star.rows)
     # Sorted by date inside each task (no shuffle): row groups cover narrow date ranges,
