@@ -225,6 +225,12 @@ def q_silver_distinct_counts(spark, sf_dir):
 
 
 # --- marts and rankings --------------------------------------------------------------
+def cat_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category mart, aggregated once per session and shared by the rankings."""
+    return gold(spark, sf_dir).remember(
+        "category_mart", lambda: _marts.category_mart(flat(spark, sf_dir, "product")))
+
+
 @register("daily_sales_vs_price")
 def q_daily_sales_vs_price(spark, sf_dir):
     return presented(_marts.daily_sales_vs_price(flat(spark, sf_dir, "none")))
@@ -232,7 +238,7 @@ def q_daily_sales_vs_price(spark, sf_dir):
 
 @register("category_mix_top5")
 def q_category_mix_top5(spark, sf_dir):
-    return presented(_rk.category_mix_top(flat(spark, sf_dir, "product")))
+    return presented(_rk.category_mix_top(cat_mart(spark, sf_dir)))
 
 
 @register("late_city_top10")
@@ -247,7 +253,7 @@ def q_late_city_top3_total(spark, sf_dir):
 
 @register("lowest_margin_categories")
 def q_lowest_margin_categories(spark, sf_dir):
-    return presented(_rk.lowest_margin_categories(flat(spark, sf_dir, "product")))
+    return presented(_rk.lowest_margin_categories(cat_mart(spark, sf_dir)))
 
 
 @register("status_mode_matrix")
@@ -262,17 +268,17 @@ def q_status_mode_matrix_wide(spark, sf_dir):
 
 @register("category_quadrants")
 def q_category_quadrants(spark, sf_dir):
-    return presented(_rk.category_quadrants(flat(spark, sf_dir, "product")))
+    return presented(_rk.category_quadrants(cat_mart(spark, sf_dir)))
 
 
 @register("champion_categories")
 def q_champion_categories(spark, sf_dir):
-    return presented(_rk.champion_categories(flat(spark, sf_dir, "product")))
+    return presented(_rk.champion_categories(cat_mart(spark, sf_dir)))
 
 
 @register("best_ticket_category")
 def q_best_ticket_category(spark, sf_dir):
-    return presented(_rk.best_ticket_category(flat(spark, sf_dir, "product")))
+    return presented(_rk.best_ticket_category(cat_mart(spark, sf_dir)))
 
 
 # --- insights ------------------------------------------------------------------------

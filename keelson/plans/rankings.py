@@ -1,7 +1,9 @@
 """Rankings over the category and late-city marts (A17, A19, A20, A22-A25; O2-O8).
 
-Every top-k orders by the measure and then by the key, so ties are resolved the same
-way everywhere (alphabetically first key wins). ``orderBy(...).limit(k)`` plans as
+The category rankings take the category mart (``marts.category_mart``: one row per
+category), so several rankings share one aggregation of the fact. Every top-k orders by
+the measure and then by the key, so ties are resolved the same way everywhere
+(alphabetically first key wins). ``orderBy(...).limit(k)`` plans as
 TakeOrderedAndProject: each task keeps its own k best rows, the driver merges them. The
 windows below run after the limit, over at most k rows.
 """
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from keelson.config import CHAMPIONS, LOWEST_MARGIN, QUADRANT_TOP, TOP_LATE_CITIES, TOP_MIX
 from keelson.config import TOP_LATE_CITIES_PRIORITY
 from keelson.functions.numbers import pct, safe_ratio
-from keelson.plans.marts import category_mart, late_city_counts
+from keelson.plans.marts import late_city_counts
 
 
 def _all() -> Window:
@@ -26,9 +28,9 @@ def _margin(df: DataFrame) -> DataFrame:
     return df.withColumn("margin_pct", pct(F.col("total_profit"), F.col("total_sales")))
 
 
-def category_mix_top(flat: DataFrame, k: int = TOP_MIX) -> DataFrame:
+def category_mix_top(mart: DataFrame, k: int = TOP_MIX) -> DataFrame:
     """Top categories by revenue, with each one's share of the k shown."""
-    top = (category_mart(flat).orderBy(F.col("total_sales").desc(), "category").limit(k)
+    top = (mart.orderBy(F.col("total_sales").desc(), "category").limit(k)
            .select("category", "total_sales"))
     return top.withColumn("share_pct", pct(F.col("total_sales"), F.sum("total_sales").over(_all())))
 
@@ -44,15 +46,15 @@ def late_city_top_total(flat: DataFrame, k: int = TOP_LATE_CITIES_PRIORITY) -> D
         F.coalesce(F.sum("late_count"), F.lit(0)).cast("bigint").alias("late_top_total"))
 
 
-def lowest_margin_categories(flat: DataFrame, k: int = LOWEST_MARGIN) -> DataFrame:
+def lowest_margin_categories(mart: DataFrame, k: int = LOWEST_MARGIN) -> DataFrame:
     """Categories with the lowest margin; zero revenue gives NULL, sorted last."""
-    return (_margin(category_mart(flat)).drop("orders")
+    return (_margin(mart).drop("orders")
             .orderBy(F.col("margin_pct").asc_nulls_last(), "category").limit(k))
 
 
-def category_quadrants(flat: DataFrame, k: int = QUADRANT_TOP) -> DataFrame:
+def category_quadrants(mart: DataFrame, k: int = QUADRANT_TOP) -> DataFrame:
     """Top k by revenue with margin, share of the k, and the two mean lines."""
-    top = (category_mart(flat).orderBy(F.col("total_sales").desc(), "category").limit(k)
+    top = (mart.orderBy(F.col("total_sales").desc(), "category").limit(k)
            .drop("orders"))
     out = _margin(top).withColumn(
         "share_pct", pct(F.col("total_sales"), F.sum("total_sales").over(_all())))
@@ -60,16 +62,16 @@ def category_quadrants(flat: DataFrame, k: int = QUADRANT_TOP) -> DataFrame:
             .withColumn("avg_share_pct", F.avg("share_pct").over(_all())))
 
 
-def champion_categories(flat: DataFrame, k: int = CHAMPIONS) -> DataFrame:
+def champion_categories(mart: DataFrame, k: int = CHAMPIONS) -> DataFrame:
     """Top k by profit with margin and medal rank 1..k."""
-    top = (category_mart(flat).orderBy(F.col("total_profit").desc(), "category").limit(k)
+    top = (mart.orderBy(F.col("total_profit").desc(), "category").limit(k)
            .drop("orders"))
     rank = F.row_number().over(Window.orderBy(F.col("total_profit").desc(), "category"))
     return _margin(top).withColumn("rank", rank.cast("bigint"))
 
 
-def best_ticket_category(flat: DataFrame) -> DataFrame:
+def best_ticket_category(mart: DataFrame) -> DataFrame:
     """Category with the highest mean revenue per order line."""
-    m = category_mart(flat).select(
+    m = mart.select(
         "category", safe_ratio(F.col("total_sales"), F.col("orders")).alias("avg_ticket"))
     return m.orderBy(F.col("avg_ticket").desc_nulls_last(), "category").limit(1)
