@@ -231,9 +231,27 @@ def cat_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         "category_mart", lambda: _marts.category_mart(flat(spark, sf_dir, "product")))
 
 
+def late_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late deliveries per city, once per session (both late-city reports read it)."""
+    return gold(spark, sf_dir).remember(
+        "late_city", lambda: _marts.late_city_counts(flat(spark, sf_dir, "geo", "logistics")))
+
+
+def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily series, once per session (the daily report and the market queries)."""
+    return gold(spark, sf_dir).remember(
+        "daily", lambda: _marts.daily_sales_vs_price(flat(spark, sf_dir, "none")))
+
+
+def status_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status x mode table (wide), once per session."""
+    return gold(spark, sf_dir).remember(
+        "status_mode", lambda: _marts.status_mode_wide(flat(spark, sf_dir, "logistics")))
+
+
 @register("daily_sales_vs_price")
 def q_daily_sales_vs_price(spark, sf_dir):
-    return presented(_marts.daily_sales_vs_price(flat(spark, sf_dir, "none")))
+    return presented(daily(spark, sf_dir).orderBy("day"))
 
 
 @register("category_mix_top5")
@@ -243,12 +261,12 @@ def q_category_mix_top5(spark, sf_dir):
 
 @register("late_city_top10")
 def q_late_city_top10(spark, sf_dir):
-    return _rk.late_city_top(flat(spark, sf_dir, "geo", "logistics"))
+    return _rk.late_city_top(late_cities(spark, sf_dir))
 
 
 @register("late_city_top3_total")
 def q_late_city_top3_total(spark, sf_dir):
-    return _rk.late_city_top_total(flat(spark, sf_dir, "geo", "logistics"))
+    return _rk.late_city_top_total(late_cities(spark, sf_dir))
 
 
 @register("lowest_margin_categories")
@@ -258,12 +276,12 @@ def q_lowest_margin_categories(spark, sf_dir):
 
 @register("status_mode_matrix")
 def q_status_mode_matrix(spark, sf_dir):
-    return _marts.status_mode_long(flat(spark, sf_dir, "logistics"))
+    return _marts.unpivot_modes(status_mode(spark, sf_dir))
 
 
 @register("status_mode_matrix_wide")
 def q_status_mode_matrix_wide(spark, sf_dir):
-    return _marts.status_mode_wide(flat(spark, sf_dir, "logistics"))
+    return status_mode(spark, sf_dir)
 
 
 @register("category_quadrants")
@@ -338,13 +356,13 @@ def _round6(df: DataFrame) -> DataFrame:
 
 @register("price_asof_sales")
 def q_price_asof_sales(spark, sf_dir):
-    return presented(_mk.price_asof_sales(flat(spark, sf_dir, "none"),
+    return presented(_mk.price_asof_sales(daily(spark, sf_dir),
                                          weekly_price_series(spark, sf_dir)))
 
 
 @register("sales_price_corr")
 def q_sales_price_corr(spark, sf_dir):
-    return _round6(_mk.sales_price_corr(flat(spark, sf_dir, "none"),
+    return _round6(_mk.sales_price_corr(daily(spark, sf_dir),
                                         weekly_price_series(spark, sf_dir)))
 
 

@@ -13,20 +13,22 @@ from pyspark.sql import functions as F
 
 from keelson.functions.dates import day_start
 from keelson.operators.asof import asof_join
-from keelson.plans.marts import daily_sales_vs_price
 
 
-def price_asof_sales(flat: DataFrame, prices: DataFrame) -> DataFrame:
-    """``(day, total_sales, price_day, price)``: daily revenue with the as-of price."""
-    days = daily_sales_vs_price(flat).select("day", "total_sales")
+def price_asof_sales(daily: DataFrame, prices: DataFrame) -> DataFrame:
+    """``(day, total_sales, price_day, price)``: daily revenue with the as-of price.
+
+    ``daily`` is the daily series (``marts.daily_sales_vs_price``).
+    """
+    days = daily.select("day", "total_sales")
     j = asof_join(days, prices, "day", "price_day", ["price"], match_time="price_day",
                   right_unit="day")
     return j.select("day", "total_sales", "price_day", "price")
 
 
-def sales_price_corr(flat: DataFrame, prices: DataFrame) -> DataFrame:
+def sales_price_corr(daily: DataFrame, prices: DataFrame) -> DataFrame:
     """One row: days compared and the correlation of daily revenue with the price."""
-    s = price_asof_sales(flat, prices)
+    s = price_asof_sales(daily, prices)
     return s.agg(F.count("price").cast("bigint").alias("days"),
                  F.corr("total_sales", "price").alias("corr_sales_price"))
 

@@ -51,9 +51,13 @@ def status_mode_wide(flat: DataFrame) -> DataFrame:
         "delivery_status", *[F.col(f"`{m}`").cast("bigint").alias(m) for m in modes])
 
 
-def status_mode_long(flat: DataFrame) -> DataFrame:
-    """The same table in long form ``(delivery_status, ship_mode, n)``, zeros included."""
-    wide = status_mode_wide(flat)
+def unpivot_modes(wide: DataFrame) -> DataFrame:
+    """Wide status x mode table -> long form ``(delivery_status, ship_mode, n)``."""
     modes = [c for c in wide.columns if c != "delivery_status"]
     return wide.unpivot(["delivery_status"], [F.col(f"`{m}`") for m in modes],
                         "ship_mode", "n")
+
+
+def status_mode_long(flat: DataFrame) -> DataFrame:
+    """The same table in long form ``(delivery_status, ship_mode, n)``, zeros included."""
+    return unpivot_modes(status_mode_wide(flat))

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from keelson.config import CHAMPIONS, LOWEST_MARGIN, QUADRANT_TOP, TOP_LATE_CITIES, TOP_MIX
 from keelson.config import TOP_LATE_CITIES_PRIORITY
 from keelson.functions.numbers import pct, safe_ratio
-from keelson.plans.marts import late_city_counts
 
 
 def _all() -> Window:
@@ -35,14 +34,15 @@ def category_mix_top(mart: DataFrame, k: int = TOP_MIX) -> DataFrame:
     return top.withColumn("share_pct", pct(F.col("total_sales"), F.sum("total_sales").over(_all())))
 
 
-def late_city_top(flat: DataFrame, k: int = TOP_LATE_CITIES) -> DataFrame:
-    """Cities with the most late deliveries."""
-    return late_city_counts(flat).orderBy(F.col("late_count").desc(), "cust_city").limit(k)
+def late_city_top(counts: DataFrame, k: int = TOP_LATE_CITIES) -> DataFrame:
+    """Cities with the most late deliveries (A18, O4); ``counts`` from
+    ``marts.late_city_counts``."""
+    return counts.orderBy(F.col("late_count").desc(), "cust_city").limit(k)
 
 
-def late_city_top_total(flat: DataFrame, k: int = TOP_LATE_CITIES_PRIORITY) -> DataFrame:
+def late_city_top_total(counts: DataFrame, k: int = TOP_LATE_CITIES_PRIORITY) -> DataFrame:
     """Sum of the late deliveries of the first k cities of the ranking."""
-    return late_city_top(flat, k).agg(
+    return late_city_top(counts, k).agg(
         F.coalesce(F.sum("late_count"), F.lit(0)).cast("bigint").alias("late_top_total"))
 
 
