@@ -411,3 +411,7 @@ FROM (SELECT s.category, s.order_region, s.sales, s.profit, p.price
       ASOF LEFT JOIN prices p ON s.day >= p.price_day)
 GROUP BY category, order_region""", ",\n" + _PRICES)
 SQL["silver_stream"] = SQL["silver"]
+q("status_mode_matrix_wide", """
+PIVOT (SELECT delivery_status, ship_mode FROM flat
+       WHERE delivery_status IS NOT NULL AND ship_mode IS NOT NULL)
+ON ship_mode USING CAST(count(*) AS BIGINT) GROUP BY delivery_status""")
