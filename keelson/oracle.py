@@ -415,3 +415,26 @@ q("status_mode_matrix_wide", """
 PIVOT (SELECT delivery_status, ship_mode FROM flat
        WHERE delivery_status IS NOT NULL AND ship_mode IS NOT NULL)
 ON ship_mode USING CAST(count(*) AS BIGINT) GROUP BY delivery_status""")
+
+
+# The raw file as landed: every column as text under its raw header name.
+_RAW_TEXT = ", ".join(
+    f'{expr} AS "{raw}"' for raw, expr in (
+        ("Category Name", "category"), ("Product Name", "product"),
+        ("Customer City", "cust_city"), ("Customer State", "cust_state"),
+        ("Customer Country", "cust_country"), ("Order City", "order_city"),
+        ("Order State", "order_state"), ("Order Country", "order_country"),
+        ("Order Region", "order_region"), ("Delivery Status", "delivery_status"),
+        ("Shipping Mode", "ship_mode"),
+        ("Days for shipping (real)", "CAST(ship_days_real AS VARCHAR)"),
+        ("Days for shipment (scheduled)", "CAST(ship_days_sched AS VARCHAR)"),
+        ("order date (DateOrders)", "strftime(order_ts, '%-m/%-d/%Y %-H:%M')"),
+        ("shipping date (DateOrders)", "strftime(ship_ts, '%-m/%-d/%Y %-H:%M')"),
+        ("Order Item Total", "CAST(sales AS VARCHAR)"),
+        ("Order Profit Per Order", "CAST(profit AS VARCHAR)"),
+        ("Sales per customer", "CAST(sales_per_customer AS VARCHAR)"),
+        ("Benefit per order", "CAST(benefit AS VARCHAR)"),
+        ("Order Id", "CAST(src_order_id AS VARCHAR)"),
+        ("Product Card Id", "CAST(src_product_id AS VARCHAR)"),
+        ("Customer Id", "CAST(src_customer_id AS VARCHAR)")))
+q("bronze_csv_scan", f"SELECT {_RAW_TEXT} FROM bronze")
