@@ -47,11 +47,13 @@ def register(name: str) -> Callable[[Query], Query]:
 
 
 def flat(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
-    """The analysis frame with only the named dimensions joined (all when none named).
+    """The analysis frame with only the named dimensions joined.
 
-    Dimension joins are LEFT joins on a unique id, so they never change the rows; a query
-    that reads no column of a dimension skips its join (Catalyst cannot drop it itself,
-    and a large dimension would otherwise cost a shuffle of the fact).
+    ``dims`` names any of "product", "geo", "logistics", "time"; none named joins all,
+    and "none" alone gives the fact by itself. Dimension joins are LEFT joins on a
+    unique id, so they never change the rows; a query that reads no column of a
+    dimension skips its join (Catalyst cannot drop it itself, and a large dimension
+    would otherwise cost a shuffle of the fact).
     """
     g = gold(spark, sf_dir)
     if not dims:

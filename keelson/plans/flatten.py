@@ -35,8 +35,9 @@ def flatten_star(star: Star, dims: Dims = ALL_DIMS, cfg: StarConfig = DEFAULT_ST
     df = fact.alias("f")
     for name in dims.names():
         if name == "time":
-            out += [F.year("f.full_date").cast("bigint").alias("year"),
-                    F.month("f.full_date").cast("bigint").alias("month")]
+            if "dim_time" in star.tables:
+                out += [F.year("f.full_date").cast("bigint").alias("year"),
+                        F.month("f.full_date").cast("bigint").alias("month")]
             continue
         table, key, attrs = DIM_ATTRS[name]
         if table not in star.tables:

@@ -98,7 +98,7 @@ def open_gold(spark: SparkSession, root: str) -> Gold:
     """
     silver = spark.read.parquet(f"{root}/silver")
     star = read_star(spark, f"{root}/gold")
-    star.rows = {name: df.count() for name, df in star.tables.items()}
+    star.rows = {name: df.count() for name, df in star.tables.items()}  # footer counts
     first = silver.select("oil_price").limit(1).collect()
     return Gold(root=root, typed=spark.read.parquet(f"{root}/bronze_typed"), silver=silver,
                 silver_rows=silver.count(), star=star,

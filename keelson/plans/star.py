@@ -12,6 +12,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,6 +158,15 @@ def build_star(silver: DataFrame, root: str, cfg: StarConfig = DEFAULT_STAR) ->
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
-    """Open a star written by ``build_star`` (counts are taken lazily by the audit)."""
-    names = (*DIM_NAMES, "fact_sales")
-    return Star(root=root, tables={n: spark.read.parquet(f"{root}/{n}") for n in names})
+    """Open a star written by ``build_star``; absent dimensions are left out.
+
+    The flattening then joins only the dimensions that exist, as the reference does
+    when a dimension file is missing. The fact itself must exist.
+    """
+    tables = {"fact_sales": spark.read.parquet(f"{root}/fact_sales")}
+    for name in DIM_NAMES:
+        try:
+            tables[name] = spark.read.parquet(f"{root}/{name}")
+        except AnalysisException:  # folder absent: the dimension is optional
+            continue
+    return Star(root=root, tables=tables)

@@ -53,3 +53,18 @@ def test_queries_can_read_a_stored_run(spark, tmp_path):
     finally:
         spark.conf.unset(GOLD_ROOT_CONF)
     assert got == QUERIES["category_kpis"](spark, SF_SMALL).collect()
+
+
+def test_absent_dimensions_are_skipped(spark, tmp_path):
+    """A star folder without some dimensions flattens with the ones present."""
+    from keelson.plans.flatten import flatten_star
+    g = gold(spark, SF_SMALL)
+    root = str(tmp_path / "partial")
+    for name in ("fact_sales", "dim_product"):
+        g.star[name].write.parquet(f"{root}/{name}")
+    star = read_star(spark, root)
+    assert set(star.tables) == {"fact_sales", "dim_product"}
+    f = flatten_star(star)
+    assert "category" in f.columns and "delivery_status" not in f.columns
+    assert "year" not in f.columns
+    assert f.count() == g.star["fact_sales"].count()
