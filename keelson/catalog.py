@@ -212,7 +212,7 @@ def q_sales_trend(spark, sf_dir):
 
 @register("best_worst_category")
 def q_best_worst_category(spark, sf_dir):
-    top, worst = _kpi.best_worst(flat(spark, sf_dir, "product"))
+    top, worst = _kpi.best_worst(flat(spark, sf_dir, "product"), cat_mart(spark, sf_dir))
     return spark.range(1).select(top.alias("top_category"), worst.alias("worst_category"))
 
 

@@ -83,15 +83,16 @@ def sales_trend(flat: DataFrame) -> DataFrame:
                                  F.lit(_trend_pct(first, second)).alias("trend_pct"))
 
 
-def best_worst(flat: DataFrame) -> tuple[Column, Column]:
+def best_worst(flat: DataFrame, mart: DataFrame | None = None) -> tuple[Column, Column]:
     """Scalar-subquery columns: top category by revenue, bottom one by profit.
 
-    Ties resolve to the alphabetically first category (first in key order).
+    Ties resolve to the alphabetically first category (first in key order). ``mart`` may
+    pass an already built category mart of the same frame.
     """
-    if not has(flat, "category"):
+    if mart is None and not has(flat, "category"):
         none = F.lit(None).cast("string")
         return none, none
-    mart = category_mart(flat)
+    mart = mart if mart is not None else category_mart(flat)
     top = mart.agg(F.min_by("category", F.struct(-F.col("total_sales"), F.col("category"))))
     worst = mart.agg(F.min_by("category", F.struct(F.col("total_profit"), F.col("category"))))
     return top.scalar(), worst.scalar()
