@@ -46,21 +46,29 @@ def range_layout(df: DataFrame, order: Sequence[Column], partitions: int | None
 
 
 def prefix_weights(df: DataFrame, order: Sequence[Column], weight: Column | None = None,
-                   out: str = "weight_before", partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = total ``weight`` of all rows strictly before each row in ``order``."""
+                   out: str = "weight_before", partitions: int | None = None,
+                   total: str | None = None) -> DataFrame:
+    """Add ``out`` = total ``weight`` of all rows strictly before each row in ``order``.
+
+    ``total`` names an optional column holding the weight of all rows (taken from the
+    per-partition totals, so it costs no extra pass).
+    """
     w = weight if weight is not None else F.lit(1)
     laid = range_layout(df.withColumn(_PW, w.cast("long") if weight is None else w),
                         order, partitions)
     per_part = laid.groupBy(_PART).agg(F.sum(_PW).alias("_kp_tot"))
-    # One row per partition: the window below runs over P rows, not over the data.
+    # One row per partition: the windows below run over P rows, not over the data.
     offsets = per_part.select(
-        _PART, (F.sum("_kp_tot").over(Window.orderBy(_PART)) - F.col("_kp_tot")).alias(_OFF))
+        _PART, (F.sum("_kp_tot").over(Window.orderBy(_PART)) - F.col("_kp_tot")).alias(_OFF),
+        F.sum("_kp_tot").over(Window.partitionBy()).alias("_kp_all"))
     local_w = (Window.partitionBy(_PART).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, -1))
-    return (laid.withColumn(_LOCAL, F.coalesce(F.sum(_PW).over(local_w), F.lit(0)))
-            .join(F.broadcast(offsets), _PART)
-            .withColumn(out, F.col(_OFF) + F.col(_LOCAL))
-            .drop(_PART, _OFF, _LOCAL, _PW))
+    ranked = (laid.withColumn(_LOCAL, F.coalesce(F.sum(_PW).over(local_w), F.lit(0)))
+              .join(F.broadcast(offsets), _PART)
+              .withColumn(out, F.col(_OFF) + F.col(_LOCAL)))
+    if total:
+        ranked = ranked.withColumnRenamed("_kp_all", total)
+    return ranked.drop(_PART, _OFF, _LOCAL, _PW, "_kp_all")
 
 
 def dense_ids(df: DataFrame, order: Sequence[Column], id_col: str,

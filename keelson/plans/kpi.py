@@ -39,9 +39,10 @@ def half_split(flat: DataFrame) -> tuple[float, float]:
     """Revenue of the first ``n // 2`` rows (by date, NULL last) and of the rest."""
     ts = F.col("full_date")
     per_ts = flat.groupBy("full_date").agg(F.count("*").alias("c"), F.sum("sales").alias("s"))
-    ranked = prefix_weights(per_ts, [ts.asc_nulls_last()], F.col("c"), "before")
-    # n and the total come from the (checkpointed) per-timestamp table, not the fact.
-    k = F.floor(ranked.agg(F.sum("c")).scalar() / 2)
+    ranked = prefix_weights(per_ts, [ts.asc_nulls_last()], F.col("c"), "before",
+                            total="n")
+    # n comes with the ranking (from its per-partition totals), not from another pass
+    k = F.floor(F.col("n") / 2)
     before, c = F.col("before"), F.col("c")
     straddles = (before < k) & (before + c > k)
     res = ranked.agg(
