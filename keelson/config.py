@@ -100,10 +100,13 @@ class StarConfig:
     reference's fan-out when one (city, state) exists under two countries.
     ``broadcast_rows`` is the largest dimension (in rows, counted when it is written)
     that gets a broadcast hint; bigger ones are left to the planner and AQE.
+    ``skew_split`` joins a dimension above that bound with ``skew_split_left_join``
+    (hot keys split off and broadcast) instead of relying on AQE's skew handling.
     """
 
     geo_keys: int = 3
     broadcast_rows: int = 500_000
+    skew_split: bool = False
 
 
 @dataclass(frozen=True)

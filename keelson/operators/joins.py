@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.session import checkpoint_root
+
 
 def bounded_broadcast(df: DataFrame, rows: int | None, max_rows: int) -> DataFrame:
     """Broadcast hint only when the side's row count is known and within ``max_rows``.
@@ -16,3 +18,33 @@ def bounded_broadcast(df: DataFrame, rows: int | None, max_rows: int) -> DataFra
     if rows is not None and rows <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def skew_split_left_join(left: DataFrame, right: DataFrame, left_keys: list[str],
+                         right_keys: list[str], hot_share: float = 0.001,
+                         sample: float = 0.01, seed: int = 17) -> DataFrame:
+    """LEFT JOIN for a right side unique on its keys, with hot left keys split off.
+
+    A key is hot when it holds at least ``hot_share`` of a sample of the left keys, so
+    there are at most ``1 / hot_share`` hot keys: a proven bound, which makes the hot key
+    list and the matching right rows safe to broadcast. Hot left rows join that small
+    broadcast side (no shuffle, however many rows a key has); the other rows take the
+    ordinary sort-merge join, where no key is large. Rows with a NULL key are never hot
+    and keep NULL right columns, as in a plain LEFT JOIN.
+    """
+    checkpoint_root(left.sparkSession)
+    probe = left.select(*left_keys).sample(fraction=sample, seed=seed)
+    total = probe.agg(F.count(F.lit(1))).scalar()
+    # pinned (reliable checkpoint): the semi and the anti join below must see the same
+    # hot set, or a row could land in both halves or in neither
+    hot = (probe.dropna().groupBy(*left_keys).count()
+           .filter(F.col("count") >= total * F.lit(hot_share)).select(*left_keys)
+           .checkpoint(eager=True))
+    hot_b = F.broadcast(hot)
+    right_hot = right.join(F.broadcast(hot.toDF(*right_keys)), right_keys, "left_semi")
+    hot_rows = left.join(hot_b, left_keys, "left_semi")
+    cold_rows = left.join(hot_b, left_keys, "left_anti")
+    hot_cond = [hot_rows[lk] == right_hot[rk] for lk, rk in zip(left_keys, right_keys)]
+    cold_cond = [cold_rows[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)]
+    return (hot_rows.join(F.broadcast(right_hot), hot_cond, "left")
+            .unionByName(cold_rows.join(right, cold_cond, "left")))

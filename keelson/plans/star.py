@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from keelson.config import DEFAULT_STAR, StarConfig
 from keelson.functions.dates import date_parts
-from keelson.operators.joins import bounded_broadcast
+from keelson.operators.joins import skew_split_left_join
 from keelson.operators.ordered import dense_ids
 
 DIM_NAMES = ("dim_time", "dim_logistics", "dim_product", "dim_customer_geo", "dim_context")
@@ -77,6 +77,19 @@ FACT_COLUMNS = ("time_id", "full_date", "product_id", "customer_geo_id", "logist
                 "daily_oil_price", "sales", "profit", "sales_per_customer", "ship_days_real")
 
 
+def _attach(left: DataFrame, dim: DataFrame, keys: tuple[str, ...], id_col: str,
+            rows: int | None, cfg: StarConfig) -> DataFrame:
+    """``left`` LEFT JOIN ``dim`` on ``keys`` (``=``, not null-safe), adding ``id_col``."""
+    dk = [f"_dim_{k}" for k in keys]
+    right = dim.select(id_col, *[F.col(k).alias(d) for k, d in zip(keys, dk)])
+    if rows is not None and rows <= cfg.broadcast_rows:
+        right = F.broadcast(right)
+    elif cfg.skew_split:
+        return skew_split_left_join(left, right, list(keys), dk).drop(*dk)
+    cond = [left[k] == right[d] for k, d in zip(keys, dk)]
+    return left.join(right, cond, "left").drop(*dk)
+
+
 def fact_sales(silver: DataFrame, product: DataFrame, geo: DataFrame, logistics: DataFrame,
                cfg: StarConfig = DEFAULT_STAR,
                rows: dict[str, int] | None = None) -> DataFrame:
@@ -84,31 +97,22 @@ def fact_sales(silver: DataFrame, product: DataFrame, geo: DataFrame, logistics:
 
     ``=`` (not null-safe) on every key, as in SQL: a NULL status or city gets a NULL id.
     ``cfg.geo_keys == 2`` joins geography on (city, state) and multiplies a row whose
-    (city, state) exists under several countries, as the reference does.
+    (city, state) exists under several countries, as the reference does. A dimension
+    within ``cfg.broadcast_rows`` (counted at write time) is broadcast.
     """
     rows = rows or {}
     geo_keys = GEO_KEYS_3 if cfg.geo_keys == 3 else GEO_KEYS_2
-    p = bounded_broadcast(product.select("product_id", "category", "product"),
-                          rows.get("dim_product"), cfg.broadcast_rows)
-    g = bounded_broadcast(geo.select("customer_geo_id", *geo_keys),
-                          rows.get("dim_customer_geo"), cfg.broadcast_rows)
-    lg = bounded_broadcast(logistics.select("logistics_id", "delivery_status", "ship_mode"),
-                           rows.get("dim_logistics"), cfg.broadcast_rows)
-    s = silver.alias("s")
-    j = (s.join(p.alias("p"), (F.col("s.category") == F.col("p.category"))
-                & (F.col("s.product") == F.col("p.product")), "left")
-         .join(g.alias("g"), [F.col(f"s.{k}") == F.col(f"g.{k}") for k in geo_keys], "left")
-         .join(lg.alias("l"), (F.col("s.delivery_status") == F.col("l.delivery_status"))
-               & (F.col("s.ship_mode") == F.col("l.ship_mode")), "left"))
+    j = _attach(silver, product, ("category", "product"), "product_id",
+                rows.get("dim_product"), cfg)
+    j = _attach(j, geo, geo_keys, "customer_geo_id", rows.get("dim_customer_geo"), cfg)
+    j = _attach(j, logistics, ("delivery_status", "ship_mode"), "logistics_id",
+                rows.get("dim_logistics"), cfg)
     return j.select(
-        F.col("s.order_ts").alias("time_id"),
-        F.col("s.order_ts").alias("full_date"),
-        F.col("p.product_id"),
-        F.col("g.customer_geo_id"),
-        F.col("l.logistics_id"),
-        F.col("s.oil_price").alias("daily_oil_price"),
-        F.col("s.sales"), F.col("s.profit"), F.col("s.sales_per_customer"),
-        F.col("s.ship_days_real"),
+        F.col("order_ts").alias("time_id"),
+        F.col("order_ts").alias("full_date"),
+        "product_id", "customer_geo_id", "logistics_id",
+        F.col("oil_price").alias("daily_oil_price"),
+        "sales", "profit", "sales_per_customer", "ship_days_real",
     )
 
 

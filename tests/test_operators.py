@@ -109,3 +109,18 @@ def test_asof_join_right_unit_reduction(spark):
     for t, i in left:
         cands = [(qt, v) for qt, v in quotes if qt <= t]
         assert got[i] == (max(cands)[1] if cands else None)
+
+
+def test_skew_split_left_join_equals_left_join(spark):
+    from collections import Counter
+
+    from keelson.operators.joins import skew_split_left_join
+    rows = [("h" if i % 5 < 2 else (None if i % 13 == 0 else f"k{i % 50}"), i) for i in range(5000)]
+    left = spark.createDataFrame(rows, "k string, v int")
+    right = spark.createDataFrame([(f"k{i}", i) for i in range(40)] + [("h", -1)],
+                                  "rk string, id int")
+    got = Counter(tuple(r) for r in skew_split_left_join(
+        left, right, ["k"], ["rk"], hot_share=0.05, sample=0.2).select("k", "v", "id").collect())
+    want = Counter(tuple(r) for r in left.join(right, left.k == right.rk, "left")
+                   .select("k", "v", "id").collect())
+    assert got == want and sum(got.values()) == 5000
