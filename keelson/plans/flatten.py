@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.config import ALL_DIMS, DEFAULT_STAR, Dims, StarConfig
-from keelson.operators.joins import bounded_broadcast
+from keelson.operators.joins import bounded_broadcast, skew_split_left_join
 from keelson.plans.star import FACT_COLUMNS, Star
 
 DIM_ATTRS = {
@@ -29,21 +29,30 @@ DIM_ATTRS = {
 
 
 def flatten_star(star: Star, dims: Dims = ALL_DIMS, cfg: StarConfig = DEFAULT_STAR) -> DataFrame:
-    fact = star["fact_sales"]
-    out = [F.col(f"f.{c}").alias("oil_price" if c == "daily_oil_price" else c)
-           for c in FACT_COLUMNS]
-    df = fact.alias("f")
+    df = star["fact_sales"].select(*FACT_COLUMNS)
+    extra: list[str] = []
     for name in dims.names():
         if name == "time":
             if "dim_time" in star.tables:
-                out += [F.year("f.full_date").cast("bigint").alias("year"),
-                        F.month("f.full_date").cast("bigint").alias("month")]
+                df = (df.withColumn("year", F.year("full_date").cast("bigint"))
+                      .withColumn("month", F.month("full_date").cast("bigint")))
+                extra += ["year", "month"]
             continue
         table, key, attrs = DIM_ATTRS[name]
         if table not in star.tables:
             continue
-        d = bounded_broadcast(star[table].select(key, *attrs), star.rows.get(table),
-                              cfg.broadcast_rows).alias(name)
-        df = df.join(d, F.col(f"f.{key}") == F.col(f"{name}.{key}"), "left")
-        out += [F.col(f"{name}.{a}") for a in attrs]
-    return df.select(*out)
+        rows = star.rows.get(table)
+        dkey = f"_{name}_id"
+        d = star[table].select(F.col(key).alias(dkey), *attrs)
+        if cfg.skew_split and not (rows is not None and rows <= cfg.broadcast_rows):
+            # a large dimension: hot ids split off and broadcast (operators/joins.py)
+            df = skew_split_left_join(df, d, [key], [dkey])
+        else:
+            d = bounded_broadcast(d, rows, cfg.broadcast_rows)
+            df = df.join(d, df[key] == d[dkey], "left")
+        df = df.drop(dkey)
+        extra += list(attrs)
+    cols = [F.col(c).alias("oil_price" if c == "daily_oil_price" else c) for c in FACT_COLUMNS]
+    ordered = [a for n in ("product", "customer_geo", "logistics") for a in DIM_ATTRS[n][2]
+               if a in extra] + [c for c in ("year", "month") if c in extra]
+    return df.select(*cols, *ordered)

@@ -68,3 +68,15 @@ def test_absent_dimensions_are_skipped(spark, tmp_path):
     assert "category" in f.columns and "delivery_status" not in f.columns
     assert "year" not in f.columns
     assert f.count() == g.star["fact_sales"].count()
+
+
+def test_flatten_with_skew_split_equals_plain(spark):
+    from collections import Counter
+
+    from keelson.config import StarConfig
+    from keelson.plans.flatten import flatten_star
+    g = gold(spark, SF_SMALL)
+    plain = flatten_star(g.star)
+    split = flatten_star(g.star, cfg=StarConfig(broadcast_rows=0, skew_split=True))
+    assert split.columns == plain.columns
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
