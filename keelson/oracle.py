@@ -349,34 +349,34 @@ SELECT position, severity, title, message FROM (
          CASE WHEN margin_pct > 15 THEN 'success' ELSE 'warning' END AS severity,
          CASE WHEN margin_pct > 15 THEN 'Healthy margin' ELSE 'Margin under pressure' END AS title,
          CASE WHEN margin_pct > 15
-              THEN 'Margin of ' || {_fmt('margin_pct', ',.1f')} || '% is above the 15% benchmark. Efficient operation.'
-              ELSE 'Margin of ' || {_fmt('margin_pct', ',.1f')} || '% is below 15%. Review operating costs.' END AS message
+              THEN 'Margin of ' || {_fmt('margin_pct', '.1f')} || '% is above the 15% benchmark. Efficient operation.'
+              ELSE 'Margin of ' || {_fmt('margin_pct', '.1f')} || '% is below 15%. Review operating costs.' END AS message
   FROM kpi
   UNION ALL
   SELECT 2,
          CASE WHEN late_rate > 10 THEN 'danger' ELSE 'success' END,
          CASE WHEN late_rate > 10 THEN 'Logistics crisis' ELSE 'Delivery excellence' END,
-         CASE WHEN late_rate > 10 THEN {_fmt('late_rate', ',.1f')} || '% of deliveries late. Target: below 5%.'
-              ELSE 'Only ' || {_fmt('late_rate', ',.1f')} || '% of deliveries late.' END
+         CASE WHEN late_rate > 10 THEN {_fmt('late_rate', '.1f')} || '% of deliveries late. Target: below 5%.'
+              ELSE 'Only ' || {_fmt('late_rate', '.1f')} || '% of deliveries late.' END
   FROM kpi WHERE late_rate > 10 OR late_rate < 5
   UNION ALL
   SELECT 3, 'warning', 'High oil-price volatility',
-         'Standard deviation of $' || {_fmt('oil_std', ',.2f')} || '. Hedging recommended.'
+         'Standard deviation of $' || {_fmt('oil_std', '.2f')} || '. Hedging recommended.'
   FROM kpi WHERE oil_std > 10)""", _ctes)
 q("prompt_context", f"""
 SELECT section, position, label, value FROM (
   SELECT 'executive' AS section, 1 AS position, 'Revenue' AS label, '$ ' || {_fmt('total_sales', ',.0f')} AS value FROM kpi
-  UNION ALL SELECT 'executive', 2, 'Margin', {_fmt('margin_pct', ',.1f')} || '%' FROM kpi
+  UNION ALL SELECT 'executive', 2, 'Margin', {_fmt('margin_pct', '.1f')} || '%' FROM kpi
   UNION ALL SELECT 'executive', 3, 'Profit', '$ ' || {_fmt('total_profit', ',.0f')} FROM kpi
   UNION ALL SELECT 'executive', 4, 'Trend', {_fmt('sales_trend_pct', '+.1f')} || '%' FROM kpi
   UNION ALL SELECT 'executive', 5, 'Top category', coalesce(top_category, 'N/A') FROM kpi
   UNION ALL SELECT 'executive', 6, 'Worst category', coalesce(worst_category, 'N/A') FROM kpi
-  UNION ALL SELECT 'logistics', 1, 'Late rate', {_fmt('late_rate', ',.1f')} || '%' FROM kpi
-  UNION ALL SELECT 'logistics', 2, 'On-time rate', {_fmt('on_time_rate', ',.1f')} || '%' FROM kpi
+  UNION ALL SELECT 'logistics', 1, 'Late rate', {_fmt('late_rate', '.1f')} || '%' FROM kpi
+  UNION ALL SELECT 'logistics', 2, 'On-time rate', {_fmt('on_time_rate', '.1f')} || '%' FROM kpi
   UNION ALL SELECT 'logistics', 3, 'Oil average', '$ ' || {_fmt('oil_avg', '.2f')} FROM kpi
-  UNION ALL SELECT 'logistics', 4, 'Oil volatility', '±' || {_fmt('oil_std', ',.1f')} FROM kpi
+  UNION ALL SELECT 'logistics', 4, 'Oil volatility', '±' || {_fmt('oil_std', '.1f')} FROM kpi
   UNION ALL SELECT 'commercial', 1, 'Average ticket', '$ ' || {_fmt('avg_ticket', '.2f')} FROM kpi
-  UNION ALL SELECT 'commercial', 2, 'Margin', {_fmt('margin_pct', ',.1f')} || '%' FROM kpi
+  UNION ALL SELECT 'commercial', 2, 'Margin', {_fmt('margin_pct', '.1f')} || '%' FROM kpi
   UNION ALL SELECT 'commercial', 3, 'Top product', coalesce(top_category, 'N/A') FROM kpi
   UNION ALL SELECT 'commercial', 4, 'Total orders', {_fmt('total_orders', ',')} FROM kpi)""", _ctes)
 SQL["silver_from_csv"] = SQL["silver"]

@@ -3,7 +3,8 @@
 The rules are one ``array`` of conditional structs per KPI row; NULL entries (rules that
 did not fire) are filtered out and the rest exploded with ``inline``. No Python runs per
 row; the texts are built with ``format_number`` (half-even, like the reference's
-fixed-point formatting).
+fixed-point formatting), with thousands separators exactly where the reference puts
+them (whole-currency amounts and the order count).
 """
 
 from __future__ import annotations
@@ -27,21 +28,23 @@ def insights(kpi: DataFrame) -> DataFrame:
     rules = F.array(
         F.when(m > MARGIN_HEALTHY_PCT, _insight(
             1, "success", "Healthy margin",
-            F.concat(F.lit("Margin of "), fmt_fixed(m, 1),
+            F.concat(F.lit("Margin of "), fmt_fixed(m, 1, grouping=False),
                      F.lit("% is above the 15% benchmark. Efficient operation."))))
         .otherwise(_insight(
             1, "warning", "Margin under pressure",
-            F.concat(F.lit("Margin of "), fmt_fixed(m, 1),
+            F.concat(F.lit("Margin of "), fmt_fixed(m, 1, grouping=False),
                      F.lit("% is below 15%. Review operating costs.")))),
         F.when(late > LATE_DANGER_PCT, _insight(
             2, "danger", "Logistics crisis",
-            F.concat(fmt_fixed(late, 1), F.lit("% of deliveries late. Target: below 5%."))))
+            F.concat(fmt_fixed(late, 1, grouping=False),
+                     F.lit("% of deliveries late. Target: below 5%."))))
         .when(late < LATE_EXCELLENT_PCT, _insight(
             2, "success", "Delivery excellence",
-            F.concat(F.lit("Only "), fmt_fixed(late, 1), F.lit("% of deliveries late.")))),
+            F.concat(F.lit("Only "), fmt_fixed(late, 1, grouping=False),
+                     F.lit("% of deliveries late.")))),
         F.when(std > PRICE_VOLATILE_STD, _insight(
             3, "warning", "High oil-price volatility",
-            F.concat(F.lit("Standard deviation of $"), fmt_fixed(std, 2),
+            F.concat(F.lit("Standard deviation of $"), fmt_fixed(std, 2, grouping=False),
                      F.lit(". Hedging recommended.")))),
     )
     return kpi.select(F.inline(F.filter(rules, lambda x: x.isNotNull())))
@@ -54,7 +57,7 @@ def _rec(section: str, pos: int, label: str, value: Column) -> Column:
 
 def _plain2(c: Column) -> Column:
     """Two decimals, no thousands separator."""
-    return F.coalesce(F.call_function("format_number", c, F.lit("0.00")), F.lit("nan"))
+    return fmt_fixed(c, 2, grouping=False)
 
 
 def prompt_context(kpi: DataFrame) -> DataFrame:
@@ -63,17 +66,21 @@ def prompt_context(kpi: DataFrame) -> DataFrame:
     na = F.lit("N/A")
     recs = F.array(
         _rec("executive", 1, "Revenue", fmt_fixed(c("total_sales"), 0, "$ ")),
-        _rec("executive", 2, "Margin", fmt_fixed(c("margin_pct"), 1, suffix="%")),
+        _rec("executive", 2, "Margin",
+             fmt_fixed(c("margin_pct"), 1, suffix="%", grouping=False)),
         _rec("executive", 3, "Profit", fmt_fixed(c("total_profit"), 0, "$ ")),
         _rec("executive", 4, "Trend", fmt_signed(c("sales_trend_pct"), 1, "%")),
         _rec("executive", 5, "Top category", F.coalesce(c("top_category"), na)),
         _rec("executive", 6, "Worst category", F.coalesce(c("worst_category"), na)),
-        _rec("logistics", 1, "Late rate", fmt_fixed(c("late_rate"), 1, suffix="%")),
-        _rec("logistics", 2, "On-time rate", fmt_fixed(c("on_time_rate"), 1, suffix="%")),
+        _rec("logistics", 1, "Late rate",
+             fmt_fixed(c("late_rate"), 1, suffix="%", grouping=False)),
+        _rec("logistics", 2, "On-time rate",
+             fmt_fixed(c("on_time_rate"), 1, suffix="%", grouping=False)),
         _rec("logistics", 3, "Oil average", F.concat(F.lit("$ "), _plain2(c("oil_avg")))),
-        _rec("logistics", 4, "Oil volatility", fmt_fixed(c("oil_std"), 1, "±")),
+        _rec("logistics", 4, "Oil volatility", fmt_fixed(c("oil_std"), 1, "±", grouping=False)),
         _rec("commercial", 1, "Average ticket", F.concat(F.lit("$ "), _plain2(c("avg_ticket")))),
-        _rec("commercial", 2, "Margin", fmt_fixed(c("margin_pct"), 1, suffix="%")),
+        _rec("commercial", 2, "Margin",
+             fmt_fixed(c("margin_pct"), 1, suffix="%", grouping=False)),
         _rec("commercial", 3, "Top product", F.coalesce(c("top_category"), na)),
         _rec("commercial", 4, "Total orders", fmt_fixed(c("total_orders"), 0)),
     )

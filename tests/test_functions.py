@@ -82,3 +82,10 @@ def test_format_ntz_round_trip(spark):
     assert got == ["4/6/1997 2:30", None, "1/31/2018 22:05"]
     iso = df.select(format_ntz(F.col("ts"), "yyyy-MM-dd HH:mm:ss")).first()[0]
     assert iso == "1997-04-06 02:30:00"
+
+
+def test_number_text_grouping_only_when_asked(spark):
+    df = spark.createDataFrame([(1234.25,)], "v double")
+    row = df.select(fmt_fixed(F.col("v"), 1), fmt_fixed(F.col("v"), 1, grouping=False),
+                    fmt_signed(F.col("v"), 1)).first()
+    assert tuple(row) == ("1,234.2", "1234.2", "+1234.2")
