@@ -35,10 +35,17 @@ class Gold:
     star: Star
     oil_price: float
     memo: dict = field(default_factory=dict)
+    locks: dict = field(default_factory=dict)
 
     def remember(self, name: str, build) -> DataFrame:
-        """A small result written once under the gold folder and read back."""
+        """A small result written once under the gold folder and read back.
+
+        One lock per name: different results may be built at the same time (from
+        different threads), the same one only once.
+        """
         with _LOCK:
+            lock = self.locks.setdefault(name, threading.RLock())
+        with lock:
             if name not in self.memo:
                 path = f"{self.root}/memo/{name}"
                 build().write.mode("overwrite").parquet(path)

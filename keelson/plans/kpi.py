@@ -116,7 +116,7 @@ def _global_columns(flat: DataFrame) -> list[Column]:
     return cols
 
 
-def _one_pass(flat: DataFrame) -> DataFrame:
+def kpi_aggregates(flat: DataFrame) -> DataFrame:
     """Global KPI aggregates and the category arg-max/arg-min from one scan of ``flat``.
 
     Grouping sets ``((), (category))`` compute the global row and one row per category in
@@ -142,15 +142,17 @@ def _one_pass(flat: DataFrame) -> DataFrame:
             F.col("total_profit"), F.col("category")))).alias("worst_category"))
 
 
-def kpi_summary(flat: DataFrame, trend: DataFrame | None = None) -> DataFrame:
+def kpi_summary(flat: DataFrame, trend: DataFrame | None = None,
+                parts: DataFrame | None = None) -> DataFrame:
     """The KPI row (C7). Empty input gives ``None`` in the reference; here an error.
 
-    ``trend`` may pass an already computed ``sales_trend`` row of the same frame.
+    ``trend`` may pass an already computed ``sales_trend`` row of the same frame, and
+    ``parts`` an already computed ``kpi_aggregates`` row.
     """
     if flat.isEmpty():
         raise ValueError("no rows: KPIs are undefined")
     trend = (trend if trend is not None else sales_trend(flat)).first()["trend_pct"]
-    g = _one_pass(flat)
+    g = parts if parts is not None else kpi_aggregates(flat)
     s, p = F.col("total_sales"), F.col("total_profit")
     return g.select(
         s.alias("total_sales"), p.alias("total_profit"),

@@ -36,7 +36,7 @@ def main() -> None:
     from keelson.catalog import QUERIES, flat
     from keelson.plans import marts
     from keelson.plans.job import gold
-    from keelson.plans.kpi import _one_pass
+    from keelson.plans.kpi import kpi_aggregates
     from keelson.plans.star import dim_product, fact_sales
     from keelson.session import local_session
     spark = local_session(8)
@@ -47,7 +47,7 @@ def main() -> None:
         "fact_sales (build)": fact_sales(g.silver, s["dim_product"], s["dim_customer_geo"],
                                          s["dim_logistics"], rows=s.rows),
         "dim_product (build: distinct + dense ids)": dim_product(g.silver),
-        "kpi row (one pass)": _one_pass(flat(spark, sf, "product", "logistics")),
+        "kpi row (one pass)": kpi_aggregates(flat(spark, sf, "product", "logistics")),
         "category mart (shared by 5 rankings)": marts.category_mart(flat(spark, sf, "product")),
         "late-city counts (shared by 2 reports)":
             marts.late_city_counts(flat(spark, sf, "geo", "logistics")),
