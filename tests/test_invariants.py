@@ -80,3 +80,13 @@ def test_flatten_with_skew_split_equals_plain(spark):
     split = flatten_star(g.star, cfg=StarConfig(broadcast_rows=0, skew_split=True))
     assert split.columns == plain.columns
     assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_command_line_run(spark, tmp_path, monkeypatch, capsys):
+    from keelson.__main__ import main
+    out = str(tmp_path / "cli")
+    monkeypatch.setattr("sys.argv", ["keelson", "run", SF_SMALL, out, "--as-of", "2001-07-01"])
+    main()
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert printed["fanout.fact_minus_silver"] == "0"
+    assert spark.read.parquet(f"{out}/gold/fact_sales").count() == int(printed["rows.fact_sales"])
