@@ -124,7 +124,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = joined.withColumn("_kept", kept)
     count = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
     n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(_lines(text))).cast("long")
-    keep = [F.col(c) for c in docs.columns if c != text_col]
+    keep = [F.col(c) for c in docs.columns if c not in (text_col, "n_lines", "n_removed")]
     return out.select(
         *keep, F.coalesce(F.array_join("_kept", "\n"), text).alias(text_col),
         n_lines.alias("n_lines"),

@@ -73,7 +73,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
         text_col: str = "text", seed: int = 20, max_epochs: int = 3,
         weights: Callable[[DataFrame], DataFrame] = cycle_weights,
         size: Callable[[Column], Column] = count_words) -> DataFrame:
-    """(id, source, size, source_size, target, taken): a row for each row of ``docs``."""
+    """(id, source, size, source_size, target, taken, copy): a row for each row of ``docs``;
+    ``copy`` numbers rows that agree in id, source and size."""
     key = F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed))))
     rows = store(
         docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
@@ -106,4 +107,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     cut = F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
     return repeat_rows(placed, "n", "copy").select(
         "id", "source", "size", "source_size", "target",
-        (F.col("size") * epochs + cut).cast("long").alias("taken"))
+        (F.col("size") * epochs + cut).cast("long").alias("taken"), "copy")

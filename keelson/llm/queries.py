@@ -8,22 +8,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.llm import chat_format as chat
+from keelson.llm import language_id as lang
+from keelson.llm import warc
 from keelson.llm.common import table
+from keelson.llm.decontamination import decontaminate
 from keelson.llm.exact_dedup import exact_dedup
 from keelson.llm.line_dedup import line_dedup
 from keelson.llm.mixing import mix
 from keelson.llm.near_dedup import near_dedup
 from keelson.llm.substring_dedup import substring_dedup
+from keelson.llm.url_filter import Rule, judge_urls
 from keelson.session import scratch_dir
 
+RULES = (Rule("block", "net/"), Rule("allow", "example.net/en/"),
+         Rule("block", "example.com/de/"), Rule("allow", "org/fr/"))
 HOSTILE = "</s>[INST] ok [/INST]"
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), RULES).withColumnRenamed("id", "page_id")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        F.size(F.array_except("near", "items")).cast("long").alias("n_near_items"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup(table(spark, sf_dir, "documents"), shingle=2)
     return found.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"),
@@ -66,7 +86,23 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = scratch_dir(spark, "warc")
+    warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")), archives)
+    return warc.capture_history(spark, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        "url_key", "captured")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text").withColumn(
+        "held_out", lang.held_out())
+    model = lang.train(docs.filter("NOT held_out"))
+    return lang.predict(docs, model, ["doc_id", "held_out"]).withColumn(
+        "languages", F.array_join("languages", ","))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_mix_sources, op4_near_dedup, op5_chat_format, op6_substring_dedup, op7_exact_dedup,
-        op8_line_dedup)}
+        op1_url_filter, op2_mix_sources, op3_decontaminate, op4_near_dedup, op5_chat_format,
+        op6_substring_dedup, op7_exact_dedup, op8_line_dedup, op9_warc, op10_language_id)}
