@@ -34,7 +34,7 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint",
                  buckets: int = 64):
-        self.spark, self.path = spark, path
+        self.spark, self.path, self.buckets = spark, path, buckets
         self.name = f"digest_index_{uuid.uuid4().hex[:12]}"
         spark.sql(f"CREATE TABLE {self.name} (digest BINARY, keep_id {id_type}) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS "
@@ -47,7 +47,9 @@ class DigestIndex:
         """Append the digests of ``rows`` (as ``digests`` gives them) not yet indexed."""
         batch = rows.groupBy("digest").agg(F.max("id").alias("keep_id"))
         new = batch.join(self.table().hint("merge"), "digest", "left_anti")
-        new.select("digest", "keep_id").write.insertInto(self.name)
+        # one task for a bucket, so that an append adds one file to each bucket
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        new.select("digest", "keep_id").repartition(bucket).write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
 
 
