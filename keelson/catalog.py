@@ -34,7 +34,7 @@ from keelson.plans.star import fact_sales
 from keelson.sources.csv_bronze import land_bronze_csv, write_bronze_csv
 from keelson.sources.fixtures import quotes_from_events, weekly_price_series
 from keelson.sources.quotes import latest_quote, oil_price_frame
-from keelson.streaming.ingest import run_silver_ingest
+from keelson.streaming.ingest import read_ingested, run_silver_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -397,5 +397,5 @@ def q_silver_stream(spark, sf_dir):
         out = f"{g.root}/stream_silver"
         run_silver_ingest(spark, raw_csv(spark, sf_dir), out, f"{g.root}/stream_ckpt",
                           g.oil_price)
-        return spark.read.parquet(out)
+        return read_ingested(spark, out)
     return g.remember("silver_stream", build)

@@ -1,21 +1,28 @@
 """The raw order-line file: a Latin-1 CSV with a header.
 
-Reading follows the reference's reader: lines with more fields than the header are
-skipped, lines with fewer are kept and padded with NULL, the usual missing-value tokens
-become NULL, header names are trimmed.
+Reading follows the reference's reader: quotes inside quoted fields are doubled, lines
+with more fields than their file's header are skipped (and counted), lines with fewer are
+kept and padded with NULL, the usual missing-value tokens become NULL, header names are
+trimmed. Every file is read by its own header, and files are put together by column name,
+so a folder may hold files with other columns or another column order. With
+``multi_line`` a quoted field may hold line breaks; such files are read whole, not split.
 
 How: every column is read as text under an explicit schema in PERMISSIVE mode with a
 corrupt-record column. Spark flags both short and long lines as malformed; for flagged
-lines the field count is taken from the raw text (quoted sections removed, then commas
-counted), and only lines with too many fields are dropped. Column pruning is switched
-off for this read: with pruning, the parser only tokenises the requested columns and
-stops flagging long lines. Spark also refuses a query that needs nothing but the
-corrupt-record column (for example a bare ``count()``), so ``land_bronze_csv`` writes
+lines the field count is taken from the raw text (quoted fields removed by a possessive
+pattern, which runs without recursion on any length, then commas counted). Column pruning
+is switched off for this read: with pruning, the parser only tokenises the requested
+columns and stops flagging long lines. Spark also refuses a query that needs nothing but
+the corrupt-record column (for example a bare ``count()``), so ``land_bronze_csv`` writes
 the parsed rows to Parquet once and later jobs read that table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,54 +31,91 @@ from keelson.config import NA_TOKENS, RAW_TO_SILVER, TS_COLUMNS
 from keelson.functions.dates import format_ntz
 
 LATIN1 = "ISO-8859-1"
+OVERLONG = "_overlong_line"
 _CORRUPT = "_corrupt_line"
-_QUOTED = '"([^"]|"")*"'
+#: A quoted field from its start; possessive, so it never steps back.
+_QUOTED = '(^|,)"(?:[^"]++|"")*+"'
 
 
 def read_header(spark: SparkSession, path: str, encoding: str = LATIN1) -> list[str]:
     """Header names as written in the file (reads the first line only)."""
-    return spark.read.option("header", True).option("encoding", encoding).csv(path).columns
+    return (spark.read.option("header", True).option("encoding", encoding)
+            .option("escape", '"').csv(path).columns)
 
 
-def raw_schema(names: list[str]) -> T.StructType:
+def raw_schema(names: Sequence[str]) -> T.StructType:
     """All columns as text, plus the corrupt-line column."""
     return T.StructType([T.StructField(n, T.StringType()) for n in names]
                         + [T.StructField(_CORRUPT, T.StringType())])
 
 
-def csv_options(encoding: str = LATIN1) -> dict[str, str]:
-    return {"header": "true", "encoding": encoding, "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": _CORRUPT, "columnPruning": "false"}
+def csv_options(encoding: str = LATIN1, multi_line: bool = False) -> dict[str, str]:
+    return {"header": "true", "encoding": encoding, "mode": "PERMISSIVE", "quote": '"',
+            "escape": '"', "columnNameOfCorruptRecord": _CORRUPT, "columnPruning": "false",
+            "multiLine": str(multi_line).lower()}
 
 
-def parse_lines(raw: DataFrame, names: list[str],
+def parse_lines(raw: DataFrame, names: Sequence[str],
                 na_tokens: tuple[str, ...] = NA_TOKENS) -> DataFrame:
-    """Drop over-long lines, map missing-value tokens to NULL (batch or stream)."""
+    """Map missing-value tokens to NULL and mark the lines with too many fields."""
     line = F.col(_CORRUPT)
-    fields = F.size(F.split(F.regexp_replace(line, _QUOTED, ""), ",", -1))
-    kept = raw.filter(line.isNull() | (fields <= len(names)))
+    fields = F.size(F.split(F.regexp_replace(line, _QUOTED, "$1"), ",", -1))
     tokens = list(na_tokens)
-    return kept.select(*[F.when(~F.col(f"`{n}`").isin(tokens), F.col(f"`{n}`")).alias(n)
-                         for n in names])
-
-
-def read_bronze_csv(spark: SparkSession, path: str, encoding: str = LATIN1,
-                    na_tokens: tuple[str, ...] = NA_TOKENS) -> DataFrame:
+    return raw.select(
+        *[F.when(~F.col(f"`{n}`").isin(tokens), F.col(f"`{n}`")).alias(n) for n in names],
+        F.coalesce(fields > len(names), F.lit(False)).alias(OVERLONG))
+
+
+def files_below(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The files a read of ``paths`` would take (a listing; no content is read)."""
+    found = spark.read.format("binaryFile").load(
+        [paths] if isinstance(paths, str) else list(paths)).select("path", "length")
+    return sorted(r.path for r in found.collect() if r.length)
+
+
+def scan_bronze_csv(spark: SparkSession, paths: str | Sequence[str], encoding: str = LATIN1,
+                    na_tokens: tuple[str, ...] = NA_TOKENS,
+                    multi_line: bool = False) -> DataFrame:
+    """All lines, too long ones marked by ``OVERLONG``; files with equal headers are read
+    together, and the groups are united by column name (absent columns are NULL)."""
+    files = files_below(spark, paths)
+    if not files:
+        raise ValueError(f"no raw file with a header under {paths}")
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = pool.map(lambda f: tuple(
+            h.strip() for h in read_header(spark, f, encoding)), files)
+        groups: dict[tuple[str, ...], list[str]] = {}
+        for file, names in zip(files, headers):
+            groups.setdefault(names, []).append(file)
+    options = csv_options(encoding, multi_line)
+    parts = [parse_lines(spark.read.schema(raw_schema(names)).options(**options).csv(group),
+                         names, na_tokens) for names, group in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_bronze_csv(spark: SparkSession, paths: str | Sequence[str], encoding: str = LATIN1,
+                    na_tokens: tuple[str, ...] = NA_TOKENS,
+                    multi_line: bool = False) -> DataFrame:
     """All header columns as text, names trimmed; over-long lines removed.
 
     Materialise the result (``land_bronze_csv``) before running queries that would
     prune columns.
     """
-    names = [h.strip() for h in read_header(spark, path, encoding)]
-    raw = spark.read.schema(raw_schema(names)).options(**csv_options(encoding)).csv(path)
-    return parse_lines(raw, names, na_tokens)
+    return (scan_bronze_csv(spark, paths, encoding, na_tokens, multi_line)
+            .filter(~F.col(OVERLONG)).drop(OVERLONG))
+
+
+def land_bronze_csv(spark: SparkSession, paths: str | Sequence[str], out_path: str,
+                    encoding: str = LATIN1, multi_line: bool = False) -> DataFrame:
+    """Parse the raw files once into a Parquet bronze table and return that table."""
+    scan_bronze_csv(spark, paths, encoding, multi_line=multi_line).write.mode(
+        "overwrite").parquet(out_path)
+    return spark.read.parquet(out_path).filter(~F.col(OVERLONG)).drop(OVERLONG)
 
 
-def land_bronze_csv(spark: SparkSession, csv_path: str, out_path: str,
-                    encoding: str = LATIN1) -> DataFrame:
-    """Parse the raw file once into a Parquet bronze table and return that table."""
-    read_bronze_csv(spark, csv_path, encoding).write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+def dropped_lines(spark: SparkSession, landed: str) -> DataFrame:
+    """The over-long lines of a landed table (for the quality report's count)."""
+    return spark.read.parquet(landed).filter(F.col(OVERLONG))
 
 
 def write_bronze_csv(bronze: DataFrame, path: str, ts_format: str = "M/d/yyyy H:mm",
@@ -88,4 +132,4 @@ def write_bronze_csv(bronze: DataFrame, path: str, ts_format: str = "M/d/yyyy H:
         e = format_ntz(F.col(f"`{c}`"), ts_format) if c in ts_names else F.col(f"`{c}`")
         cols.append(e.cast("string").alias(c + " " if (stray_blank and i == 0) else c))
     (bronze.select(*cols).write.mode(mode)
-     .option("header", True).option("encoding", encoding).csv(path))
+     .option("header", True).option("escape", '"').option("encoding", encoding).csv(path))

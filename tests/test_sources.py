@@ -48,3 +48,49 @@ def test_append_snapshot_skips_empty_batch(spark):
     assert append_snapshot(latest_quote(q), f"{d}/t") is True
     assert append_snapshot(latest_quote(q.limit(0)), f"{d}/t") is False
     assert spark.read.parquet(f"{d}/t").count() == 1
+
+
+def _csv(spark, tmp_path, files: dict[str, str], **options):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / name).write_bytes(text.encode("latin-1"))
+    return read_bronze_csv(spark, str(folder), **options)
+
+
+def test_csv_standard_quoting(spark, tmp_path):
+    got = _csv(spark, tmp_path, {"a.csv": (
+        'a,b,c\n1,"say ""hi"", ok",x\n5,"end\\",v\n6,"",w\n7,plain"quote,"a,""b"",c"\n'
+        '8,"x","y","z"\n9,"a ""q"", b"\n')})
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("1", 'say "hi", ok', "x"), ("5", "end\\", "v"), ("6", None, "w"),
+        ("7", 'plain"quote', 'a,"b",c'), ("9", 'a "q", b', None)]
+
+
+def test_csv_long_quoted_field_in_a_malformed_line(spark, tmp_path):
+    long = '"' + 'x,""' * 25_000 + '"'
+    got = _csv(spark, tmp_path, {"a.csv": f"a,b\n1,{long},extra\n2,{long}\n3\n"}).collect()
+    assert sorted((r.a, len(r.b or "")) for r in got) == [("2", 75_000), ("3", 0)]
+
+
+def test_csv_multi_line_records(spark, tmp_path):
+    got = _csv(spark, tmp_path, {"a.csv": 'a,b,c\n1,"two\nlines",x\n2,"p\nq",y,z\n3,s\n'},
+               multi_line=True)
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "two\nlines", "x"), ("3", "s", None)]
+
+
+def test_csv_columns_by_name(spark, tmp_path):
+    got = _csv(spark, tmp_path, {"a.csv": "a,b \n1,x\n", "b.csv": "b,a\ny,2\n",
+                                 "c.csv": "c,a,b\nnew,3,z\n", "d.csv": ""})
+    assert sorted((r.a, r.b, r.c or "") for r in got.collect()) == [
+        ("1", "x", ""), ("2", "y", ""), ("3", "z", "new")]
+
+
+def test_csv_round_trip_of_quotes(spark, tmp_path):
+    from keelson.sources.csv_bronze import dropped_lines, write_bronze_csv
+    rows = [("1", 'say "hi", ok'), ("2", "back\\"), ("3", "a,b")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    write_bronze_csv(df, str(tmp_path / "w"))
+    landed = land_bronze_csv(spark, str(tmp_path / "w"), str(tmp_path / "l"))
+    assert sorted(map(tuple, landed.collect())) == rows
+    assert dropped_lines(spark, str(tmp_path / "l")).count() == 0
