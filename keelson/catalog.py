@@ -26,11 +26,12 @@ from keelson.plans import marts as _marts
 from keelson.plans import rankings as _rk
 from keelson.plans.audit import audit_star, fact_integrity
 from keelson.plans.flatten import flatten_star
-from keelson.plans.job import gold
+from keelson.plans.job import gold, run_files
 from keelson.plans.quality import quality_report
 from keelson.plans.reports import category_kpis, status_counts
 from keelson.plans.silver import clean_orders
 from keelson.plans.star import fact_sales
+from keelson.session import scratch_dir
 from keelson.sources.csv_bronze import land_bronze_csv, write_bronze_csv
 from keelson.sources.fixtures import quotes_from_events, weekly_price_series
 from keelson.sources.quotes import latest_quote, oil_price_frame
@@ -332,7 +333,7 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     """The bronze view written once as the raw Latin-1 file; returns its folder."""
     g = gold(spark, sf_dir)
     with _RAW_LOCK:
-        path = f"{g.root}/raw_csv"
+        path = f"{g.scratch}/raw_csv"
         if "raw_csv" not in g.memo:
             # the landed typed bronze under its raw header names (no second derivation)
             raw = g.typed.select(*[F.col(new).alias(old) for old, new in RAW_TO_SILVER])
@@ -345,7 +346,7 @@ def landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw file parsed and landed as a Parquet bronze table (once)."""
     g = gold(spark, sf_dir)
     return g.remember("bronze_csv", lambda: land_bronze_csv(
-        spark, raw_csv(spark, sf_dir), f"{g.root}/raw_landing"))
+        spark, raw_csv(spark, sf_dir), f"{g.scratch}/raw_landing"))
 
 
 @register("bronze_csv_scan")
@@ -358,6 +359,14 @@ def q_silver_from_csv(spark, sf_dir):
     return clean_orders(landed_csv(spark, sf_dir), gold(spark, sf_dir).oil_price)
 
 
+@register("batch_from_files")
+def q_batch_from_files(spark, sf_dir):
+    """The whole batch over raw files (orders as CSV, quotes as Parquet): its star audit."""
+    quotes = scratch_dir(spark, "raw_quotes")
+    quotes_from_events(spark, sf_dir).write.parquet(quotes)
+    return run_files(spark, raw_csv(spark, sf_dir), scratch_dir(spark, "batch"), quotes)["audit"]
+
+
 # --- market extensions ---------------------------------------------------------------
 
 RATIO_EXTRA = ("corr_sales_price", "slope_sales_price", "corr_profit_price", "price")
@@ -394,8 +403,8 @@ def q_silver_stream(spark, sf_dir):
     g = gold(spark, sf_dir)
 
     def build() -> DataFrame:
-        out = f"{g.root}/stream_silver"
-        run_silver_ingest(spark, raw_csv(spark, sf_dir), out, f"{g.root}/stream_ckpt",
+        out = f"{g.scratch}/stream_silver"
+        run_silver_ingest(spark, raw_csv(spark, sf_dir), out, f"{g.scratch}/stream_ckpt",
                           g.oil_price)
         return read_ingested(spark, out)
     return g.remember("silver_stream", build)

@@ -411,10 +411,13 @@ FROM (SELECT s.category, s.order_region, s.sales, s.profit, p.price
       ASOF LEFT JOIN prices p ON s.day >= p.price_day)
 GROUP BY category, order_region""", ",\n" + _PRICES)
 SQL["silver_stream"] = SQL["silver"]
-q("status_mode_matrix_wide", """
-PIVOT (SELECT delivery_status, ship_mode FROM flat
-       WHERE delivery_status IS NOT NULL AND ship_mode IS NOT NULL)
-ON ship_mode USING CAST(count(*) AS BIGINT) GROUP BY delivery_status""")
+SQL["batch_from_files"] = SQL["gold_audit"]
+#: Ship modes of the derived order lines, one column each.
+_MODES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+q("status_mode_matrix_wide", "SELECT delivery_status, " + ", ".join(
+    f"CAST(count(*) FILTER (WHERE ship_mode = '{m}') AS BIGINT) AS \"{m}\"" for m in _MODES) + """
+FROM flat WHERE delivery_status IS NOT NULL AND ship_mode IS NOT NULL
+GROUP BY delivery_status""")
 
 
 # The raw file as landed: every column as text under its raw header name.

@@ -1,29 +1,40 @@
 """End-to-end batch job (C10) and the per-session gold cache used by the query catalog.
 
-``run`` is the pipeline: derive bronze, take the price constant, clean to silver, write
-silver, build and write the star, audit it. Each stage's failure propagates (the
-reference swallowed errors and went on with stale files).
+``run`` is the pipeline over the driver's tables, ``run_files`` the same over a raw order
+file and price quotes: read bronze, land the quotes and take the price constant, clean to
+silver, write silver, build and write the star, audit it. Each stage's failure propagates
+(the reference swallowed errors and went on with stale files).
 
 ``gold(spark, sf_dir)`` builds the same tables once per session and input folder under
-the shared checkpoint folder and returns them read back from Parquet; queries then
-start from stored tables, as the reference's analysis reads its gold files.
+the session's scratch folder and returns them read back from Parquet; queries then start
+from stored tables, as the reference's analysis reads its gold files. The tables and all
+results remembered with them are built anew when a file of the input changes, and after
+``MEMO_SECONDS`` in any case, as the reference's cache does.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 import threading
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from keelson.config import DEFAULT_CLEAN, DEFAULT_STAR, CleanConfig, StarConfig
 from keelson.plans.star import Star, build_star, read_star
 from keelson.plans.silver import fill_orders, keep_valid, typed_orders
-from keelson.session import scratch_dir, session_key
+from keelson.session import input_stamp, scratch_dir, session_key
+from keelson.sources.csv_bronze import LATIN1, dropped_lines, land_bronze_csv
 from keelson.sources.fixtures import bronze_orders, quotes_from_events
-from keelson.sources.quotes import oil_price_value
+from keelson.sources.quotes import land_quotes, oil_price_value
+from keelson.sources.tables import read_if_present, table_path
+
+#: Tables that gold is derived from, and how long a session may go on using it.
+GOLD_INPUT = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+MEMO_SECONDS = 3600
+MEMO_SECONDS_CONF = "spark.keelson.memo.seconds"
 
 
 @dataclass
@@ -34,11 +45,13 @@ class Gold:
     silver_rows: int
     star: Star
     oil_price: float
+    scratch: str = ""      # the session's own folder for results remembered with it
+    built: float = field(default_factory=time.time)
     memo: dict = field(default_factory=dict)
     locks: dict = field(default_factory=dict)
 
     def remember(self, name: str, build) -> DataFrame:
-        """A small result written once under the gold folder and read back.
+        """A small result written once to the session's scratch folder and read back.
 
         One lock per name: different results may be built at the same time (from
         different threads), the same one only once.
@@ -47,7 +60,7 @@ class Gold:
             lock = self.locks.setdefault(name, threading.RLock())
         with lock:
             if name not in self.memo:
-                path = f"{self.root}/memo/{name}"
+                path = f"{self.scratch}/{name}"
                 build().write.mode("overwrite").parquet(path)
                 self.memo[name] = self.silver.sparkSession.read.parquet(path)
             return self.memo[name]
@@ -70,28 +83,60 @@ def build_gold(spark: SparkSession, bronze: DataFrame, quotes: DataFrame | None,
     if n == 0:
         raise ValueError("silver is empty: nothing to model")
     return Gold(root=root, typed=typed, silver=silver, silver_rows=n,
-                star=build_star(silver, f"{root}/gold", star), oil_price=price)
+                star=build_star(silver, f"{root}/gold", star), oil_price=price,
+                scratch=scratch_dir(spark, "memo"))
 
 
-def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
-        clean: CleanConfig = DEFAULT_CLEAN, star: StarConfig = DEFAULT_STAR,
-        as_of: dt.datetime | str | None = None) -> dict[str, DataFrame]:
-    """The full batch: returns the gold tables plus the quality and star audits."""
+def _stamp(spark: SparkSession, sf_dir: str) -> str:
+    return input_stamp(spark, [table_path(sf_dir, t) for t in GOLD_INPUT])
+
+
+def _finish(spark: SparkSession, g: Gold, stamp: str, clean: CleanConfig, star: StarConfig,
+            as_of, dropped: DataFrame | None) -> dict[str, DataFrame]:
+    """Write the audits and the origin of a batch; return its tables."""
     from keelson.plans.audit import audit_star
     from keelson.plans.quality import quality_report
 
-    root = out_dir or scratch_dir(spark, "run")
-    bronze = bronze_orders(spark, sf_dir)
-    quotes = quotes_from_events(spark, sf_dir)
-    g = build_gold(spark, bronze, quotes, root, clean, star)
-    quality_report(g.typed, as_of).write.mode("overwrite").parquet(f"{root}/quality")
+    root = g.root
+    quality_report(g.typed, as_of, dropped).write.mode("overwrite").parquet(f"{root}/quality")
     audit_star(g.star, g.silver).write.mode("overwrite").parquet(f"{root}/audit")
+    spark.range(1).select(F.lit(stamp).alias("stamp"), F.lit(repr(clean)).alias("clean"),
+                          F.lit(repr(star)).alias("star")
+                          ).write.mode("overwrite").parquet(f"{root}/origin")
     return {"silver": g.silver, **g.star.tables,
             "quality": spark.read.parquet(f"{root}/quality"),
             "audit": spark.read.parquet(f"{root}/audit")}
 
 
-_CACHE: dict[tuple, Gold] = {}
+def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
+        clean: CleanConfig = DEFAULT_CLEAN, star: StarConfig = DEFAULT_STAR,
+        as_of: dt.datetime | str | None = None) -> dict[str, DataFrame]:
+    """The full batch over the driver's tables: the gold tables, quality and star audits."""
+    root = out_dir or scratch_dir(spark, "run")
+    stamp = _stamp(spark, sf_dir)
+    g = build_gold(spark, bronze_orders(spark, sf_dir), quotes_from_events(spark, sf_dir), root,
+                   clean, star)
+    return _finish(spark, g, stamp, clean, star, as_of, None)
+
+
+def run_files(spark: SparkSession, orders: str, out_dir: str, quotes: str | None = None,
+              clean: CleanConfig = DEFAULT_CLEAN, star: StarConfig = DEFAULT_STAR,
+              as_of: dt.datetime | str | None = None, encoding: str = LATIN1,
+              multi_line: bool = False) -> dict[str, DataFrame]:
+    """The full batch over raw order files (one or a folder) and, optionally, a Parquet
+    folder of price quotes. The quotes are landed in ``out_dir/quotes``, where they collect
+    from run to run; without any quote the price is the default. Lines that the reader had
+    to leave out are counted in the quality report.
+    """
+    stamp = input_stamp(spark, [orders, *([quotes] if quotes else [])])
+    raw = land_bronze_csv(spark, orders, f"{out_dir}/bronze_raw", encoding, multi_line)
+    table = land_quotes(spark, quotes, f"{out_dir}/quotes")
+    g = build_gold(spark, raw, table, out_dir, clean, star)
+    return _finish(spark, g, stamp, clean, star, as_of,
+                   dropped_lines(spark, f"{out_dir}/bronze_raw"))
+
+
+_CACHE: dict[tuple, tuple[str, Gold]] = {}
 _LOCK = threading.RLock()
 
 
@@ -99,33 +144,48 @@ GOLD_ROOT_CONF = "spark.keelson.gold.root"
 
 
 def open_gold(spark: SparkSession, root: str) -> Gold:
-    """Open the tables a previous ``run`` wrote under ``root`` (nothing is rebuilt).
-
-    Row counts come from Parquet footers; the run's price from one silver row.
+    """Open the tables a previous ``run`` wrote under ``root`` (nothing is rebuilt or written
+    there). Row counts come from Parquet footers; the run's price from one silver row.
     """
     silver = spark.read.parquet(f"{root}/silver")
     star = read_star(spark, f"{root}/gold")
     star.rows = {name: df.count() for name, df in star.tables.items()}  # footer counts
     first = silver.select("oil_price").limit(1).collect()
     return Gold(root=root, typed=spark.read.parquet(f"{root}/bronze_typed"), silver=silver,
-                silver_rows=silver.count(), star=star,
+                silver_rows=silver.count(), star=star, scratch=scratch_dir(spark, "memo"),
                 oil_price=float(first[0][0]) if first else 0.0)
 
 
+def _check_origin(spark: SparkSession, root: str, stamp: str, clean: CleanConfig,
+                  star: StarConfig) -> None:
+    """A stored run must come from the asked input, as it is now, and the asked options."""
+    origin = read_if_present(spark, f"{root}/origin")
+    found = tuple(origin.first()) if origin is not None else None
+    if found != (stamp, repr(clean), repr(star)):
+        raise ValueError(f"{root} was not built from this input and these options")
+
+
 def gold(spark: SparkSession, sf_dir: str, star: StarConfig = DEFAULT_STAR,
          clean: CleanConfig = DEFAULT_CLEAN) -> Gold:
-    """Gold tables for ``sf_dir``, built once per session (and per configuration).
+    """Gold tables for ``sf_dir``, built once per session, input state and configuration.
 
     When the session sets ``spark.keelson.gold.root`` to the output folder of a previous
-    ``run`` (``python -m keelson run``), the stored tables are opened instead of built.
+    ``run`` (``python -m keelson run``) over the same input, the stored tables are opened
+    instead of built; a folder built from anything else is refused.
     """
     stored = spark.conf.get(GOLD_ROOT_CONF, None)
-    key = (session_key(spark), os.path.abspath(sf_dir), star, clean, stored)
+    limit = float(spark.conf.get(MEMO_SECONDS_CONF, str(MEMO_SECONDS)))
+    stamp = _stamp(spark, sf_dir)
+    key = (session_key(spark), sf_dir.rstrip("/"), star, clean, stored)
     with _LOCK:
-        if key not in _CACHE and stored:
-            _CACHE[key] = open_gold(spark, stored)
-        if key not in _CACHE:
-            _CACHE[key] = build_gold(spark, bronze_orders(spark, sf_dir),
-                                     quotes_from_events(spark, sf_dir),
-                                     scratch_dir(spark, "gold"), clean, star)
-        return _CACHE[key]
+        known = _CACHE.get(key)
+        if known and known[0] == stamp and time.time() - known[1].built < limit:
+            return known[1]
+        if stored:
+            _check_origin(spark, stored, stamp, clean, star)
+            g = open_gold(spark, stored)
+        else:
+            g = build_gold(spark, bronze_orders(spark, sf_dir), quotes_from_events(spark, sf_dir),
+                           scratch_dir(spark, "gold"), clean, star)
+        _CACHE[key] = (stamp, g)
+        return g

@@ -12,7 +12,6 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ from keelson.config import DEFAULT_STAR, StarConfig
 from keelson.functions.dates import date_parts
 from keelson.operators.joins import skew_split_left_join
 from keelson.operators.ordered import dense_ids
+from keelson.sources.tables import read_if_present
 
 DIM_NAMES = ("dim_time", "dim_logistics", "dim_product", "dim_customer_geo", "dim_context")
 
@@ -169,8 +169,6 @@ def read_star(spark: SparkSession, root: str) -> Star:
     """
     tables = {"fact_sales": spark.read.parquet(f"{root}/fact_sales")}
     for name in DIM_NAMES:
-        try:
-            tables[name] = spark.read.parquet(f"{root}/{name}")
-        except AnalysisException:  # folder absent: the dimension is optional
-            continue
+        if (found := read_if_present(spark, f"{root}/{name}")) is not None:
+            tables[name] = found
     return Star(root=root, tables=tables)

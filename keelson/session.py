@@ -7,8 +7,11 @@ directory under the system temp folder created and registered, as tests need.
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -36,7 +39,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; registers a local one only if unset."""
+    """The shared checkpoint folder of the session.
+
+    Only a local session may be without one: it gets a folder of its own. On a cluster a
+    missing setting is an error, since each executor would write to its own disk.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session has no context object
@@ -49,6 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if sc is not None and not configured:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="keelson-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)
@@ -64,7 +74,47 @@ def session_key(spark: SparkSession) -> str:
         return f"session-{id(spark)}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The path and its file system (of the JVM, so any store that Spark can read)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+_SCRATCH: dict[str, str] = {}
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The session's own folder below the checkpoint root; removed when the session's JVM
+    ends."""
+    key = session_key(spark)
+    if key not in _SCRATCH:
+        root = f"{checkpoint_root(spark).rstrip('/')}/keelson-{uuid.uuid4().hex[:12]}"
+        try:
+            path, fs = _hadoop(spark, root)
+            fs.mkdirs(path)
+            fs.deleteOnExit(path)
+        except AttributeError:  # a remote session: its server owns the folder
+            pass
+        _SCRATCH[key] = root
+    return _SCRATCH[key]
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the checkpoint root for tables written by a job."""
-    root = checkpoint_root(spark)
-    return f"{root.rstrip('/')}/keelson/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique path in the session's scratch folder for a table written by a job."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def input_stamp(spark: SparkSession, paths: Iterable[str]) -> str:
+    """Changes when a file below one of ``paths`` does: a digest of names, sizes and times."""
+    seen = []
+    for name in paths:
+        path, fs = _hadoop(spark, name)
+        if not fs.exists(path):
+            seen.append((name, "absent"))
+            continue
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.sha256(repr(sorted(map(str, seen))).encode()).hexdigest()

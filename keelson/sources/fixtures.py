@@ -99,7 +99,7 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     disc = F.col("l_discount").cast("decimal(4,2)")
     tax = F.col("l_tax").cast("decimal(4,2)")
-    brand_no = F.substring(F.col("p_brand"), 7, 1 << 20).cast("int")
+    brand_no = F.expr("substring(p_brand, 7)").cast("int")
     bias = (((brand_no % 7) - 3) * 4 / 100).cast("decimal(4,2)")
     one = F.lit(Decimal("1.00"))
     sign = F.when((pk % NEGATIVE_SALES_MOD == 0) & (F.col("l_linenumber") == NEGATIVE_SALES_LINE),

@@ -8,10 +8,11 @@ is picked with ``max_by`` — a map-side-combined aggregate, no sort of the quot
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions.numbers import round_money
+from keelson.sources.tables import read_if_present
 
 
 def _recency(df: DataFrame) -> Column:
@@ -19,15 +20,16 @@ def _recency(df: DataFrame) -> Column:
     return F.struct(F.col("quote_ts"), -F.col("quote_id"))
 
 
-def latest_quote(quotes: DataFrame) -> DataFrame:
-    """One row per indicator: the most recent quote."""
+def latest_rows(quotes: DataFrame) -> DataFrame:
+    """One row per indicator: the most recent quote, with its id."""
     r = _recency(quotes)
     return quotes.groupBy("indicator").agg(
-        F.max_by("quote_ts", r).alias("quote_ts"),
-        F.max_by("price", r).alias("price"),
-        F.max_by("currency", r).alias("currency"),
-        F.max_by("source", r).alias("source"),
-    )
+        *[F.max_by(c, r).alias(c) for c in ("quote_id", "quote_ts", "price", "currency", "source")])
+
+
+def latest_quote(quotes: DataFrame) -> DataFrame:
+    """One row per indicator: the most recent quote."""
+    return latest_rows(quotes).drop("quote_id")
 
 
 def oil_price_frame(quotes: DataFrame, default: float = 0.0) -> DataFrame:
@@ -51,3 +53,15 @@ def append_snapshot(latest: DataFrame, path: str) -> bool:
         return False
     latest.write.mode("append").parquet(path)
     return True
+
+
+def land_quotes(spark: SparkSession, batch_path: str | None, table_path: str) -> DataFrame | None:
+    """Land a batch's latest quotes in the quote table and return the table.
+
+    An absent or empty batch writes nothing; None when there is no table either, and the
+    run's price is then the default.
+    """
+    batch = read_if_present(spark, batch_path) if batch_path else None
+    if batch is not None:
+        append_snapshot(latest_rows(batch), table_path)
+    return read_if_present(spark, table_path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -18,3 +19,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     """Read one table; naming columns here keeps the scan's ReadSchema narrow."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
+
+
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if there is no such path. Any other trouble
+    (no permission, unreadable or half-written folder) is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

@@ -90,3 +90,117 @@ def test_command_line_run(spark, tmp_path, monkeypatch, capsys):
     printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
     assert printed["fanout.fact_minus_silver"] == "0"
     assert spark.read.parquet(f"{out}/gold/fact_sales").count() == int(printed["rows.fact_sales"])
+
+
+def _small_copy(spark, folder, lines=None):
+    """The gold input tables at sf0.001, with ``lineitem`` cut to ``lines`` rows if given."""
+    from keelson.plans.job import GOLD_INPUT
+    for name in GOLD_INPUT:
+        df = spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
+        if name == "lineitem" and lines:
+            df = df.orderBy("l_orderkey", "l_linenumber").limit(lines)
+        df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+
+
+def test_changed_input_changes_results(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    _small_copy(spark, folder)
+    before = QUERIES["silver"](spark, folder).count()
+    _small_copy(spark, folder, 3000)
+    after = QUERIES["silver"](spark, folder).count()
+    assert before == QUERIES["silver"](spark, SF_SMALL).count() and after < 3001 < before
+    assert QUERIES["gold_audit"](spark, folder).filter("check = 'rows.silver'").first().value == after
+
+
+def test_remembered_results_expire(spark):
+    from keelson.plans.job import MEMO_SECONDS_CONF
+    first = gold(spark, SF_SMALL)
+    assert gold(spark, SF_SMALL) is first
+    spark.conf.set(MEMO_SECONDS_CONF, "0")
+    try:
+        assert gold(spark, SF_SMALL) is not first
+    finally:
+        spark.conf.unset(MEMO_SECONDS_CONF)
+
+
+def test_stored_run_of_another_input_is_refused(spark, tmp_path):
+    import pytest
+
+    from keelson.plans.job import GOLD_ROOT_CONF
+    root = str(tmp_path / "stored")
+    run(spark, SF_SMALL, root)
+    spark.conf.set(GOLD_ROOT_CONF, root)
+    try:
+        with pytest.raises(ValueError, match="not built from"):
+            QUERIES["silver"](spark, SF_CHECK)
+        # a second session over the stored root: neither writes into it nor doubles rows
+        files = sorted(str(p) for p in (tmp_path / "stored").rglob("*"))
+        for session in (spark, spark.newSession()):
+            session.conf.set(GOLD_ROOT_CONF, root)
+            import keelson.plans.job as job
+            job._CACHE.clear()
+            assert QUERIES["silver_stream"](session, SF_SMALL).count() == 5983
+        assert sorted(str(p) for p in (tmp_path / "stored").rglob("*")) == files
+    finally:
+        spark.conf.unset(GOLD_ROOT_CONF)
+
+
+def test_cluster_session_needs_a_shared_folder():
+    import pytest
+
+    from keelson.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
+def test_unreadable_dimension_raises(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    g = gold(spark, SF_SMALL)
+    root = str(tmp_path / "broken")
+    g.star["fact_sales"].write.parquet(f"{root}/fact_sales")
+    (tmp_path / "broken" / "dim_product").mkdir()  # a folder without a readable table
+    with pytest.raises(AnalysisException):
+        read_star(spark, root)
+
+
+def test_batch_over_raw_files(spark, tmp_path):
+    import pytest
+
+    from keelson.catalog import raw_csv
+    from keelson.plans.job import run_files
+    from keelson.sources.fixtures import quotes_from_events
+    orders, quotes = raw_csv(spark, SF_SMALL), str(tmp_path / "quotes")
+    plain = run_files(spark, orders, str(tmp_path / "a"), str(tmp_path / "absent"))
+    assert plain["silver"].select("oil_price").distinct().collect()[0][0] == 0.0
+    found = {r.rule: r.violations for r in plain["quality"].collect()}
+    assert found["overlong_line"] == 0 and len(found) == 5
+    rows = quotes_from_events(spark, SF_SMALL)
+    rows.limit(0).write.parquet(quotes)
+    empty = run_files(spark, orders, str(tmp_path / "b"), quotes)
+    assert empty["silver"].first().oil_price == 0.0 and not (tmp_path / "b" / "quotes").exists()
+    rows.write.mode("overwrite").parquet(quotes)
+    priced = run_files(spark, orders, str(tmp_path / "b"), quotes)
+    want = gold(spark, SF_SMALL)
+    assert priced["silver"].first().oil_price == want.oil_price
+    assert priced["fact_sales"].count() == want.star.rows["fact_sales"]
+    with pytest.raises(ValueError, match="no raw file"):
+        (tmp_path / "none").mkdir()
+        run_files(spark, str(tmp_path / "none"), str(tmp_path / "c"))
