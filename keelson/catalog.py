@@ -100,7 +100,7 @@ def q_fact_sales_geo2(spark, sf_dir):
     g = gold(spark, sf_dir)
     s = g.star
     return fact_sales(g.silver, s["dim_product"], s["dim_customer_geo"], s["dim_logistics"],
-                      StarConfig(geo_keys=2), s.rows)
+                      StarConfig(geo_keys=2))
 
 
 @register("flatten_star")
@@ -111,15 +111,13 @@ def q_flatten_star(spark, sf_dir):
 @register("category_kpis")
 def q_category_kpis(spark, sf_dir):
     g = gold(spark, sf_dir)
-    return category_kpis(g.star["fact_sales"], g.star["dim_product"],
-                         g.star.rows.get("dim_product"))
+    return category_kpis(g.star["fact_sales"], g.star["dim_product"])
 
 
 @register("status_counts")
 def q_status_counts(spark, sf_dir):
     g = gold(spark, sf_dir)
-    return status_counts(g.star["fact_sales"], g.star["dim_logistics"],
-                         g.star.rows.get("dim_logistics"))
+    return status_counts(g.star["fact_sales"], g.star["dim_logistics"])
 
 
 def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
@@ -185,7 +183,7 @@ def kpi_row(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame = flat(spark, sf_dir, "product", "logistics")
         with ThreadPoolExecutor(max_workers=1) as pool:
             trend = pool.submit(trend_row, spark, sf_dir)
-            parts = g.remember("kpi_parts", lambda: _kpi.kpi_aggregates(frame))
+            parts = g.remember("kpi_parts", lambda: _kpi.star_kpi_aggregates(g.star))
             return _kpi.kpi_summary(frame, trend.result(), parts)
     return g.remember("kpi", build)
 
@@ -224,13 +222,13 @@ def q_sales_trend(spark, sf_dir):
 
 @register("best_worst_category")
 def q_best_worst_category(spark, sf_dir):
-    top, worst = _kpi.best_worst(flat(spark, sf_dir, "product"), cat_mart(spark, sf_dir))
+    top, worst = _kpi.best_worst(gold(spark, sf_dir).star["fact_sales"], cat_mart(spark, sf_dir))
     return spark.range(1).select(top.alias("top_category"), worst.alias("worst_category"))
 
 
 @register("distinct_counts")
 def q_distinct_counts(spark, sf_dir):
-    return _kpi.distinct_counts(flat(spark, sf_dir, "product", "geo"))
+    return _kpi.star_distinct_counts(gold(spark, sf_dir).star)
 
 
 @register("silver_distinct_counts")
@@ -242,13 +240,13 @@ def q_silver_distinct_counts(spark, sf_dir):
 def cat_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The category mart, aggregated once per session and shared by the rankings."""
     return gold(spark, sf_dir).remember(
-        "category_mart", lambda: _marts.category_mart(flat(spark, sf_dir, "product")))
+        "category_mart", lambda: _marts.star_category_mart(gold(spark, sf_dir).star))
 
 
 def late_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late deliveries per city, once per session (both late-city reports read it)."""
     return gold(spark, sf_dir).remember(
-        "late_city", lambda: _marts.late_city_counts(flat(spark, sf_dir, "geo", "logistics")))
+        "late_city", lambda: _marts.star_late_city_counts(gold(spark, sf_dir).star))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,7 +258,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The status x mode table (wide), once per session."""
     return gold(spark, sf_dir).remember(
-        "status_mode", lambda: _marts.status_mode_wide(flat(spark, sf_dir, "logistics")))
+        "status_mode", lambda: _marts.star_status_mode_wide(gold(spark, sf_dir).star))
 
 
 @register("daily_sales_vs_price")

@@ -98,15 +98,12 @@ class StarConfig:
     ``geo_keys=3`` joins the customer geography on (city, state, country), keeping the
     fact grain; ``geo_keys=2`` joins on (city, state) only and reproduces the
     reference's fan-out when one (city, state) exists under two countries.
-    ``broadcast_rows`` is the largest dimension (in rows, counted when it is written)
-    that gets a broadcast hint; bigger ones are left to the planner and AQE.
-    ``skew_split`` joins a dimension above that bound with ``skew_split_left_join``
-    (hot keys split off and broadcast) instead of relying on AQE's skew handling.
+    A dimension estimated within ``broadcast_bytes`` is broadcast; a larger one is joined by
+    ``hot_key_left_join``, which no hot key can stall.
     """
 
     geo_keys: int = 3
-    broadcast_rows: int = 500_000
-    skew_split: bool = False
+    broadcast_bytes: int = 64 << 20
 
 
 @dataclass(frozen=True)

@@ -1,50 +1,63 @@
-"""Join helpers."""
+"""Join helpers: broadcast within a byte bound, and one skew-safe join beyond it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.session import checkpoint_root
+_SALTS = 1 << 20
 
 
-def bounded_broadcast(df: DataFrame, rows: int | None, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the side's row count is known and within ``max_rows``.
+def plan_bytes(df: DataFrame) -> int:
+    """Size of ``df`` as the optimizer estimates it (for a stored table with few columns
+    selected: its file size, scaled to those columns)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    ``rows`` comes from counting the table when it was written. Above the bound (or when
-    unknown) the side is left to the planner: a sort-merge join, which AQE may still turn
-    into a broadcast from the measured shuffle size, or split when a key is skewed.
-    """
-    if rows is not None and rows <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def skew_split_left_join(left: DataFrame, right: DataFrame, left_keys: list[str],
-                         right_keys: list[str], hot_share: float = 0.001,
-                         sample: float = 0.01, seed: int = 17) -> DataFrame:
-    """LEFT JOIN for a right side unique on its keys, with hot left keys split off.
-
-    A key is hot when it holds at least ``hot_share`` of a sample of the left keys, so
-    there are at most ``1 / hot_share`` hot keys: a proven bound, which makes the hot key
-    list and the matching right rows safe to broadcast. Hot left rows join that small
-    broadcast side (no shuffle, however many rows a key has); the other rows take the
-    ordinary sort-merge join, where no key is large. Rows with a NULL key are never hot
-    and keep NULL right columns, as in a plain LEFT JOIN.
+
+def bounded_left_join(left: DataFrame, right: DataFrame, left_keys: list[str],
+                      right_keys: list[str], max_bytes: int, hot_share: float = 0.001,
+                      sample: float = 0.01, seed: int = 17) -> DataFrame:
+    """LEFT JOIN (``=``): ``right`` is broadcast when it is estimated within ``max_bytes``,
+    else joined by ``hot_key_left_join``. Both give the same rows, all columns of both."""
+    if plan_bytes(right) <= max_bytes:
+        cond = [left[a] == right[b] for a, b in zip(left_keys, right_keys)]
+        return left.join(F.broadcast(right), cond, "left")
+    return hot_key_left_join(left, right, left_keys, right_keys, hot_share, sample, seed)
+
+
+def hot_key_left_join(left: DataFrame, right: DataFrame, left_keys: list[str],
+                      right_keys: list[str], hot_share: float = 0.001, sample: float = 0.01,
+                      seed: int = 17) -> DataFrame:
+    """LEFT JOIN of two large sides that reads ``left`` once, besides a sample of its keys.
+
+    A key is hot when it holds at least ``hot_share`` of the sample, so there are at most
+    ``1 / hot_share`` hot keys, a proven bound: their right rows are broadcast. Left rows
+    with a hot key are served by that join and leave the shuffled join under a salted key,
+    as do rows with a NULL key, which match nothing; the rest joins by sort-merge, where no
+    key is large. Which keys count as hot does not change the result. ``right`` may hold
+    several rows for a key (they multiply the left rows, as in any join) as long as that
+    number is small.
     """
-    checkpoint_root(left.sparkSession)
-    probe = left.select(*left_keys).sample(fraction=sample, seed=seed)
-    total = probe.agg(F.count(F.lit(1))).scalar()
-    # pinned (reliable checkpoint): the semi and the anti join below must see the same
-    # hot set, or a row could land in both halves or in neither
-    hot = (probe.dropna().groupBy(*left_keys).count()
-           .filter(F.col("count") >= total * F.lit(hot_share)).select(*left_keys)
-           .checkpoint(eager=True))
-    hot_b = F.broadcast(hot)
-    right_hot = right.join(F.broadcast(hot.toDF(*right_keys)), right_keys, "left_semi")
-    hot_rows = left.join(hot_b, left_keys, "left_semi")
-    cold_rows = left.join(hot_b, left_keys, "left_anti")
-    hot_cond = [hot_rows[lk] == right_hot[rk] for lk, rk in zip(left_keys, right_keys)]
-    cold_cond = [cold_rows[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)]
-    return (hot_rows.join(F.broadcast(right_hot), hot_cond, "left")
-            .unionByName(cold_rows.join(right, cold_cond, "left")))
+    probe = left.select(*left_keys).sample(fraction=sample, seed=seed).dropna()
+    counts = probe.groupBy(*left_keys).count()
+    total = counts.agg(F.sum("count")).scalar()
+    hot = counts.filter(F.col("count") >= total * F.lit(hot_share)).select(
+        *[F.col(a).alias(f"_hot_{b}") for a, b in zip(left_keys, right_keys)])
+    pack = F.struct(*[F.col(c) for c in right.columns])
+    served = hot.join(right, [F.col(f"_hot_{b}") == right[b] for b in right_keys], "left").select(
+        *[f"_hot_{b}" for b in right_keys], F.lit(True).alias("_hot"), pack.alias("_hot_row"))
+    cold = right.select(*[F.col(b).alias(f"_cold_{b}") for b in right_keys],
+                        F.lit(0).alias("_cold_salt"), pack.alias("_cold_row"))
+    # the broadcast join keeps ``left`` where it is; a hot key without a right row is
+    # marked as well
+    marked = left.join(F.broadcast(served), [left[a] == F.col(f"_hot_{b}")
+                                             for a, b in zip(left_keys, right_keys)], "left")
+    loose = F.col("_hot") | F.array_contains(F.array(*[F.col(a).isNull() for a in left_keys]), True)
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(_SALTS)).cast("int") + 1
+    marked = marked.withColumn("_salt", F.when(loose, spread).otherwise(F.lit(0)))
+    joined = marked.join(cold, [marked[a] == cold[f"_cold_{b}"]
+                                for a, b in zip(left_keys, right_keys)]
+                         + [marked["_salt"] == cold["_cold_salt"]], "left")
+    row = F.when(F.col("_hot"), F.col("_hot_row")).otherwise(F.col("_cold_row"))
+    return joined.select(*[F.col(c) for c in left.columns],
+                         *[row.getField(c).alias(c) for c in right.columns])

@@ -13,11 +13,11 @@ against a minute-grain table: same values, no join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.config import ALL_DIMS, DEFAULT_STAR, Dims, StarConfig
-from keelson.operators.joins import bounded_broadcast, skew_split_left_join
+from keelson.operators.joins import bounded_left_join
 from keelson.plans.star import FACT_COLUMNS, Star
 
 DIM_ATTRS = {
@@ -28,31 +28,41 @@ DIM_ATTRS = {
 }
 
 
-def flatten_star(star: Star, dims: Dims = ALL_DIMS, cfg: StarConfig = DEFAULT_STAR) -> DataFrame:
-    df = star["fact_sales"].select(*FACT_COLUMNS)
-    extra: list[str] = []
-    for name in dims.names():
-        if name == "time":
-            if "dim_time" in star.tables:
-                df = (df.withColumn("year", F.year("full_date").cast("bigint"))
-                      .withColumn("month", F.month("full_date").cast("bigint")))
-                extra += ["year", "month"]
-            continue
+def attach_dims(df: DataFrame, star: Star, names: list[str],
+                cfg: StarConfig = DEFAULT_STAR) -> tuple[DataFrame, list[str]]:
+    """``df``, which carries the surrogate ids, with the attributes of the named dimensions
+    that the star has; also the added columns."""
+    added: list[str] = []
+    for name in names:
         table, key, attrs = DIM_ATTRS[name]
         if table not in star.tables:
             continue
-        rows = star.rows.get(table)
         dkey = f"_{name}_id"
         d = star[table].select(F.col(key).alias(dkey), *attrs)
-        if cfg.skew_split and not (rows is not None and rows <= cfg.broadcast_rows):
-            # a large dimension: hot ids split off and broadcast (operators/joins.py)
-            df = skew_split_left_join(df, d, [key], [dkey])
-        else:
-            d = bounded_broadcast(d, rows, cfg.broadcast_rows)
-            df = df.join(d, df[key] == d[dkey], "left")
-        df = df.drop(dkey)
-        extra += list(attrs)
+        df = bounded_left_join(df, d, [key], [dkey], cfg.broadcast_bytes).drop(dkey)
+        added += attrs
+    return df, added
+
+
+def flatten_star(star: Star, dims: Dims = ALL_DIMS, cfg: StarConfig = DEFAULT_STAR) -> DataFrame:
+    df = star["fact_sales"].select(*FACT_COLUMNS)
+    named = dims.names()
+    df, added = attach_dims(df, star, [n for n in named if n != "time"], cfg)
+    parts = []
+    if "time" in named and "dim_time" in star.tables:
+        parts = [F.year("full_date").cast("bigint").alias("year"),
+                 F.month("full_date").cast("bigint").alias("month")]
     cols = [F.col(c).alias("oil_price" if c == "daily_oil_price" else c) for c in FACT_COLUMNS]
-    ordered = [a for n in ("product", "customer_geo", "logistics") for a in DIM_ATTRS[n][2]
-               if a in extra] + [c for c in ("year", "month") if c in extra]
-    return df.select(*cols, *ordered)
+    return df.select(*cols, *added, *parts)
+
+
+def by_ids(star: Star, names: list[str], sums: dict[str, Column],
+           cfg: StarConfig = DEFAULT_STAR) -> DataFrame:
+    """``sums`` of the fact per surrogate id of the named dimensions, with their attributes.
+
+    The fact is aggregated before any join: what meets a dimension is one row for each
+    combination of ids, not one for each order line.
+    """
+    keys = [DIM_ATTRS[n][1] for n in names]
+    fact = star["fact_sales"].groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()])
+    return attach_dims(fact, star, names, cfg)[0]

@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from keelson.config import LATE_DELIVERY
 from keelson.functions.numbers import safe_ratio
 from keelson.operators.ordered import prefix_weights, weighted_split_sum
+from keelson.plans.flatten import DIM_ATTRS, by_ids
 from keelson.plans.marts import category_mart, has
+from keelson.plans.star import Star
 
 
 def half_split(flat: DataFrame) -> tuple[float, float]:
@@ -177,3 +179,47 @@ def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
     return df.agg(F.count("*").cast("bigint").alias("rows"),
                   *[n_distinct(c).cast("bigint").alias(f"n_{c}")
                     for c in ("cust_country", "category", "cust_city") if c in df.columns])
+
+
+def star_distinct_counts(star: Star) -> DataFrame:
+    """``distinct_counts`` of a star: the distinct ids of the fact first, then the distinct
+    attributes of those ids; no row of the fact is expanded."""
+    fact = star["fact_sales"]
+    counts = [fact.agg(F.count("*").cast("bigint")).scalar().alias("rows")]
+    for name, cols in (("customer_geo", ("cust_country", "cust_city")), ("product", ("category",))):
+        key = DIM_ATTRS[name][1]
+        ids = fact.select(key).distinct()
+        seen = star[DIM_ATTRS[name][0]].join(ids, key, "left_semi")
+        counts += [seen.agg(F.count_distinct(c).cast("bigint")).scalar().alias(f"n_{c}")
+                   for c in cols]
+    order = ("rows", "n_cust_country", "n_category", "n_cust_city")
+    return fact.sparkSession.range(1).select(*counts).select(*order)
+
+
+def star_kpi_aggregates(star: Star) -> DataFrame:
+    """``kpi_aggregates`` of a star with product and logistics: the fact is aggregated by
+    the two ids; all figures come from that small table. The price is carried as exact
+    decimal sums of itself and its square, so its deviation does not lose digits."""
+    price = F.col("daily_oil_price").cast("decimal(18,6)")
+    rows = by_ids(star, ["product", "logistics"], {
+        "s": F.sum("sales"), "p": F.sum("profit"), "n": F.count("*"),
+        "po": F.sum(price), "pp": F.sum((price * price).cast("decimal(28,12)")),
+        "np": F.count("daily_oil_price")})
+    late = F.when(F.col("delivery_status") == LATE_DELIVERY, F.col("n")).otherwise(F.lit(0))
+    whole = rows.agg(
+        F.coalesce(F.sum("s"), F.lit(0.0)).alias("total_sales"),
+        F.coalesce(F.sum("p"), F.lit(0.0)).alias("total_profit"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_orders"), F.sum("po").alias("po"),
+        F.sum("pp").alias("pp"), F.sum("np").alias("np"), F.sum(late).alias("late"))
+    mean = F.try_divide(F.col("po"), F.col("np"))
+    spread = (F.col("pp") * F.col("np") - F.col("po") * F.col("po")).cast("double")
+    pairs = F.col("np").cast("double") * (F.col("np") - 1)
+    mart = rows.filter(F.col("category").isNotNull()).groupBy("category").agg(
+        F.sum("s").alias("total_sales"), F.sum("p").alias("total_profit"))
+    top, worst = best_worst(rows, mart)
+    return whole.select(
+        "total_sales", "total_profit", F.col("total_orders").cast("bigint").alias("total_orders"),
+        mean.cast("double").alias("oil_avg"),
+        F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), pairs)).alias("oil_std"),
+        (F.try_divide(F.col("late"), F.col("total_orders")) * 100).alias("late_rate"),
+        top.alias("top_category"), worst.alias("worst_category"))

@@ -11,24 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.config import DEFAULT_STAR, StarConfig
 from keelson.functions.numbers import round_money
-from keelson.operators.joins import bounded_broadcast
 
 TOP_CATEGORIES = 5
 
 
-def category_kpis(fact: DataFrame, dim_product: DataFrame, product_rows: int | None = None,
-                  cfg: StarConfig = DEFAULT_STAR, top: int = TOP_CATEGORIES) -> DataFrame:
+def category_kpis(fact: DataFrame, dim_product: DataFrame,
+                  top: int = TOP_CATEGORIES) -> DataFrame:
     """Top categories by revenue: orders, revenue, mean oil price, profit (rounded to 2)."""
     per_id = (fact.filter(F.col("product_id").isNotNull())
               .groupBy("product_id")
               .agg(F.count("product_id").alias("n"), F.sum("sales").alias("s"),
                    F.sum("daily_oil_price").alias("po"), F.count("daily_oil_price").alias("no"),
                    F.sum("profit").alias("p")))
-    dim = bounded_broadcast(dim_product.select("product_id", "category"), product_rows,
-                            cfg.broadcast_rows)
-    by_cat = per_id.join(dim, "product_id").groupBy("category").agg(
+    # both sides have one row per id, so the planner may choose any join
+    by_cat = per_id.join(dim_product.select("product_id", "category"), "product_id").groupBy("category").agg(
         F.sum("n").cast("bigint").alias("total_orders"),
         round_money(F.sum("s")).alias("total_sales"),
         round_money(F.try_divide(F.sum("po"), F.sum("no"))).alias("avg_oil_price"),
@@ -36,11 +33,8 @@ def category_kpis(fact: DataFrame, dim_product: DataFrame, product_rows: int | N
     return by_cat.orderBy(F.col("total_sales").desc_nulls_last(), F.col("category")).limit(top)
 
 
-def status_counts(fact: DataFrame, dim_logistics: DataFrame, logistics_rows: int | None = None,
-                  cfg: StarConfig = DEFAULT_STAR) -> DataFrame:
+def status_counts(fact: DataFrame, dim_logistics: DataFrame) -> DataFrame:
     """Fact rows per delivery status; inner join drops facts with a NULL logistics id."""
     per_id = fact.groupBy("logistics_id").agg(F.count("*").alias("n"))
-    dim = bounded_broadcast(dim_logistics.select("logistics_id", "delivery_status"),
-                            logistics_rows, cfg.broadcast_rows)
-    return (per_id.join(dim, "logistics_id").groupBy("delivery_status")
+    return (per_id.join(dim_logistics.select("logistics_id", "delivery_status"), "logistics_id").groupBy("delivery_status")
             .agg(F.sum("n").cast("bigint").alias("total")))

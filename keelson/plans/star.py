@@ -4,7 +4,7 @@ Dimensions are distinct projections of silver (shuffle on the natural key with a
 partial aggregate). Surrogate ids are dense, 1..n in natural-key order with NULLs last,
 computed by ``dense_ids`` (no single-task window), so a rebuild gives the same ids.
 Each dimension is written and read back before the fact join, so the fact joins the
-ids that were stored; its row count (known from the write) decides the broadcast hint.
+ids that were stored; its stored size decides between a broadcast and the skew-safe join.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from keelson.config import DEFAULT_STAR, StarConfig
 from keelson.functions.dates import date_parts
-from keelson.operators.joins import skew_split_left_join
+from keelson.operators.joins import bounded_left_join
 from keelson.operators.ordered import dense_ids
 from keelson.sources.tables import read_if_present
 
@@ -78,35 +78,25 @@ FACT_COLUMNS = ("time_id", "full_date", "product_id", "customer_geo_id", "logist
 
 
 def _attach(left: DataFrame, dim: DataFrame, keys: tuple[str, ...], id_col: str,
-            rows: int | None, cfg: StarConfig) -> DataFrame:
+            cfg: StarConfig) -> DataFrame:
     """``left`` LEFT JOIN ``dim`` on ``keys`` (``=``, not null-safe), adding ``id_col``."""
     dk = [f"_dim_{k}" for k in keys]
     right = dim.select(id_col, *[F.col(k).alias(d) for k, d in zip(keys, dk)])
-    if rows is not None and rows <= cfg.broadcast_rows:
-        right = F.broadcast(right)
-    elif cfg.skew_split:
-        return skew_split_left_join(left, right, list(keys), dk).drop(*dk)
-    cond = [left[k] == right[d] for k, d in zip(keys, dk)]
-    return left.join(right, cond, "left").drop(*dk)
+    return bounded_left_join(left, right, list(keys), dk, cfg.broadcast_bytes).drop(*dk)
 
 
 def fact_sales(silver: DataFrame, product: DataFrame, geo: DataFrame, logistics: DataFrame,
-               cfg: StarConfig = DEFAULT_STAR,
-               rows: dict[str, int] | None = None) -> DataFrame:
+               cfg: StarConfig = DEFAULT_STAR) -> DataFrame:
     """Silver LEFT JOIN the three keyed dims on their natural keys.
 
     ``=`` (not null-safe) on every key, as in SQL: a NULL status or city gets a NULL id.
     ``cfg.geo_keys == 2`` joins geography on (city, state) and multiplies a row whose
-    (city, state) exists under several countries, as the reference does. A dimension
-    within ``cfg.broadcast_rows`` (counted at write time) is broadcast.
+    (city, state) exists under several countries, as the reference does.
     """
-    rows = rows or {}
     geo_keys = GEO_KEYS_3 if cfg.geo_keys == 3 else GEO_KEYS_2
-    j = _attach(silver, product, ("category", "product"), "product_id",
-                rows.get("dim_product"), cfg)
-    j = _attach(j, geo, geo_keys, "customer_geo_id", rows.get("dim_customer_geo"), cfg)
-    j = _attach(j, logistics, ("delivery_status", "ship_mode"), "logistics_id",
-                rows.get("dim_logistics"), cfg)
+    j = _attach(silver, product, ("category", "product"), "product_id", cfg)
+    j = _attach(j, geo, geo_keys, "customer_geo_id", cfg)
+    j = _attach(j, logistics, ("delivery_status", "ship_mode"), "logistics_id", cfg)
     return j.select(
         F.col("order_ts").alias("time_id"),
         F.col("order_ts").alias("full_date"),
@@ -153,7 +143,7 @@ def build_star(silver: DataFrame, root: str, cfg: StarConfig = DEFAULT_STAR) ->
         for name, fut in futures.items():
             star.tables[name], star.rows[name] = fut.result()
     fact = fact_sales(silver, star["dim_product"], star["dim_customer_geo"],
-                      star["dim_logistics"], cfg, star.rows)
+                      star["dim_logistics"], cfg)
     # Sorted by date inside each task (no shuffle): row groups cover narrow date ranges,
     # so date predicates pushed to the Parquet reader skip most of them.
     star.tables["fact_sales"], star.rows["fact_sales"] = _write_read(

@@ -70,14 +70,14 @@ def test_absent_dimensions_are_skipped(spark, tmp_path):
     assert f.count() == g.star["fact_sales"].count()
 
 
-def test_flatten_with_skew_split_equals_plain(spark):
+def test_flatten_beyond_the_broadcast_bound_equals_plain(spark):
     from collections import Counter
 
     from keelson.config import StarConfig
     from keelson.plans.flatten import flatten_star
     g = gold(spark, SF_SMALL)
     plain = flatten_star(g.star)
-    split = flatten_star(g.star, cfg=StarConfig(broadcast_rows=0, skew_split=True))
+    split = flatten_star(g.star, cfg=StarConfig(broadcast_bytes=0))
     assert split.columns == plain.columns
     assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
 
@@ -204,3 +204,16 @@ def test_batch_over_raw_files(spark, tmp_path):
     with pytest.raises(ValueError, match="no raw file"):
         (tmp_path / "none").mkdir()
         run_files(spark, str(tmp_path / "none"), str(tmp_path / "c"))
+
+
+def test_aggregates_by_id_equal_those_of_the_flat_frame(spark):
+    from keelson.plans import kpi, marts
+    star, frame = gold(spark, SF_SMALL).star, flat(spark, SF_SMALL)
+    rows = lambda df: sorted(tuple(round(v, 4) if isinstance(v, float) else v for v in r)
+                             for r in df.collect())
+    for a, b in ((marts.star_category_mart(star), marts.category_mart(frame)),
+                 (marts.star_late_city_counts(star), marts.late_city_counts(frame)),
+                 (marts.star_status_mode_wide(star), marts.status_mode_wide(frame)),
+                 (kpi.star_distinct_counts(star), kpi.distinct_counts(frame)),
+                 (kpi.star_kpi_aggregates(star), kpi.kpi_aggregates(frame))):
+        assert a.columns == b.columns and rows(a) == rows(b)

@@ -111,16 +111,20 @@ def test_asof_join_right_unit_reduction(spark):
         assert got[i] == (max(cands)[1] if cands else None)
 
 
-def test_skew_split_left_join_equals_left_join(spark):
+def test_hot_key_left_join_equals_left_join(spark, tmp_path):
     from collections import Counter
 
-    from keelson.operators.joins import skew_split_left_join
-    rows = [("h" if i % 5 < 2 else (None if i % 13 == 0 else f"k{i % 50}"), i) for i in range(5000)]
-    left = spark.createDataFrame(rows, "k string, v int")
-    right = spark.createDataFrame([(f"k{i}", i) for i in range(40)] + [("h", -1)],
+    from keelson.operators.joins import hot_key_left_join
+    rows = [("h" if i % 3 == 0 else "gone" if i % 4 == 0 else
+             (None if i % 13 == 0 else f"k{i % 50}"), i) for i in range(5000)]
+    spark.createDataFrame(rows, "k string, v int").write.parquet(str(tmp_path / "left"))
+    left = spark.read.parquet(str(tmp_path / "left"))
+    right = spark.createDataFrame([(f"k{i}", i) for i in range(40)] + [("h", -1), ("h", -2)],
                                   "rk string, id int")
-    got = Counter(tuple(r) for r in skew_split_left_join(
-        left, right, ["k"], ["rk"], hot_share=0.05, sample=0.2).select("k", "v", "id").collect())
-    want = Counter(tuple(r) for r in left.join(right, left.k == right.rk, "left")
-                   .select("k", "v", "id").collect())
-    assert got == want and sum(got.values()) == 5000
+    joined = hot_key_left_join(left, right, ["k"], ["rk"], hot_share=0.05, sample=0.2)
+    got = Counter(tuple(r) for r in joined.select("k", "v", "rk", "id").collect())
+    want = Counter(tuple(r) for r in left.join(right, left.k == right.rk, "left").collect())
+    assert got == want
+    # besides the sample of the keys (in the broadcast and its total), ``left`` is read once
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Sample") == plan.count("parquet") - 1
