@@ -344,25 +344,20 @@ def _fmt(expr: str, spec: str) -> str:
 
 
 q("insights", f"""
-SELECT position, severity, title, message FROM (
-  SELECT 1 AS position,
-         CASE WHEN margin_pct > 15 THEN 'success' ELSE 'warning' END AS severity,
-         CASE WHEN margin_pct > 15 THEN 'Healthy margin' ELSE 'Margin under pressure' END AS title,
-         CASE WHEN margin_pct > 15
-              THEN 'Margin of ' || {_fmt('margin_pct', '.1f')} || '% is above the 15% benchmark. Efficient operation.'
-              ELSE 'Margin of ' || {_fmt('margin_pct', '.1f')} || '% is below 15%. Review operating costs.' END AS message
-  FROM kpi
-  UNION ALL
-  SELECT 2,
-         CASE WHEN late_rate > 10 THEN 'danger' ELSE 'success' END,
-         CASE WHEN late_rate > 10 THEN 'Logistics crisis' ELSE 'Delivery excellence' END,
-         CASE WHEN late_rate > 10 THEN {_fmt('late_rate', '.1f')} || '% of deliveries late. Target: below 5%.'
-              ELSE 'Only ' || {_fmt('late_rate', '.1f')} || '% of deliveries late.' END
-  FROM kpi WHERE late_rate > 10 OR late_rate < 5
-  UNION ALL
-  SELECT 3, 'warning', 'High oil-price volatility',
-         'Standard deviation of $' || {_fmt('oil_std', '.2f')} || '. Hedging recommended.'
-  FROM kpi WHERE oil_std > 10)""", _ctes)
+SELECT position, severity, label || ' ' || relation || ' ' || bound AS title,
+       label || ': ' || value || ', limit ' || bound AS message
+FROM (
+  SELECT 1, 'success', 'Profit margin (%)', {_fmt('margin_pct', '.1f')}, 'above', '15',
+         coalesce(margin_pct > 15, false) FROM kpi
+  UNION ALL SELECT 1, 'warning', 'Profit margin (%)', {_fmt('margin_pct', '.1f')}, 'not above', '15',
+         NOT coalesce(margin_pct > 15, false) FROM kpi
+  UNION ALL SELECT 2, 'danger', 'Late deliveries (%)', {_fmt('late_rate', '.1f')}, 'above', '10',
+         late_rate > 10 FROM kpi
+  UNION ALL SELECT 2, 'success', 'Late deliveries (%)', {_fmt('late_rate', '.1f')}, 'below', '5',
+         late_rate < 5 FROM kpi
+  UNION ALL SELECT 3, 'warning', 'Oil price deviation', {_fmt('oil_std', '.2f')}, 'above', '10',
+         oil_std > 10 FROM kpi) AS r(position, severity, label, value, relation, bound, fires)
+WHERE fires""", _ctes)
 q("prompt_context", f"""
 SELECT section, position, label, value FROM (
   SELECT 'executive' AS section, 1 AS position, 'Revenue' AS label, '$ ' || {_fmt('total_sales', ',.0f')} AS value FROM kpi

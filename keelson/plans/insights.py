@@ -9,6 +9,8 @@ them (whole-currency amounts and the order count).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,36 +19,48 @@ from keelson.config import (LATE_DANGER_PCT, LATE_EXCELLENT_PCT, MARGIN_HEALTHY_
 from keelson.functions.text import fmt_fixed, fmt_signed
 
 
-def _insight(pos: int, severity: str, title: str, message: Column) -> Column:
-    return F.struct(F.lit(pos).cast("int").alias("position"), F.lit(severity).alias("severity"),
-                    F.lit(title).alias("title"), message.alias("message"))
+@dataclass(frozen=True)
+class Rule:
+    """Fires when ``column`` stands in ``relation`` to ``limit``; its texts say just that."""
+
+    position: int
+    severity: str
+    label: str
+    column: str
+    relation: str
+    limit: float
+    digits: int
+
+    def fires(self) -> Column:
+        value = F.col(self.column)
+        if self.relation == "below":
+            return value < self.limit
+        above = F.coalesce(value > self.limit, F.lit(False))
+        return above if self.relation == "above" else ~above
+
+    def row(self) -> Column:
+        return F.struct(
+            F.lit(self.position).cast("int").alias("position"),
+            F.lit(self.severity).alias("severity"),
+            F.lit(f"{self.label} {self.relation} {self.limit:g}").alias("title"),
+            F.concat(F.lit(f"{self.label}: "),
+                     fmt_fixed(F.col(self.column), self.digits, grouping=False),
+                     F.lit(f", limit {self.limit:g}")).alias("message"))
+
+
+_MARGIN, _LATE = "Profit margin (%)", "Late deliveries (%)"
+RULES = (
+    Rule(1, "success", _MARGIN, "margin_pct", "above", MARGIN_HEALTHY_PCT, 1),
+    Rule(1, "warning", _MARGIN, "margin_pct", "not above", MARGIN_HEALTHY_PCT, 1),
+    Rule(2, "danger", _LATE, "late_rate", "above", LATE_DANGER_PCT, 1),
+    Rule(2, "success", _LATE, "late_rate", "below", LATE_EXCELLENT_PCT, 1),
+    Rule(3, "warning", "Oil price deviation", "oil_std", "above", PRICE_VOLATILE_STD, 2),
+)
 
 
 def insights(kpi: DataFrame) -> DataFrame:
     """``(position, severity, title, message)`` for every rule that fires."""
-    m, late, std = F.col("margin_pct"), F.col("late_rate"), F.col("oil_std")
-    rules = F.array(
-        F.when(m > MARGIN_HEALTHY_PCT, _insight(
-            1, "success", "Healthy margin",
-            F.concat(F.lit("Margin of "), fmt_fixed(m, 1, grouping=False),
-                     F.lit("% is above the 15% benchmark. Efficient operation."))))
-        .otherwise(_insight(
-            1, "warning", "Margin under pressure",
-            F.concat(F.lit("Margin of "), fmt_fixed(m, 1, grouping=False),
-                     F.lit("% is below 15%. Review operating costs.")))),
-        F.when(late > LATE_DANGER_PCT, _insight(
-            2, "danger", "Logistics crisis",
-            F.concat(fmt_fixed(late, 1, grouping=False),
-                     F.lit("% of deliveries late. Target: below 5%."))))
-        .when(late < LATE_EXCELLENT_PCT, _insight(
-            2, "success", "Delivery excellence",
-            F.concat(F.lit("Only "), fmt_fixed(late, 1, grouping=False),
-                     F.lit("% of deliveries late.")))),
-        F.when(std > PRICE_VOLATILE_STD, _insight(
-            3, "warning", "High oil-price volatility",
-            F.concat(F.lit("Standard deviation of $"), fmt_fixed(std, 2, grouping=False),
-                     F.lit(". Hedging recommended.")))),
-    )
+    rules = F.array(*[F.when(r.fires(), r.row()) for r in RULES])
     return kpi.select(F.inline(F.filter(rules, lambda x: x.isNotNull())))
 
 
