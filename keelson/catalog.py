@@ -30,7 +30,7 @@ from keelson.plans.job import gold, run_files
 from keelson.plans.quality import quality_report
 from keelson.plans.reports import category_kpis, status_counts
 from keelson.plans.silver import clean_orders
-from keelson.plans.star import fact_sales
+from keelson.plans.star import Star, fact_sales
 from keelson.session import scratch_dir
 from keelson.sources.csv_bronze import land_bronze_csv, write_bronze_csv
 from keelson.sources.fixtures import quotes_from_events, weekly_price_series
@@ -103,6 +103,26 @@ def q_fact_sales_geo2(spark, sf_dir):
                       StarConfig(geo_keys=2))
 
 
+def star_geo2(spark: SparkSession, sf_dir: str) -> Star:
+    """The star with the fanned-out fact of the two-key geography join (written once)."""
+    g = gold(spark, sf_dir)
+    fact = g.remember("fact_geo2", lambda: q_fact_sales_geo2(spark, sf_dir))
+    return Star(root=g.root, tables={**g.star.tables, "fact_sales": fact})
+
+
+@register("kpi_summary_geo2")
+def q_kpi_summary_geo2(spark, sf_dir):
+    """The KPI row over the fanned-out fact, as the reference computes it."""
+    star = star_geo2(spark, sf_dir)
+    frame = flatten_star(star, Dims(customer_geo=False, time=False))
+    return presented(_kpi.kpi_summary(frame, parts=_kpi.star_kpi_aggregates(star)))
+
+
+@register("late_city_top10_geo2")
+def q_late_city_top10_geo2(spark, sf_dir):
+    return _rk.late_city_top(_marts.star_late_city_counts(star_geo2(spark, sf_dir)))
+
+
 @register("flatten_star")
 def q_flatten_star(spark, sf_dir):
     return flat(spark, sf_dir)

@@ -279,6 +279,16 @@ _FLAT_NO_LOGISTICS = "(SELECT * EXCLUDE (delivery_status, ship_mode, cust_city,
 q("kpi_summary", *_kpi("flat"))
 q("kpi_summary_missing_cols", *_kpi(_FLAT_NO_LOGISTICS, status=False))
 q("kpi_summary_filtered", *_kpi("(SELECT * FROM flat WHERE year >= 1998)"))
+_FLAT_GEO2 = """(SELECT f.*, f.daily_oil_price AS oil_price, p.category, p.product, g.cust_city,
+       l.delivery_status, l.ship_mode
+FROM fact_sales_geo2 f LEFT JOIN dim_product p ON f.product_id = p.product_id
+LEFT JOIN dim_customer_geo g ON f.customer_geo_id = g.customer_geo_id
+LEFT JOIN dim_logistics l ON f.logistics_id = l.logistics_id)"""
+q("kpi_summary_geo2", *_kpi(_FLAT_GEO2))
+q("late_city_top10_geo2", f"""
+SELECT cust_city, CAST(count(*) AS BIGINT) AS late_count FROM {_FLAT_GEO2}
+WHERE delivery_status = 'Late delivery' AND cust_city IS NOT NULL
+GROUP BY cust_city ORDER BY late_count DESC, cust_city LIMIT 10""")
 _sel, _ctes = _kpi("flat")
 q("sales_trend", """
 SELECT CAST(round(CAST(round(first_half, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS first_half, CAST(round(CAST(round(second_half, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS second_half,
