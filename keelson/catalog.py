@@ -394,22 +394,26 @@ def _round6(df: DataFrame) -> DataFrame:
     return rounded(df, {c: 6 for c in RATIO_EXTRA if c in df.columns})
 
 
+def day_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The as-of price of every order day, once per session (all market queries)."""
+    g = gold(spark, sf_dir)
+    return g.remember("day_prices", lambda: _mk.price_by_day(
+        g.star["dim_time"], weekly_price_series(spark, sf_dir)))
+
+
 @register("price_asof_sales")
 def q_price_asof_sales(spark, sf_dir):
-    return presented(_mk.price_asof_sales(daily(spark, sf_dir),
-                                         weekly_price_series(spark, sf_dir)))
+    return presented(_mk.price_asof_sales(daily(spark, sf_dir), day_prices(spark, sf_dir)))
 
 
 @register("sales_price_corr")
 def q_sales_price_corr(spark, sf_dir):
-    return _round6(_mk.sales_price_corr(daily(spark, sf_dir),
-                                        weekly_price_series(spark, sf_dir)))
+    return _round6(_mk.sales_price_corr(daily(spark, sf_dir), day_prices(spark, sf_dir)))
 
 
 @register("price_sensitivity")
 def q_price_sensitivity(spark, sf_dir):
-    return _round6(_mk.price_sensitivity(gold(spark, sf_dir).silver,
-                                         weekly_price_series(spark, sf_dir)))
+    return _round6(_mk.price_sensitivity(gold(spark, sf_dir).silver, day_prices(spark, sf_dir)))
 
 
 # --- streaming ingestion -------------------------------------------------------------
