@@ -34,7 +34,7 @@ from keelson.plans.star import Star, fact_sales
 from keelson.session import scratch_dir
 from keelson.sources.csv_bronze import land_bronze_csv, write_bronze_csv
 from keelson.sources.fixtures import quotes_from_events, weekly_price_series
-from keelson.sources.quotes import latest_quote, oil_price_frame
+from keelson.sources.quotes import land_quotes, latest_quote, oil_price_frame
 from keelson.streaming.ingest import read_ingested, run_silver_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,20 @@ def q_quality_report(spark, sf_dir):
     return quality_report(gold(spark, sf_dir).typed, AS_OF)
 
 
+@register("quality_report_now")
+def q_quality_report_now(spark, sf_dir):
+    """The report as of the moment it runs."""
+    return quality_report(gold(spark, sf_dir).typed)
+
+
+@register("landed_quote")
+def q_landed_quote(spark, sf_dir):
+    """A batch of quotes landed in a new quote table (S10), as the table then reads."""
+    batch = scratch_dir(spark, "raw_quotes")
+    quotes_from_events(spark, sf_dir).write.parquet(batch)
+    return land_quotes(spark, batch, scratch_dir(spark, "quotes")).drop("quote_id")
+
+
 def _star_table(name: str) -> Query:
     def fn(spark, sf_dir):
         return gold(spark, sf_dir).star[name]

@@ -417,6 +417,9 @@ FROM (SELECT s.category, s.order_region, s.sales, s.profit, p.price
 GROUP BY category, order_region""", ",\n" + _PRICES)
 SQL["silver_stream"] = SQL["silver"]
 SQL["batch_from_files"] = SQL["gold_audit"]
+SQL["landed_quote"] = SQL["latest_quote"]
+SQL["quality_report_now"] = SQL["quality_report"].replace(
+    f"TIMESTAMP '{AS_OF}'", "current_timestamp::TIMESTAMP")
 #: Ship modes of the derived order lines, one column each.
 _MODES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 q("status_mode_matrix_wide", "SELECT delivery_status, " + ", ".join(
