@@ -16,11 +16,12 @@ def pct(num: Column, den: Column) -> Column:
     return safe_ratio(num, den) * F.lit(100.0)
 
 
-def round_money(c: Column, digits: int = 2) -> Column:
-    """Round to ``digits`` half-up, first cutting to 6 decimals.
+def money_sum(name: str) -> Column:
+    """Exact sum of a money column: its values have four decimals at most, so the sum does
+    not depend on the order of the rows and is rounded once, where it is shown."""
+    return F.sum(F.col(name).cast("decimal(20,4)"))
+
 
-    Revenue values carry up to four decimals, so their sums often end exactly on a
-    half cent; the first cut removes the last-bit noise that summation order leaves, so
-    the half-up rule sees the exact half and the result does not depend on the order.
-    """
-    return F.round(F.round(c, 6), digits)
+def round_money(c: Column, digits: int = 2) -> Column:
+    """Round to ``digits`` half-up."""
+    return F.round(c, digits).cast("double")

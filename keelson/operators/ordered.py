@@ -94,6 +94,6 @@ def weighted_split_sum(df: DataFrame, order: Sequence[Column], weight: str, valu
     ranked = prefix_weights(df, order, F.col(weight), "_kp_before", partitions)
     take = F.least(F.col(weight), F.greatest(k - F.col("_kp_before"), F.lit(0)))
     return ranked.agg(
-        F.coalesce(F.sum(take * F.col(value)), F.lit(0.0)).alias("head_value"),
-        F.coalesce(F.sum(F.col(weight) * F.col(value)), F.lit(0.0)).alias("total_value"),
+        F.coalesce(F.sum(take * F.col(value)), F.lit(0)).alias("head_value"),
+        F.coalesce(F.sum(F.col(weight) * F.col(value)), F.lit(0)).alias("total_value"),
     )

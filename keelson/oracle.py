@@ -74,7 +74,7 @@ quotes AS (
   FROM events
 ),
 oil AS (
-  SELECT CAST(coalesce((SELECT CAST(round(CAST(round(price, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) FROM quotes
+  SELECT CAST(coalesce((SELECT CAST(round(CAST(price AS DECIMAL(38,10)), 2) AS DOUBLE) FROM quotes
                         ORDER BY quote_ts DESC, quote_id ASC LIMIT 1), 0.0) AS DOUBLE) AS oil_price
 ),
 typed AS (
@@ -154,7 +154,7 @@ flat AS (
   LEFT JOIN dim_time t ON f.time_id = t.time_id
 ),
 cat AS (
-  SELECT category, sum(sales) AS sales, sum(profit) AS profit, count(*) AS n
+  SELECT category, sum(CAST(sales AS DECIMAL(20,4))) AS sales, sum(CAST(profit AS DECIMAL(20,4))) AS profit, count(*) AS n
   FROM flat WHERE category IS NOT NULL GROUP BY category
 )"""
 
@@ -195,9 +195,9 @@ for _t in ("dim_time", "dim_logistics", "dim_product", "dim_customer_geo",
 q("category_kpis", """
 SELECT p.category,
        CAST(count(f.product_id) AS BIGINT) AS total_orders,
-       CAST(round(CAST(round(sum(f.sales), 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales,
-       CAST(round(CAST(round(avg(f.daily_oil_price), 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_oil_price,
-       CAST(round(CAST(round(sum(f.profit), 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_profit
+       CAST(round(CAST(sum(CAST(f.sales AS DECIMAL(20,4))) AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales,
+       CAST(round(CAST(avg(f.daily_oil_price) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_oil_price,
+       CAST(round(CAST(sum(CAST(f.profit AS DECIMAL(20,4))) AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_profit
 FROM fact_sales f JOIN dim_product p ON f.product_id = p.product_id
 GROUP BY p.category
 ORDER BY total_sales DESC, p.category
@@ -226,7 +226,7 @@ SELECT "check", value FROM (
   UNION ALL SELECT 13, 'fanout.fact_minus_silver',
      CAST((SELECT count(*) FROM fact_sales) - (SELECT count(*) FROM silver) AS BIGINT))""")
 q("fact_integrity", """
-SELECT CAST(count(*) AS BIGINT) AS rows, CAST(round(CAST(round(sum(sales), 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales,
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(round(CAST(sum(CAST(sales AS DECIMAL(20,4))) AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales,
        round(avg(profit), 6) AS avg_profit FROM fact_sales""")
 q("flatten_star_partial", """
 SELECT f.time_id, f.full_date, f.product_id, f.customer_geo_id, f.logistics_id,
@@ -242,17 +242,17 @@ def _kpi(rel: str, status: bool = True, category: bool = True) -> tuple[str, str
            else "CAST(NULL AS VARCHAR)")
     worst = ("(SELECT category FROM kc ORDER BY p ASC, category LIMIT 1)" if category
              else "CAST(NULL AS VARCHAR)")
-    kc = ("SELECT category, sum(sales) AS s, sum(profit) AS p FROM k_src "
+    kc = ("SELECT category, sum(CAST(sales AS DECIMAL(20,4))) AS s, sum(CAST(profit AS DECIMAL(20,4))) AS p FROM k_src "
           "WHERE category IS NOT NULL GROUP BY category") if category else "SELECT 1 AS x"
     ctes = f""",
 k_src AS (SELECT * FROM {rel}),
-kg AS (SELECT coalesce(sum(sales), 0.0) AS total_sales, coalesce(sum(profit), 0.0) AS total_profit,
+kg AS (SELECT coalesce(sum(CAST(sales AS DECIMAL(20,4))), 0.0) AS total_sales, coalesce(sum(CAST(profit AS DECIMAL(20,4))), 0.0) AS total_profit,
               CAST(count(*) AS BIGINT) AS total_orders, avg(oil_price) AS oil_avg,
               stddev_samp(oil_price) AS oil_std, {late} AS late_rate FROM k_src),
 kr AS (SELECT sales, row_number() OVER (ORDER BY full_date ASC NULLS LAST, sales ASC) AS rn,
               count(*) OVER () AS n FROM k_src),
-kh AS (SELECT coalesce(sum(sales) FILTER (WHERE rn <= n // 2), 0.0) AS first_half,
-              coalesce(sum(sales) FILTER (WHERE rn > n // 2), 0.0) AS second_half FROM kr),
+kh AS (SELECT coalesce(sum(CAST(sales AS DECIMAL(20,4))) FILTER (WHERE rn <= n // 2), 0.0) AS first_half,
+              coalesce(sum(CAST(sales AS DECIMAL(20,4))) FILTER (WHERE rn > n // 2), 0.0) AS second_half FROM kr),
 kc AS ({kc}),
 kpi AS (
   SELECT total_sales, total_profit,
@@ -266,7 +266,7 @@ kpi AS (
   FROM kg, kh
 )"""
     select = """
-SELECT CAST(round(CAST(round(total_sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(round(total_profit, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_profit,
+SELECT CAST(round(CAST(total_sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(total_profit AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_profit,
        round(margin_pct, 6) AS margin_pct, total_orders, round(avg_ticket, 6) AS avg_ticket,
        round(oil_avg, 6) AS oil_avg, round(oil_std, 6) AS oil_std, round(late_rate, 6) AS late_rate,
        round(on_time_rate, 6) AS on_time_rate, round(sales_trend_pct, 6) AS sales_trend_pct,
@@ -291,7 +291,7 @@ WHERE delivery_status = 'Late delivery' AND cust_city IS NOT NULL
 GROUP BY cust_city ORDER BY late_count DESC, cust_city LIMIT 10""")
 _sel, _ctes = _kpi("flat")
 q("sales_trend", """
-SELECT CAST(round(CAST(round(first_half, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS first_half, CAST(round(CAST(round(second_half, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS second_half,
+SELECT CAST(round(CAST(first_half AS DECIMAL(38,4)), 2) AS DOUBLE) AS first_half, CAST(round(CAST(second_half AS DECIMAL(38,4)), 2) AS DOUBLE) AS second_half,
        round(sales_trend_pct, 6) AS trend_pct FROM kpi""", _ctes)
 q("best_worst_category", "SELECT top_category, worst_category FROM kpi", _ctes)
 q("distinct_counts", """
@@ -303,11 +303,11 @@ SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT cust_country) AS BI
        CAST(count(DISTINCT category) AS BIGINT) AS n_category,
        CAST(count(DISTINCT cust_city) AS BIGINT) AS n_cust_city FROM silver""")
 q("daily_sales_vs_price", """
-SELECT date_trunc('day', full_date)::TIMESTAMP AS day, CAST(round(CAST(round(sum(sales), 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales,
+SELECT date_trunc('day', full_date)::TIMESTAMP AS day, CAST(round(CAST(sum(CAST(sales AS DECIMAL(20,4))) AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales,
        round(avg(oil_price), 6) AS avg_oil_price
 FROM flat WHERE full_date IS NOT NULL GROUP BY 1 ORDER BY 1""")
 q("category_mix_top5", """
-SELECT category, CAST(round(CAST(round(sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales, round(sales / sum(sales) OVER () * 100, 6) AS share_pct
+SELECT category, CAST(round(CAST(sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales, round(sales / sum(sales) OVER () * 100, 6) AS share_pct
 FROM (SELECT category, sales FROM cat ORDER BY sales DESC, category LIMIT 5)""")
 _LATE = """late AS (SELECT cust_city, CAST(count(*) AS BIGINT) AS late_count FROM flat
           WHERE delivery_status = 'Late delivery' AND cust_city IS NOT NULL GROUP BY cust_city)"""
@@ -317,7 +317,7 @@ q("late_city_top3_total", """
 SELECT CAST(coalesce(sum(late_count), 0) AS BIGINT) AS late_top_total
 FROM (SELECT late_count FROM late ORDER BY late_count DESC, cust_city LIMIT 3)""", ",\n" + _LATE)
 q("lowest_margin_categories", """
-SELECT category, CAST(round(CAST(round(sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(round(profit, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_profit,
+SELECT category, CAST(round(CAST(sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(profit AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_profit,
        round(CASE WHEN sales <> 0 THEN profit / sales * 100 END, 6) AS margin_pct
 FROM cat ORDER BY CASE WHEN sales <> 0 THEN profit / sales * 100 END ASC NULLS LAST, category LIMIT 8""")
 _SM = """sm_src AS (SELECT delivery_status, ship_mode FROM flat
@@ -331,7 +331,7 @@ FROM sm_s s CROSS JOIN sm_m m
 LEFT JOIN sm_c c ON c.delivery_status = s.delivery_status AND c.ship_mode = m.ship_mode""",
   ",\n" + _SM)
 q("category_quadrants", """
-SELECT category, CAST(round(CAST(round(sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(round(profit, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_profit,
+SELECT category, CAST(round(CAST(sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(profit AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_profit,
        round(margin_pct, 6) AS margin_pct, round(share_pct, 6) AS share_pct,
        round(avg(margin_pct) OVER (), 6) AS avg_margin_pct,
        round(avg(share_pct) OVER (), 6) AS avg_share_pct
@@ -340,7 +340,7 @@ FROM (SELECT category, sales, profit,
              sales / sum(sales) OVER () * 100 AS share_pct
       FROM (SELECT * FROM cat ORDER BY sales DESC, category LIMIT 15))""")
 q("champion_categories", """
-SELECT category, CAST(round(CAST(round(sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(round(profit, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_profit,
+SELECT category, CAST(round(CAST(sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(profit AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_profit,
        round(CASE WHEN sales <> 0 THEN profit / sales * 100 END, 6) AS margin_pct,
        CAST(row_number() OVER (ORDER BY profit DESC, category) AS BIGINT) AS rank
 FROM (SELECT * FROM cat ORDER BY profit DESC, category LIMIT 5)""")
@@ -392,7 +392,7 @@ _PRICES = """prices AS (
   FROM orders GROUP BY 1
 ),
 days AS (
-  SELECT date_trunc('day', full_date)::TIMESTAMP AS day, sum(sales) AS total_sales
+  SELECT date_trunc('day', full_date)::TIMESTAMP AS day, sum(CAST(sales AS DECIMAL(20,4))) AS total_sales
   FROM flat WHERE full_date IS NOT NULL GROUP BY 1
 ),
 days_px AS (
@@ -400,7 +400,7 @@ days_px AS (
   FROM days d ASOF LEFT JOIN prices p ON d.day >= p.price_day
 )"""
 q("price_asof_sales", """
-SELECT day, CAST(round(CAST(round(total_sales, 6) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_sales,
+SELECT day, CAST(round(CAST(total_sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales,
        price_day, round(price, 6) AS price FROM days_px""", ",\n" + _PRICES)
 q("sales_price_corr", """
 SELECT CAST(count(price) AS BIGINT) AS days, round(corr(total_sales, price), 6) AS corr_sales_price

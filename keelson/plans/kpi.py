@@ -26,11 +26,13 @@ depend on the order among them.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.config import LATE_DELIVERY
-from keelson.functions.numbers import safe_ratio
+from keelson.functions.numbers import money_sum, safe_ratio
 from keelson.operators.ordered import prefix_weights, weighted_split_sum
 from keelson.plans.flatten import DIM_ATTRS, by_ids
 from keelson.plans.marts import category_mart, has
@@ -40,7 +42,8 @@ from keelson.plans.star import Star
 def half_split(flat: DataFrame) -> tuple[float, float]:
     """Revenue of the first ``n // 2`` rows (by date, NULL last) and of the rest."""
     ts = F.col("full_date")
-    per_ts = flat.groupBy("full_date").agg(F.count("*").alias("c"), F.sum("sales").alias("s"))
+    per_ts = flat.groupBy("full_date").agg(F.count("*").alias("c"),
+                                           money_sum("sales").alias("s"))
     ranked = prefix_weights(per_ts, [ts.asc_nulls_last()], F.col("c"), "before",
                             total="n")
     # n comes with the ranking (from its per-partition totals), not from another pass
@@ -48,8 +51,7 @@ def half_split(flat: DataFrame) -> tuple[float, float]:
     before, c = F.col("before"), F.col("c")
     straddles = (before < k) & (before + c > k)
     res = ranked.agg(
-        F.coalesce(F.sum(F.when(before + c <= k, F.col("s"))), F.lit(0.0)).alias("head"),
-        F.coalesce(F.sum("s"), F.lit(0.0)).alias("total"),
+        F.sum(F.when(before + c <= k, F.col("s"))).alias("head"), F.sum("s").alias("total"),
         # at most one timestamp straddles the split point
         # (the timestamp travels as text: a Python datetime literal would pick up the
         # driver's time zone)
@@ -58,14 +60,15 @@ def half_split(flat: DataFrame) -> tuple[float, float]:
     ).first()
     if res is None:
         return 0.0, 0.0
-    head, total = float(res["head"]), float(res["total"])
+    head, total = res["head"] or Decimal(0), res["total"] or Decimal(0)
     if res["boundary"]:
         b = res["boundary"][0]
         rows = flat.filter(ts.eqNullSafe(F.lit(b["ts"]).cast("timestamp_ntz")))  # NULL-safe
-        per_value = rows.groupBy("sales").agg(F.count("*").alias("c"))
+        per_value = rows.groupBy(F.col("sales").cast("decimal(20,4)").alias("sales")).agg(
+            F.count("*").alias("c"))
         head += weighted_split_sum(per_value, [F.col("sales").asc()], "c", "sales",
                                    F.lit(int(b["need"]))).first()["head_value"]
-    return head, total - head
+    return float(head), float(total - head)
 
 
 def _trend_pct(first: float, second: float) -> float:
@@ -76,7 +79,7 @@ def sales_trend(flat: DataFrame) -> DataFrame:
     """One row: ``first_half, second_half, trend_pct``."""
     spark = flat.sparkSession
     if not has(flat, "full_date"):
-        first, second = 0.0, float(flat.agg(F.coalesce(F.sum("sales"), F.lit(0.0))).first()[0])
+        first, second = 0.0, float(flat.agg(money_sum("sales")).first()[0] or 0)
         return spark.range(1).select(F.lit(first).alias("first_half"),
                                      F.lit(second).alias("second_half"),
                                      F.lit(0.0).alias("trend_pct"))
@@ -102,8 +105,8 @@ def best_worst(flat: DataFrame, mart: DataFrame | None = None) -> tuple[Column,
 
 
 def _global_columns(flat: DataFrame) -> list[Column]:
-    sales = F.coalesce(F.sum("sales"), F.lit(0.0))
-    profit = F.coalesce(F.sum("profit"), F.lit(0.0))
+    sales = F.coalesce(money_sum("sales").cast("double"), F.lit(0.0))
+    profit = F.coalesce(money_sum("profit").cast("double"), F.lit(0.0))
     cols = [sales.alias("total_sales"), profit.alias("total_profit"),
             F.count("*").cast("bigint").alias("total_orders")]
     if has(flat, "oil_price"):
@@ -202,20 +205,20 @@ def star_kpi_aggregates(star: Star) -> DataFrame:
     decimal sums of itself and its square, so its deviation does not lose digits."""
     price = F.col("daily_oil_price").cast("decimal(18,6)")
     rows = by_ids(star, ["product", "logistics"], {
-        "s": F.sum("sales"), "p": F.sum("profit"), "n": F.count("*"),
+        "s": money_sum("sales"), "p": money_sum("profit"), "n": F.count("*"),
         "po": F.sum(price), "pp": F.sum((price * price).cast("decimal(28,12)")),
         "np": F.count("daily_oil_price")})
     late = F.when(F.col("delivery_status") == LATE_DELIVERY, F.col("n")).otherwise(F.lit(0))
     whole = rows.agg(
-        F.coalesce(F.sum("s"), F.lit(0.0)).alias("total_sales"),
-        F.coalesce(F.sum("p"), F.lit(0.0)).alias("total_profit"),
+        F.coalesce(F.sum("s").cast("double"), F.lit(0.0)).alias("total_sales"),
+        F.coalesce(F.sum("p").cast("double"), F.lit(0.0)).alias("total_profit"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_orders"), F.sum("po").alias("po"),
         F.sum("pp").alias("pp"), F.sum("np").alias("np"), F.sum(late).alias("late"))
     mean = F.try_divide(F.col("po"), F.col("np"))
     spread = (F.col("pp") * F.col("np") - F.col("po") * F.col("po")).cast("double")
     pairs = F.col("np").cast("double") * (F.col("np") - 1)
     mart = rows.filter(F.col("category").isNotNull()).groupBy("category").agg(
-        F.sum("s").alias("total_sales"), F.sum("p").alias("total_profit"))
+        F.sum("s").cast("double").alias("total_sales"), F.sum("p").cast("double").alias("total_profit"))
     top, worst = best_worst(rows, mart)
     return whole.select(
         "total_sales", "total_profit", F.col("total_orders").cast("bigint").alias("total_orders"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from keelson.config import LATE_DELIVERY
 from keelson.functions.dates import day_start
+from keelson.functions.numbers import money_sum
 from keelson.plans.flatten import by_ids
 from keelson.plans.star import Star
 
@@ -23,16 +24,18 @@ def has(df: DataFrame, *cols: str) -> bool:
 def category_mart(flat: DataFrame) -> DataFrame:
     """``(category, total_sales, total_profit, orders)``; NULL category dropped."""
     return (flat.filter(F.col("category").isNotNull()).groupBy("category")
-            .agg(F.sum("sales").alias("total_sales"), F.sum("profit").alias("total_profit"),
+            .agg(money_sum("sales").cast("double").alias("total_sales"),
+                 money_sum("profit").cast("double").alias("total_profit"),
                  F.count("*").cast("bigint").alias("orders")))
 
 
 def star_category_mart(star: Star) -> DataFrame:
     """``category_mart`` of a star: the fact is summed by product id, then joined."""
-    rows = by_ids(star, ["product"], {"s": F.sum("sales"), "p": F.sum("profit"),
+    rows = by_ids(star, ["product"], {"s": money_sum("sales"), "p": money_sum("profit"),
                                       "n": F.count("*")})
     return (rows.filter(F.col("category").isNotNull()).groupBy("category")
-            .agg(F.sum("s").alias("total_sales"), F.sum("p").alias("total_profit"),
+            .agg(F.sum("s").cast("double").alias("total_sales"),
+                 F.sum("p").cast("double").alias("total_profit"),
                  F.sum("n").cast("bigint").alias("orders")))
 
 
@@ -59,7 +62,8 @@ def daily_sales_vs_price(flat: DataFrame) -> DataFrame:
     """Revenue and mean oil price per calendar day (A16, F7); readers sort it."""
     day = day_start(F.col("full_date"))
     return (flat.filter(F.col("full_date").isNotNull()).groupBy(day.alias("day"))
-            .agg(F.sum("sales").alias("total_sales"), F.avg("oil_price").alias("avg_oil_price")))
+            .agg(money_sum("sales").cast("double").alias("total_sales"),
+                 F.avg("oil_price").alias("avg_oil_price")))
 
 
 def late_city_counts(flat: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.numbers import round_money
+from keelson.functions.numbers import money_sum, round_money
 
 TOP_CATEGORIES = 5
 
@@ -21,9 +21,9 @@ def category_kpis(fact: DataFrame, dim_product: DataFrame,
     """Top categories by revenue: orders, revenue, mean oil price, profit (rounded to 2)."""
     per_id = (fact.filter(F.col("product_id").isNotNull())
               .groupBy("product_id")
-              .agg(F.count("product_id").alias("n"), F.sum("sales").alias("s"),
+              .agg(F.count("product_id").alias("n"), money_sum("sales").alias("s"),
                    F.sum("daily_oil_price").alias("po"), F.count("daily_oil_price").alias("no"),
-                   F.sum("profit").alias("p")))
+                   money_sum("profit").alias("p")))
     # both sides have one row per id, so the planner may choose any join
     by_cat = per_id.join(dim_product.select("product_id", "category"), "product_id").groupBy("category").agg(
         F.sum("n").cast("bigint").alias("total_orders"),
