@@ -36,12 +36,12 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str,
     join's key by a salt taken from ``spread``; the others join by sort-merge or as the
     planner decides. ``left`` is read once. NULL keys match nothing.
     """
-    total = right.agg(F.sum(weight)).first()[0] or 0
+    total = right.agg(F.sum(weight)).scalar()
     values = [c for c in right.columns if c != key]
     pack = F.struct(*[F.col(v) for v in values])
-    hot = right.filter(F.col(weight) * HOT_PARTS > F.lit(total)).select(
+    hot = right.filter(F.col(weight) * HOT_PARTS > total).select(
         key, pack.alias("_hot"))
-    cold = right.filter(F.col(weight) * HOT_PARTS <= F.lit(total)).select(
+    cold = right.filter(F.col(weight) * HOT_PARTS <= total).select(
         key, F.lit(0).alias("_salt"), pack.alias("_cold"))
     marked = left.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.when(F.col("_hot").isNull(), F.lit(0))

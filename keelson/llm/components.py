@@ -33,16 +33,20 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     ``edges`` has (a, b), any order. Each round is written to the shared scratch folder.
     Ends when a round changes nothing: then every node hangs on its component's smallest.
     """
+    # equal as sets when the counts and the sums of hashes agree
+    mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(
+        F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     now = store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                 .filter("a <> b").distinct(), "component_edges")
+    before = mark(now)
     for _ in range(rounds):
-        after = store(_star(_star(now, True), False), "component_edges")
-        # equal as sets when the counts and the sums of hashes agree
-        mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(
-            F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        done, now = mark(now) == mark(after), after
-        if done:
+        if not before[0]:
             break
+        now = store(_star(_star(now, True), False), "component_edges")
+        after = mark(now)
+        if after == before:
+            break
+        before = after
     else:
         raise RuntimeError(f"components not settled in {rounds} rounds")
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("label"))

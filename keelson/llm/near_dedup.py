@@ -6,13 +6,17 @@
    independent from bin to bin, the optimal densification). ``BANDS`` bands of 4 bins give
    the bucket keys: a pair with similarity 0.8 shares none with probability 5e-8.
 2. Equal sets are one class (128-bit digest of the sorted set) and take part once.
-3. Edges: every member of a bucket links to the bucket's smallest member only, so a bucket
-   of m members gives m - 1 candidates. Candidates are confirmed on the full sets, and the
+3. Edges: every member of a bucket links to one centre only, the member that shares buckets
+   with the most others (in a group of edited copies, the text they were made from), so m
+   members give m - 1 candidates. Each candidate is confirmed on the full sets, and the
    confirmed ones are joined into components.
-4. No link is lost by the star: a bucket whose members lie in several components afterwards
-   goes into another round with another centre, and what the rounds leave is compared
-   between components (never within one), pairs whose sizes rule out the similarity left
-   out. Copies and dense groups are one component after the first rounds, so few are left.
+4. No link is lost by the star. Let E be a member's edits against its centre (shingles added
+   and shingles missing). Two members of a star are similar exactly when they share enough
+   edits: 2 |E1 & E2| >= |E1| + |E2| - r (|s1| + |s2|), r = (100 - percent) / (100 +
+   percent). If both are linked to the centre they are in one component already; otherwise
+   the right side is positive. So stars whose members lie in several components are joined
+   on their edits by prefix and position filters (the rarest edits first), which leaves few
+   pairs, and these are confirmed on the full sets, too.
 
 Defined results: NULL, empty and blank texts have an empty set and link with nothing; a text
 with fewer words than a shingle is one shingle; ids may repeat (equal rows stay rows); rows
@@ -27,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.llm.common import lookup, store
@@ -36,7 +40,6 @@ from keelson.llm.words import ODD, WordIds, ascii_lower_words, mixed, rolling, s
 
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
-STAR_ROUNDS = 2
 #: Members served by one copy of a star's centre in the confirming join.
 SERVED = 500
 
@@ -106,24 +109,33 @@ def _set_maker(shingle: int):
     return make
 
 
-def _confirmer(percent: int):
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _comparer(percent: int):
+    """Full sets of (a, b): whether they are similar, and b's edits against a."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            size, linked, edits = [], [], []
             for left, right in zip(batch.column(2), batch.column(3)):
-                x = np.frombuffer(left.as_py(), np.uint64)
-                y = np.frombuffer(right.as_py(), np.uint64)
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+                a = np.frombuffer(left.as_py(), np.uint64)
+                b = np.frombuffer(right.as_py(), np.uint64)
+                at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+                known = a[at] == b
+                both = int(known.sum())
+                missing = np.ones(len(a), bool)
+                missing[at[known]] = False
+                size.append(len(b))
+                linked.append(100 * both >= percent * (len(a) + len(b) - both))
+                edits.append(np.concatenate((b[~known], mixed(a[missing] ^ ODD[3]))).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()),
+                 pa.array(linked, pa.bool_()), pa.array(edits, pa.list_(pa.int64()))],
+                ["a", "b", "size", "linked", "edits"])
 
-    return confirm
+    return compare
 
 
-def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges (a, b) whose full sets are similar. ``a`` may be the centre of many edges:
-    it is copied once for every ``SERVED`` members, so no task serves a whole group."""
+def _compared(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, size, linked, edits) of the edges. ``a`` may be the centre of many: it is
+    copied once for every ``SERVED`` members, so no task serves a whole group."""
     degree = edges.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
     slots = F.ceil(F.col("degree") / SERVED).cast("long")
     spread = lookup(edges, degree, "a", "degree", F.col("b")).withColumn(
@@ -134,7 +146,41 @@ def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     members = sets.select(F.col("node").alias("b"), F.col("values").alias("right"))
     pairs = spread.join(members, "b").join(centres, ["a", "slot"])
     return pairs.select("a", "b", "left", "right").mapInArrow(
-        _confirmer(percent), "a binary, b binary")
+        _comparer(percent), "a binary, b binary, size long, linked boolean, edits array<long>")
+
+
+def _shared_edits(stars: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members of one star, of different components, that may be similar.
+
+    ``stars`` has (a, b, size, linked, edits, label). With t the least number of edits a
+    similar pair shares, the first ``len(edits) - t + 1`` of both, in one order, share one;
+    and the pair's first shared edit leaves enough of both behind it.
+    """
+    wide, narrow = 100 + percent, 100 - percent
+    key = F.xxhash64("a", "edit")
+    spread = stars.select(
+        "a", "b", "size", "linked", "label", F.size("edits").cast("long").alias("of"),
+        F.explode("edits").alias("edit")).withColumn("key", key).drop("edit")
+    common = spread.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    ordered = lookup(spread, store(common, "edits"), "key", "df", F.col("b")).withColumn(
+        "place", F.row_number().over(Window.partitionBy("a", "b").orderBy("df", "key")))
+    # of any similar pair: t >= edits - r (size + size of the other), the other being no
+    # larger than 100 / percent of this one
+    alone = F.ceil(F.col("of") - F.col("size") * (narrow * (1 + 100 / percent) / wide) - 1e-9)
+    # and where the other is not linked to the centre: 2 t > (1 - r) edits
+    against = F.ceil(F.col("of") * (percent / wide) - 1e-9)
+    first = lambda t: F.col("place") <= F.col("of") - F.greatest(F.lit(1), t) + 1
+    ordered = store(ordered.filter(F.col("df") > 1).withColumn("probe", first(alone) & ~F.col("linked"))
+                    .withColumn("post", first(F.greatest(alone, against)))
+                    .filter("probe OR post"), "edit_places")
+    p, q = ordered.filter("probe").alias("p"), ordered.filter("post").alias("q")
+    left = F.least(F.col("p.of") - F.col("p.place"), F.col("q.of") - F.col("q.place")) + 1
+    enough = (2 * wide * left >= wide * (F.col("p.of") + F.col("q.of"))
+              - narrow * (F.col("p.size") + F.col("q.size")))
+    sizes = (F.least("p.size", "q.size") * 100 >= F.greatest("p.size", "q.size") * percent)
+    return p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.label") != F.col("q.label"))
+                  & (F.col("q.linked") | (F.col("p.b") < F.col("q.b"))) & sizes & enough).select(
+        F.least("p.b", "q.b").alias("a"), F.greatest("p.b", "q.b").alias("b")).distinct()
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -148,65 +194,40 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"),
         F.first("bands").alias("bands")), "classes")
 
-    banded = classes.select("node", "size", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(
-        F.min("node").alias("centre"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    banded = classes.select("node", F.explode("bands").alias("band"))
+    shared = store(banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"))
+                   .filter("members > 1"), "shared_bands")
     buckets = store(lookup(banded, shared, "band", "members", F.col("node"))
                     .filter("members > 1"), "buckets")
-    fits = F.least("x", "y") * 100 >= F.greatest("x", "y") * percent
-    centre_size = classes.select(F.col("node").alias("a"), F.col("size").alias("x"))
-
-    def star(rows: DataFrame) -> DataFrame:
-        """(a, b) between centre and member, each once, where the sizes allow the link."""
-        pairs = rows.filter("centre <> node").select(
-            F.col("centre").alias("a"), F.col("node").alias("b"), F.col("size").alias("y")).distinct()
-        counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-        sized = lookup(pairs, counts.join(centre_size, "a"), "a", "n", F.col("b"))
-        return sized.filter(fits).select("a", "b")
-
-    needed = buckets.select("node").distinct()
-    wanted = needed.join(classes.select("node", "rep"), "node").select(
+    pull = buckets.groupBy("node").agg(F.sum("members").alias("pull"))
+    centres = store(buckets.join(pull, "node").groupBy("band").agg(
+        F.min(F.struct(-F.col("pull"), "node")).alias("centre"),
+        F.count(F.lit(1)).alias("m")), "centres")
+    edges = store(lookup(buckets, centres, "band", "m", F.col("node")).select(
+        F.col("centre.node").alias("a"), F.col("node").alias("b"))
+        .filter("a <> b").distinct(), "star_edges")
+
+    wanted = buckets.select("node").distinct().join(classes.select("node", "rep"), "node").select(
         F.col("rep").alias("id")).distinct()
     sets = store(
         texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
         .mapInArrow(_set_maker(shingle), "node binary, values binary")
         .dropDuplicates(["node"]), "shingle_sets")
 
-    edges = star(buckets)
-    links = store(_confirmed(edges, sets, percent), "links")
+    compared = store(_compared(edges, sets, percent), "compared")
+    links = compared.filter("linked").select("a", "b")
     labels = store(components(links), "labels")
-
-    def still_open(rows: DataFrame) -> DataFrame:
-        """Bucket rows whose bucket holds several components, with the component."""
-        named = rows.join(labels, "node", "left").withColumn(
-            "label", F.coalesce("label", "node"))
-        spans = named.groupBy("band").agg(
-            F.min("label").alias("_l"), F.max("label").alias("_h"),
-            F.count(F.lit(1)).alias("members")).filter("_l <> _h")
-        return lookup(named, spans, "band", "members", F.col("node")).filter("members > 1")
-
-    rest = buckets.select("band", "node", "size")
-    for number in range(1, STAR_ROUNDS):
-        rest = store(still_open(rest).select("band", "node", "size", "label"), "open")
-        centre = rest.groupBy("band").agg(
-            F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(number))).alias("c"),
-            F.count(F.lit(1)).alias("members"))
-        again = lookup(rest, centre, "band", "members", F.col("node")).filter(
-            F.col("c.label") != F.col("label")).withColumn("centre", F.col("c.node"))
-        links = store(links.unionByName(_confirmed(star(again), sets, percent)), "links")
-        labels = store(components(links), "labels")
-        rest = rest.select("band", "node", "size")
-
-    left = store(still_open(rest).select("band", "node", "size", "label"), "open")
-    one, two = left.alias("p"), left.alias("q")
-    pairs = (one.join(two, (F.col("p.band") == F.col("q.band"))
-                      & (F.col("p.node") < F.col("q.node"))
-                      & (F.col("p.label") != F.col("q.label"))
-                      & (F.least("p.size", "q.size") * 100
-                         >= F.greatest("p.size", "q.size") * percent))
-             .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
-    links = store(links.unionByName(_confirmed(pairs, sets, percent)), "links")
-    labels = components(links)
+    placed = compared.join(labels, compared["b"] == labels["node"], "left").select(
+        "a", "b", "size", "linked", "edits", F.coalesce("label", "b").alias("label"))
+    spans = store(placed.groupBy("a").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.count(F.lit(1)).alias("m")).filter("low <> high").select("a", "m"), "open_stars")
+    if not spans.isEmpty():
+        stars = lookup(placed, spans, "a", "m", F.col("b")).filter("m IS NOT NULL").drop("m")
+        more = _compared(_shared_edits(stars, percent), sets, percent)
+        more = store(more.filter("linked").select("a", "b"), "links")
+        if not more.isEmpty():
+            labels = store(components(links.unionByName(more)), "labels")
 
     named = classes.select("node", "rep", "n").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
