@@ -9,22 +9,17 @@ from keelson.llm.common import store
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Link every neighbour on one side of a node to the smallest of its neighbourhood."""
-    if large:
-        ways = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"),
-                                                               F.col("a").alias("b")))
-    else:
-        ways = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    ways = ways.distinct()
+    """Link every neighbour on one side of a node to the smallest of its neighbourhood.
+
+    ``edges`` has a > b; so has the result, possibly with repeated rows."""
+    ways = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+                             ) if large else edges
     least = ways.groupBy("a").agg(F.min("b").alias("least")).withColumn(
         "least", F.least("a", "least"))
-    joined = ways.join(least, "a")
-    if large:
-        out = joined.filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    else:
-        out = joined.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(
-            least.select("a", F.col("least").alias("b")))
-    return out.filter("a <> b").distinct()
+    near = ways.join(least, "a")
+    near = near.filter("b > a") if large else near.unionByName(
+        least.select("a", F.col("a").alias("b"), "least"))
+    return near.select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b")
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -42,7 +37,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     for _ in range(rounds):
         if not before[0]:
             break
-        now = store(_star(_star(now, True), False), "component_edges")
+        now = store(_star(_star(now, True), False).distinct(), "component_edges")
         after = mark(now)
         if after == before:
             break
