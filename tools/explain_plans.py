@@ -36,7 +36,8 @@ def main() -> None:
     from keelson.catalog import QUERIES, flat
     from keelson.plans import marts
     from keelson.plans.job import gold
-    from keelson.plans.kpi import kpi_aggregates
+    from keelson.config import StarConfig
+    from keelson.plans.kpi import star_distinct_counts, star_kpi_aggregates
     from keelson.plans.star import dim_product, fact_sales
     from keelson.session import local_session
     spark = local_session(8)
@@ -45,12 +46,16 @@ def main() -> None:
     # how the stored tables and the shared marts are built
     built = {
         "fact_sales (build)": fact_sales(g.silver, s["dim_product"], s["dim_customer_geo"],
-                                         s["dim_logistics"], rows=s.rows),
+                                         s["dim_logistics"]),
+        "fact_sales (dimensions beyond the broadcast bound)": fact_sales(
+            g.silver, s["dim_product"], s["dim_customer_geo"], s["dim_logistics"],
+            StarConfig(broadcast_bytes=0)),
         "dim_product (build: distinct + dense ids)": dim_product(g.silver),
-        "kpi row (one pass)": kpi_aggregates(flat(spark, sf, "product", "logistics")),
-        "category mart (shared by 5 rankings)": marts.category_mart(flat(spark, sf, "product")),
-        "late-city counts (shared by 2 reports)":
-            marts.late_city_counts(flat(spark, sf, "geo", "logistics")),
+        "kpi aggregates": star_kpi_aggregates(s),
+        "distinct counts": star_distinct_counts(s),
+        "category mart (shared by 5 rankings)": marts.star_category_mart(s),
+        "late-city counts (shared by 2 reports)": marts.star_late_city_counts(s),
+        "status x mode": marts.star_status_mode_wide(s),
         "daily series (shared by 3 queries)": marts.daily_sales_vs_price(flat(spark, sf, "none")),
     }
     for name, df in built.items():
