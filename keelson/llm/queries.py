@@ -52,8 +52,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-7, 0, "user", HOSTILE), (-7, 1, "assistant", HOSTILE)],
-                                  "conv_id long, turn long, role string, text string")
+    second = F.col("id") == 1
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(second, "assistant").otherwise("user").alias("role"), F.lit(HOSTILE).alias("text"))
     out = chat.format_chats(rows.unionByName(extra))
     read = out.withColumn("back", chat.read_turns(F.col("formatted"))).withColumn(
         "trained", chat.read_trained(F.col("segments")))
