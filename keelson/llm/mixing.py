@@ -18,6 +18,7 @@ table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,7 +27,6 @@ from pyspark.sql import functions as F
 from keelson.llm.common import repeat_rows, store
 
 WORD = r"[^\x20\x09-\x0D]+"
-ROWS_PER_RANGE = 50_000
 
 
 def count_words(text: Column) -> Column:
@@ -80,7 +80,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
         docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                     size(F.col(text_col)).alias("size"))
         .groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mix_rows")
-    ranges = max(1, rows.count() // ROWS_PER_RANGE)
+    # as many ranges as rows in one if all were of one source: neither the rows of a range
+    # nor the ranges of a source become many
+    ranges = max(1, math.isqrt(rows.count()))
     # the top 32 bits of the key as a number in [0, 1): equal ranges, no sampling
     top = F.conv(F.substring(key, 1, 8), 16, 10).cast("double") / float(1 << 32)
     place = (top * ranges).cast("int")
