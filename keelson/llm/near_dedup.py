@@ -157,23 +157,30 @@ def _shared_edits(stars: DataFrame, percent: int) -> DataFrame:
     and the pair's first shared edit leaves enough of both behind it.
     """
     wide, narrow = 100 + percent, 100 - percent
-    key = F.xxhash64("a", "edit")
-    spread = stars.select(
-        "a", "b", "size", "linked", "label", F.size("edits").cast("long").alias("of"),
-        F.explode("edits").alias("edit")).withColumn("key", key).drop("edit")
-    common = spread.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
-    ordered = lookup(spread, store(common, "edits"), "key", "df", F.col("b")).withColumn(
-        "place", F.row_number().over(Window.partitionBy("a", "b").orderBy("df", "key")))
+    of = F.size("edits")
     # of any similar pair: t >= edits - r (size + size of the other), the other being no
     # larger than 100 / percent of this one
-    alone = F.ceil(F.col("of") - F.col("size") * (narrow * (1 + 100 / percent) / wide) - 1e-9)
+    alone = F.ceil(of - F.col("size") * (narrow * (1 + 100 / percent) / wide) - 1e-9)
     # and where the other is not linked to the centre: 2 t > (1 - r) edits
-    against = F.ceil(F.col("of") * (percent / wide) - 1e-9)
-    first = lambda t: F.col("place") <= F.col("of") - F.greatest(F.lit(1), t) + 1
-    ordered = store(ordered.filter(F.col("df") > 1).withColumn("probe", first(alone) & ~F.col("linked"))
-                    .withColumn("post", first(F.greatest(alone, against)))
-                    .filter("probe OR post"), "edit_places")
-    p, q = ordered.filter("probe").alias("p"), ordered.filter("post").alias("q")
+    against = F.ceil(of * (percent / wide) - 1e-9)
+    upto = lambda t: (of - F.greatest(F.lit(1), t) + 1).cast("int")
+    marked = stars.withColumn("m", F.xxhash64("a", "b"))
+    # what is shuffled for each edit stays short: the member, the edit, three counts
+    spread = marked.select(
+        "m", "a", of.alias("of"), F.when(F.col("linked"), 0).otherwise(upto(alone)).alias("probe"),
+        upto(F.greatest(alone, against)).alias("post"), F.explode("edits").alias("edit")).select(
+        "m", F.xxhash64("a", "edit").alias("key"), "of", "probe", "post")
+    common = spread.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    member = Window.partitionBy("m")
+    # edits of one member only come first; the others follow by rising frequency
+    ordered = lookup(spread, common, "key", "df", F.col("m")).filter("df IS NOT NULL").withColumn(
+        "place", F.col("of") - F.count(F.lit(1)).over(member)
+        + F.row_number().over(member.orderBy("df", "key")))
+    kept = ordered.filter((F.col("place") <= F.col("probe")) | (F.col("place") <= F.col("post")))
+    places = store(kept.select("m", "key", "of", "probe", "post", "place").join(
+        marked.select("m", "b", "size", "linked", "label"), "m"), "edit_places")
+    p = places.filter("place <= probe").alias("p")
+    q = places.filter("place <= post").alias("q")
     left = F.least(F.col("p.of") - F.col("p.place"), F.col("q.of") - F.col("q.place")) + 1
     enough = (2 * wide * left >= wide * (F.col("p.of") + F.col("q.of"))
               - narrow * (F.col("p.size") + F.col("q.size")))
