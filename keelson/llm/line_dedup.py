@@ -17,6 +17,11 @@ So exactly the lines covered by a run of three lines that also starts earlier (s
 doc_id, or same document and earlier line) go, judged on the input. Blank lines are no
 part of runs and stay.
 
+That leaves repeats of one or two lines, however long. With ``long_words`` a line of more
+words than that is matched alone, too (a gram and window of one), beside the guarantee for
+runs: it goes where it also stands earlier. It is not set by op8_line_dedup and the pipeline,
+whose results are the runs of three lines of op 8's SQL statement.
+
 Defined results: NULL text has no lines and stays NULL; documents with fewer than three
 non-blank lines stay as they are; rows that repeat a doc_id and text are the same document
 (none is earlier than the other); NULL doc_id comes before all others. Extra columns pass
@@ -32,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.common import lookup, store
+from keelson.llm.mixing import count_words
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -47,12 +53,13 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _content(lines: Column) -> Column:
-    """Line numbers and digests of the non-blank lines."""
+def _content(lines: Column, long_words: int | None = None) -> Column:
+    """Line numbers and digests of the non-blank lines; whether they are long, if asked."""
     numbered = F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("x")))
     solid = F.filter(numbered, lambda s: F.trim(F.translate(s["x"], "\t\r\f\x0b", "")) != "")
     return F.transform(solid, lambda s: F.struct(
-        s["line"].alias("line"), F.unhex(F.md5(s["x"])).alias("h")))
+        s["line"].alias("line"), F.unhex(F.md5(s["x"])).alias("h"),
+        *([] if long_words is None else [(count_words(s["x"]) > long_words).alias("long")])))
 
 
 def _windows(content: Column, gram: int, window: int) -> Column:
@@ -72,27 +79,38 @@ def _windows(content: Column, gram: int, window: int) -> Column:
         label = lambda s: F.transform(s, lambda x, p: F.struct(
             p.alias("p"), x["fp"].alias("fp"),
             ((p == 0) | (F.get(s, F.greatest(p - 1, F.lit(0)))["at"] != x["at"])).alias("fresh"),
-            _digest([h(p + j) for j in range(span)]).alias("key")))
+            _digest([h(p + j) for j in range(span)]).alias("key"), F.lit(span).alias("lines")))
         return F.when(last >= span, _let(grams, lambda g: _let(choose(g), label)))
 
     return _let(content, hashes)
 
 
+def _long_lines(content: Column) -> Column:
+    """The long lines as windows of one line."""
+    placed = F.transform(content, lambda s, p: F.struct(p.alias("p"), s.alias("s")))
+    return F.transform(F.filter(placed, lambda x: x["s"]["long"]), lambda x: F.struct(
+        x["p"].alias("p"), x["s"]["h"].alias("fp"), F.lit(True).alias("fresh"),
+        x["s"]["h"].alias("key"), F.lit(1).alias("lines")))
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = 2,
-               window: int = 2) -> DataFrame:
+               window: int = 2, long_words: int | None = None) -> DataFrame:
     """``docs`` with ``text_col`` deduplicated and ``n_lines``, ``n_removed`` added."""
-    span = gram + window - 1
+    windows = lambda c: _windows(c, gram, window)
+    if long_words is not None:
+        windows = lambda c: F.concat(
+            F.coalesce(_windows(c, gram, window), F.array()), _long_lines(c))
     # NULL ids sort first in structs, so they need no replacement
     rid = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t"))
     marks = store(
         docs.select(rid.alias("rid"), F.explode(
-            _windows(_content(_lines(F.col(text_col))), gram, window)).alias("w"))
+            _let(_content(_lines(F.col(text_col)), long_words), windows)).alias("w"))
         .select("rid", "w.*"), "line_marks")
     repeated = store(marks.groupBy("fp").agg(
         F.sum(F.col("fresh").cast("long")).alias("places"), F.count(F.lit(1)).alias("n"))
         .filter("places > 1"), "line_prints")
     matched = (lookup(marks, repeated, "fp", "n", F.col("rid")).filter("places > 1")
-               .select("rid", "p", "key"))
+               .select("rid", "p", "key", "lines"))
     matched = store(matched, "line_matches")
     start = F.struct(F.col("rid.id").alias("id"), F.col("p").alias("p"))
     firsts = store(matched.groupBy("key").agg(
@@ -101,7 +119,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     later = (lookup(matched, firsts, "key", "n", F.col("rid"))
              .filter((F.col("n") > 1) & (start > F.col("first")))
              .groupBy(F.col("rid.id").alias("_id"), F.col("rid.t").alias("_t"))
-             .agg(F.collect_set("p").alias("_starts")))
+             .agg(F.collect_set(F.struct("p", "lines")).alias("_starts")))
 
     found = docs.withColumn("_key", F.xxhash64(F.col(text_col)))
     joined = found.join(later, found[id_col].eqNullSafe(later["_id"])
@@ -110,8 +128,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def without(lines: Column) -> Column:
         number = _let(_content(lines), lambda c: F.sort_array(F.array_distinct(F.flatten(
-            F.transform("_starts", lambda p: F.transform(
-                F.sequence(p, p + span - 1), lambda i: F.get(c, i)["line"]))))))
+            F.transform("_starts", lambda s: F.transform(
+                F.sequence(s["p"], s["p"] + s["lines"] - 1),
+                lambda i: F.get(c, i)["line"]))))))
         # '0' for each line that stays, '1' for each that goes, up to the last that goes
         flags = lambda gone: F.split(F.array_join(F.transform(
             gone, lambda g, i: F.concat(
