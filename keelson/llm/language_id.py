@@ -41,17 +41,26 @@ _CHUNK = 4096
 _SPREAD = 64
 _M = tuple(np.uint32(m) for m in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
 
-#: Code points of letters stay, all others become blanks (planes above the first: letters).
+#: Code points of letters stay, all others become blanks (the first plane; see ``_letters``).
 _LETTER = np.array([c if chr(c).isalpha() else 32 for c in range(0xD800)]
                    + [32] * 0x800 + [c if chr(c).isalpha() else 32 for c in range(0xE000, 0x10000)],
                    np.uint32)
 
 
 def trigrams(text: str) -> np.ndarray:
+def _letters(points: np.ndarray) -> np.ndarray:
+    """The code points of letters; blanks for all others."""
+    found = _LETTER[np.minimum(points, 0xFFFF)]
+    high = points > 0xFFFF
+    if high.any():
+        distinct, at = np.unique(points[high], return_inverse=True)
+        found[high] = np.array([c if chr(c).isalpha() else 32 for c in distinct.tolist()],
+                               np.uint32)[at]
+    return found
+
+
     """Buckets of the text's trigrams; runs of blanks are one. Empty without a letter."""
-    points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
-    low = np.minimum(points, 0xFFFF)
-    points = np.where(points > 0xFFFF, points, _LETTER[low])
+    points = _letters(np.frombuffer(text.lower().encode("utf-32-le"), np.uint32))
     blank = points == 32
     if blank.all():
         return np.zeros(0, np.int64)

@@ -342,3 +342,17 @@ def test_empty_and_null_tables(spark, tmp_path, run):
     df = spark.createDataFrame([(None, None, None)] * 2, "doc_id long, text string, source string")
     assert run(spark, df.limit(0), str(tmp_path / "a")).count() == 0
     assert run(spark, df, str(tmp_path / "b")).count() == 2
+def test_language_id_letters_above_the_first_plane(spark):
+    """Emoji and symbols are blanks, letters of the higher planes are letters."""
+    emoji, gothic = "\U0001F600 \U0001F44D\U0001D7D8", "\U00010330\U00010331\U00010332"
+    assert len(lang.trigrams(emoji)) == 0 and len(lang.trigrams(gothic)) == 3
+    assert lang.trigrams("ka" + emoji + "ta").tolist() == lang.trigrams("ka ta").tolist()
+    rows = [(1, "ka ta ma pa la", "aa"), (2, "strich blond", "bb"), (3, emoji, None),
+            (4, "ka ta " + emoji, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang.train(df)
+    by = {x.doc_id: x for x in lang.predict(df, model, ["doc_id"]).collect()}
+    assert (by[3].lang_pred, by[3].score, by[3].languages) == ("und", 0.0, [])
+    assert by[4].lang_pred == "aa"
+
+
