@@ -20,8 +20,11 @@
 
 Defined results: NULL, empty and blank texts have an empty set and link with nothing; a text
 with fewer words than a shingle is one shingle; ids may repeat (equal rows stay rows); rows
-without an id take part, and a component's id is the smallest one that is not NULL. Extra
-columns are ignored; an empty table gives an empty result. One text has to fit in memory.
+without an id take part, and a component's id is the smallest one that is not NULL. A
+document is a pair of id and text (hash ``t``): the first one of a component in the order of
+(id, t), NULL last, is kept, whatever else bears its id; rows that repeat it are the same
+document. Extra columns are ignored; an empty table gives an empty result. One text has to
+fit in memory.
 """
 
 from __future__ import annotations
@@ -79,6 +82,7 @@ def _bands(values: np.ndarray) -> np.ndarray:
 
 
 def _signer(shingle: int):
+    """``sign`` passes the columns before the last, the text, on."""
     schema = pa.schema([("size", pa.int64()), ("node", pa.binary()),
                         ("bands", pa.list_(pa.int64()))])
 
@@ -86,13 +90,13 @@ def _signer(shingle: int):
         ids = WordIds()
         for batch in batches:
             size, node, bands = [], [], []
-            for values in _sets(batch.column(1), shingle, ids):
+            for values in _sets(batch.column(2), shingle, ids):
                 size.append(len(values))
                 node.append(xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None)
                 bands.append(_bands(values) if len(values) else None)
             rest = [pa.array(v, f.type) for v, f in zip((size, node, bands), schema)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *rest],
-                                             ["id", *schema.names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *rest],
+                                             ["id", "t", *schema.names])
 
     return sign
 
@@ -192,13 +196,17 @@ def _shared_edits(stars: DataFrame, percent: int) -> DataFrame:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(id, size, component_id, kept): a row for each row of ``docs``."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """(id, t, size, component_id, kept): a row for each row of ``docs``; ``t`` is xxhash64 of
+    the text."""
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t"),
+                        F.col(text_col).alias("text"))
     id_type = dict(texts.dtypes)["id"]
     signed = store(texts.mapInArrow(
-        _signer(shingle), f"id {id_type}, size long, node binary, bands array<long>"), "signed")
+        _signer(shingle), f"id {id_type}, t long, size long, node binary, bands array<long>"),
+        "signed")
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "t")
     classes = store(signed.filter("size > 0").groupBy("node").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"),
+        F.min(place).alias("rep"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"),
         F.first("bands").alias("bands")), "classes")
 
     banded = classes.select("node", F.explode("bands").alias("band"))
@@ -215,7 +223,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter("a <> b").distinct(), "star_edges")
 
     wanted = buckets.select("node").distinct().join(classes.select("node", "rep"), "node").select(
-        F.col("rep").alias("id")).distinct()
+        F.col("rep.id").alias("id")).distinct()
     sets = store(
         texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
         .mapInArrow(_set_maker(shingle), "node binary, values binary")
@@ -238,11 +246,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     named = classes.select("node", "rep", "n").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
-    lowest = named.groupBy("label").agg(F.min("rep").alias("component_id"),
+    lowest = named.groupBy("label").agg(F.min("rep").alias("first"),
                                         F.count(F.lit(1)).alias("classes"))
     final = store(lookup(named, lowest, "label", "classes", F.col("node"))
-                  .select("node", "n", "component_id"), "class_components")
-    found = lookup(signed.select("id", "size", "node"), final, "node", "n", F.col("id"))
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return found.select("id", "size", component.alias("component_id"),
-                        F.col("id").eqNullSafe(component).alias("kept"))
+                  .select("node", "n", "first"), "class_components")
+    found = lookup(signed.select("id", "t", "size", "node"), final, "node", "n", F.col("id"))
+    alone, first = F.col("node").isNull(), F.col("first")
+    kept = alone | (F.col("id").eqNullSafe(first["id"]) & (F.col("t") == first["t"]))
+    return found.select("id", "t", "size", F.when(alone, F.col("id")).otherwise(first["id"])
+                        .alias("component_id"), kept.alias("kept"))

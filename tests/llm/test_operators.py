@@ -120,6 +120,22 @@ def test_near_dedup_chain_and_false_centre(spark):
     same(got, brute.near_dedup(rows, 2))
 
 
+def test_near_dedup_keeps_one_document_of_repeated_and_missing_ids(spark):
+    base, far = rng_text(81, 200, 5000), rng_text(82, 200, 5000)
+    rows = [(None, rng_text(83, 90, 5000)), (None, base + " z"), (1, base), (2, far),
+            (2, far + " z"), (2, rng_text(84, 90, 5000)), (None, "a " + rng_text(85, 90, 5000)),
+            (None, "b " + rng_text(85, 90, 5000)), (None, ""), (3, None), (3, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for shingle in (2, 5):
+        got = near_dedup(df, shingle=shingle)
+        kept = got.join(df.select(F.xxhash64("text").alias("t"), "text"), "t").filter("kept")
+        texts = Counter(r.text for r in kept.collect())
+        assert [texts[x] for x in (rows[0][1], base, base + " z", rows[5][1], "", None, " ")] == [
+            1, 1, 0, 1, 1, 1, 1]
+        assert texts[far] + texts[far + " z"] == 1
+        assert texts[rows[6][1]] + texts[rows[7][1]] == 1
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 99), (99, 98), (98, 100), (7, 7)]
     df = spark.createDataFrame(edges, "a long, b long")

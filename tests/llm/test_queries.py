@@ -84,6 +84,17 @@ def test_op10_on_held_out_documents(spark, docs):
     assert right >= 0.97 * len(held) and all(0 <= r.score <= 1 for r in got)
 
 
+def test_near_stage_with_missing_and_repeated_ids(spark):
+    """One of a group stays, also where an unrelated row without an id, or with the id of
+    the one that stays, is kept."""
+    words = [f"w{k}" for k in range(300)]
+    a, b, c, d = (" ".join(words[k:k + 70]) for k in (0, 70, 140, 210))
+    rows = [(None, d), (1, a), (None, a + " z"), (2, b), (2, b + " z"), (2, b), (2, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(x) for x in corpus_pipeline.near_stage(spark, docs, "").collect()]
+    assert len(kept) == 4 and {(None, d), (1, a), (2, c)} < set(kept)
+
+
 def test_pipeline(spark):
     """Every stage on what the one before kept, against the plain versions."""
     from keelson.llm.common import store, table
