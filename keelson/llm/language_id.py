@@ -9,8 +9,9 @@ Inference. Expectation-maximisation estimates the proportions of all languages i
 document from its trigrams' likelihoods. Languages then enter a set in order of proportion
 as long as each raises the log-likelihood (proportions fitted anew) by more than
 ``PENALTY * ln(trigrams)``; the prediction is the largest proportion within the chosen set.
+The fit is the set's log-likelihood a trigram, less that of no language (all cells alike).
 
-Defined results: NULL text and text without a letter are ``und`` with score 0, as is
+Defined results: NULL text and text without a letter are ``und`` with score and fit 0, as is
 everything while there are no training rows; ties go to the language that sorts first;
 training rows without text add nothing. Extra columns are ignored; repeated rows are
 predicted alike; an empty table gives an empty result. A text is used whole.
@@ -47,7 +48,6 @@ _LETTER = np.array([c if chr(c).isalpha() else 32 for c in range(0xD800)]
                    np.uint32)
 
 
-def trigrams(text: str) -> np.ndarray:
 def _letters(points: np.ndarray) -> np.ndarray:
     """The code points of letters; blanks for all others."""
     found = _LETTER[np.minimum(points, 0xFFFF)]
@@ -59,6 +59,7 @@ def _letters(points: np.ndarray) -> np.ndarray:
     return found
 
 
+def trigrams(text: str) -> np.ndarray:
     """Buckets of the text's trigrams; runs of blanks are one. Empty without a letter."""
     points = _letters(np.frombuffer(text.lower().encode("utf-32-le"), np.uint32))
     blank = points == 32
@@ -133,23 +134,23 @@ def proportions(likely: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, flo
     return share, float(counts @ np.log(share @ likely))
 
 
-def identify(found: np.ndarray, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(languages of the chosen set by proportion, their proportions)."""
+def identify(found: np.ndarray, model: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """(languages of the chosen set by proportion, their proportions, the set's fit)."""
     cells, counts = np.unique(found, return_counts=True)
     likely, counts = model[:, cells].astype(np.float64), counts.astype(np.float64)
     share, _ = proportions(likely, counts)
     order = np.argsort(-share, kind="stable")
     chosen, best = order[:1], np.ones(1)
+    _, reached = proportions(likely[chosen], counts)
     if len(order) > 1 and share[order[1]] >= LEAST_SHARE:
         fee = PENALTY * np.log(len(found) + 1)
-        _, reached = proportions(likely[chosen], counts)
         for size in range(2, int((share >= LEAST_SHARE).sum()) + 1):
             part, value = proportions(likely[order[:size]], counts)
             if value - reached <= fee:
                 break
             chosen, best, reached = order[:size], part, value
     rank = np.argsort(-best, kind="stable")
-    return chosen[rank], best[rank]
+    return chosen[rank], best[rank], reached / len(found) + np.log(BUCKETS)
 
 
 def _predictor(shared, at: int, carry: int):
@@ -157,31 +158,33 @@ def _predictor(shared, at: int, carry: int):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, model = shared.value
         for batch in batches:
-            langs, scores, sets = [], [], []
+            langs, scores, sets, fits = [], [], [], []
             for value in batch.column(at):
                 found = trigrams(value.as_py() or "")
-                chosen, share = ((), (0.0,))
+                chosen, share, fit = ((), (0.0,), 0.0)
                 if len(found) and names:
-                    chosen, share = identify(found, model)
+                    chosen, share, fit = identify(found, model)
                 langs.append(names[chosen[0]] if len(chosen) else UNKNOWN)
                 scores.append(min(1.0, float(share[0])))
                 sets.append([names[c] for c in chosen])
+                fits.append(float(fit))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:carry], pa.array(langs, pa.string()),
-                 pa.array(scores, pa.float64()), pa.array(sets, pa.list_(pa.string()))],
-                [*batch.schema.names[:carry], "lang_pred", "score", "languages"])
+                 pa.array(scores, pa.float64()), pa.array(sets, pa.list_(pa.string())),
+                 pa.array(fits, pa.float64())],
+                [*batch.schema.names[:carry], "lang_pred", "score", "languages", "fit"])
 
     return predict
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str],
             text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of ``docs`` with ``lang_pred``, ``score`` and ``languages`` (the
-    chosen set, largest proportion first)."""
+    """The columns ``keep`` of ``docs`` with ``lang_pred``, ``score``, ``languages`` (the
+    chosen set, largest proportion first) and ``fit``."""
     names = [*keep, *([] if text_col in keep else [text_col])]
     texts = docs.select(*[F.col(f"`{n}`") for n in names])
     fields = [f"`{n}` {t}" for n, t in texts.dtypes[:len(keep)]]
-    fields += ["lang_pred string", "score double", "languages array<string>"]
+    fields += ["lang_pred string", "score double", "languages array<string>", "fit double"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return texts.mapInArrow(_predictor(shared, names.index(text_col), len(keep)),
                             ", ".join(fields))

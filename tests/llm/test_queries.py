@@ -84,6 +84,21 @@ def test_op10_on_held_out_documents(spark, docs):
     assert right >= 0.97 * len(held) and all(0 <= r.score <= 1 for r in got)
 
 
+def test_language_stage_keeps_recognised_mixtures(spark):
+    """A text in three languages of equal parts stays; one in none of them goes."""
+    import random
+    r = random.Random(8)
+    sound = {"aa": "ka ta ma pa la", "bb": "strich blond kern dorf", "cc": "ooou eeau aii yeu"}
+    say = lambda k, n: " ".join("".join(r.choices(sound[k].split(), k=2)) for _ in range(n))
+    rows = [(k, say(c, 60), c) for k, c in enumerate(["aa", "bb", "cc"] * 20)]
+    rows += [(2000 + k, " ".join(say(c, n) for c, n in (("aa", 140), ("bb", 60), ("cc", 90))), None)
+             for k in range(8)]
+    rows += [(3000, "\u0436\u0449\u044b " * 40, None), (3001, "123", None), (3002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language_stage(spark, docs, "").collect()
+    assert {x.doc_id for x in kept} == {i for i, *_ in rows} - {3000, 3001, 3002}
+
+
 def test_near_stage_with_missing_and_repeated_ids(spark):
     """One of a group stays, also where an unrelated row without an id, or with the id of
     the one that stays, is kept."""
