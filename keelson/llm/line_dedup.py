@@ -1,15 +1,16 @@
-"""Line dedup (native): winnowed line fingerprints, joined positions, extended matches.
+"""Line dedup (native): runs of lines grouped by digest, pre-selected by winnowed prints.
 
 The non-blank lines of a document are hashed; a gram is the hash of ``gram`` consecutive
 lines. In each window of ``window`` consecutive grams the smallest (rightmost on ties) is
 selected as a fingerprint, so any two equal runs of at least ``gram + window - 1`` lines
 (the guarantee, 3 by default) select the same fingerprint at the same place in the run.
 
-1. Fingerprints that occur at one position only are set aside (they can't match).
-2. The others' positions are joined. Each match is extended to both sides, within the
-   windows that selected it, until it fills the guarantee length: its key is the hash of
-   those lines. The first position of every key (smallest id, then line) is taken by a
-   pre-aggregated minimum, and each position joins that one row: no pairs of copies.
+1. Every window is stored, with its fingerprint and a key: the hash of all its lines.
+   Windows whose fingerprint was selected at one position only are set aside (they can't
+   match); this filter is all that the fingerprints serve for.
+2. The first position of every key (smallest id, then line) is taken by a pre-aggregated
+   minimum, and each window of that key joins that one row: no pairs of copies. Positions of
+   fingerprints are not joined with each other, and no match is extended beyond its window.
 3. Windows that start later than the first one are deleted; adjoining ones make up the
    longest run, as extending line by line would.
 
