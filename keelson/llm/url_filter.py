@@ -6,8 +6,9 @@ probability is folded from the shortest to the longest context with Witten-Bell
 ``p = (count + kinds * p_shorter) / (total + kinds)``, so each context counts for as much
 as it has seen, and an unseen one falls back to the next shorter. A URL's score is its
 log-likelihood difference per symbol. The threshold is calibrated on the rule-decided URLs
-where the two classes' scores, each taken with that URL's own counts left out, would err
-equally often (equal distance from both means in standard deviations).
+where the two classes' scores would err equally often (equal distance from both means in
+standard deviations). It is approximate: 1 is taken off each count and context total for the
+URL itself, so what a URL adds beyond that by repeating a gram or context stays in its score.
 
 All counts are distributed: n-grams are aggregated, the few distinct longest grams get
 their probabilities from one join with the counts of all orders, and the URLs' grams look
