@@ -15,7 +15,8 @@ rarest term, in any order, in the same document.
 
 The index is never shuffled, and a passage that stands in most documents makes no hot key.
 Test items reach the tasks by broadcast in slices of at most about ``ITEM_WORDS`` words;
-a larger benchmark is searched slice by slice over the stored index.
+for a larger benchmark the documents are read, indexed and searched anew for each slice, with
+the lists of that slice's words only; every slice passes through the driver.
 
 Defined results: NULL and empty texts have no words, and documents without words are
 reported with zeros; an item without words has no window; an item of fewer than ``window``
