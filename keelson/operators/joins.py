@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SALTS = 1 << 20
-
 
 def plan_bytes(df: DataFrame) -> int:
     """Size of ``df`` as the optimizer estimates it (for a stored table with few columns
@@ -32,9 +30,11 @@ def hot_key_left_join(left: DataFrame, right: DataFrame, left_keys: list[str],
 
     A key is hot when it holds at least ``hot_share`` of the sample, so there are at most
     ``1 / hot_share`` hot keys, a proven bound: their right rows are broadcast. Left rows
-    with a hot key are served by that join and leave the shuffled join under a salted key,
-    as do rows with a NULL key, which match nothing; the rest joins by sort-merge, where no
-    key is large. Which keys count as hot does not change the result. ``right`` may hold
+    with a hot key are served by that join and rows with a NULL key match nothing; the rest
+    joins by sort-merge, where no key is large. That join is dealt by the keys and a salt: a
+    hash of the keys on both sides, or one of the whole row for the left rows it need not
+    serve, which so go to all tasks evenly (a constant salt would be folded away by the
+    optimizer, and the hot rows would meet in one task again). Which keys count as hot does not change the result. ``right`` may hold
     several rows for a key (they multiply the left rows, as in any join) as long as that
     number is small.
     """
@@ -47,14 +47,15 @@ def hot_key_left_join(left: DataFrame, right: DataFrame, left_keys: list[str],
     served = hot.join(right, [F.col(f"_hot_{b}") == right[b] for b in right_keys], "left").select(
         *[f"_hot_{b}" for b in right_keys], F.lit(True).alias("_hot"), pack.alias("_hot_row"))
     cold = right.select(*[F.col(b).alias(f"_cold_{b}") for b in right_keys],
-                        F.lit(0).alias("_cold_salt"), pack.alias("_cold_row"))
+                        F.xxhash64(*right_keys, F.lit(0)).alias("_cold_salt"),
+                        pack.alias("_cold_row"))
     # the broadcast join keeps ``left`` where it is; a hot key without a right row is
     # marked as well
     marked = left.join(F.broadcast(served), [left[a] == F.col(f"_hot_{b}")
                                              for a, b in zip(left_keys, right_keys)], "left")
     loose = F.col("_hot") | F.array_contains(F.array(*[F.col(a).isNull() for a in left_keys]), True)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(_SALTS)).cast("int") + 1
-    marked = marked.withColumn("_salt", F.when(loose, spread).otherwise(F.lit(0)))
+    marked = marked.withColumn("_salt", F.when(F.coalesce(loose, F.lit(False)), F.xxhash64(
+        *left.columns, F.lit(1))).otherwise(F.xxhash64(*left_keys, F.lit(0))))
     joined = marked.join(cold, [marked[a] == cold[f"_cold_{b}"]
                                 for a, b in zip(left_keys, right_keys)]
                          + [marked["_salt"] == cold["_cold_salt"]], "left")

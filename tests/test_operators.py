@@ -128,3 +128,31 @@ def test_hot_key_left_join_equals_left_join(spark, tmp_path):
     # besides the sample of the keys (in the broadcast and its total), ``left`` is read once
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Sample") == plan.count("parquet") - 1
+
+
+def test_hot_key_leaves_no_large_partition(spark, tmp_path):
+    """A key with a third of the rows, and NULL keys with a fifth, go to all tasks evenly."""
+    from keelson.operators.joins import hot_key_left_join
+    n, parts = 120_000, 8
+    k = (F.when(F.col("id") % 3 == 0, "h").when(F.col("id") % 5 == 1, F.lit(None))
+         .otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string"))))
+    spark.range(n).select(k.alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / "l"))
+    spark.range(5000).select(F.concat(F.lit("k"), "id").alias("rk"), "id").unionByName(
+        spark.range(1).select(F.lit("h").alias("rk"), F.lit(-1).alias("id"))).write.parquet(
+        str(tmp_path / "r"))
+    before = {c: spark.conf.get(c) for c in (
+        "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in zip(before, ("false", "-1")):
+            spark.conf.set(c, v)
+        joined = hot_key_left_join(spark.read.parquet(str(tmp_path / "l")),
+                                   spark.read.parquet(str(tmp_path / "r")), ["k"], ["rk"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        assert sum("salt" in x.split("ENSURE")[0] and "k#" in x for x in exchanges) == 2, plan
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sum(sizes) == n and len(sizes) == parts
+    assert max(sizes) < 2 * n / parts
