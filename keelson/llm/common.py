@@ -32,20 +32,23 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str,
 
     ``right[weight]`` is the number of left rows of that key. Rows of ``right`` that hold
     more than 1/1000 of all left rows number fewer than 1000 (they could not all fit
-    otherwise), so they are broadcast. Left rows they serve keep out of the shuffled
-    join's key by a salt taken from ``spread``; the others join by sort-merge or as the
-    planner decides. ``left`` is read once. NULL keys match nothing.
+    otherwise), so they are broadcast. The shuffled join, of the others, is dealt by the key
+    and a salt: a hash of the key itself on both sides, or one of ``spread`` for the left
+    rows that are served already or have a NULL key, so these go to all tasks evenly. (Both
+    kinds of salt are computed from columns: a constant one would be moved out of the join
+    key by the optimizer.) ``left`` is read once. NULL keys match nothing.
     """
     total = right.agg(F.sum(weight)).scalar()
     values = [c for c in right.columns if c != key]
     pack = F.struct(*[F.col(v) for v in values])
+    own = F.xxhash64(key, F.lit(0))
     hot = right.filter(F.col(weight) * HOT_PARTS > total).select(
         key, pack.alias("_hot"))
     cold = right.filter(F.col(weight) * HOT_PARTS <= total).select(
-        key, F.lit(0).alias("_salt"), pack.alias("_cold"))
+        key, own.alias("_salt"), pack.alias("_cold"))
     marked = left.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(spread), F.lit(1 << 20)).cast("int") + 1))
+        "_salt", F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), own)
+        .otherwise(F.xxhash64(spread, F.lit(1))))
     found = F.coalesce(F.col("_hot"), F.col("_cold"))
     return (marked.join(cold, [key, "_salt"], "left")
             .select(*[F.col(c) for c in left.columns],

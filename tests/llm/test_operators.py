@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from keelson.llm import chat_format as chat
 from keelson.llm import language_id as lang
 from keelson.llm import warc
+from keelson.llm.common import lookup
 from keelson.llm.components import components
 from keelson.llm.decontamination import decontaminate
 from keelson.llm.exact_dedup import DigestIndex, digests, exact_dedup
@@ -372,3 +373,32 @@ def test_empty_and_null_tables(spark, tmp_path, run):
     df = spark.createDataFrame([(None, None, None)] * 2, "doc_id long, text string, source string")
     assert run(spark, df.limit(0), str(tmp_path / "a")).count() == 0
     assert run(spark, df, str(tmp_path / "b")).count() == 2
+
+
+def test_lookup_leaves_no_large_partition(spark, tmp_path):
+    """A key with a third of the rows, and NULL keys with a fifth, go to all tasks evenly."""
+    n, parts = 120_000, 8
+    k = F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 5 == 1, F.lit(None)).otherwise(
+        F.col("id") % 5000)
+    spark.range(n).select(k.cast("long").alias("k"), F.col("id").alias("v")).write.parquet(
+        str(tmp_path / "left"))
+    left = spark.read.parquet(str(tmp_path / "left"))
+    right = left.filter("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"))
+    before = {c: spark.conf.get(c) for c in (
+        "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in zip(before, ("false", "-1")):
+            spark.conf.set(c, v)
+        joined = lookup(left, right, "k", "n", F.col("v"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        rows = joined.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(k#" in x]
+    assert sum("_salt#" in x for x in dealt) == 2, plan
+    count = Counter(r.k for r in rows)
+    assert all(r.n == (count[r.k] if r.k is not None else None) for r in rows)
+    sizes = Counter(r.part for r in rows)
+    assert sum(sizes.values()) == n and len(sizes) == parts
+    assert max(sizes.values()) < 2 * n / parts
