@@ -4,7 +4,64 @@ from __future__ import annotations
 
 _CONTROLS = r"([<\[])(\\*)(s>|/s>|SYS\]|INST\]|/INST\]|ROLE\]|/ROLE\])"
 
+
+
+def _merkle_sql(heights: int = 8, tops: int = 3) -> str:
+    """Trees of up to 8 ** heights rows a group and 8 ** tops groups, level by level."""
+    level = """
+{n}{h} AS (SELECT {tree}, rank // 8 AS rank, (any_value(size) + 7) // 8 AS size,
+            CASE WHEN any_value(size) = 1 THEN min(digest)
+                 ELSE sha256(string_agg(digest, '' ORDER BY rank)) END AS digest
+     FROM {n}{g} GROUP BY {tree}, rank // 8),
+{s}{g} AS (SELECT {tree}, rank, size,
+            coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING
+                                                  AND 1 PRECEDING), '') AS l,
+            coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING
+                                                  AND UNBOUNDED FOLLOWING), '') AS r
+     FROM {n}{g} WINDOW run AS (PARTITION BY {tree}, rank // 8 ORDER BY rank)),"""
+    fold = """
+{p}{h} AS (SELECT p.* REPLACE (CASE WHEN s.size = 1 THEN folded
+                               ELSE sha256(s.l || folded || s.r) END AS folded,
+                               proof || s.l || s.r AS proof)
+     FROM {p}{g} p JOIN {s}{g} s ON s.rank = p.{rank} // {step}{on}),"""
+    part = "coalesce(strlen({0}::VARCHAR) || ':' || {0}, '-')"
+    head = " || ".join(part.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    low = part.format(f"translate(text, '{upper}', '{upper.lower()}')")
+    return f"""
+WITH RECURSIVE bits(v, c, k) AS (
+  SELECT range, range, 0 FROM range(256) UNION ALL
+  SELECT v, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1
+  FROM bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY v) AS t FROM bits WHERE k = 8),
+d AS (SELECT doc_id, lang, sha256({head} || {part.format('text')}) AS leaf, sha256({head} || {low}) AS forged,
+      xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+        range(1, len(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT)),
+        lambda a, b: xor(a // 256, t[xor(a, b) % 256 + 1])), 4294967295) AS crc
+      FROM documents, crc_table),
+g AS (SELECT *, row_number() OVER w - 1 AS rank, count(*) OVER (PARTITION BY lang) AS size,
+      dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+      FROM d WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf)),
+n0 AS (SELECT tree, rank, size, leaf AS digest FROM g),""" + "".join(
+        level.format(n="n", s="s", tree="tree", g=h, h=h + 1) for h in range(heights)) + f"""
+m0 AS (SELECT 0 AS one, tree AS rank, count(*) OVER () AS size, digest FROM n{heights}),""" + "".join(
+        level.format(n="m", s="u", tree="one", g=h, h=h + 1) for h in range(tops)) + """
+p0 AS (SELECT *, CASE WHEN crc % 3 = 0 THEN forged ELSE leaf END AS folded, '' AS proof
+       FROM g),""" + "".join(
+        fold.format(p="p", s="s", g=h, h=h + 1, rank="rank", step=8 ** h, on=" AND s.tree = p.tree")
+        for h in range(heights)) + f"""
+q0 AS (SELECT * FROM p{heights}),""" + "".join(
+        fold.format(p="q", s="u", g=h, h=h + 1, rank="tree", step=8 ** h, on="")
+        for h in range(tops)) + f"""
+z AS (SELECT digest AS root FROM m{tops})
+SELECT doc_id, leaf, m0.digest AS subroot, root, sha256(proof) AS proof_sha256,
+       folded AS folded_root, folded = root AS verified
+FROM q{tops} q JOIN m0 ON m0.rank = q.tree, z
+"""
+
+
 SQL: dict[str, str] = {
+    "op13_merkle_manifest": _merkle_sql(),
     "op2_mix_sources": r"""
 WITH d AS (SELECT doc_id, source, md5(doc_id::VARCHAR || ':20') AS key,
                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size

@@ -1,7 +1,8 @@
-"""The registered queries op1 .. op10: each operator over its whole table."""
+"""The registered queries op1 .. op13: each operator over its whole table."""
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import chat_format as chat
 from keelson.llm import language_id as lang
-from keelson.llm import warc
+from keelson.llm import merkle, warc
 from keelson.llm.common import table
 from keelson.llm.decontamination import decontaminate
 from keelson.llm.exact_dedup import exact_dedup
@@ -104,7 +105,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "languages", F.array_join("languages", ","))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    manifest = merkle.build_manifest(
+        table(spark, sf_dir, "documents"),
+        claims={"text": F.when(tampered, lower).otherwise(F.col("text"))})
+    hexed = lambda c: F.lower(F.hex(c))
+    found = merkle.prove(manifest).withColumn("folded_root", merkle.fold(
+        F.col("claimed"), F.col("path")))
+    return found.select(
+        F.col("id").alias("doc_id"), hexed("leaf").alias("leaf"),
+        hexed("subroot").alias("subroot"), hexed("root").alias("root"),
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == hexed("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_mix_sources, op3_decontaminate, op4_near_dedup, op5_chat_format,
-        op6_substring_dedup, op7_exact_dedup, op8_line_dedup, op9_warc, op10_language_id)}
+        op6_substring_dedup, op7_exact_dedup, op8_line_dedup, op9_warc, op10_language_id,
+        op13_merkle_manifest)}

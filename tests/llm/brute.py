@@ -150,3 +150,48 @@ def url_rule(url, rules):
                 and len(rule) > len(best[0] or "")):
             best = (rule, verdict)
     return (host, path, *best)
+
+
+def _field(x):
+    return "-" if x is None else f"{len(str(x).encode())}:{x}"
+
+
+def _nodes(digests, fanout=8):
+    """Levels of a tree: the leaves first, one node last."""
+    levels = [digests]
+    while len(levels[-1]) > 1:
+        x = levels[-1]
+        levels.append([sha("".join(x[i:i + fanout])) for i in range(0, len(x), fanout)])
+    return levels
+
+
+def _beside(levels, i, fanout=8):
+    out = []
+    for x in levels[:-1]:
+        s = i // fanout * fanout
+        out.append(("".join(x[s:i]), "".join(x[i + 1:s + fanout])))
+        i //= fanout
+    return out
+
+
+def merkle(rows, tamper):
+    """[(id, leaf, subroot, root, proof, folded, verified)] of (id, source, lang, n, text)."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append((r, sha("".join(map(_field, r)))))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = []
+    for g in names:
+        groups[g].sort(key=lambda rl: (rl[0][0] is not None, rl[0][0] or 0, rl[1]))
+        trees.append(_nodes([leaf for _, leaf in groups[g]]))
+    top = _nodes([t[-1][0] for t in trees])
+    out = []
+    for k, g in enumerate(names):
+        for i, (r, leaf) in enumerate(groups[g]):
+            path = _beside(trees[k], i) + _beside(top, k)
+            folded = sha("".join(map(_field, tamper(r))))
+            for a, b in path:
+                folded = sha(a + folded + b)
+            out.append((r[0], leaf, trees[k][-1][0], top[-1][0],
+                        sha("".join(a + b for a, b in path)), folded, folded == top[-1][0]))
+    return out
