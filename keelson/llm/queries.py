@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from keelson.llm.exact_dedup import exact_dedup
 from keelson.llm.line_dedup import line_dedup
 from keelson.llm.mixing import mix
 from keelson.llm.near_dedup import near_dedup
+from keelson.llm.piece_codec import encode_texts, read_model
 from keelson.llm.substring_dedup import substring_dedup
 from keelson.llm.url_filter import Rule, judge_urls
 from keelson.session import scratch_dir
@@ -105,6 +107,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "languages", F.array_join("languages", ","))
 
 
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode_texts(table(spark, sf_dir, "documents"), read_model(
+        public_tokenizers.path("piece_bpe_32k.model")))
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
@@ -125,4 +136,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_mix_sources, op3_decontaminate, op4_near_dedup, op5_chat_format,
         op6_substring_dedup, op7_exact_dedup, op8_line_dedup, op9_warc, op10_language_id,
-        op13_merkle_manifest)}
+        op12_piece_codec, op13_merkle_manifest)}
