@@ -61,6 +61,24 @@ FROM q{tops} q JOIN m0 ON m0.rank = q.tree, z
 
 
 SQL: dict[str, str] = {
+    "op11_hard_negatives": """
+WITH v AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS a, v.id, a.label = v.label AS same,
+             list_inner_product(a.e, v.e)::BIGINT AS score
+      FROM v a JOIN v ON a.id <> v.id WHERE a.id % 50 = 0),
+p AS (SELECT a, id, score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id) <= 5)
+SELECT p.a AS anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.a, p.id ORDER BY n.score DESC, n.id)::INT AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same
+ AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+""",
     "op13_merkle_manifest": _merkle_sql(),
     "op2_mix_sources": r"""
 WITH d AS (SELECT doc_id, source, md5(doc_id::VARCHAR || ':20') AS key,

@@ -15,6 +15,7 @@ from keelson.llm import merkle, warc
 from keelson.llm.common import table
 from keelson.llm.decontamination import decontaminate
 from keelson.llm.exact_dedup import exact_dedup
+from keelson.llm.hard_negatives import mine_hard_negatives, prepared
 from keelson.llm.line_dedup import line_dedup
 from keelson.llm.mixing import mix
 from keelson.llm.near_dedup import near_dedup
@@ -107,6 +108,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "languages", F.array_join("languages", ","))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = prepared(table(spark, sf_dir, "embeddings"), label=moved)
+    return mine_hard_negatives(rows, F.col("id") % 50 == 0)
+
+
 def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode_texts(table(spark, sf_dir, "documents"), read_model(
         public_tokenizers.path("piece_bpe_32k.model")))
@@ -136,4 +143,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_mix_sources, op3_decontaminate, op4_near_dedup, op5_chat_format,
         op6_substring_dedup, op7_exact_dedup, op8_line_dedup, op9_warc, op10_language_id,
-        op12_piece_codec, op13_merkle_manifest)}
+        op11_hard_negatives, op12_piece_codec, op13_merkle_manifest)}

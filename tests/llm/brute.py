@@ -195,3 +195,21 @@ def merkle(rows, tamper):
             out.append((r[0], leaf, trees[k][-1][0], top[-1][0],
                         sha("".join(a + b for a, b in path)), folded, folded == top[-1][0]))
     return out
+
+
+def hard_negatives(rows, positives=5, negatives=3):
+    """{(anchor, positive, rank, negative, scores)} of (id, whole vector, label), all distinct."""
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    name = lambda r: (r[0] is None, r[0] or 0)
+    out = set()
+    for a in rows:
+        if a[0] is None or a[0] % 50:
+            continue
+        held = lambda x: max(-2 ** 63 + 1, min(2 ** 63 - 1, x))
+        scored = sorted(((-held(dot(a[1], r[1])), *name(r), r) for r in rows), key=lambda x: x[:3])
+        same = [(r, -s) for s, _, _, r in scored if r[2] == a[2] and r[0] != a[0]][:positives]
+        for p, ps in same:
+            near = [(r, -s) for s, _, _, r in scored
+                    if r[2] != a[2] and 50 * ps <= 100 * -s <= 95 * ps][:negatives]
+            out |= {(a[0], p[0], k + 1, r[0], ps, s) for k, (r, s) in enumerate(near)}
+    return out
