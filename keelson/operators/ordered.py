@@ -83,6 +83,15 @@ def dense_ids(df: DataFrame, order: Sequence[Column], id_col: str,
     return ranked.select((F.col("_kp_before") + 1).cast("bigint").alias(id_col), *cols)
 
 
+def take_first(df: DataFrame, order: Sequence[Column], weight: str, k: Column,
+               out: str = "take", partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = how many of each row's ``weight`` equal units are among the first ``k``
+    units in ``order``. ``k`` may be a scalar-subquery column."""
+    ranked = prefix_weights(df, order, F.col(weight), "_kp_before", partitions)
+    return ranked.withColumn(out, F.least(F.col(weight), F.greatest(
+        k - F.col("_kp_before"), F.lit(0)))).drop("_kp_before")
+
+
 def weighted_split_sum(df: DataFrame, order: Sequence[Column], weight: str, value: str,
                        k: Column, partitions: int | None = None) -> DataFrame:
     """Sum of ``value`` over the first ``k`` units in ``order``.
@@ -91,9 +100,7 @@ def weighted_split_sum(df: DataFrame, order: Sequence[Column], weight: str, valu
     aggregated by their order key). Returns one row: ``head_value`` (sum over the first
     ``k`` units) and ``total_value``. ``k`` may be a scalar-subquery column.
     """
-    ranked = prefix_weights(df, order, F.col(weight), "_kp_before", partitions)
-    take = F.least(F.col(weight), F.greatest(k - F.col("_kp_before"), F.lit(0)))
-    return ranked.agg(
-        F.coalesce(F.sum(take * F.col(value)), F.lit(0)).alias("head_value"),
+    return take_first(df, order, weight, k, "_kp_take", partitions).agg(
+        F.coalesce(F.sum(F.col("_kp_take") * F.col(value)), F.lit(0)).alias("head_value"),
         F.coalesce(F.sum(F.col(weight) * F.col(value)), F.lit(0)).alias("total_value"),
     )

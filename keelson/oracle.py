@@ -13,7 +13,33 @@ from __future__ import annotations
 
 AS_OF = "2001-07-01 00:00:00"
 
-_BASE = """
+
+def _exact(x: str, where: str = "") -> str:
+    """The exact sum of a double column, rounded to a double once: its whole parts and the 84
+    bits below 1 are summed as 128-bit integers and all digits of the sum are read as text."""
+    one, top = 2 ** 84, 2 ** 63
+    sums = (f"{{'w': sum(CAST(trunc({x}) AS HUGEINT)){where}, "
+            f"'f': sum(CAST(({x} - trunc({x})) * {2.0 ** 84!r} AS HUGEINT)){where}}}")
+    down = f"{{'w': a.w + (a.f - (a.f % {one} + {one}) % {one}) // {one}, 'f': (a.f % {one} + {one}) % {one}}}"
+    size = (f"{{'s': CASE WHEN b.w < 0 THEN '-' ELSE '' END, 'w': CASE WHEN b.w < 0 THEN -b.w - "
+            f"CASE WHEN b.f > 0 THEN 1 ELSE 0 END ELSE b.w END, "
+            f"'f': CASE WHEN b.w < 0 THEN ({one} - b.f) % {one} ELSE b.f END}}")
+    rest, digits = f"c.f // {2 ** 21}", ""
+    for _ in range(4):
+        digits += f" || lpad(CAST(({rest}) * {10 ** 18} // {top} AS VARCHAR), 18, '0')"
+        rest = f"({rest}) * {10 ** 18} % {top}"
+    text = (f"CAST(c.s || CAST(c.w AS VARCHAR) || '.'{digits} || "
+            f"CASE WHEN c.f % {2 ** 21} > 0 THEN '1' ELSE '0' END AS DOUBLE)")
+    let = lambda v, n, body: f"list_transform([{v}], lambda {n}: {body})[1]"
+    return let(sums, "a", let(down, "b", let(size, "c", text)))
+
+
+def _cents(x: str) -> str:
+    """A double rounded half up to 2 decimals, from its shortest text."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), 2) AS DOUBLE)"
+
+
+_BASE = f"""
 geo AS (
   SELECT n.n_nationkey, n.n_name, r.r_name
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
@@ -154,7 +180,7 @@ flat AS (
   LEFT JOIN dim_time t ON f.time_id = t.time_id
 ),
 cat AS (
-  SELECT category, sum(CAST(sales AS DECIMAL(20,4))) AS sales, sum(CAST(profit AS DECIMAL(20,4))) AS profit, count(*) AS n
+  SELECT category, {_exact('sales')} AS sales, {_exact('profit')} AS profit, count(*) AS n
   FROM flat WHERE category IS NOT NULL GROUP BY category
 )"""
 
@@ -192,12 +218,12 @@ q("dim_context", "SELECT ref_ts, round(oil_price, 6) AS oil_price FROM dim_conte
 for _t in ("dim_time", "dim_logistics", "dim_product", "dim_customer_geo",
            "fact_sales", "fact_sales_geo2", "flat"):
     q("flatten_star" if _t == "flat" else _t, f"SELECT * FROM {_t}")
-q("category_kpis", """
+q("category_kpis", f"""
 SELECT p.category,
        CAST(count(f.product_id) AS BIGINT) AS total_orders,
-       CAST(round(CAST(sum(CAST(f.sales AS DECIMAL(20,4))) AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales,
+       {_cents(_exact('f.sales'))} AS total_sales,
        CAST(round(CAST(avg(f.daily_oil_price) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_oil_price,
-       CAST(round(CAST(sum(CAST(f.profit AS DECIMAL(20,4))) AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_profit
+       {_cents(_exact('f.profit'))} AS total_profit
 FROM fact_sales f JOIN dim_product p ON f.product_id = p.product_id
 GROUP BY p.category
 ORDER BY total_sales DESC, p.category
@@ -225,8 +251,8 @@ SELECT "check", value FROM (
   UNION ALL SELECT 12, 'null_groups.dim_context', CAST(count(*) AS BIGINT) FROM dim_context WHERE ref_ts IS NULL
   UNION ALL SELECT 13, 'fanout.fact_minus_silver',
      CAST((SELECT count(*) FROM fact_sales) - (SELECT count(*) FROM silver) AS BIGINT))""")
-q("fact_integrity", """
-SELECT CAST(count(*) AS BIGINT) AS rows, CAST(round(CAST(sum(CAST(sales AS DECIMAL(20,4))) AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales,
+q("fact_integrity", f"""
+SELECT CAST(count(*) AS BIGINT) AS rows, {_cents(_exact('sales'))} AS total_sales,
        round(avg(profit), 6) AS avg_profit FROM fact_sales""")
 q("flatten_star_partial", """
 SELECT f.time_id, f.full_date, f.product_id, f.customer_geo_id, f.logistics_id,
@@ -242,17 +268,17 @@ def _kpi(rel: str, status: bool = True, category: bool = True) -> tuple[str, str
            else "CAST(NULL AS VARCHAR)")
     worst = ("(SELECT category FROM kc ORDER BY p ASC, category LIMIT 1)" if category
              else "CAST(NULL AS VARCHAR)")
-    kc = ("SELECT category, sum(CAST(sales AS DECIMAL(20,4))) AS s, sum(CAST(profit AS DECIMAL(20,4))) AS p FROM k_src "
+    kc = (f"SELECT category, {_exact('sales')} AS s, {_exact('profit')} AS p FROM k_src "
           "WHERE category IS NOT NULL GROUP BY category") if category else "SELECT 1 AS x"
     ctes = f""",
 k_src AS (SELECT * FROM {rel}),
-kg AS (SELECT coalesce(sum(CAST(sales AS DECIMAL(20,4))), 0.0) AS total_sales, coalesce(sum(CAST(profit AS DECIMAL(20,4))), 0.0) AS total_profit,
+kg AS (SELECT coalesce({_exact('sales')}, 0.0) AS total_sales, coalesce({_exact('profit')}, 0.0) AS total_profit,
               CAST(count(*) AS BIGINT) AS total_orders, avg(oil_price) AS oil_avg,
               stddev_samp(oil_price) AS oil_std, {late} AS late_rate FROM k_src),
 kr AS (SELECT sales, row_number() OVER (ORDER BY full_date ASC NULLS LAST, sales ASC) AS rn,
               count(*) OVER () AS n FROM k_src),
-kh AS (SELECT coalesce(sum(CAST(sales AS DECIMAL(20,4))) FILTER (WHERE rn <= n // 2), 0.0) AS first_half,
-              coalesce(sum(CAST(sales AS DECIMAL(20,4))) FILTER (WHERE rn > n // 2), 0.0) AS second_half FROM kr),
+kh AS (SELECT coalesce({_exact('sales', ' FILTER (WHERE rn <= n // 2)')}, 0.0) AS first_half,
+              coalesce({_exact('sales', ' FILTER (WHERE rn > n // 2)')}, 0.0) AS second_half FROM kr),
 kc AS ({kc}),
 kpi AS (
   SELECT total_sales, total_profit,
@@ -265,8 +291,8 @@ kpi AS (
          first_half, second_half
   FROM kg, kh
 )"""
-    select = """
-SELECT CAST(round(CAST(total_sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(total_profit AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_profit,
+    select = f"""
+SELECT {_cents('total_sales')} AS total_sales, {_cents('total_profit')} AS total_profit,
        round(margin_pct, 6) AS margin_pct, total_orders, round(avg_ticket, 6) AS avg_ticket,
        round(oil_avg, 6) AS oil_avg, round(oil_std, 6) AS oil_std, round(late_rate, 6) AS late_rate,
        round(on_time_rate, 6) AS on_time_rate, round(sales_trend_pct, 6) AS sales_trend_pct,
@@ -290,8 +316,8 @@ SELECT cust_city, CAST(count(*) AS BIGINT) AS late_count FROM {_FLAT_GEO2}
 WHERE delivery_status = 'Late delivery' AND cust_city IS NOT NULL
 GROUP BY cust_city ORDER BY late_count DESC, cust_city LIMIT 10""")
 _sel, _ctes = _kpi("flat")
-q("sales_trend", """
-SELECT CAST(round(CAST(first_half AS DECIMAL(38,4)), 2) AS DOUBLE) AS first_half, CAST(round(CAST(second_half AS DECIMAL(38,4)), 2) AS DOUBLE) AS second_half,
+q("sales_trend", f"""
+SELECT {_cents('first_half')} AS first_half, {_cents('second_half')} AS second_half,
        round(sales_trend_pct, 6) AS trend_pct FROM kpi""", _ctes)
 q("best_worst_category", "SELECT top_category, worst_category FROM kpi", _ctes)
 q("distinct_counts", """
@@ -302,12 +328,12 @@ q("silver_distinct_counts", """
 SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT cust_country) AS BIGINT) AS n_cust_country,
        CAST(count(DISTINCT category) AS BIGINT) AS n_category,
        CAST(count(DISTINCT cust_city) AS BIGINT) AS n_cust_city FROM silver""")
-q("daily_sales_vs_price", """
-SELECT date_trunc('day', full_date)::TIMESTAMP AS day, CAST(round(CAST(sum(CAST(sales AS DECIMAL(20,4))) AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales,
+q("daily_sales_vs_price", f"""
+SELECT date_trunc('day', full_date)::TIMESTAMP AS day, {_cents(_exact('sales'))} AS total_sales,
        round(avg(oil_price), 6) AS avg_oil_price
 FROM flat WHERE full_date IS NOT NULL GROUP BY 1 ORDER BY 1""")
-q("category_mix_top5", """
-SELECT category, CAST(round(CAST(sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales, round(sales / sum(sales) OVER () * 100, 6) AS share_pct
+q("category_mix_top5", f"""
+SELECT category, {_cents('sales')} AS total_sales, round(sales / sum(sales) OVER () * 100, 6) AS share_pct
 FROM (SELECT category, sales FROM cat ORDER BY sales DESC, category LIMIT 5)""")
 _LATE = """late AS (SELECT cust_city, CAST(count(*) AS BIGINT) AS late_count FROM flat
           WHERE delivery_status = 'Late delivery' AND cust_city IS NOT NULL GROUP BY cust_city)"""
@@ -316,8 +342,8 @@ q("late_city_top10", "SELECT cust_city, late_count FROM late ORDER BY late_count
 q("late_city_top3_total", """
 SELECT CAST(coalesce(sum(late_count), 0) AS BIGINT) AS late_top_total
 FROM (SELECT late_count FROM late ORDER BY late_count DESC, cust_city LIMIT 3)""", ",\n" + _LATE)
-q("lowest_margin_categories", """
-SELECT category, CAST(round(CAST(sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(profit AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_profit,
+q("lowest_margin_categories", f"""
+SELECT category, {_cents('sales')} AS total_sales, {_cents('profit')} AS total_profit,
        round(CASE WHEN sales <> 0 THEN profit / sales * 100 END, 6) AS margin_pct
 FROM cat ORDER BY CASE WHEN sales <> 0 THEN profit / sales * 100 END ASC NULLS LAST, category LIMIT 8""")
 _SM = """sm_src AS (SELECT delivery_status, ship_mode FROM flat
@@ -330,8 +356,8 @@ SELECT s.delivery_status, m.ship_mode, CAST(coalesce(c.n, 0) AS BIGINT) AS n
 FROM sm_s s CROSS JOIN sm_m m
 LEFT JOIN sm_c c ON c.delivery_status = s.delivery_status AND c.ship_mode = m.ship_mode""",
   ",\n" + _SM)
-q("category_quadrants", """
-SELECT category, CAST(round(CAST(sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(profit AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_profit,
+q("category_quadrants", f"""
+SELECT category, {_cents('sales')} AS total_sales, {_cents('profit')} AS total_profit,
        round(margin_pct, 6) AS margin_pct, round(share_pct, 6) AS share_pct,
        round(avg(margin_pct) OVER (), 6) AS avg_margin_pct,
        round(avg(share_pct) OVER (), 6) AS avg_share_pct
@@ -339,8 +365,8 @@ FROM (SELECT category, sales, profit,
              CASE WHEN sales <> 0 THEN profit / sales * 100 END AS margin_pct,
              sales / sum(sales) OVER () * 100 AS share_pct
       FROM (SELECT * FROM cat ORDER BY sales DESC, category LIMIT 15))""")
-q("champion_categories", """
-SELECT category, CAST(round(CAST(sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales, CAST(round(CAST(profit AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_profit,
+q("champion_categories", f"""
+SELECT category, {_cents('sales')} AS total_sales, {_cents('profit')} AS total_profit,
        round(CASE WHEN sales <> 0 THEN profit / sales * 100 END, 6) AS margin_pct,
        CAST(row_number() OVER (ORDER BY profit DESC, category) AS BIGINT) AS rank
 FROM (SELECT * FROM cat ORDER BY profit DESC, category LIMIT 5)""")
@@ -386,21 +412,21 @@ SELECT section, position, label, value FROM (
   UNION ALL SELECT 'commercial', 4, 'Total orders', {_fmt('total_orders', ',')} FROM kpi)""", _ctes)
 SQL["silver_from_csv"] = SQL["silver"]
 
-_PRICES = """prices AS (
+_PRICES = f"""prices AS (
   SELECT date_trunc('week', o_orderdate)::TIMESTAMP AS price_day,
          round(avg(o_totalprice) / 1000, 2) AS price
   FROM orders GROUP BY 1
 ),
 days AS (
-  SELECT date_trunc('day', full_date)::TIMESTAMP AS day, sum(CAST(sales AS DECIMAL(20,4))) AS total_sales
+  SELECT date_trunc('day', full_date)::TIMESTAMP AS day, {_exact('sales')} AS total_sales
   FROM flat WHERE full_date IS NOT NULL GROUP BY 1
 ),
 days_px AS (
   SELECT d.day, d.total_sales, p.price_day, p.price
   FROM days d ASOF LEFT JOIN prices p ON d.day >= p.price_day
 )"""
-q("price_asof_sales", """
-SELECT day, CAST(round(CAST(total_sales AS DECIMAL(38,4)), 2) AS DOUBLE) AS total_sales,
+q("price_asof_sales", f"""
+SELECT day, {_cents('total_sales')} AS total_sales,
        price_day, round(price, 6) AS price FROM days_px""", ",\n" + _PRICES)
 q("sales_price_corr", """
 SELECT CAST(count(price) AS BIGINT) AS days, round(corr(total_sales, price), 6) AS corr_sales_price

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.numbers import money_sum
+from keelson.functions.numbers import money_sum, money_value
 from keelson.plans.star import DIM_NAMES, Star
 
 AUDIT_CHECKS = (
@@ -52,4 +52,5 @@ def audit_star(star: Star, silver: DataFrame) -> DataFrame:
 def fact_integrity(fact: DataFrame) -> DataFrame:
     """One row: fact rows, total revenue, mean profit (A2)."""
     return fact.agg(F.count("*").cast("bigint").alias("rows"),
-                    money_sum("sales").cast("double").alias("total_sales"), F.avg("profit").alias("avg_profit"))
+                    money_value(money_sum("sales")).alias("total_sales"),
+                    F.avg("profit").alias("avg_profit"))

@@ -17,7 +17,7 @@ would be one task; instead (``half_split``):
    offsets) -> the timestamps entirely in the first half, and the one boundary
    timestamp that straddles ``n // 2``;
 3. only the boundary timestamp's rows need ordering by revenue: they are aggregated per
-   revenue value and split with ``weighted_split_sum`` (same operator, so a boundary
+   revenue value and split with ``take_first`` (same operator, so a boundary
    group holding a third of all rows is still spread over all tasks).
 
 Rows equal in both timestamp and revenue are interchangeable, so the result does not
@@ -26,14 +26,14 @@ depend on the order among them.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.config import LATE_DELIVERY
-from keelson.functions.numbers import money_sum, safe_ratio
-from keelson.operators.ordered import prefix_weights, weighted_split_sum
+from keelson.functions.numbers import (
+    money_fraction, money_sum, money_total, money_value, safe_ratio,
+)
+from keelson.operators.ordered import prefix_weights, take_first
 from keelson.plans.flatten import DIM_ATTRS, by_ids
 from keelson.plans.marts import category_mart, has
 from keelson.plans.star import Star
@@ -51,7 +51,8 @@ def half_split(flat: DataFrame) -> tuple[float, float]:
     before, c = F.col("before"), F.col("c")
     straddles = (before < k) & (before + c > k)
     res = ranked.agg(
-        F.sum(F.when(before + c <= k, F.col("s"))).alias("head"), F.sum("s").alias("total"),
+        money_total(F.when(before + c <= k, F.col("s"))).alias("head"),
+        money_total("s").alias("total"),
         # at most one timestamp straddles the split point
         # (the timestamp travels as text: a Python datetime literal would pick up the
         # driver's time zone)
@@ -60,14 +61,13 @@ def half_split(flat: DataFrame) -> tuple[float, float]:
     ).first()
     if res is None:
         return 0.0, 0.0
-    head, total = res["head"] or Decimal(0), res["total"] or Decimal(0)
+    head, total = money_fraction(res["head"]), money_fraction(res["total"])
     if res["boundary"]:
         b = res["boundary"][0]
         rows = flat.filter(ts.eqNullSafe(F.lit(b["ts"]).cast("timestamp_ntz")))  # NULL-safe
-        per_value = rows.groupBy(F.col("sales").cast("decimal(20,4)").alias("sales")).agg(
-            F.count("*").alias("c"))
-        head += weighted_split_sum(per_value, [F.col("sales").asc()], "c", "sales",
-                                   F.lit(int(b["need"]))).first()["head_value"]
+        per_value = rows.groupBy("sales").agg(F.count("*").alias("c"))
+        taken = take_first(per_value, [F.col("sales").asc()], "c", F.lit(int(b["need"])))
+        head += money_fraction(taken.agg(money_sum("sales", F.col("take")).alias("s")).first()["s"])
     return float(head), float(total - head)
 
 
@@ -79,7 +79,8 @@ def sales_trend(flat: DataFrame) -> DataFrame:
     """One row: ``first_half, second_half, trend_pct``."""
     spark = flat.sparkSession
     if not has(flat, "full_date"):
-        first, second = 0.0, float(flat.agg(money_sum("sales")).first()[0] or 0)
+        first, second = 0.0, float(money_fraction(
+            flat.agg(money_sum("sales").alias("s")).first()["s"]))
         return spark.range(1).select(F.lit(first).alias("first_half"),
                                      F.lit(second).alias("second_half"),
                                      F.lit(0.0).alias("trend_pct"))
@@ -105,8 +106,8 @@ def best_worst(flat: DataFrame, mart: DataFrame | None = None) -> tuple[Column,
 
 
 def _global_columns(flat: DataFrame) -> list[Column]:
-    sales = F.coalesce(money_sum("sales").cast("double"), F.lit(0.0))
-    profit = F.coalesce(money_sum("profit").cast("double"), F.lit(0.0))
+    sales = F.coalesce(money_value(money_sum("sales")), F.lit(0.0))
+    profit = F.coalesce(money_value(money_sum("profit")), F.lit(0.0))
     cols = [sales.alias("total_sales"), profit.alias("total_profit"),
             F.count("*").cast("bigint").alias("total_orders")]
     if has(flat, "oil_price"):
@@ -210,15 +211,16 @@ def star_kpi_aggregates(star: Star) -> DataFrame:
         "np": F.count("daily_oil_price")})
     late = F.when(F.col("delivery_status") == LATE_DELIVERY, F.col("n")).otherwise(F.lit(0))
     whole = rows.agg(
-        F.coalesce(F.sum("s").cast("double"), F.lit(0.0)).alias("total_sales"),
-        F.coalesce(F.sum("p").cast("double"), F.lit(0.0)).alias("total_profit"),
+        F.coalesce(money_value(money_total("s")), F.lit(0.0)).alias("total_sales"),
+        F.coalesce(money_value(money_total("p")), F.lit(0.0)).alias("total_profit"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_orders"), F.sum("po").alias("po"),
         F.sum("pp").alias("pp"), F.sum("np").alias("np"), F.sum(late).alias("late"))
     mean = F.try_divide(F.col("po"), F.col("np"))
     spread = (F.col("pp") * F.col("np") - F.col("po") * F.col("po")).cast("double")
     pairs = F.col("np").cast("double") * (F.col("np") - 1)
     mart = rows.filter(F.col("category").isNotNull()).groupBy("category").agg(
-        F.sum("s").cast("double").alias("total_sales"), F.sum("p").cast("double").alias("total_profit"))
+        money_value(money_total("s")).alias("total_sales"),
+        money_value(money_total("p")).alias("total_profit"))
     top, worst = best_worst(rows, mart)
     return whole.select(
         "total_sales", "total_profit", F.col("total_orders").cast("bigint").alias("total_orders"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from keelson.config import LATE_DELIVERY
 from keelson.functions.dates import day_start
-from keelson.functions.numbers import money_sum
+from keelson.functions.numbers import money_sum, money_total, money_value
 from keelson.plans.flatten import by_ids
 from keelson.plans.star import Star
 
@@ -24,8 +24,8 @@ def has(df: DataFrame, *cols: str) -> bool:
 def category_mart(flat: DataFrame) -> DataFrame:
     """``(category, total_sales, total_profit, orders)``; NULL category dropped."""
     return (flat.filter(F.col("category").isNotNull()).groupBy("category")
-            .agg(money_sum("sales").cast("double").alias("total_sales"),
-                 money_sum("profit").cast("double").alias("total_profit"),
+            .agg(money_value(money_sum("sales")).alias("total_sales"),
+                 money_value(money_sum("profit")).alias("total_profit"),
                  F.count("*").cast("bigint").alias("orders")))
 
 
@@ -34,8 +34,8 @@ def star_category_mart(star: Star) -> DataFrame:
     rows = by_ids(star, ["product"], {"s": money_sum("sales"), "p": money_sum("profit"),
                                       "n": F.count("*")})
     return (rows.filter(F.col("category").isNotNull()).groupBy("category")
-            .agg(F.sum("s").cast("double").alias("total_sales"),
-                 F.sum("p").cast("double").alias("total_profit"),
+            .agg(money_value(money_total("s")).alias("total_sales"),
+                 money_value(money_total("p")).alias("total_profit"),
                  F.sum("n").cast("bigint").alias("orders")))
 
 
@@ -62,7 +62,7 @@ def daily_sales_vs_price(flat: DataFrame) -> DataFrame:
     """Revenue and mean oil price per calendar day (A16, F7); readers sort it."""
     day = day_start(F.col("full_date"))
     return (flat.filter(F.col("full_date").isNotNull()).groupBy(day.alias("day"))
-            .agg(money_sum("sales").cast("double").alias("total_sales"),
+            .agg(money_value(money_sum("sales")).alias("total_sales"),
                  F.avg("oil_price").alias("avg_oil_price")))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.numbers import money_sum, round_money
+from keelson.functions.numbers import money_sum, money_total, money_value, round_money
 
 TOP_CATEGORIES = 5
 
@@ -27,9 +27,9 @@ def category_kpis(fact: DataFrame, dim_product: DataFrame,
     # both sides have one row per id, so the planner may choose any join
     by_cat = per_id.join(dim_product.select("product_id", "category"), "product_id").groupBy("category").agg(
         F.sum("n").cast("bigint").alias("total_orders"),
-        round_money(F.sum("s")).alias("total_sales"),
+        round_money(money_value(money_total("s"))).alias("total_sales"),
         round_money(F.try_divide(F.sum("po"), F.sum("no"))).alias("avg_oil_price"),
-        round_money(F.sum("p")).alias("total_profit"))
+        round_money(money_value(money_total("p"))).alias("total_profit"))
     return by_cat.orderBy(F.col("total_sales").desc_nulls_last(), F.col("category")).limit(top)
 
 

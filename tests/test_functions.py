@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from keelson.functions.casts import to_double, to_int_half_even, to_timestamp_ntz
 from keelson.functions.dates import date_parts
-from keelson.functions.numbers import pct, round_money
+from keelson.functions.numbers import (
+    money_fraction, money_sum, money_total, money_value, pct, round_money,
+)
 from keelson.functions.text import fmt_fixed, fmt_signed
 
 
@@ -89,3 +93,40 @@ def test_number_text_grouping_only_when_asked(spark):
     row = df.select(fmt_fixed(F.col("v"), 1), fmt_fixed(F.col("v"), 1, grouping=False),
                     fmt_signed(F.col("v"), 1)).first()
     assert tuple(row) == ("1,234.2", "1234.2", "+1234.2")
+
+
+MONEY = {
+    "nine": lambda r: [round(r.uniform(-1e6, 1e6), 9) for _ in range(4000)],
+    "verdict": lambda r: [314.64004] * 5000 + [0.00004] * 5000,
+    "mixed": lambda r: [r.choice([1, -1]) * 10 ** r.uniform(-8, 15) for _ in range(2000)],
+    "half": lambda r: [88782.0864, 97904.2086],  # exactly between two doubles
+    "cancel": lambda r: [1e16, 1.0, -1e16] * 300 + [0.1] * 10,
+    "large": lambda r: [1e17] * 300 + [9e18] * 2000 + [-0.5],
+    "negative": lambda r: [-0.1] * 1000 + [-7.0], "zero": lambda r: [0.0, -0.0],
+    "inf": lambda r: [1.0, math.inf], "huge": lambda r: [1e300, 5.0], "null": lambda r: [None],
+}
+
+
+def test_money_sums_equal_fsum(spark):
+    """Whatever the order, in one step or two: the double nearest to the exact sum."""
+    r = random.Random(1)
+    cases = {k: f(r) for k, f in MONEY.items()}
+    rows = [(k, x) for k, v in cases.items() for x in v]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, x double").repartition(7)
+    direct = {x.k: x for x in df.groupBy("k").agg(
+        money_sum("x").alias("s"), money_value(money_sum("x")).alias("v")).collect()}
+    staged = {x.k: x.v for x in df.groupBy("k", F.abs(F.hash("x")) % 5).agg(
+        money_sum("x").alias("s")).groupBy("k").agg(money_value(money_total("s")).alias("v")).collect()}
+    for k, v in cases.items():
+        want = None if v == [None] else math.fsum(v)
+        assert direct[k].v == want and staged[k] == want, k
+        assert float(money_fraction(direct[k].s)) == (want or 0.0), k
+    opposite = spark.createDataFrame([(math.inf,), (-math.inf,)], "x double")
+    assert math.isnan(opposite.agg(money_value(money_sum("x"))).first()[0])
+
+
+def test_money_sum_times(spark):
+    df = spark.createDataFrame([(0.1, 3), (-2.7, 0), (1e15, 7)], "x double, n long")
+    got = df.agg(money_value(money_sum("x", F.col("n")))).first()[0]
+    assert got == math.fsum([0.1] * 3 + [1e15] * 7)
