@@ -89,6 +89,24 @@ def chunks(normal: str) -> list[str]:
     return out + [MARK * (run - 1)] if run else out
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers from 0 to 2^32 - 1 byte by byte (all lowest bytes first), compressed."""
+    wide = np.ascontiguousarray(values, "<u4")
+    used = max(1, (int(wide.max(initial=0)).bit_length() + 7) // 8)
+    planes = wide.view(np.uint8).reshape(-1, 4)[:, :used].T.tobytes()
+    return bytes([used]) + len(wide).to_bytes(8, "little") + pa.compress(
+        planes, "zstd", asbytes=True)
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    used, n = data[0], int.from_bytes(data[1:9], "little")
+    wide = np.zeros((n, 4), np.uint8)
+    if n:
+        wide[:, :used] = np.frombuffer(
+            pa.decompress(data[9:], used * n, "zstd", asbytes=True), np.uint8).reshape(used, n).T
+    return wide.reshape(-1).view("<u4").astype(np.int32)
+
+
 def _packed(values: pa.Array) -> bytes:
     sink = pa.BufferOutputStream()
     batch = pa.record_batch([values], ["v"])
@@ -152,7 +170,7 @@ def _coder(model: bytes, groups: int, pack_chars: int, wanted: str):
                         [names, pa.array(size)], ["id", "size"])
                     yield pa.RecordBatch.from_arrays(
                         [*key, pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), docs),
-                         pa.array([_packed(pa.array(codes))], pa.binary())],
+                         pa.array([_planes(codes)], pa.binary())],
                         ["batch", "mark", "docs", "codes"])
 
     return code
@@ -175,9 +193,12 @@ def _segmenter(model: bytes):
         coded = pa.chunked_array(packets, pa.string()).combine_chunks().dictionary_encode()
         ids = segment(_codec(model), coded.dictionary.to_pylist())
         ends = np.cumsum([0, *map(len, packets)])
-        answers = [_packed(ids.take(coded.indices[a:b])) for a, b in zip(ends[:-1], ends[1:])]
+        found = [ids.take(coded.indices[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+        lengths = [_planes(np.diff(f.offsets.to_numpy())) for f in found]
+        numbers = [_planes(f.flatten().to_numpy()) for f in found]
         return table.drop_columns(["packet"]).append_column(
-            "answer", pa.array(answers, pa.binary()))
+            "lengths", pa.array(lengths, pa.binary())).append_column(
+            "ids", pa.array(numbers, pa.binary()))
 
     return answer
 
@@ -202,14 +223,15 @@ def _joiner(model: bytes, id_type: pa.DataType):
         table, end = surfaces(codec), codec.eos_id()
         for rows in batches:
             for docs, codes, answers in zip(rows.column(0), rows.column(1), rows.column(2)):
-                given = [_unpacked(a.as_py()["answer"]) for a in answers] if answers.is_valid else []
+                given = answers.as_py() or []
                 # one more "chunk" for the end id
-                ids = pa.chunked_array([*given, pa.array([[end]], pa.list_(pa.int32()))]
-                                       ).combine_chunks()
-                places = _unpacked(codes.as_py()).to_numpy(False)
-                if len(places) and places.max() >= len(ids) - 1:
+                offsets = np.cumsum(np.concatenate(
+                    [[0], *[_numbers(a["lengths"]) for a in given], [1]]))
+                flat = pa.array(np.concatenate(
+                    [*[_numbers(a["ids"]) for a in given], [end]]).astype(np.int32))
+                places, last = _numbers(codes.as_py()), len(offsets) - 2
+                if len(places) and places.max() >= last:
                     raise RuntimeError("the input changed between two reads: no answer for it")
-                offsets, flat = ids.offsets.to_numpy(), ids.values
                 sizes = docs.values.field("size").to_numpy(False)
                 # decoded: the surfaces of each chunk, then of each document
                 text = pc.binary_join(pa.LargeListArray.from_arrays(
@@ -219,7 +241,7 @@ def _joiner(model: bytes, id_type: pa.DataType):
                     pa.array(starts, pa.int64()), text.take(pa.array(places))), b"")
                 # the first marker of a text is the dummy prefix
                 decoded = pc.utf8_slice_codeunits(whole.cast(pa.string()), 1)
-                ended = np.insert(places, starts[1:], len(ids) - 1)
+                ended = np.insert(places, starts[1:], last)
                 count = np.diff(offsets)[ended]
                 upto = np.cumsum(count)
                 at = np.repeat(offsets[ended] - (upto - count), count) + np.arange(
@@ -246,9 +268,9 @@ def encode_texts(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col
     packets = texts.mapInArrow(_coder(model, groups, pack_chars, "packets"),
                                f"{key}, group long, packet binary")
     answers = packets.groupBy("group").applyInArrow(
-        _segmenter(model), f"{key}, group long, answer binary")
+        _segmenter(model), f"{key}, group long, lengths binary, ids binary")
     answered = answers.groupBy("batch", "mark").agg(F.sort_array(F.collect_list(
-        F.struct("group", "answer"))).alias("answers"))
+        F.struct("group", "lengths", "ids"))).alias("answers"))
     coded = texts.mapInArrow(_coder(model, groups, pack_chars, "codes"),
                              f"{key}, docs array<struct<id: {id_type}, size: int>>, codes binary")
     return coded.join(answered, ["batch", "mark"], "left").select(
