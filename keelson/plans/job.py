@@ -5,6 +5,10 @@ file and price quotes: read bronze, land the quotes and take the price constant,
 silver, write silver, build and write the star, audit it. Each stage's failure propagates
 (the reference swallowed errors and went on with stale files).
 
+A batch writes into a run folder of its own below its output folder and is published by a
+manifest that is written last (``sources/runs.py``): readers open the run published last, whole;
+a batch that dies half-way leaves the one before it as it was.
+
 ``gold(spark, sf_dir)`` builds the same tables once per session and input folder under
 the session's scratch folder and returns them read back from Parquet; queries then start
 from stored tables, as the reference's analysis reads its gold files. The tables and all
@@ -20,16 +24,16 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from keelson.config import DEFAULT_CLEAN, DEFAULT_STAR, CleanConfig, StarConfig
-from keelson.plans.star import Star, build_star, read_star
+from keelson.plans.star import Star, build_star
 from keelson.plans.silver import fill_orders, keep_valid, typed_orders
-from keelson.session import input_stamp, scratch_dir, session_key
+from keelson.session import hadoop_path, input_stamp, scratch_dir, session_key
 from keelson.sources.csv_bronze import LATIN1, dropped_lines, land_bronze_csv
 from keelson.sources.fixtures import bronze_orders, quotes_from_events
 from keelson.sources.quotes import land_quotes, oil_price_value
-from keelson.sources.tables import read_if_present, table_path
+from keelson.sources.runs import current_run, new_run, publish
+from keelson.sources.tables import table_path
 
 #: Tables that gold is derived from, and how long a session may go on using it.
 GOLD_INPUT = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -91,18 +95,18 @@ def _stamp(spark: SparkSession, sf_dir: str) -> str:
     return input_stamp(spark, [table_path(sf_dir, t) for t in GOLD_INPUT])
 
 
-def _finish(spark: SparkSession, g: Gold, stamp: str, clean: CleanConfig, star: StarConfig,
-            as_of, dropped: DataFrame | None) -> dict[str, DataFrame]:
-    """Write the audits and the origin of a batch; return its tables."""
+def _finish(spark: SparkSession, g: Gold, out_dir: str, stamp: str, clean: CleanConfig,
+            star: StarConfig, as_of, dropped: DataFrame | None) -> dict[str, DataFrame]:
+    """Write the audits of a batch and publish it; return its tables."""
     from keelson.plans.audit import audit_star
     from keelson.plans.quality import quality_report
 
     root = g.root
     quality_report(g.typed, as_of, dropped).write.mode("overwrite").parquet(f"{root}/quality")
     audit_star(g.star, g.silver).write.mode("overwrite").parquet(f"{root}/audit")
-    spark.range(1).select(F.lit(stamp).alias("stamp"), F.lit(repr(clean)).alias("clean"),
-                          F.lit(repr(star)).alias("star")
-                          ).write.mode("overwrite").parquet(f"{root}/origin")
+    publish(spark, out_dir, root, {
+        "stamp": stamp, "clean": repr(clean), "star": repr(star), "oil_price": g.oil_price,
+        "silver_rows": g.silver_rows, "star_rows": g.star.rows})
     return {"silver": g.silver, **g.star.tables,
             "quality": spark.read.parquet(f"{root}/quality"),
             "audit": spark.read.parquet(f"{root}/audit")}
@@ -112,11 +116,11 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
         clean: CleanConfig = DEFAULT_CLEAN, star: StarConfig = DEFAULT_STAR,
         as_of: dt.datetime | str | None = None) -> dict[str, DataFrame]:
     """The full batch over the driver's tables: the gold tables, quality and star audits."""
-    root = out_dir or scratch_dir(spark, "run")
-    stamp = _stamp(spark, sf_dir)
+    out_dir = out_dir or scratch_dir(spark, "run")
+    root, stamp = new_run(out_dir), _stamp(spark, sf_dir)
     g = build_gold(spark, bronze_orders(spark, sf_dir), quotes_from_events(spark, sf_dir), root,
                    clean, star)
-    return _finish(spark, g, stamp, clean, star, as_of, None)
+    return _finish(spark, g, out_dir, stamp, clean, star, as_of, None)
 
 
 def run_files(spark: SparkSession, orders: str, out_dir: str, quotes: str | None = None,
@@ -128,15 +132,17 @@ def run_files(spark: SparkSession, orders: str, out_dir: str, quotes: str | None
     from run to run; without any quote the price is the default. Lines that the reader had
     to leave out are counted in the quality report.
     """
+    root = new_run(out_dir)
     stamp = input_stamp(spark, [orders, *([quotes] if quotes else [])])
-    raw = land_bronze_csv(spark, orders, f"{out_dir}/bronze_raw", encoding, multi_line)
+    raw = land_bronze_csv(spark, orders, f"{root}/bronze_raw", encoding, multi_line)
     table = land_quotes(spark, quotes, f"{out_dir}/quotes")
-    g = build_gold(spark, raw, table, out_dir, clean, star)
-    return _finish(spark, g, stamp, clean, star, as_of,
-                   dropped_lines(spark, f"{out_dir}/bronze_raw"))
+    g = build_gold(spark, raw, table, root, clean, star)
+    return _finish(spark, g, out_dir, stamp, clean, star, as_of,
+                   dropped_lines(spark, f"{root}/bronze_raw"))
 
 
 _CACHE: dict[tuple, tuple[str, Gold]] = {}
+_REPLACED: list[list[str]] = []
 _LOCK = threading.RLock()
 
 
@@ -144,24 +150,27 @@ GOLD_ROOT_CONF = "spark.keelson.gold.root"
 
 
 def open_gold(spark: SparkSession, root: str) -> Gold:
-    """Open the tables a previous ``run`` wrote under ``root`` (nothing is rebuilt or written
-    there). Row counts come from Parquet footers; the run's price from one silver row.
+    """Open the tables of the run published last under ``root`` (nothing is rebuilt or written
+    there). Every table that its manifest names has to be there: one that is missing is an
+    error, not an optional dimension.
     """
-    silver = spark.read.parquet(f"{root}/silver")
-    star = read_star(spark, f"{root}/gold")
-    star.rows = {name: df.count() for name, df in star.tables.items()}  # footer counts
-    first = silver.select("oil_price").limit(1).collect()
-    return Gold(root=root, typed=spark.read.parquet(f"{root}/bronze_typed"), silver=silver,
-                silver_rows=silver.count(), star=star, scratch=scratch_dir(spark, "memo"),
-                oil_price=float(first[0][0]) if first else 0.0)
+    manifest = current_run(spark, root)
+    if manifest is None:
+        raise ValueError(f"nothing has been published under {root}")
+    folder = manifest["folder"]
+    star = Star(root=f"{folder}/gold", rows=manifest["star_rows"], tables={
+        name: spark.read.parquet(f"{folder}/gold/{name}") for name in manifest["star_rows"]})
+    return Gold(root=folder, typed=spark.read.parquet(f"{folder}/bronze_typed"),
+                silver=spark.read.parquet(f"{folder}/silver"),
+                silver_rows=manifest["silver_rows"], star=star,
+                scratch=scratch_dir(spark, "memo"), oil_price=manifest["oil_price"])
 
 
 def _check_origin(spark: SparkSession, root: str, stamp: str, clean: CleanConfig,
                   star: StarConfig) -> None:
     """A stored run must come from the asked input, as it is now, and the asked options."""
-    origin = read_if_present(spark, f"{root}/origin")
-    found = tuple(origin.first()) if origin is not None else None
-    if found != (stamp, repr(clean), repr(star)):
+    found = current_run(spark, root) or {}
+    if [found.get(k) for k in ("stamp", "clean", "star")] != [stamp, repr(clean), repr(star)]:
         raise ValueError(f"{root} was not built from this input and these options")
 
 
@@ -188,4 +197,17 @@ def gold(spark: SparkSession, sf_dir: str, star: StarConfig = DEFAULT_STAR,
             g = build_gold(spark, bronze_orders(spark, sf_dir), quotes_from_events(spark, sf_dir),
                            scratch_dir(spark, "gold"), clean, star)
         _CACHE[key] = (stamp, g)
+        if known:
+            _forget(spark, known[1], stored)
         return g
+
+
+def _forget(spark: SparkSession, g: Gold, stored: str | None) -> None:
+    """Free what a replaced set of tables holds: the results remembered with it and, unless a
+    run published them, the tables. The set replaced before the last one goes, so that a query
+    begun on the last one can still end."""
+    _REPLACED.append([g.scratch] + ([] if stored else [g.root]))
+    while len(_REPLACED) > 1:
+        for folder in _REPLACED.pop(0):
+            path, fs = hadoop_path(spark, folder)
+            fs.delete(path, True)

@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -74,7 +75,7 @@ def session_key(spark: SparkSession) -> str:
         return f"session-{id(spark)}"
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """The path and its file system (of the JVM, so any store that Spark can read)."""
     sc = spark.sparkContext
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
@@ -91,7 +92,7 @@ def scratch_root(spark: SparkSession) -> str:
     if key not in _SCRATCH:
         root = f"{checkpoint_root(spark).rstrip('/')}/keelson-{uuid.uuid4().hex[:12]}"
         try:
-            path, fs = _hadoop(spark, root)
+            path, fs = hadoop_path(spark, root)
             fs.mkdirs(path)
             fs.deleteOnExit(path)
         except AttributeError:  # a remote session: its server owns the folder
@@ -106,15 +107,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def input_stamp(spark: SparkSession, paths: Iterable[str]) -> str:
-    """Changes when a file below one of ``paths`` does: a digest of names, sizes and times."""
-    seen = []
+    """Changes when a file below one of ``paths`` does: a digest of names, sizes and times.
+
+    A file is asked for its status; the files of all folders are listed and digested by one
+    Spark job, however many there are."""
+    seen, folders = [], []
     for name in paths:
-        path, fs = _hadoop(spark, name)
+        path, fs = hadoop_path(spark, name)
         if not fs.exists(path):
             seen.append((name, "absent"))
             continue
-        files = fs.listFiles(path, True)
-        while files.hasNext():
-            f = files.next()
-            seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        status = fs.getFileStatus(path)
+        if status.isFile():
+            seen.append((name, status.getLen(), status.getModificationTime()))
+        else:
+            folders.append(name)
+    if folders:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                 .load(folders).select("path", "length", "modificationTime"))
+        mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        seen.append((*folders, *files.agg(F.count("*"), F.sum(mark)).first()))
     return hashlib.sha256(repr(sorted(map(str, seen))).encode()).hexdigest()

@@ -19,9 +19,10 @@ the parsed rows to Parquet once and later jobs read that table.
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from pyspark.sql import types as T
 
 from keelson.config import NA_TOKENS, RAW_TO_SILVER, TS_COLUMNS
 from keelson.functions.dates import format_ntz
+from keelson.session import checkpoint_root
 
 LATIN1 = "ISO-8859-1"
 OVERLONG = "_overlong_line"
@@ -37,10 +39,11 @@ _CORRUPT = "_corrupt_line"
 _QUOTED = '(^|,)"(?:[^"]++|"")*+"'
 
 
-def read_header(spark: SparkSession, path: str, encoding: str = LATIN1) -> list[str]:
-    """Header names as written in the file (reads the first line only)."""
+def read_header(spark: SparkSession, path: str, encoding: str = LATIN1,
+                multi_line: bool = False) -> list[str]:
+    """Header names as written in the file (reads the first record only)."""
     return (spark.read.option("header", True).option("encoding", encoding)
-            .option("escape", '"').csv(path).columns)
+            .option("escape", '"').option("multiLine", multi_line).csv(path).columns)
 
 
 def raw_schema(names: Sequence[str]) -> T.StructType:
@@ -66,11 +69,43 @@ def parse_lines(raw: DataFrame, names: Sequence[str],
         F.coalesce(fields > len(names), F.lit(False)).alias(OVERLONG))
 
 
-def files_below(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """The files a read of ``paths`` would take (a listing; no content is read)."""
-    found = spark.read.format("binaryFile").load(
-        [paths] if isinstance(paths, str) else list(paths)).select("path", "length")
-    return sorted(r.path for r in found.collect() if r.length)
+def _by_line(encoding: str) -> bool:
+    """Whether lines can be told apart before the text is decoded."""
+    return codecs.lookup(encoding).name in ("iso8859-1", "utf-8", "ascii", "cp1252", "iso8859-15")
+
+
+def header_groups(spark: SparkSession, paths: str | Sequence[str], encoding: str = LATIN1,
+                  multi_line: bool = False) -> list[tuple[tuple[str, ...], list[str]]]:
+    """(header names, what to read): the files below ``paths`` by their header.
+
+    One job finds the first line of every file that is not blank, as the reader does: the lines
+    are read as text, each task keeps the first of every file that begins in it, and files are
+    grouped by it. Only the distinct first lines are parsed, on one file each. Where all files
+    agree, as they mostly do, no list of files is made. Files without a line are left out.
+    """
+    whole = [paths] if isinstance(paths, str) else list(paths)
+    lines = spark.read.text(whole).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.col("value").cast("binary").alias("line"), F.monotonically_increasing_id().alias("place"))
+    firsts = (lines.filter((F.col("at") == 0) & (F.octet_length(F.trim("line")) > 0))
+              .groupBy("file").agg(F.min_by("line", "place").alias("line")))
+    open_quote = F.lit(False)
+    if multi_line:  # a quoted name that goes on in the next line: by file
+        text = F.decode("line", encoding)
+        open_quote = F.length(F.regexp_replace(text, '[^"]', "")) % 2 == 1
+    alone = open_quote if _by_line(encoding) else F.lit(True)
+    checkpoint_root(spark)
+    firsts = firsts.withColumn("line", F.when(alone, F.col("file").cast("binary"))
+                               .otherwise(F.col("line"))).checkpoint()  # a row for each file
+    kinds = firsts.groupBy("line").agg(F.min("file").alias("sample")).collect()
+    names = {bytes(k.line): tuple(h.strip() for h in read_header(
+        spark, unquote(k.sample), encoding, multi_line)) for k in kinds}
+    if len(set(names.values())) <= 1:
+        return [(n, whole) for n in set(names.values())]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(firsts.collect(), key=lambda r: r.file):
+        groups.setdefault(names[bytes(r.line)], []).append(unquote(r.file))
+    return list(groups.items())
 
 
 def scan_bronze_csv(spark: SparkSession, paths: str | Sequence[str], encoding: str = LATIN1,
@@ -78,18 +113,12 @@ def scan_bronze_csv(spark: SparkSession, paths: str | Sequence[str], encoding: s
                     multi_line: bool = False) -> DataFrame:
     """All lines, too long ones marked by ``OVERLONG``; files with equal headers are read
     together, and the groups are united by column name (absent columns are NULL)."""
-    files = files_below(spark, paths)
-    if not files:
+    groups = header_groups(spark, paths, encoding, multi_line)
+    if not groups:
         raise ValueError(f"no raw file with a header under {paths}")
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = pool.map(lambda f: tuple(
-            h.strip() for h in read_header(spark, f, encoding)), files)
-        groups: dict[tuple[str, ...], list[str]] = {}
-        for file, names in zip(files, headers):
-            groups.setdefault(names, []).append(file)
     options = csv_options(encoding, multi_line)
     parts = [parse_lines(spark.read.schema(raw_schema(names)).options(**options).csv(group),
-                         names, na_tokens) for names, group in groups.items()]
+                         names, na_tokens) for names, group in groups]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

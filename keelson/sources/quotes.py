@@ -8,6 +8,8 @@ is picked with ``max_by`` — a map-side-combined aggregate, no sort of the quot
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,18 +49,31 @@ def oil_price_value(quotes: DataFrame | None, default: float = 0.0) -> float:
     return float(oil_price_frame(quotes, default).first()["oil_price"])
 
 
+#: What makes a quote the same quote.
+QUOTE_KEY = ("indicator", "quote_ts", "quote_id")
+
+
 def append_snapshot(latest: DataFrame, path: str) -> bool:
-    """Append the latest quotes to a quote table; an empty batch writes nothing."""
-    if latest.isEmpty():
+    """Add the latest quotes to a quote table: those whose ``QUOTE_KEY`` (NULLs are equal) it
+    does not hold yet, so a batch that is landed again adds nothing. True if any were added.
+    """
+    known = read_if_present(latest.sparkSession, path)
+    keys = [k for k in QUOTE_KEY if k in latest.columns]
+    new = latest.dropDuplicates(keys)
+    if known is not None:
+        old = known.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        new = new.join(old, reduce(lambda a, b: a & b, same), "left_anti")
+    if new.isEmpty():
         return False
-    latest.write.mode("append").parquet(path)
+    new.write.mode("append").parquet(path)
     return True
 
 
 def land_quotes(spark: SparkSession, batch_path: str | None, table_path: str) -> DataFrame | None:
     """Land a batch's latest quotes in the quote table and return the table.
 
-    An absent or empty batch writes nothing; None when there is no table either, and the
+    Landing is idempotent (``append_snapshot``). An absent or empty batch writes nothing; None when there is no table either, and the
     run's price is then the default.
     """
     batch = read_if_present(spark, batch_path) if batch_path else None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keelson.catalog import QUERIES, flat
-from keelson.plans.job import gold, run
+from keelson.plans.job import gold, open_gold, run
 from keelson.plans.star import read_star
 from tests.conftest import SF_CHECK, SF_SMALL
 
@@ -38,8 +38,8 @@ def test_run_writes_all_tables(spark, tmp_path):
     audit = {r.check: r.value for r in out["audit"].collect()}
     assert audit["fanout.fact_minus_silver"] == 0 and audit["orphans.time_id"] == 0
     assert out["quality"].count() == 4
-    reopened = read_star(spark, str(tmp_path / "run" / "gold"))
-    assert reopened["fact_sales"].count() == out["fact_sales"].count()
+    reopened = open_gold(spark, str(tmp_path / "run")).star
+    assert reopened["fact_sales"].count() == out["fact_sales"].count() == reopened.rows["fact_sales"]
 
 
 def test_queries_can_read_a_stored_run(spark, tmp_path):
@@ -89,7 +89,8 @@ def test_command_line_run(spark, tmp_path, monkeypatch, capsys):
     main()
     printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
     assert printed["fanout.fact_minus_silver"] == "0"
-    assert spark.read.parquet(f"{out}/gold/fact_sales").count() == int(printed["rows.fact_sales"])
+    stored = open_gold(spark, out).star["fact_sales"]
+    assert stored.count() == int(printed["rows.fact_sales"])
 
 
 def _small_copy(spark, folder, lines=None):
@@ -181,6 +182,82 @@ def test_unreadable_dimension_raises(spark, tmp_path):
         read_star(spark, root)
 
 
+
+def test_a_run_that_dies_leaves_the_one_before(spark, tmp_path, monkeypatch):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    import keelson.plans.star as star_plan
+    root = str(tmp_path / "runs")
+    run(spark, SF_SMALL, root)
+    before = open_gold(spark, root)
+    want = sorted(map(tuple, before.star["dim_product"].collect()))
+    write = star_plan._write_read
+
+    def dies(session, df, path, *rest):
+        if path.endswith("dim_logistics"):
+            raise RuntimeError("killed between two tables")
+        return write(session, df, path, *rest)
+
+    monkeypatch.setattr(star_plan, "_write_read", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        run(spark, SF_SMALL, root, as_of="2001-07-01")
+    monkeypatch.undo()
+    again = open_gold(spark, root)
+    assert again.root == before.root
+    assert sorted(map(tuple, again.star["dim_product"].collect())) == want
+    # a committed run lacks a table: an error, not an optional dimension
+    (tmp_path / "away").mkdir()
+    path = tmp_path / "runs" / "runs" / again.root.rsplit("/", 1)[1] / "gold" / "dim_product"
+    path.rename(tmp_path / "away" / "dim_product")
+    with pytest.raises(AnalysisException):
+        open_gold(spark, root)
+    with pytest.raises(ValueError, match="nothing has been published"):
+        open_gold(spark, str(tmp_path / "none"))
+
+
+def test_manifests(spark, tmp_path):
+    """The newest whole manifest counts; old runs go, one being written stays."""
+    import os
+
+    from keelson.sources.runs import current_run, new_run, publish
+    root = str(tmp_path / "p")
+    assert current_run(spark, root) is None
+    folders = []
+    for k in range(4):
+        folders.append(new_run(root))
+        spark.range(k + 1).write.parquet(f"{folders[-1]}/t")
+        assert publish(spark, root, folders[-1], {"rows": k + 1}) == k + 1
+    unfinished, dead = new_run(root), new_run(root)
+    for f in (unfinished, dead):
+        spark.range(1).write.parquet(f"{f}/t")
+    os.utime(dead, (1, 1))
+    (tmp_path / "p" / "manifests" / "000000000005.json").write_text('{"rows": 5, "run": "cut o')
+    found = current_run(spark, root)
+    assert found["rows"] == 4 and spark.read.parquet(f"{found['folder']}/t").count() == 4
+    assert publish(spark, root, unfinished, {"rows": 1}) == 6
+    assert current_run(spark, root)["folder"] == unfinished
+    left = {str(p) for p in (tmp_path / "p" / "runs").iterdir()}
+    assert left == {folders[-1], unfinished}
+
+
+def test_replaced_tables_are_freed(spark, tmp_path):
+    import os
+
+    import keelson.plans.job as job
+    folder = str(tmp_path / "in")
+    roots = []
+    for lines in (1000, 1100, 1200, 1300):
+        _small_copy(spark, folder, lines)
+        g = gold(spark, folder)
+        QUERIES["category_mix_top5"](spark, folder).count()
+        roots.append(g)
+    there = lambda path: os.path.exists(path.removeprefix("file:"))
+    assert [there(g.root) for g in roots] == [False, False, True, True]
+    assert [there(g.scratch) for g in roots] == [False, False, True, True]
+    assert len(job._REPLACED) == 1
+
+
 def test_batch_over_raw_files(spark, tmp_path):
     import pytest
 

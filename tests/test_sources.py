@@ -94,3 +94,72 @@ def test_csv_round_trip_of_quotes(spark, tmp_path):
     landed = land_bronze_csv(spark, str(tmp_path / "w"), str(tmp_path / "l"))
     assert sorted(map(tuple, landed.collect())) == rows
     assert dropped_lines(spark, str(tmp_path / "l")).count() == 0
+
+
+def _jobs(spark, group, fn):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        out = fn()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_headers_of_many_files_cost_a_handful_of_jobs(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    heads = ("a,b,c", "c,a,b", "b,a")
+    for k in range(600):
+        head = heads[k % 3]
+        value = {"a": f"x{k}", "b": f"y{k}", "c": f"z{k}"}
+        lines = [head, ",".join(value[h] for h in head.split(","))]
+        (folder / f"f {k}.csv").write_text(("\n" if k % 7 == 0 else "") + "\n".join(lines) + "\n")
+    df, jobs = _jobs(spark, "headers", lambda: read_bronze_csv(spark, str(folder)))
+    assert jobs <= 12  # three headers, and listings of many paths
+    got = {(r.a, r.b, r.c) for r in df.collect()}
+    assert got == {(f"x{k}", f"y{k}", None if k % 3 == 2 else f"z{k}") for k in range(600)}
+
+
+def test_one_header_makes_no_list_of_files(spark, tmp_path):
+    from keelson.sources.csv_bronze import header_groups
+    folder = tmp_path / "same"
+    folder.mkdir()
+    for k in range(50):
+        (folder / f"{k}.csv").write_text("a,b \n1,2\n" if k else "")
+    assert header_groups(spark, str(folder)) == [(("a", "b"), [str(folder)])]
+
+
+def test_header_over_two_lines(spark, tmp_path):
+    got = _csv(spark, tmp_path, {"a.csv": 'a,"b\nx",c\n1,2,3\n', "b.csv": 'a,"b\ny",c\n4,5,6\n'},
+               multi_line=True)
+    assert sorted(tuple(r[c] for c in ("a", "b\nx", "b\ny")) for r in got.collect()) == [
+        ("1", "2", None), ("4", None, "5")]
+
+
+def test_stamp_is_one_listing(spark, tmp_path):
+    from keelson.session import input_stamp
+    folder = tmp_path / "t"
+    spark.range(500).repartition(500).write.parquet(str(folder))
+    first, jobs = _jobs(spark, "stamp", lambda: input_stamp(spark, [str(folder), str(tmp_path / "no")]))
+    assert jobs <= 3 and first == input_stamp(spark, [str(folder), str(tmp_path / "no")])
+    file = sorted(folder.glob("*.parquet"))[0]
+    file.write_bytes(file.read_bytes() + b"x")
+    assert input_stamp(spark, [str(folder), str(tmp_path / "no")]) != first
+
+
+def test_landing_quotes_twice_adds_nothing(spark, tmp_path):
+    from keelson.sources.quotes import land_quotes
+    schema = ("quote_id long, quote_ts timestamp_ntz, indicator string, price double, "
+              "currency string, source string")
+    t = dt.datetime(2024, 1, 1)
+    table = str(tmp_path / "quotes")
+
+    def land(name, rows):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name))
+        return land_quotes(spark, str(tmp_path / name), table)
+
+    batch = [(1, t, "BRENT", 80.0, "USD", "x"), (None, None, None, 1.0, "USD", "n")]
+    assert land("a", batch).count() == 2
+    assert land("b", batch).count() == 2
+    assert land("c", [(2, t, "BRENT", 81.0, "USD", "x"), (1, t, "WTI", 70.0, "USD", "x")]).count() == 4
