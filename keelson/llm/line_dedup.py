@@ -1,33 +1,29 @@
-"""Line dedup (native): runs of lines grouped by digest, pre-selected by winnowed prints.
-
-The non-blank lines of a document are hashed; a gram is the hash of ``gram`` consecutive
-lines. In each window of ``window`` consecutive grams the smallest (rightmost on ties) is
-selected as a fingerprint, so any two equal runs of at least ``gram + window - 1`` lines
-(the guarantee, 3 by default) select the same fingerprint at the same place in the run.
-
-1. Every window is stored, with its fingerprint and a key: the hash of all its lines.
-   Windows whose fingerprint was selected at one position only are set aside (they can't
-   match); this filter is all that the fingerprints serve for.
-2. The first position of every key (smallest id, then line) is taken by a pre-aggregated
-   minimum, and each window of that key joins that one row: no pairs of copies. Positions of
-   fingerprints are not joined with each other, and no match is extended beyond its window.
-3. Windows that start later than the first one are deleted; adjoining ones make up the
-   longest run, as extending line by line would.
-
-So exactly the lines covered by a run of three lines that also starts earlier (smaller
-doc_id, or same document and earlier line) go, judged on the input. Blank lines are no
-part of runs and stay.
-
-That leaves repeats of one or two lines, however long. With ``long_words`` a line of more
-words than that is matched alone, too (a gram and window of one), beside the guarantee for
-runs: it goes where it also stands earlier. It is not set by op8_line_dedup and the pipeline,
-whose results are the runs of three lines of op 8's SQL statement.
-
-Defined results: NULL text has no lines and stays NULL; documents with fewer than three
-non-blank lines stay as they are; rows that repeat a doc_id and text are the same document
-(none is earlier than the other); NULL doc_id comes before all others. Extra columns pass
-through; an empty table gives an empty result. All steps are linear in the lines of a
-text, so long texts are safe.
+"""Line dedup (native): winnowed fingerprints, joined with the first of their kind, extended.
+
+The non-blank lines of a document are hashed; a gram is the hash of ``gram`` consecutive lines
+(2). Of each two neighbouring grams the smaller one (the right one on ties) is selected as a
+fingerprint, so any two equal runs of ``gram + 1`` lines, the guarantee, have a fingerprint at
+the same place in the run. Only the selected fingerprints are stored, each with the lines
+beside it.
+
+1. The first position of every fingerprint (smallest id, then line) comes from a pre-aggregated
+   minimum, and each position joins that one row: no pairs of copies.
+2. The match is extended line by line to both sides. Two fingerprints of a run are at most one
+   line apart, so beyond the line beside it the next fingerprint of the run goes on.
+3. A position that differs from the first one on a side may still equal another: what differs is
+   joined once more, with the first position of its fingerprint and that line.
+4. Matches of at least ``gram + 1`` lines that start later than what they match are deleted.
+
+So exactly the lines covered by a run of three lines that also starts earlier (smaller doc_id,
+or same document and earlier line) go, judged on the input. With ``long_words`` a line of more
+words than that is its own fingerprint, too, and goes where it also stands earlier (op 8 and
+the pipeline ask for lines of more than 50 words). Blank lines are no part of runs and stay.
+
+Defined results: NULL text has no lines and stays NULL; repeats shorter than the guarantee stay;
+rows that repeat a doc_id and text are the same document (none is earlier than the other), and
+rows with the same id are not earlier than one another at the same line; NULL doc_id comes
+before all others. Extra columns pass through; an empty table gives an empty result. All steps
+are linear in the lines of a text, so long texts are safe.
 """
 
 from __future__ import annotations
@@ -63,64 +59,87 @@ def _content(lines: Column, long_words: int | None = None) -> Column:
         *([] if long_words is None else [(count_words(s["x"]) > long_words).alias("long")])))
 
 
-def _windows(content: Column, gram: int, window: int) -> Column:
-    """Per window of ``gram + window - 1`` lines: key, selected fingerprint, its place."""
-    span = gram + window - 1
-
-    def hashes(c: Column) -> Column:
-        last = F.size(c)
+def _fingerprints(content: Column, gram: int) -> Column:
+    """The selected grams: place, hash, and the lines on both sides (NULL at the ends)."""
+    def select(c: Column) -> Column:
         h = lambda i: F.get(c, i)["h"]
-        grams = F.transform(F.sequence(F.lit(0), last - gram),
-                            lambda i: _digest([h(i + j) for j in range(gram)]))
-        choose = lambda g: F.transform(
-            F.sequence(F.lit(0), last - span),
-            lambda p: F.array_min(F.array(*[
-                F.struct(F.get(g, p + j).alias("fp"), (-p - j).alias("at"))
-                for j in range(window)])))
-        label = lambda s: F.transform(s, lambda x, p: F.struct(
-            p.alias("p"), x["fp"].alias("fp"),
-            ((p == 0) | (F.get(s, F.greatest(p - 1, F.lit(0)))["at"] != x["at"])).alias("fresh"),
-            _digest([h(p + j) for j in range(span)]).alias("key"), F.lit(span).alias("lines")))
-        return F.when(last >= span, _let(grams, lambda g: _let(choose(g), label)))
-
-    return _let(content, hashes)
+        grams = F.transform(F.sequence(F.lit(0), F.size(c) - gram),
+                            lambda i: _digest([h(i + k) for k in range(gram)]))
+
+        def chosen(g: Column) -> Column:
+            at = lambda k: F.get(g, k)
+            smaller = lambda k: (
+                ((k > 0) & (at(k) <= at(F.greatest(k - 1, F.lit(0)))))
+                | ((k < F.size(g) - 1) & (at(k) < at(F.least(k + 1, F.size(g) - 1)))))
+            return F.transform(F.filter(F.sequence(F.lit(0), F.size(g) - 1), smaller), lambda k: F.struct(
+                k.alias("p"), at(k).alias("fp"),
+                F.when(k > 0, h(F.greatest(k - 1, F.lit(0)))).alias("left"),
+                F.when(k + gram < F.size(c), h(k + gram)).alias("right"),
+                F.lit(False).alias("long")))
+
+        return F.when(F.size(c) > gram, _let(grams, chosen))
+
+    return _let(content, select)
 
 
 def _long_lines(content: Column) -> Column:
-    """The long lines as windows of one line."""
+    """The long lines as fingerprints of their own."""
     placed = F.transform(content, lambda s, p: F.struct(p.alias("p"), s.alias("s")))
+    none = F.lit(None).cast("binary")
     return F.transform(F.filter(placed, lambda x: x["s"]["long"]), lambda x: F.struct(
-        x["p"].alias("p"), x["s"]["h"].alias("fp"), F.lit(True).alias("fresh"),
-        x["s"]["h"].alias("key"), F.lit(1).alias("lines")))
+        x["p"].alias("p"), x["s"]["h"].alias("fp"), none.alias("left"), none.alias("right"),
+        F.lit(True).alias("long")))
+
+
+def _later_runs(marks: DataFrame, gram: int) -> DataFrame:
+    """(id, t, p, lines): runs of lines that also start earlier."""
+    start = F.struct(F.col("rid.id").alias("id"), F.col("p").alias("p"))
+    firsts = store(marks.groupBy("fp").agg(
+        F.min(F.struct(F.col("rid.id").alias("id"), "p", "left", "right")).alias("first"),
+        F.count(F.lit(1)).alias("n")).filter("n > 1"), "line_firsts")
+    joined = lookup(marks, firsts, "fp", "n", F.col("rid")).filter("n IS NOT NULL")
+    # extended to both sides: whether the lines beside the two positions are equal
+    later = start > F.struct(F.col("first.id").alias("id"), F.col("first.p").alias("p"))
+    same = lambda side: F.coalesce(F.col(side) == F.col(f"first.{side}"), F.lit(False))
+    other = lambda side, *key: F.when(
+        F.col(side).isNotNull() & ~same(side), _digest([F.lit(side).cast("binary"), *key]))
+    matched = store(joined.select(
+        "rid", "p", "long", later.alias("later"), same("left").alias("back"),
+        same("right").alias("on"), F.array_compact(F.array(*[
+            F.when(k.isNotNull(), F.struct(F.lit(b).alias("back"), k.alias("key")))
+            for b, k in ((1, other("left", F.col("left"), F.col("fp"))),
+                         (0, other("right", F.col("fp"), F.col("right"))))])).alias("others")),
+        "line_matches")
+    one = lambda c: F.col(c).cast("int")
+    runs = matched.filter("later AND (long OR back OR on)").select(
+        "rid", F.when(F.col("long"), F.col("p")).otherwise(F.col("p") - one("back")).alias("p"),
+        F.when(F.col("long"), 1).otherwise(gram + one("back") + one("on")).alias("lines"))
+    # what differs from the first position of its fingerprint, by the line that differs
+    differing = matched.select("rid", "p", F.explode("others").alias("o")).select("rid", "p", "o.*")
+    seconds = store(differing.groupBy("key").agg(
+        F.min(start).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "line_seconds")
+    more = (lookup(differing, seconds, "key", "n", F.col("rid"))
+            .filter((F.col("n") > 1) & (start > F.col("first")))
+            .select("rid", (F.col("p") - F.col("back")).alias("p"), F.lit(gram + 1).alias("lines")))
+    return runs.unionByName(more).select(F.col("rid.id").alias("_id"), F.col("rid.t").alias("_t"),
+                                         "p", "lines")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = 2,
-               window: int = 2, long_words: int | None = None) -> DataFrame:
+               long_words: int | None = None) -> DataFrame:
     """``docs`` with ``text_col`` deduplicated and ``n_lines``, ``n_removed`` added."""
-    windows = lambda c: _windows(c, gram, window)
+    prints = lambda c: _fingerprints(c, gram)
     if long_words is not None:
-        windows = lambda c: F.concat(
-            F.coalesce(_windows(c, gram, window), F.array()), _long_lines(c))
+        prints = lambda c: F.concat(
+            F.coalesce(_fingerprints(c, gram), F.array()), _long_lines(c))
     # NULL ids sort first in structs, so they need no replacement
     rid = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t"))
     marks = store(
         docs.select(rid.alias("rid"), F.explode(
-            _let(_content(_lines(F.col(text_col)), long_words), windows)).alias("w"))
+            _let(_content(_lines(F.col(text_col)), long_words), prints)).alias("w"))
         .select("rid", "w.*"), "line_marks")
-    repeated = store(marks.groupBy("fp").agg(
-        F.sum(F.col("fresh").cast("long")).alias("places"), F.count(F.lit(1)).alias("n"))
-        .filter("places > 1"), "line_prints")
-    matched = (lookup(marks, repeated, "fp", "n", F.col("rid")).filter("places > 1")
-               .select("rid", "p", "key", "lines"))
-    matched = store(matched, "line_matches")
-    start = F.struct(F.col("rid.id").alias("id"), F.col("p").alias("p"))
-    firsts = store(matched.groupBy("key").agg(
-        F.min(start).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"),
-        "line_firsts")
-    later = (lookup(matched, firsts, "key", "n", F.col("rid"))
-             .filter((F.col("n") > 1) & (start > F.col("first")))
-             .groupBy(F.col("rid.id").alias("_id"), F.col("rid.t").alias("_t"))
-             .agg(F.collect_set(F.struct("p", "lines")).alias("_starts")))
+    later = _later_runs(marks, gram).groupBy("_id", "_t").agg(
+        F.collect_set(F.struct("p", "lines")).alias("_starts"))
 
     found = docs.withColumn("_key", F.xxhash64(F.col(text_col)))
     joined = found.join(later, found[id_col].eqNullSafe(later["_id"])

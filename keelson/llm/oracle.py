@@ -136,7 +136,7 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """,
-    "op8_line_dedup": """
+    "op8_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS x,
          generate_subscripts(string_split(text, chr(10)), 1) AS line
@@ -149,8 +149,12 @@ content AS (
 first AS (
   SELECT doc_id, c, row_number() OVER (PARTITION BY run ORDER BY doc_id, c) AS place
   FROM content WHERE run IS NOT NULL),
+long AS (
+  SELECT doc_id, c, row_number() OVER (PARTITION BY x ORDER BY doc_id, c) AS place
+  FROM content WHERE len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) > 50),
 gone AS (
-  SELECT DISTINCT doc_id, c + k AS c FROM first, (SELECT unnest([0, 1, 2]) AS k) WHERE place > 1),
+  SELECT doc_id, c + k AS c FROM first, (SELECT unnest([0, 1, 2]) AS k) WHERE place > 1
+  UNION SELECT doc_id, c FROM long WHERE place > 1),
 kept AS (
   SELECT l.doc_id, count(*) AS n_lines, count(g.c) AS n_removed,
          coalesce(string_agg(l.x, chr(10) ORDER BY l.line) FILTER (g.c IS NULL), '') AS rest

@@ -87,7 +87,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup(docs).select(
+    return line_dedup(docs, long_words=50).select(
         "doc_id", "n_lines", "n_removed",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 

@@ -52,14 +52,22 @@ def substring_dedup(rows, size=20):
             for (i, t), f in zip(rows, flags)]
 
 
-def line_dedup(rows, size=3):
+def line_dedup(rows, size=3, long_words=None):
     """[(id, text, n_lines, n_removed)] from [(id, text)]."""
     solid = [[(k, x) for k, x in enumerate((t or "").split("\n")) if WORD.search(x)]
              for _, t in rows]
     flags = repeated([(i, [x for _, x in s]) for (i, _), s in zip(rows, solid)], size)
+    long = [[x if long_words is not None and len(words(x)) > long_words else None for _, x in s]
+            for s in solid]
+    first: dict = {}
+    for (i, _), s in zip(rows, long):
+        for k, x in enumerate(s):
+            if x is not None and (x not in first or before((i, k), first[x])):
+                first[x] = (i, k)
     out = []
-    for (i, t), s, f in zip(rows, solid, flags):
-        gone = {k for (k, _), g in zip(s, f) if g}
+    for (i, t), s, f, o in zip(rows, solid, flags, long):
+        gone = {k for p, ((k, _), g, x) in enumerate(zip(s, f, o))
+                if g or (x is not None and before(first[x], (i, p)))}
         lines = t.split("\n") if t is not None else []
         kept = "\n".join(x for k, x in enumerate(lines) if k not in gone)
         out.append((i, None if t is None else kept, len(lines), len(gone)))

@@ -126,7 +126,7 @@ def test_pipeline(spark):
     assert all(t is None or not any(c.isalpha() for c in t)
                for i, t in before.items() if i not in after)
     before, after = seen["line_dedup"]
-    for i, text, _, gone in brute.line_dedup(list(before.items())):
+    for i, text, _, gone in brute.line_dedup(list(before.items()), long_words=50):
         if gone and not brute.words(text):
             assert i not in after
         else:
