@@ -105,10 +105,9 @@ def _set_maker(shingle: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds()
         for batch in batches:
-            sets = [v.tobytes() for v in _sets(batch.column(0), shingle, ids)]
-            node = [xxhash.xxh3_128_digest(v) for v in sets]
+            sets = [v.tobytes() for v in _sets(batch.column(1), shingle, ids)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(node, pa.binary()), pa.array(sets, pa.binary())], ["node", "values"])
+                [batch.column(0), pa.array(sets, pa.binary())], ["node", "values"])
 
     return make
 
@@ -150,7 +149,44 @@ def _compared(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     members = sets.select(F.col("node").alias("b"), F.col("values").alias("right"))
     pairs = spread.join(members, "b").join(centres, ["a", "slot"])
     return pairs.select("a", "b", "left", "right").mapInArrow(
-        _comparer(percent), "a binary, b binary, size long, linked boolean, edits array<long>")
+        _comparer(percent), "a long, b long, size long, linked boolean, edits array<long>")
+
+
+def _across_labels(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Probing and posted places (aliases p and q), to be joined on ``way`` and ``slot``.
+
+    Only members of different components are to meet. So edits that stand in one component
+    only go (they would pair a whole group with itself), and what is left is dealt by ways: an
+    edit and two of its components. The probing places of a way are cut into slots of
+    ``SERVED``, and the posted ones are copied to each slot.
+    """
+    counted = places.groupBy("key", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("place") <= F.col("probe")).alias("probing"))
+    shared = store(counted.groupBy("key").agg(
+        F.count(F.lit(1)).alias("labels"), F.sum("n").alias("rows")).filter("labels > 1"),
+        "shared_edits")
+    sides = counted.join(shared.select("key"), "key").withColumn("side", F.xxhash64("key", "label"))
+    mine, theirs = sides.alias("mine"), sides.alias("theirs")
+    ways = store(mine.join(theirs, F.col("mine.key") == F.col("theirs.key")).filter(
+        (F.col("mine.label") != F.col("theirs.label")) & (F.col("mine.probing") > 0)).select(
+        F.col("mine.side").alias("p"), F.col("theirs.side").alias("q"),
+        F.xxhash64("mine.key", "mine.label", "theirs.label").alias("way"),
+        F.ceil(F.col("mine.probing") / SERVED).cast("long").alias("slots"),
+        F.col("mine.n").alias("np"), F.col("theirs.n").alias("nq")), "edit_ways")
+
+    def placed(side: str, some: DataFrame, slot) -> DataFrame:
+        of = ways.groupBy(side).agg(F.collect_list(F.struct("way", "slots")).alias("ways"),
+                                    F.first("n" + side).alias("n")).withColumnRenamed(side, "side")
+        met = lookup(some.withColumn("side", F.xxhash64("key", "label")), of, "side", "n",
+                     F.col("m")).filter("n IS NOT NULL").withColumn("w", F.explode("ways"))
+        return met.withColumn("way", F.col("w.way")).withColumn("slot", slot).drop(
+            "ways", "w", "side", "n", "key")
+
+    probing = placed("p", places.filter("place <= probe"),
+                     F.pmod(F.xxhash64("m"), F.col("w.slots")))
+    posted = placed("q", places.filter("place <= post"),
+                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("w.slots") - 1)))
+    return probing.alias("p"), posted.alias("q")
 
 
 def _shared_edits(stars: DataFrame, percent: int) -> DataFrame:
@@ -183,14 +219,13 @@ def _shared_edits(stars: DataFrame, percent: int) -> DataFrame:
     kept = ordered.filter((F.col("place") <= F.col("probe")) | (F.col("place") <= F.col("post")))
     places = store(kept.select("m", "key", "of", "probe", "post", "place").join(
         marked.select("m", "b", "size", "linked", "label"), "m"), "edit_places")
-    p = places.filter("place <= probe").alias("p")
-    q = places.filter("place <= post").alias("q")
+    p, q = _across_labels(places)
     left = F.least(F.col("p.of") - F.col("p.place"), F.col("q.of") - F.col("q.place")) + 1
     enough = (2 * wide * left >= wide * (F.col("p.of") + F.col("q.of"))
               - narrow * (F.col("p.size") + F.col("q.size")))
     sizes = (F.least("p.size", "q.size") * 100 >= F.greatest("p.size", "q.size") * percent)
-    return p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.label") != F.col("q.label"))
-                  & (F.col("q.linked") | (F.col("p.b") < F.col("q.b"))) & sizes & enough).select(
+    meet = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("way", "slot")]
+    return p.join(q, [*meet, F.col("q.linked") | (F.col("p.b") < F.col("q.b")), sizes, enough]).select(
         F.least("p.b", "q.b").alias("a"), F.greatest("p.b", "q.b").alias("b")).distinct()
 
 
@@ -205,9 +240,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         _signer(shingle), f"id {id_type}, t long, size long, node binary, bands array<long>"),
         "signed")
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "t")
+    # classes are numbered as they are written: what is joined below carries 8 bytes a class
     classes = store(signed.filter("size > 0").groupBy("node").agg(
         F.min(place).alias("rep"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"),
-        F.first("bands").alias("bands")), "classes")
+        F.first("bands").alias("bands")).withColumnRenamed("node", "digest").withColumn(
+        "node", F.monotonically_increasing_id()), "classes")
 
     banded = classes.select("node", F.explode("bands").alias("band"))
     shared = store(banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"))
@@ -217,16 +254,17 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pull = buckets.groupBy("node").agg(F.sum("members").alias("pull"))
     centres = store(buckets.join(pull, "node").groupBy("band").agg(
         F.min(F.struct(-F.col("pull"), "node")).alias("centre"),
-        F.count(F.lit(1)).alias("m")), "centres")
+        F.count(F.lit(1)).alias("m")).select("band", F.col("centre.node").alias("centre"), "m"),
+        "centres")
     edges = store(lookup(buckets, centres, "band", "m", F.col("node")).select(
-        F.col("centre.node").alias("a"), F.col("node").alias("b"))
+        F.col("centre").alias("a"), F.col("node").alias("b"))
         .filter("a <> b").distinct(), "star_edges")
 
-    wanted = buckets.select("node").distinct().join(classes.select("node", "rep"), "node").select(
-        F.col("rep.id").alias("id")).distinct()
+    wanted = classes.join(buckets.select("node").distinct(), "node", "left_semi").select(
+        F.col("rep.id").alias("_id"), F.col("rep.t").alias("_t"), "node")
     sets = store(
-        texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]), "left_semi").select("text")
-        .mapInArrow(_set_maker(shingle), "node binary, values binary")
+        texts.join(wanted, texts["id"].eqNullSafe(wanted["_id"]) & (texts["t"] == wanted["_t"]))
+        .select("node", "text").mapInArrow(_set_maker(shingle), "node long, values binary")
         .dropDuplicates(["node"]), "shingle_sets")
 
     compared = store(_compared(edges, sets, percent), "compared")
@@ -244,12 +282,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if not more.isEmpty():
             labels = store(components(links.unionByName(more)), "labels")
 
-    named = classes.select("node", "rep", "n").join(labels, "node", "left").withColumn(
+    named = classes.select("node", "digest", "rep", "n").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     lowest = named.groupBy("label").agg(F.min("rep").alias("first"),
                                         F.count(F.lit(1)).alias("classes"))
     final = store(lookup(named, lowest, "label", "classes", F.col("node"))
-                  .select("node", "n", "first"), "class_components")
+                  .select(F.col("digest").alias("node"), "n", "first"), "class_components")
     found = lookup(signed.select("id", "t", "size", "node"), final, "node", "n", F.col("id"))
     alone, first = F.col("node").isNull(), F.col("first")
     kept = alone | (F.col("id").eqNullSafe(first["id"]) & (F.col("t") == first["t"]))

@@ -410,3 +410,34 @@ def test_lookup_leaves_no_large_partition(spark, tmp_path):
     sizes = Counter(r.part for r in rows)
     assert sum(sizes.values()) == n and len(sizes) == parts
     assert max(sizes.values()) < 2 * n / parts
+
+
+def related_groups(small, large):
+    """Two groups of near copies whose texts are alike, but not similar: they share buckets."""
+    r = random.Random(31)
+    words = [f"w{r.randrange(9000)}" for _ in range(120)]
+    other = [x if k % 9 else f"o{k}" for k, x in enumerate(words)]
+    rows = []
+    for k, base in enumerate((words, other)):
+        for n in range((small, large)[k]):
+            at = r.randrange(len(base))
+            rows.append((k * 100_000 + n, " ".join(base[:at] + [f"z{k}n{n}"] + base[at:])))
+    return rows
+
+
+def test_edit_join_does_not_pair_a_group_with_itself(spark, monkeypatch):
+    from keelson.llm import near_dedup as near
+    seen, across = [], near._across_labels
+
+    def counting(places):
+        p, q = across(places)
+        meet = [F.col("p.way") == F.col("q.way"), F.col("p.slot") == F.col("q.slot")]
+        seen.append((places.count(), p.join(q, meet).count()))
+        return p, q
+
+    monkeypatch.setattr(near, "_across_labels", counting)
+    rows = related_groups(150, 300)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    same([(r.id, r.size, r.component_id) for r in near.near_dedup(df, shingle=2).collect()],
+         brute.near_dedup(rows, 2))
+    assert seen and all(pairs < places for places, pairs in seen)
