@@ -97,7 +97,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")), archives)
     return warc.capture_history(spark, archives).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-        "url_key", "captured")
+        "url_key", "captured", "range", "place")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

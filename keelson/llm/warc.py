@@ -2,22 +2,27 @@
 
 Writing. One record per page: ``response`` with the whole payload, or ``revisit`` of the
 page with the smallest id that has the same payload (payloads of ``revisit_bytes`` bytes
-or more). Records are written by Spark's own text writer, gzip per file, at most
-``RECORDS_PER_FILE`` in a file, into the given folder (commit protocol and retries as for
-any table): a record ends with CR LF CR LF, the last byte of which is the writer's line end.
+or more). Records are written by Spark's own text writer, gzip per file, into the given folder
+(commit protocol and retries as for any table): a record ends with CR LF CR LF, the last byte of
+which is the writer's line end. Records are written by size classes, so that a file has at most
+``RECORDS_PER_FILE`` records and ``ARCHIVE_BYTES`` bytes, or a single longer record.
 
 Reading. Archives are loaded as whole files of that bounded size and cut by Content-Length,
 so payloads may hold any text. Digests of responses are computed again from the payload.
 
-Index. Each archive gives a capture run, sorted by (URL key, timestamp, page) where it was
-read. The runs are dealt by ranges of that order, and each range merges its slices of the
-runs with a loser tree, so the ranges in their order are one sorted capture history. A URL
-with very many captures is split between ranges by its timestamps.
+Index. Each archive gives a capture run, sorted by (URL key, time, page) where it was read. The
+runs are dealt by ranges of that order, each range gets its slices of the runs in run order and
+merges them with a loser tree. The result names each capture's ``range`` and its ``place`` in
+it: in the order of these two it is one sorted capture history (stored files are read in any
+order). A URL with very many captures is split between ranges by its times and pages, a page
+that is repeated very often by where its records stand.
 
 Defined results: NULL payloads are empty; a NULL or empty URL has the empty URL key; line
-breaks in URLs are percent-encoded; a NULL page id stays NULL; equal payloads of one page
-(repeated rows) are all responses if that page has the smallest id. Extra columns are
-ignored; an empty table gives an empty index. A record has to fit in memory.
+breaks in URLs are percent-encoded; a NULL page id stays NULL and comes first; equal payloads of
+one page (repeated rows) are all responses if that page has the smallest id. Without a date
+column all captures are of ``FIRST_DATE`` and follow each other by page id, whatever 64-bit
+number it is. Times are compared as numbers (years may have more than four digits). Extra
+columns are ignored; an empty table gives an empty index. A record has to fit in memory.
 """
 
 from __future__ import annotations
@@ -28,23 +33,26 @@ import io
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.llm.common import lookup, store
 
 RECORDS_PER_FILE = 2_000
+ARCHIVE_BYTES = 64 << 20
 CAPTURES_PER_RANGE = 100_000
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
-#: Captures without a timestamp column are dated one second apart from here.
+#: The date of captures without a timestamp column.
 FIRST_DATE = "2024-01-01 00:00:00"
-_INDEX_SQL = ("url_key string, captured string, page_id long, url string, record_type string, "
-              "payload_digest string, payload_bytes long, refers_to long, run string, "
-              "offset long, length long, intact boolean")
-_COLUMNS = [c.split()[0] for c in _INDEX_SQL.split(", ")]
-_ORDER = ("url_key", "captured", "page_id")
+_RUN_SQL = ("url_key string, time long, page_id long, captured string, url string, "
+            "record_type string, payload_digest string, payload_bytes long, refers_to long, "
+            "run string, seq long, offset long, length long, intact boolean")
+_INDEX_SQL = _RUN_SQL + ", range int, place long"
+_COLUMNS = [c.split()[0] for c in _RUN_SQL.split(", ")]
+_ORDER = ("url_key", "time", "page_id", "run", "seq")
+_SEQ, _RUN = _COLUMNS.index("seq"), _COLUMNS.index("run")
 
 
 def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -53,8 +61,7 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """(page_id, url, payload, digest, bytes, date, refers_to): refers_to marks revisits."""
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     page = F.col(id_col).cast("long")
-    date = F.col(date_col) if date_col else F.timestamp_seconds(
-        F.unix_timestamp(F.lit(FIRST_DATE)) + F.coalesce(page, F.lit(0)))
+    date = F.col(date_col) if date_col else F.lit(FIRST_DATE).cast("timestamp_ntz")
     rows = pages.select(page.alias("page_id"), F.col(url_col).alias("url"),
                         payload.alias("payload"), F.sha2(payload, 256).alias("digest"),
                         F.octet_length(payload).cast("long").alias("bytes"),
@@ -89,9 +96,19 @@ def _record() -> Column:
         http, F.when(again, "").otherwise(F.col("payload")), F.lit("\r\n\r"))
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    (records.select(_record().alias("value")).write.option("compression", "gzip")
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+def write_archives(records: DataFrame, path: str, archive_bytes: int | None = None) -> None:
+    """Write ``records`` (as ``plan_records`` gives them) class by class: a class holds records
+    up to twice as long as the class before, so half as many fit in a file."""
+    limit = archive_bytes or ARCHIVE_BYTES
+    rows = store(records.select(_record().alias("value"))
+                 .withColumn("size", F.octet_length("value")), "records")
+    first = max(1, limit // RECORDS_PER_FILE)
+    of = F.greatest(F.lit(0), F.ceil(F.log2(F.col("size") / first))).cast("int")
+    found = sorted(x.c for x in rows.select(of.alias("c")).distinct().collect())
+    for c in found or [0]:
+        most = max(1, limit // (first << c))
+        (rows.filter(of == c).select("value").write.mode("append").option("compression", "gzip")
+         .option("maxRecordsPerFile", most).text(path))
 
 
 def url_key(url: str) -> str:
@@ -125,6 +142,12 @@ def read_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict, bytes, int,
         offset += length
 
 
+def time_number(date: str) -> int:
+    """A WARC date as a number in the order of time; the year may have any length."""
+    year, rest = re.match(r"([+-]?\d+)-(.*)", date).groups()
+    return int(year) * 10 ** 10 + int(re.sub(r"\D", "", rest)[:10].ljust(10, "0"))
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One sorted capture run per archive."""
     for batch in batches:
@@ -138,16 +161,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     revisit = headers["WARC-Type"] == "revisit"
                     actual = digest if revisit else hashlib.sha256(payload).hexdigest()
                     url = headers["WARC-Target-URI"]
-                    rows.append((url_key(url), headers["WARC-Date"], _page(headers["WARC-Record-ID"]),
+                    rows.append((url_key(url), time_number(headers["WARC-Date"]),
+                                 _page(headers["WARC-Record-ID"]), headers["WARC-Date"],
                                  url, headers["WARC-Type"], actual,
                                  size if revisit else len(payload),
-                                 _page(headers.get("WARC-Refers-To")), path.rpartition("/")[2],
+                                 _page(headers.get("WARC-Refers-To")), path.rpartition("/")[2], 0,
                                  offset, length, actual == digest and (revisit or size == len(payload))))
             rows.sort(key=_key)
+            rows = [(*r[:_SEQ], k, *r[_SEQ + 1:]) for k, r in enumerate(rows)]
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) if n not in ("page_id", "refers_to") else pa.array(c, pa.int64())
-                     for n, c in zip(_COLUMNS, map(list, zip(*rows)))], _COLUMNS)
+                yield _batch(rows, _COLUMNS)
 
 
 def _key(row: tuple) -> tuple:
@@ -155,7 +178,7 @@ def _key(row: tuple) -> tuple:
 
 
 class LoserTree:
-    """Merges sorted sequences: each inner node remembers the loser of its match, so taking
+    """Merges sorted sequences, ties in the order of the sequences: each inner node remembers the loser of its match, so taking
     the smallest head costs one match per level."""
 
     def __init__(self, runs: list[list[tuple]]):
@@ -190,28 +213,35 @@ class LoserTree:
                 node //= 2
 
 
-def _merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Merge one range's slices of the runs (bounded by the size of a range)."""
-    runs: dict[str, list[tuple]] = {}
-    for frame in frames:
-        for name in ("page_id", "refers_to"):
-            frame[name] = [None if pd.isna(v) else int(v) for v in frame[name]]
-        for row in frame.astype(object).itertuples(index=False, name=None):
-            runs.setdefault(row[8], []).append(row)
-    for run in runs.values():  # a slice arrives in run order unless blocks were fetched anew
-        run.sort(key=_key)
-    merged = list(LoserTree([runs[k] for k in sorted(runs)]))
+def _batch(rows: list[tuple], columns: list[str]) -> pa.RecordBatch:
+    longs = ("time", "page_id", "refers_to")
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.int64()) if n in longs else pa.array(c)
+         for n, c in zip(columns, map(list, zip(*rows)))], columns)
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merge one range's slices of the runs (bounded by the size of a range), which come one
+    after the other, each in its order."""
+    runs: list[list[tuple]] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if not runs or runs[-1][-1][_RUN] != row[_RUN]:
+                runs.append([])
+            runs[-1].append(row)
+    merged = list(LoserTree(runs))
     if merged:
-        out = pd.DataFrame(merged, columns=_COLUMNS)
-        for name in ("page_id", "refers_to"):
-            out[name] = out[name].astype("Int64")
-        yield out
+        number = pa.array([TaskContext.get().partitionId()] * len(merged), pa.int32())
+        out = _batch(merged, _COLUMNS)
+        yield pa.RecordBatch.from_arrays(
+            [*out.columns, number, pa.array(range(len(merged)))], [*_COLUMNS, "range", "place"])
 
 
-def capture_history(spark: SparkSession, path: str) -> DataFrame:
-    """The merged index of the archives under ``path``, in (url_key, captured, page) order."""
+def capture_history(spark: SparkSession, path: str, per_range: int | None = None) -> DataFrame:
+    """The merged index of the archives under ``path``: in the order of ``range`` and ``place``
+    it runs by (url_key, time, page)."""
     archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    runs = store(archives.mapInArrow(_runs, _INDEX_SQL), "capture_runs")
-    ranges = max(1, runs.count() // CAPTURES_PER_RANGE + 1)
-    dealt = runs.repartitionByRange(ranges, *_ORDER)
-    return store(dealt.mapInPandas(_merge, _INDEX_SQL), "captures")
+    runs = store(archives.mapInArrow(_runs, _RUN_SQL), "capture_runs")
+    ranges = max(1, runs.count() // (per_range or CAPTURES_PER_RANGE) + 1)
+    dealt = runs.repartitionByRange(ranges, *_ORDER).sortWithinPartitions("run", "seq")
+    return store(dealt.mapInArrow(_merge, _INDEX_SQL), "captures")

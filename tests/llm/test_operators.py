@@ -318,13 +318,57 @@ def test_warc_round_trip(spark, tmp_path):
          [(i, len((h or "").encode()), brute.sha(h or ""),
            "revisit" if i in revisits else "response", revisits.get(i)) for i, _, h in pages])
     assert all(r.intact for r in got)
-    keys = [(r.url_key, r.captured, r.page_id or 0) for r in got]
+    keys = [(r.url_key, r.time, r.page_id or 0) for r in sorted(got, key=lambda r: r.place)]
     assert keys == sorted(keys) and keys[-1][0].startswith("x")
     empty = str(tmp_path / "e")
     warc.write_archives(warc.plan_records(df.limit(0)), empty)
     assert warc.capture_history(spark, empty).count() == 0
 
 
+def test_warc_history_over_many_ranges(spark, tmp_path):
+    """Ids of 64 bits, years of five digits, a URL and a page that are captured very often."""
+    ids = [2 ** 62, -2 ** 63, 2 ** 63 - 1, 300_000_000_000, -5, None, 0]
+    pages = [(ids[k % 7] if k % 3 else k, f"http://h{k % 5 if k % 2 else 0}.org/", "x" * (k % 9),
+              f"{2024 + (k % 4) * (9000 if k % 11 == 0 else 0)}-0{1 + k % 9}-03 04:05:0{k % 10}")
+             for k in range(600)] + [(77, "http://h0.org/", "y", "2024-01-01 00:00:00")] * 200
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, d string")
+    dated = df.withColumn("d", F.expr("make_timestamp_ntz(int(split(d, '-')[0]), 1, 3, 4, 5, 6)"))
+    for name, column in (("plain", None), ("dated", "d")):
+        path = str(tmp_path / name)
+        warc.write_archives(warc.plan_records(dated.repartition(6), date_col=column), path)
+        got = warc.capture_history(spark, path, per_range=120).collect()
+        assert len(got) == len(pages) and len({r.range for r in got}) == 7
+        sizes = Counter(r.range for r in got)
+        assert max(sizes.values()) < 3 * len(pages) / 7
+        ordered = sorted(got, key=lambda r: (r.range, r.place))
+        keys = [(r.url_key, r.time, r.page_id is not None, r.page_id or 0) for r in ordered]
+        assert keys == sorted(keys)
+        assert Counter(r.page_id for r in got) == Counter(x[0] for x in pages)
+        if column:
+            assert any(r.captured.startswith("+") for r in got)
+            assert {str(r.time // 10 ** 10) for r in got} == {x[3].split("-")[0] for x in pages}
+
+
+def test_warc_archives_are_bounded_by_bytes(spark, tmp_path):
+    r = random.Random(4)
+    noise = lambda n: "".join(chr(33 + r.randrange(90)) for _ in range(n))
+    pages = [(k, f"http://a.org/{k}", noise(1_000_000 if k % 5 == 0 else 2_000)) for k in range(100)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    path = tmp_path / "w"
+    warc.write_archives(warc.plan_records(df), str(path), archive_bytes=3_000_000)
+    files = list(path.glob("*.gz"))
+    assert len(files) >= 8 and max(f.stat().st_size for f in files) < 3_000_000
+    assert len(files) < 25
+    got = warc.capture_history(spark, str(path)).collect()
+    assert len(got) == 100 and all(x.intact for x in got)
+
+
+def test_time_number():
+    dates = ["-0044-03-15T00:00:00Z", "1999-12-31T23:59:59Z", "2024-01-01T00:00:00Z",
+             "2024-01-01T00:00:01Z", "9999-12-31T23:59:59Z", "+11530-08-16T00:00:00Z"]
+    assert [warc.time_number(d) for d in dates] == sorted(warc.time_number(d) for d in dates)
+
+
 def test_loser_tree():
     r = random.Random(5)
     for k in (0, 1, 2, 3, 7, 16):
