@@ -28,6 +28,14 @@ def date_parts(c: Column) -> dict[str, Column]:
     }
 
 
+def micros_ntz(c: Column) -> Column:
+    """Microseconds since 1970 of a zone-less timestamp, without the session zone."""
+    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    seconds = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+    minutes = (F.hour(c) * 60 + F.minute(c)).cast("bigint")
+    return days * 86_400_000_000 + minutes * 60_000_000 + seconds
+
+
 # pattern letter run -> (part function, zero-padded width)
 _PARTS = {
     "yyyy": (F.year, 4), "MM": (F.month, 2), "M": (F.month, 1), "dd": (F.dayofmonth, 2),

@@ -1,86 +1,74 @@
 """As-of join: for each left row, the latest right row at or before its time (H4).
 
-Spark's DataFrame API has no as-of join. This one is built from joins, windows and
-aggregates, without a single-task window over the data and without pairing rows:
+Spark's DataFrame API has no as-of join. This one is a distributed scan, without a single-task
+window over the data and without pairing rows:
 
-1. the answer depends only on ``(by, left time)``, so it is computed for the *distinct*
-   left times (a hot timestamp is one row) and joined back to the left rows at the end;
-2. times are cut into buckets (``grain``); inside a bucket, left times and right rows
-   are merged in one window per ``(by, bucket)`` and each left time takes the last right
-   row seen so far (``last(..., ignorenulls)``): buckets run in parallel;
-3. left times with no right row earlier in their own bucket take the last right row of
-   the closest earlier bucket: one row per bucket, so that window runs over the bucket
-   calendar, not over the data.
+1. the answer depends only on ``(by, left time)``, so it is computed for the *distinct* left
+   times (a hot timestamp is one row) and joined back to the left rows at the end; of right
+   rows at the same time one is kept, the greatest by ``values``;
+2. left times and right rows are put into one order and scanned for the last right row seen so
+   far (``last_so_far``): ranges of about equal size, a scan inside each range, and a carry of
+   one row for each range and ``by`` value. Neither a month that holds most quotes nor a hot
+   ``by`` value lands in one task;
+3. the mapping is written, and its size in bytes decides how it is joined back
+   (``bounded_left_join``: broadcast, or the join that no hot time can stall).
 
-Right rows at the same time as a left row match it (``right_time <= left_time``).
+Right rows at the same time as a left row match it (``right_time <= left_time``). Rows with a
+NULL time or ``by`` value match nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_T, _B, _SIDE, _HIT, _PREV = "_aj_t", "_aj_b", "_aj_side", "_aj_hit", "_aj_prev"
+from keelson.config import DEFAULT_STAR
+from keelson.operators.joins import bounded_left_join
+from keelson.operators.ordered import last_so_far
+from keelson.session import scratch_dir
+
+_T, _SIDE, _HIT = "_aj_t", "_aj_side", "_aj_hit"
+
+
+def asof_mapping(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
+                 values: Sequence[str], by: Sequence[str] = (), match_time: str = "match_time",
+                 right_unit: str | None = None, partitions: int | None = None) -> DataFrame:
+    """(by, time, hit): the match of every distinct left time, as a struct (NULL: none)."""
+    by = list(by)
+    keys = (left.select(*by, F.col(left_time).alias(_T)).dropna().distinct()
+            .withColumn(_SIDE, F.lit(1)))
+    rights = right.select(*by, F.col(right_time).alias(_T), *values).dropna(subset=[*by, _T])
+    unit = F.col(_T)
+    if right_unit:
+        unit = F.date_trunc(right_unit, F.col(_T) - F.expr("INTERVAL 1 MICROSECOND"))
+    rights = rights.groupBy(*by, unit.alias("_aj_u")).agg(
+        F.max(F.struct(F.col(_T).alias(match_time), *values)).alias(_HIT)).select(
+        *by, F.col(f"{_HIT}.{match_time}").alias(_T), _HIT, F.lit(0).alias(_SIDE))
+    both = keys.unionByName(rights, allowMissingColumns=True)
+    seen = last_so_far(both, by, [_T, _SIDE], _HIT, partitions=partitions)
+    return seen.filter(F.col(_SIDE) == 1).select(*by, _T, _HIT)
 
 
 def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str,
-              values: Sequence[str], by: Sequence[str] = (), grain: str = "month",
-              match_time: str = "match_time", right_unit: str | None = None,
-              broadcast_keys: int = 1_000_000) -> DataFrame:
+              values: Sequence[str], by: Sequence[str] = (), match_time: str = "match_time",
+              right_unit: str | None = None,
+              broadcast_bytes: int = DEFAULT_STAR.broadcast_bytes) -> DataFrame:
     """Left join of ``right``'s ``values`` (and ``match_time``) onto ``left``.
 
     ``right_unit`` (for example ``"day"``) may be given when every left time is the start
     of such a unit. Right rows are then grouped by the half-open interval
     ``(unit start, next unit start]`` they fall in (the unit of ``time - 1 microsecond``);
     each interval lies wholly before or wholly after any left time, so only its last row
-    can be a match, and the right side is reduced to one row per ``(by, interval)`` — a
-    burst of quotes in one bucket no longer lands in one task.
-
-    The mapping has one row per distinct ``(by, left time)``; it is counted and, when at
-    most ``broadcast_keys`` rows, broadcast to the left rows, which then are not shuffled.
+    can be a match, and less is shuffled.
     """
-    by = list(by)
-    hit = F.struct(F.col(_T).alias(match_time), *[F.col(v) for v in values])
-    keys = (left.select(*by, F.col(left_time).alias(_T)).filter(F.col(_T).isNotNull())
-            .distinct().withColumn(_SIDE, F.lit(1)))
-    rights = (right.select(*by, F.col(right_time).alias(_T), *values)
-              .filter(F.col(_T).isNotNull()))
-    if right_unit:
-        interval = F.date_trunc(right_unit, F.col(_T) - F.expr("INTERVAL 1 MICROSECOND"))
-        last = (rights.groupBy(*by, interval.alias("_aj_u"))
-                .agg(F.max_by(F.struct(F.col(_T), *[F.col(v) for v in values]),
-                              F.col(_T)).alias("_aj_last")))
-        rights = last.select(*by, F.col("_aj_last.*"))
-    rights = rights.withColumn(_SIDE, F.lit(0))
-    both = (keys.unionByName(rights, allowMissingColumns=True)
-            .withColumn(_B, F.date_trunc(grain, F.col(_T))))
-
-    # 2. within the bucket
-    w_in = (Window.partitionBy(*by, _B).orderBy(_T, _SIDE)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = (both.withColumn(_HIT, F.last(F.when(F.col(_SIDE) == 0, hit), True).over(w_in))
-              .filter(F.col(_SIDE) == 1).select(*by, _T, _B, _HIT))
-
-    # 3. carried from earlier buckets: the last right row of each bucket, then the
-    # latest one strictly before each bucket that holds left times
-    per_bucket = (rights.withColumn(_B, F.date_trunc(grain, F.col(_T)))
-                  .groupBy(*by, _B).agg(F.max_by(hit, F.col(_T)).alias(_HIT)))
-    calendar = (keys.select(*by, F.date_trunc(grain, F.col(_T)).alias(_B)).distinct()
-                .join(per_bucket, [*by, _B], "full"))
-    w_prev = (Window.partitionBy(*by).orderBy(_B)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carried = calendar.select(*by, _B, F.last(_HIT, True).over(w_prev).alias(_PREV))
-
+    found = asof_mapping(left, right, left_time, right_time, values, by, match_time, right_unit)
     # fresh names for the keys: the mapping derives from ``left`` itself
-    by_keys = [f"_aj_by{i}" for i in range(len(by))]
-    mapping = (within.join(carried, [*by, _B], "left")
-               .select(*[F.col(b).alias(k) for b, k in zip(by, by_keys)], F.col(_T),
-                       F.coalesce(_HIT, _PREV).alias(_HIT)))
-    if keys.count() <= broadcast_keys:  # size check before the broadcast
-        mapping = F.broadcast(mapping)
-    cond = [left[b] == mapping[k] for b, k in zip(by, by_keys)]
-    joined = left.join(mapping, [*cond, left[left_time] == mapping[_T]], "left")
-    return joined.select(left["*"], *[F.col(f"{_HIT}.{c}").alias(c)
-                                      for c in (match_time, *values)])
+    names = [f"_aj_by{i}" for i in range(len(by))]
+    path = scratch_dir(left.sparkSession, "asof")
+    found.select(*[F.col(b).alias(n) for b, n in zip(by, names)], _T, _HIT).write.parquet(path)
+    mapping = left.sparkSession.read.parquet(path)
+    joined = bounded_left_join(left, mapping, [*by, left_time], [*names, _T], broadcast_bytes)
+    return joined.select(*[F.col(f"`{c}`") for c in left.columns],
+                         *[F.col(f"{_HIT}.{c}").alias(c) for c in (match_time, *values)])

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: A stored table may be so many times larger in memory.
+UNPACKED = 8
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Size of ``df`` as the optimizer estimates it (for a stored table with few columns
     selected: its file size, scaled to those columns)."""
@@ -16,8 +20,11 @@ def bounded_left_join(left: DataFrame, right: DataFrame, left_keys: list[str],
                       right_keys: list[str], max_bytes: int, hot_share: float = 0.001,
                       sample: float = 0.01, seed: int = 17) -> DataFrame:
     """LEFT JOIN (``=``): ``right`` is broadcast when it is estimated within ``max_bytes``,
-    else joined by ``hot_key_left_join``. Both give the same rows, all columns of both."""
-    if plan_bytes(right) <= max_bytes:
+    else joined by ``hot_key_left_join``. Both give the same rows, all columns of both.
+
+    The estimate is that of the stored files, times ``UNPACKED`` for what compressed columns
+    grow to in memory."""
+    if plan_bytes(right) * UNPACKED <= max_bytes:
         cond = [left[a] == right[b] for a, b in zip(left_keys, right_keys)]
         return left.join(F.broadcast(right), cond, "left")
     return hot_key_left_join(left, right, left_keys, right_keys, hot_share, sample, seed)

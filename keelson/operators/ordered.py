@@ -83,6 +83,33 @@ def dense_ids(df: DataFrame, order: Sequence[Column], id_col: str,
     return ranked.select((F.col("_kp_before") + 1).cast("bigint").alias(id_col), *cols)
 
 
+def last_so_far(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
+                partitions: int | None = None) -> DataFrame:
+    """``df`` with ``value`` replaced by the last one that is not NULL up to each row, among the
+    rows equal in ``by``, in ``order`` (rows are unique in ``by`` and ``order``).
+
+    The same layout as for prefix sums, with "the last value seen" in place of addition: a scan
+    inside every range, and for each range and ``by`` value one row that carries the last
+    value on to the ranges after it.
+    """
+    by = list(by)
+    laid = range_layout(df, [F.col(c) for c in (*by, *order)], partitions)
+    local = (Window.partitionBy(_PART, *by).orderBy(*order)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    scanned = laid.withColumn(_LOCAL, F.last(value, True).over(local))
+    # a row for each range and ``by`` value that meet: at most ranges + distinct values
+    ends = laid.groupBy(_PART, *by).agg(F.max_by(value, F.when(
+        F.col(value).isNotNull(), F.struct(*order))).alias(_PW))
+    earlier = (Window.partitionBy(*by).orderBy(_PART)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    carried = ends.select(F.col(_PART).alias(_OFF), *[F.col(c).alias(f"_kp_{c}") for c in by],
+                          F.last(_PW, True).over(earlier).alias("_kp_carried"))
+    same = [F.col(_PART) == F.col(_OFF)] + [F.col(c).eqNullSafe(F.col(f"_kp_{c}")) for c in by]
+    return scanned.join(carried, same).select(
+        *[F.coalesce(_LOCAL, "_kp_carried").alias(c) if c == value else F.col(c)
+          for c in df.columns])
+
+
 def take_first(df: DataFrame, order: Sequence[Column], weight: str, k: Column,
                out: str = "take", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = how many of each row's ``weight`` equal units are among the first ``k``

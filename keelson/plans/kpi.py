@@ -9,16 +9,16 @@
   of the second half's revenue over the first's.
 
 The trend needs the revenue of the first ``n // 2`` rows in a global order. A global sort
-would be one task; instead (``half_split``):
+would be one task; instead the split is found by selection (``half_split``):
 
-1. aggregate ``(rows, revenue)`` per timestamp (map-side combined; a hot timestamp is
-   one row);
-2. running row count over the timestamps with ``prefix_weights`` (range partitions +
-   offsets) -> the timestamps entirely in the first half, and the one boundary
-   timestamp that straddles ``n // 2``;
-3. only the boundary timestamp's rows need ordering by revenue: they are aggregated per
-   revenue value and split with ``take_first`` (same operator, so a boundary
-   group holding a third of all rows is still spread over all tasks).
+1. one pass counts the rows and finds the range of the dates;
+2. a histogram of ``SPLIT_BUCKETS`` equal steps over that range (rows and exact revenue of each)
+   tells in which bucket row ``n // 2`` falls; what lies before it belongs to the first half. That
+   bucket alone is cut again, until it holds a single timestamp: two or three passes, the later
+   ones over a narrow range of dates, which is pushed to the scan;
+3. only that timestamp's rows need ordering by revenue: they are counted for each value and cut
+   at the rank; where it has very many different values, by a distributed prefix sum
+   (``take_first``), so a timestamp that holds a third of all rows is still spread over all tasks.
 
 Rows equal in both timestamp and revenue are interchangeable, so the result does not
 depend on the order among them.
@@ -26,48 +26,92 @@ depend on the order among them.
 
 from __future__ import annotations
 
+import datetime as dt
+import math
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.config import LATE_DELIVERY
+from keelson.functions.dates import micros_ntz
 from keelson.functions.numbers import (
     money_fraction, money_sum, money_total, money_value, safe_ratio,
 )
-from keelson.operators.ordered import prefix_weights, take_first
+from keelson.operators.ordered import take_first
 from keelson.plans.flatten import DIM_ATTRS, by_ids
 from keelson.plans.marts import category_mart, has
 from keelson.plans.star import Star
 
 
+#: Steps of a histogram; each comes to the driver as one row.
+SPLIT_BUCKETS = 16_384
+#: So many different revenues of one timestamp are cut on the driver, more by ``take_first``.
+SPLIT_VALUES = 50_000
+
+
+def _at(micros: int) -> Column | None:
+    """A timestamp literal for the scan, where Python's calendar has it."""
+    try:
+        when = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)
+    except OverflowError:
+        return None
+    return F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def _between(rows: DataFrame, low: int, high: int) -> DataFrame:
+    first, last = _at(low), _at(high)
+    if first is not None and last is not None:  # reaches the Parquet scan
+        rows = rows.filter((F.col("full_date") >= first) & (F.col("full_date") <= last))
+    return rows.filter((F.col("at") >= low) & (F.col("at") <= high))
+
+
+def _first_of_values(rows: DataFrame, k: int) -> Fraction | float:
+    """Revenue of the ``k`` smallest of ``rows`` (NULLs first)."""
+    per_value = rows.groupBy("sales").agg(F.count("*").alias("c"))
+    found = per_value.limit(SPLIT_VALUES + 1).collect()
+    if len(found) > SPLIT_VALUES or any(v is not None and not math.isfinite(v) for v, _ in found):
+        taken = take_first(per_value, [F.col("sales").asc()], "c", F.lit(k))
+        return money_fraction(taken.agg(money_sum("sales", F.col("take")).alias("s")).first()["s"])
+    head = Fraction(0)
+    for value, c in sorted(found, key=lambda r: (r[0] is not None, r[0] or 0.0)):
+        take = max(0, min(c, k))
+        head += Fraction(value or 0) * take
+        k -= take
+    return head
+
+
 def half_split(flat: DataFrame) -> tuple[float, float]:
-    """Revenue of the first ``n // 2`` rows (by date, NULL last) and of the rest."""
-    ts = F.col("full_date")
-    per_ts = flat.groupBy("full_date").agg(F.count("*").alias("c"),
-                                           money_sum("sales").alias("s"))
-    ranked = prefix_weights(per_ts, [ts.asc_nulls_last()], F.col("c"), "before",
-                            total="n")
-    # n comes with the ranking (from its per-partition totals), not from another pass
-    k = F.floor(F.col("n") / 2)
-    before, c = F.col("before"), F.col("c")
-    straddles = (before < k) & (before + c > k)
-    res = ranked.agg(
-        money_total(F.when(before + c <= k, F.col("s"))).alias("head"),
-        money_total("s").alias("total"),
-        # at most one timestamp straddles the split point
-        # (the timestamp travels as text: a Python datetime literal would pick up the
-        # driver's time zone)
-        F.collect_list(F.when(straddles, F.struct(
-            ts.cast("string").alias("ts"), (k - before).alias("need")))).alias("boundary"),
-    ).first()
-    if res is None:
-        return 0.0, 0.0
-    head, total = money_fraction(res["head"]), money_fraction(res["total"])
-    if res["boundary"]:
-        b = res["boundary"][0]
-        rows = flat.filter(ts.eqNullSafe(F.lit(b["ts"]).cast("timestamp_ntz")))  # NULL-safe
-        per_value = rows.groupBy("sales").agg(F.count("*").alias("c"))
-        taken = take_first(per_value, [F.col("sales").asc()], "c", F.lit(int(b["need"])))
-        head += money_fraction(taken.agg(money_sum("sales", F.col("take")).alias("s")).first()["s"])
+    """Revenue of the first ``n // 2`` rows (by date, NULL last, then revenue) and of the rest."""
+    rows = flat.select("full_date", micros_ntz(F.col("full_date")).alias("at"),
+                       F.col("sales").cast("double").alias("sales"))
+    n, low, high = rows.agg(F.count("*"), F.min("at"), F.max("at")).first()
+    k, before, head, total = n // 2, 0, Fraction(0), None
+    within = rows
+    while before < k or total is None:
+        step = max(1, -(-(high - low + 1) // SPLIT_BUCKETS)) if low is not None else 1
+        bucket = F.floor((F.col("at") - F.lit(low)) / step) if step > 1 else F.col("at") - F.lit(low)
+        parts = within.groupBy(bucket.cast("bigint").alias("b")).agg(
+            F.count("*").alias("c"), F.min("at").alias("low"), F.max("at").alias("high"),
+            money_sum("sales").alias("s")).collect()
+        parts.sort(key=lambda r: (r["b"] is None, r["b"] or 0))  # NULL dates are last
+        if total is None:
+            total = sum((money_fraction(r["s"]) for r in parts), Fraction(0))
+        for part in parts:
+            if before + part["c"] > k:
+                break
+            before += part["c"]
+            head += money_fraction(part["s"])
+        if before == k:
+            break
+        if part["low"] is None:  # the rows without a date
+            head += _first_of_values(rows.filter(F.col("at").isNull()), k - before)
+            break
+        low, high = part["low"], part["high"]
+        within = _between(rows, low, high)
+        if low == high:
+            head += _first_of_values(within, k - before)
+            break
     return float(head), float(total - head)
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -89,7 +90,7 @@ def test_asof_join_matches_brute_force(spark):
     ldf = spark.createDataFrame(left, "g string, t timestamp_ntz, id int")
     rdf = spark.createDataFrame(quotes, "g string, qt timestamp_ntz, v double")
     got = {r.id: (r.match_time, r.v) for r in
-           asof_join(ldf, rdf, "t", "qt", ["v"], by=["g"], grain="month").collect()}
+           asof_join(ldf, rdf, "t", "qt", ["v"], by=["g"]).collect()}
     for g, t, i in left:
         cands = [(qt, v) for qg, qt, v in quotes if qg == g and qt <= t]
         want = max(cands) if cands else (None, None)
@@ -156,3 +157,69 @@ def test_hot_key_leaves_no_large_partition(spark, tmp_path):
             spark.conf.set(c, v)
     assert sum(sizes) == n and len(sizes) == parts
     assert max(sizes) < 2 * n / parts
+
+
+def test_asof_join_with_a_hot_month(spark):
+    """A third of the quotes within one month, one hot key, no unit: the scan's ranges stay
+    even, and bursts at one time and NULL times and keys are defined."""
+    from keelson.operators import ordered
+    from keelson.operators.asof import asof_join, asof_mapping
+    rng = random.Random(23)
+    base = dt.datetime(2021, 1, 1)
+    when = lambda k: base + (dt.timedelta(days=150, minutes=k) if k % 3 == 0
+                             else dt.timedelta(minutes=rng.randint(0, 500_000)))
+    quotes = [("x" if k % 10 else "y", when(k), float(k)) for k in range(9000)]
+    quotes += [("x", base, float(k)) for k in range(500)] + [(None, base, 1.0), ("x", None, 2.0)]
+    left = [(rng.choice("xyz"), base + dt.timedelta(minutes=rng.randint(-500, 510_000)), i)
+            for i in range(3000)] + [(None, base, 9001), ("x", None, 9002), ("x", base, 9003)]
+    ldf = spark.createDataFrame(left, "g string, t timestamp_ntz, id int").repartition(5)
+    rdf = spark.createDataFrame(quotes, "g string, qt timestamp_ntz, v double").repartition(5)
+    sizes, layout = [], ordered.range_layout
+
+    def watched(df, order, partitions=None):
+        laid = layout(df, order, partitions)
+        sizes.extend(r[1] for r in laid.groupBy("_kp_part").count().collect())
+        return laid
+
+    ordered.range_layout = watched
+    try:
+        asof_mapping(ldf, rdf, "t", "qt", ["v"], by=["g"], partitions=16).count()
+    finally:
+        ordered.range_layout = layout
+    assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / 16
+    import bisect
+    of = {}
+    for g, t, v in sorted(q for q in quotes if q[0] and q[1]):
+        of.setdefault(g, []).append((t, v))
+    for limit in (64 << 20, 0):  # broadcast, and the join beyond the bound
+        got = {r.id: (r.match_time, r.v) for r in asof_join(
+            ldf, rdf, "t", "qt", ["v"], by=["g"], broadcast_bytes=limit).collect()}
+        assert len(got) == len(left)
+        for g, t, i in left:
+            rows = of.get(g, []) if t else []
+            at = bisect.bisect_right(rows, (t, float("inf"))) if rows else 0
+            assert got[i] == (rows[at - 1] if at else (None, None)), (g, t, i)
+
+
+def test_half_split_by_selection(spark, monkeypatch):
+    """Steps down to single microseconds, dates before 1970, many values of one timestamp,
+    halves that end at a bucket's edge, NULL dates and revenues."""
+    from keelson.plans import kpi
+    rng = random.Random(3)
+    base = dt.datetime(1965, 5, 1)
+    monkeypatch.setattr(kpi, "SPLIT_BUCKETS", 7)
+    cases = {
+        "wide": [(base + dt.timedelta(microseconds=rng.randrange(10 ** 15)), rng.random()) for _ in range(301)],
+        "close": [(base + dt.timedelta(microseconds=rng.randrange(40)), float(rng.randrange(9))) for _ in range(300)],
+        "one": [(base, rng.random()) for _ in range(99)], "none": [(None, rng.random()) for _ in range(9)],
+        "mixed": [(rng.choice([None, base, base + dt.timedelta(days=9000)]),
+                   rng.choice([None, 1.5, 2.25])) for _ in range(200)],
+        "edge": [(base, 1.0)] * 5 + [(base + dt.timedelta(days=1), 2.0)] * 5, "single": [(base, 3.0)]}
+    for many in (50_000, 3):
+        monkeypatch.setattr(kpi, "SPLIT_VALUES", many)
+        for name, rows in cases.items():
+            df = spark.createDataFrame(rows, "full_date timestamp_ntz, sales double").repartition(3)
+            order = sorted(rows, key=lambda r: (r[0] is None, r[0] or base, r[1] is not None, r[1] or 0))
+            cut = [sum(x or 0 for _, x in part) for part in (order[:len(rows) // 2], order[len(rows) // 2:])]
+            assert half_split(df) == (pytest.approx(cut[0], abs=1e-9), pytest.approx(cut[1], abs=1e-9)), name
+    assert half_split(spark.createDataFrame([], "full_date timestamp_ntz, sales double")) == (0.0, 0.0)
