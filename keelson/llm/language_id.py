@@ -3,13 +3,23 @@
 Model. Each language is a distribution over hashed trigrams of lower-cased letters (other
 characters are blanks), counted over all training rows by distributed, two-level sums and
 smoothed by addition. It has ``BUCKETS`` cells a language and at most ``MOST_LANGUAGES``
-languages (more raise an error), so what the tasks receive is bounded by 128 MB.
+languages, so what the tasks receive is bounded by 128 MB: of more labels (free text often has
+misspelt ones) those with the most training rows are learned, ties by name, and the others are
+unknown to the model.
 
 Inference. Expectation-maximisation estimates the proportions of all languages in a
 document from its trigrams' likelihoods. Languages then enter a set in order of proportion
 as long as each raises the log-likelihood (proportions fitted anew) by more than
 ``PENALTY * ln(trigrams)``; the prediction is the largest proportion within the chosen set.
-The fit is the set's log-likelihood a trigram, less that of no language (all cells alike).
+The fit is the set's log-likelihood a trigram, less that of no language (all cells alike), plus
+the entropy of the proportions, so that a mixture is measured like its languages alone.
+
+Rejection. ``calibrate`` takes labelled documents that the model was not trained on, at most
+about ``CALIBRATION_ROWS``, and finds for each language and length (``LENGTHS`` in trigrams) the
+lowest fit that a clean document has: the ``LOW`` quantile, or ``SPREAD`` deviations (by the
+median deviation) below the median if that is lower. With fewer than ``LEAST_ROWS`` such documents
+of a language and length, all languages stand in for it, and else 0 is the limit.
+``predict(..., limits)`` accepts what reaches the limits of one of its languages.
 
 Defined results: NULL text and text without a letter are ``und`` with score and fit 0, as is
 everything while there are no training rows; ties go to the language that sorts first;
@@ -19,6 +29,7 @@ predicted alike; an empty table gives an empty result. A text is used whole.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.llm.common import store
+
 BITS = 16
 BUCKETS = 1 << BITS
 MOST_LANGUAGES = 500
@@ -37,6 +50,9 @@ ROUNDS = 40
 SETTLED = 1e-4
 #: A language below this proportion is not tried as a member of the set.
 LEAST_SHARE = 0.02
+CALIBRATION_ROWS = 40_000
+LENGTHS = (64, 256, 1024)
+LOW, SPREAD, LEAST_ROWS = 0.002, 4.0, 30
 UNKNOWN = "und"
 _CHUNK = 4096
 _SPREAD = 64
@@ -105,14 +121,16 @@ def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text"
     """The languages and their trigram log-probabilities, one row each."""
     spark = rows.sparkSession
     schema = "lang string, part int, chunk int, counts binary"
-    sums = (rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-            .filter("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(_count, schema)
+    labelled = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
+        "lang IS NOT NULL")
+    learned = (labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+               .limit(MOST_LANGUAGES).select("lang"))
+    sums = (labelled.join(F.broadcast(learned), "lang").filter("text IS NOT NULL")
+            .mapInArrow(_count, schema)
             .groupBy("lang", "part", "chunk").applyInPandas(_add, schema)
             .groupBy("lang", "chunk").applyInPandas(_add, schema).drop("part"))
     counts: dict[str, np.ndarray] = {}
     for lang, chunk, packed in sums.toLocalIterator():  # bounded: cells times languages
-        if lang not in counts and len(counts) == MOST_LANGUAGES:
-            raise ValueError(f"more than {MOST_LANGUAGES} languages in the training rows")
         counts.setdefault(lang, np.zeros(BUCKETS, np.int64))[
             chunk * _CHUNK:(chunk + 1) * _CHUNK] = np.frombuffer(packed, np.int64)
     names = sorted(counts)
@@ -150,20 +168,28 @@ def identify(found: np.ndarray, model: np.ndarray) -> tuple[np.ndarray, np.ndarr
                 break
             chosen, best, reached = order[:size], part, value
     rank = np.argsort(-best, kind="stable")
-    return chosen[rank], best[rank], reached / len(found) + np.log(BUCKETS)
+    mixed = float(-(best[best > 0] * np.log(best[best > 0])).sum())
+    return chosen[rank], best[rank], reached / len(found) + np.log(BUCKETS) + mixed
+
+
+def _length(trigram_count: int) -> int:
+    return bisect.bisect_right(LENGTHS, trigram_count)
 
 
 def _predictor(shared, at: int, carry: int):
     """Predict from column ``at``; pass the first ``carry`` columns on."""
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, model = shared.value
+        (names, model), limits = shared.value
         for batch in batches:
-            langs, scores, sets, fits = [], [], [], []
+            langs, scores, sets, fits, sizes, accepted = [], [], [], [], [], []
             for value in batch.column(at):
                 found = trigrams(value.as_py() or "")
                 chosen, share, fit = ((), (0.0,), 0.0)
                 if len(found) and names:
                     chosen, share, fit = identify(found, model)
+                sizes.append(len(found))
+                accepted.append(bool(len(chosen)) and fit >= min(
+                    limits.get((names[c], _length(len(found))), 0.0) for c in chosen))
                 langs.append(names[chosen[0]] if len(chosen) else UNKNOWN)
                 scores.append(min(1.0, float(share[0])))
                 sets.append([names[c] for c in chosen])
@@ -171,21 +197,55 @@ def _predictor(shared, at: int, carry: int):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:carry], pa.array(langs, pa.string()),
                  pa.array(scores, pa.float64()), pa.array(sets, pa.list_(pa.string())),
-                 pa.array(fits, pa.float64())],
-                [*batch.schema.names[:carry], "lang_pred", "score", "languages", "fit"])
+                 pa.array(fits, pa.float64()), pa.array(sizes, pa.int64()),
+                 pa.array(accepted, pa.bool_())],
+                [*batch.schema.names[:carry], "lang_pred", "score", "languages", "fit",
+                 "trigrams", "accepted"])
 
     return predict
 
 
+def calibrate(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id",
+              lang_col: str = "lang", text_col: str = "text") -> dict[tuple[str, int], float]:
+    """The limits by language and length, from documents that the model was not trained on and
+    that it gives the language they are labelled with. Of many, those with the lowest hashes."""
+    known = docs.filter(F.col(lang_col).isNotNull()).select(
+        F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    share = CALIBRATION_ROWS / max(known.count(), CALIBRATION_ROWS)
+    some = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    fits = predict(some.select("_lang", "text"), model, ["_lang"]).filter(
+        "lang_pred = _lang AND trigrams > 0")
+    length = F.lit(0)
+    for limit in LENGTHS:
+        length = length + (F.col("trigrams") >= limit).cast("int")
+    fits = store(fits.select("_lang", length.alias("length"), "fit"), "language_fits")
+    middle = fits.groupingSets([["_lang", "length"], ["length"]], "_lang", "length").agg(
+        F.percentile("fit", 0.5).alias("middle"), F.percentile("fit", LOW).alias("low"),
+        F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_ROWS)
+    # at most MOST_LANGUAGES + 1 times the lengths
+    rows = {(r["_lang"], r["length"]): r for r in middle.collect()}
+    away = fits.join(F.broadcast(middle.select(
+        F.col("_lang").alias("_l"), F.col("length").alias("_n"), "middle")),
+        (F.col("_lang").eqNullSafe(F.col("_l")) | F.col("_l").isNull())
+        & (F.col("length") == F.col("_n")))
+    spread = {(r["_l"], r["_n"]): r["mad"] for r in away.groupBy("_l", "_n").agg(
+        F.percentile(F.abs(F.col("fit") - F.col("middle")), 0.5).alias("mad")).collect()}
+    at = {k: min(r["low"], r["middle"] - SPREAD * 1.4826 * spread[k]) for k, r in rows.items()}
+    return {(name, n): at.get((name, n), at.get((None, n), 0.0))
+            for name in model[0] for n in range(len(LENGTHS) + 1)}
+
+
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str],
-            text_col: str = "text") -> DataFrame:
+            text_col: str = "text", limits: dict | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` with ``lang_pred``, ``score``, ``languages`` (the
-    chosen set, largest proportion first) and ``fit``."""
+    chosen set, largest proportion first), ``fit``, ``trigrams`` (how many) and ``accepted``
+    (whether the fit reaches ``limits``, without these 0)."""
     names = [*keep, *([] if text_col in keep else [text_col])]
     texts = docs.select(*[F.col(f"`{n}`") for n in names])
     fields = [f"`{n}` {t}" for n, t in texts.dtypes[:len(keep)]]
-    fields += ["lang_pred string", "score double", "languages array<string>", "fit double"]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    fields += ["lang_pred string", "score double", "languages array<string>", "fit double",
+               "trigrams long", "accepted boolean"]
+    shared = docs.sparkSession.sparkContext.broadcast((model, limits or {}))
     return texts.mapInArrow(_predictor(shared, names.index(text_col), len(keep)),
                             ", ".join(fields))
 

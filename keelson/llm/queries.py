@@ -104,7 +104,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text").withColumn(
         "held_out", lang.held_out())
     model = lang.train(docs.filter("NOT held_out"))
-    return lang.predict(docs, model, ["doc_id", "held_out"]).drop("fit").withColumn(
+    return lang.predict(docs, model, ["doc_id", "held_out"]).drop("fit", "trigrams", "accepted").withColumn(
         "languages", F.array_join("languages", ","))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -74,6 +75,70 @@ def line_dedup(rows, size=3, long_words=None):
     return out
 
 
+def trigram_cells(text, bits=16):
+    """Cells of the trigrams of lower-cased letters, anything else one blank between."""
+    out, letters = [], [32]
+    for c in text.lower():
+        point = ord(c) if c.isalpha() else 32
+        if point != 32 or letters[-1] != 32:
+            letters.append(point)
+    letters += [32] if letters[-1] != 32 else []
+    if len(letters) < 3:
+        return []
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        h = (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) % 2 ** 32
+        h = (h ^ (h >> 15)) * 0x85EBCA77 % 2 ** 32
+        out.append(h >> (32 - bits))
+    return out
+
+
+def language_mixture(rows, texts, smoothing=0.5, penalty=3.0, least=0.02, cells=1 << 16):
+    """[(language, score, set)] of ``texts`` by plain expectation-maximisation; ``rows`` are the
+    (lang, text) to learn from."""
+    counts: dict = {}
+    for name, text in rows:
+        if name is not None and text is not None:
+            counts.setdefault(name, Counter()).update(trigram_cells(text))
+    counts = {n: c for n, c in counts.items() if c}
+    names = sorted(counts)
+    total = {n: sum(counts[n].values()) + smoothing * cells for n in names}
+    like = lambda n, cell: (counts[n][cell] + smoothing) / total[n]
+
+    def fit(some, found):
+        share = {n: 1 / len(some) for n in some}
+        size = sum(found.values())
+        for _ in range(40 if len(some) > 1 else 0):
+            new = dict.fromkeys(some, 0.0)
+            for cell, k in found.items():
+                each = {n: share[n] * like(n, cell) for n in some}
+                for n in some:
+                    new[n] += k * each[n] / sum(each.values()) / size
+            moved = max(abs(new[n] - share[n]) for n in some)
+            share = new
+            if moved < 1e-4:
+                break
+        return share, sum(k * math.log(sum(share[n] * like(n, cell) for n in some))
+                          for cell, k in found.items())
+
+    out = []
+    for text in texts:
+        found = Counter(trigram_cells(text or ""))
+        if not found or not names:
+            out.append(("und", 0.0, ()))
+            continue
+        share, _ = fit(names, found)
+        order = sorted(names, key=lambda n: -share[n])
+        chosen, (best, reached) = order[:1], fit(order[:1], found)
+        for size in range(2, sum(s >= least for s in share.values()) + 1):
+            part, value = fit(order[:size], found)
+            if value - reached <= penalty * math.log(sum(found.values()) + 1):
+                break
+            chosen, best, reached = order[:size], part, value
+        chosen = sorted(chosen, key=lambda n: -best[n])
+        out.append((chosen[0], best[chosen[0]], tuple(chosen)))
+    return out
+
+
 def shingles(text, size):
     w = words((text or "").translate(LOWER))
     return frozenset(tuple(w[k:k + size]) for k in range(len(w) - size + 1)) if len(w) >= size \

@@ -84,6 +84,68 @@ def test_op10_on_held_out_documents(spark, docs):
     assert right >= 0.97 * len(held) and all(0 <= r.score <= 1 for r in got)
 
 
+def test_op10_equals_plain_expectation_maximisation(spark, docs):
+    from zlib import crc32
+    learned = [(lang, text) for i, text, lang in docs if crc32(str(i).encode()) % 4 != 2]
+    some = [d for d in docs if len(d[1] or "") < 4000][:90]
+    want = brute.language_mixture(learned, [text for _, text, _ in some])
+    got = {r.doc_id: r for r in rows(spark, "op10_language_id")}
+    for (i, _, _), (lang, score, chosen) in zip(some, want):
+        assert (got[i].lang_pred, got[i].languages) == (lang, ",".join(chosen))
+        assert got[i].score == pytest.approx(score, abs=2e-3)
+
+
+def test_more_labels_than_are_learned(spark, monkeypatch):
+    """The labels with the most rows are learned; the others do no harm."""
+    from keelson.llm import language_id as lang
+    monkeypatch.setattr(lang, "MOST_LANGUAGES", 3)
+    rows = [(k, "ka ta ma pa la " * 9, "aa") for k in range(9)] + [
+        (100 + k, "strich blond kern dorf " * 9, "bb") for k in range(8)] + [
+        (200 + k, "ooou eeau aii yeu " * 9, "cc") for k in range(2)] + [
+        (300 + k, "zzz xxx qqq " * 9, f"typo{k:03}") for k in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang.train(df)
+    assert model[0] == ["aa", "bb", "cc"]
+    got = {r.doc_id: r.lang_pred for r in lang.predict(df, model, ["doc_id"]).collect()}
+    assert got[0] == "aa" and got[100] == "bb" and got[200] == "cc" and got[300] in model[0]
+
+
+CODE = ("for (int i = 0; i < n; ++i) { buf[i] = xs[idx[i]] ^ mask; if (!ptr->next) goto err; }\n"
+        "static inline void kfree_rcu(struct rq *q) { atomic_dec(&q->cnt); WARN_ON(q->flags); }\n")
+FINNISH = ("kuitenkin hän ei ollut vielä päättänyt mitä tekisi seuraavaksi sillä yöllä oli satanut "
+           "lunta ja pihamaalla näkyi jäniksen jälkiä jotka johtivat metsän reunaan saakka ")
+WELSH = ("mae hi'n bwrw glaw yng nghymru heddiw ond fe fydd yr haul yn tywynnu yfory medd rhagolygon "
+         "y tywydd felly peidiwch ag anghofio eich hetiau wrth fynd allan i'r mynyddoedd ")
+
+
+def test_language_stage_rejects_what_is_no_known_language(spark):
+    """Code, noise and unseen languages in Latin letters go; clean documents and mixtures stay."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF_CHECK
+    r = random.Random(2)
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    noise = " ".join("".join(r.choice("qwrtpsdfghjklzxcvbnm") for _ in range(r.randrange(4, 9)))
+                     for _ in range(80))
+    strange = [(-1, CODE * 20), (-2, noise), (-3, FINNISH * 4), (-4, WELSH * 4),
+               (-5, "\u0436\u0449\u044b " * 40), (-6, "12 34"), (-7, None)]
+    by = {x["lang"]: x["t"] for x in docs.filter("length(text) > 3000").groupBy("lang").agg(
+        F.first("text").alias("t")).collect()}
+    langs = sorted(k for k in by if k)
+    mixed = [(-100 - k, " ".join(by[c][:1500].rsplit(" ", 1)[0] for c in langs[k:k + 3]))
+             for k in range(len(langs) - 1)]
+    more = spark.createDataFrame(strange + mixed, "doc_id long, text string").select(
+        *[F.col(c) if c in ("doc_id", "text") else F.lit(None).cast(t).alias(c)
+          for c, t in docs.dtypes])
+    kept = {x.doc_id for x in corpus_pipeline.language_stage(spark, docs.unionByName(more), "").collect()}
+    assert not kept & {i for i, _ in strange}
+    assert {i for i, _ in mixed} <= kept
+    clean = [x.doc_id for x in docs.collect() if any(c.isalpha() for c in x.text or "")]
+    assert sum(i in kept for i in clean) >= 0.99 * len(clean)
+
+
 def test_language_stage_keeps_recognised_mixtures(spark):
     """A text in three languages of equal parts stays; one in none of them goes."""
     import random
