@@ -3,8 +3,9 @@
 Index. Documents are cut into words and dealt, whole, into segments of about
 ``SEGMENT_WORDS`` words. A segment is one stored row: the posting list (sorted positions)
 of every term, and where each document starts. Positions run through the segment with a
-gap after each document, so no phrase crosses documents. Only terms of the test items need
-lists when the index is built for them (``vocabulary``); no other word can match.
+gap after each document, so no phrase crosses documents. The index is built and stored once. For
+a benchmark of a single slice only its own terms get lists (``vocabulary``: no other word can
+match); for a larger one all terms of the documents do, and every slice is searched on them.
 
 Search. Every segment is searched for every test window, all windows at once: the posting
 list of each window's rarest term (by the segment's list lengths), moved by the term's
@@ -14,15 +15,15 @@ on the same lists: all terms of the window within its length plus ``slop`` words
 rarest term, in any order, in the same document.
 
 The index is never shuffled, and a passage that stands in most documents makes no hot key.
-Test items reach the tasks by broadcast in slices of at most about ``ITEM_WORDS`` words;
-for a larger benchmark the documents are read, indexed and searched anew for each slice, with
-the lists of that slice's words only; every slice passes through the driver.
+Test items reach the tasks by broadcast in slices of at most about ``ITEM_WORDS`` words, one
+slice after the other on the stored index.
 
 Defined results: NULL and empty texts have no words, and documents without words are
 reported with zeros; an item without words has no window; an item of fewer than ``window``
 words is one window; items that share an item_id are one item, a NULL item_id counts as
-the empty name; repeated documents are reported once per row. Extra columns are ignored;
-empty tables on either side work. One document has to fit in memory.
+the empty name; repeated documents are reported once per row. Ids may have any type, and be
+NULL. Extra columns are ignored; empty tables on either side work. One document has to fit in
+memory.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from keelson.llm.common import store
 
@@ -42,7 +44,6 @@ SEGMENT_WORDS = 1_000_000
 ITEM_WORDS = 300_000
 #: Possible starts looked at together.
 AT_ONCE = 2_000_000
-NO_ID = -(1 << 63)
 
 #: A-Z to a-z; digits, a-z and all bytes above 0x7F stay; everything else parts words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128
@@ -53,22 +54,28 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_FOLD).split() if text else []
 
 
-_SEGMENT = pa.schema([("segment", pa.int64()), ("ids", pa.binary()), ("hashes", pa.binary()),
+_SEGMENT_SQL = ("segment long, ids array<{id}>, hashes binary, starts binary, sizes binary, "
+                "terms array<binary>, lengths binary, gaps binary, wide boolean")
+
+
+def _segment_schema(id_type: pa.DataType) -> pa.Schema:
+    return pa.schema([("segment", pa.int64()), ("ids", pa.list_(id_type)), ("hashes", pa.binary()),
                       ("starts", pa.binary()), ("sizes", pa.binary()),
                       ("terms", pa.list_(pa.binary())), ("lengths", pa.binary()),
                       ("gaps", pa.binary()), ("wide", pa.bool_())])
-_SEGMENT_SQL = ("segment long, ids binary, hashes binary, starts binary, sizes binary, "
-                "terms array<binary>, lengths binary, gaps binary, wide boolean")
 
 
-def _indexer(vocabulary):
+def _indexer(vocabulary, id_type: pa.DataType):
+    """Segments with the lists of the terms in ``vocabulary`` (None: of all terms)."""
+    schema = _segment_schema(id_type)
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = vocabulary.value
-        names = np.array(sorted(numbers, key=numbers.__getitem__), object)
+        numbers = {} if vocabulary is None else vocabulary.value
         number = TaskContext.get().partitionId() << 32
         ids, hashes, sizes, terms, held = [], [], [], [], 0
 
         def close() -> pa.RecordBatch:
+            names = np.array(list(numbers), object)  # numbered in the order of the dictionary
             size = np.array(sizes, np.int64)
             starts = np.concatenate(([0], np.cumsum(size + 1)[:-1]))
             flat = np.concatenate(terms)
@@ -83,12 +90,12 @@ def _indexer(vocabulary):
             if len(spots):
                 gaps[heads] = spots[heads]
             wide = bool(len(gaps)) and int(gaps.max()) > 0xFFFF
-            row = [number, np.array(ids, np.int64).tobytes(), np.array(hashes, np.int64).tobytes(),
+            row = [number, ids, np.array(hashes, np.int64).tobytes(),
                    starts.astype(np.int64).tobytes(), size.tobytes(), list(names[used]),
                    length.astype(np.int64).tobytes(),
                    gaps.astype(np.uint32 if wide else np.uint16).tobytes(), wide]
             return pa.RecordBatch.from_arrays(
-                [pa.array([v], f.type) for v, f in zip(row, _SEGMENT)], schema=_SEGMENT)
+                [pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
             for text, doc, t in zip(batch.column(0).cast(pa.large_binary()),
@@ -97,12 +104,17 @@ def _indexer(vocabulary):
                 ids.append(doc)
                 hashes.append(t)
                 sizes.append(len(words))
+                if vocabulary is None:
+                    for word in words:
+                        numbers.setdefault(word, len(numbers))
                 terms.append(np.fromiter(map(numbers.get, words, repeat(-1)), np.int32, len(words)))
                 held += len(words) + 1
                 if held >= SEGMENT_WORDS:
                     yield close()
                     number += 1
                     ids, hashes, sizes, terms, held = [], [], [], [], 0
+                    if vocabulary is None:
+                        numbers = {}
         if held:
             yield close()
 
@@ -129,7 +141,7 @@ class Segment:
 
     def __init__(self, row: dict, numbers: dict[bytes, int]):
         load = lambda name, kind=np.int64: np.frombuffer(row[name], kind)
-        self.ids, self.hashes = load("ids"), load("hashes")
+        self.ids, self.hashes = row["ids"], load("hashes")
         self.starts, self.sizes = load("starts"), load("sizes")
         self.span = int(self.starts[-1] + self.sizes[-1] + 1) if len(self.starts) else 1
         gaps = load("gaps", np.uint32 if row["wide"] else np.uint16).astype(np.int64)
@@ -213,14 +225,16 @@ def nearby(seg: Segment, w: Windows, slop: int) -> tuple[np.ndarray, np.ndarray]
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-_FOUND = pa.schema([("segment", pa.int64()), ("place", pa.int32()), ("id", pa.int64()),
-                    ("t", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.int32())),
-                    ("items", pa.list_(pa.string())), ("near", pa.list_(pa.string()))])
-_FOUND_SQL = ("segment long, place int, id long, t long, n_words long, spans array<int>, "
+_FOUND_SQL = ("segment long, place int, id {id}, t long, n_words long, spans array<int>, "
               "items array<string>, near array<string>")
 
 
-def _searcher(shared, slop: int | None):
+def _searcher(shared, slop: int | None, id_type: pa.DataType):
+    texts = pa.list_(pa.string())
+    schema = pa.schema([("segment", pa.int64()), ("place", pa.int32()), ("id", id_type),
+                        ("t", pa.int64()), ("n_words", pa.int64()),
+                        ("spans", pa.list_(pa.int32())), ("items", texts), ("near", texts)])
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w: Windows = shared.value
         for batch in batches:
@@ -248,12 +262,11 @@ def _searcher(shared, slop: int | None):
                         near[doc].add(w.items[n])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["segment"]] * docs, pa.int64()),
-                     pa.array(np.arange(docs), pa.int32()), pa.array(seg.ids, pa.int64()),
+                     pa.array(np.arange(docs), pa.int32()), pa.array(seg.ids, id_type),
                      pa.array(seg.hashes, pa.int64()), pa.array(seg.sizes, pa.int64()),
-                     pa.array(spans, _FOUND.field("spans").type),
-                     pa.array([sorted(i) for i in items], _FOUND.field("items").type),
-                     pa.array([sorted(i) for i in near], _FOUND.field("near").type)],
-                    schema=_FOUND)
+                     pa.array(spans, schema.field("spans").type),
+                     pa.array([sorted(i) for i in items], texts),
+                     pa.array([sorted(i) for i in near], texts)], schema=schema)
 
     return search
 
@@ -280,16 +293,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text"),
-                        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
-                        F.xxhash64(F.col(text_col)).alias("t"))
-    found = []
-    for part in _items(benchmark, item_col, item_text_col):
+                        F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t"))
+    kind = texts.schema["id"].dataType
+    id_sql, id_type = kind.simpleString(), to_arrow_type(kind)
+    parts = _items(benchmark, item_col, item_text_col)
+    index, found = None, []
+    for part in parts:
         rows = part.collect()  # one slice of bounded size
         w = Windows([(r["item"], words_of(r["text"].encode())) for r in rows], window)
-        index = store(texts.mapInArrow(
-            _indexer(spark.sparkContext.broadcast(w.numbers)), _SEGMENT_SQL), "phrase_index")
-        found.append(index.mapInArrow(
-            _searcher(spark.sparkContext.broadcast(w), slop), _FOUND_SQL))
+        if index is None:
+            terms = spark.sparkContext.broadcast(w.numbers) if len(parts) == 1 else None
+            index = store(texts.mapInArrow(_indexer(terms, id_type),
+                                           _SEGMENT_SQL.format(id=id_sql)), "phrase_index")
+        found.append(index.mapInArrow(_searcher(spark.sparkContext.broadcast(w), slop, id_type),
+                                      _FOUND_SQL.format(id=id_sql)))
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
@@ -306,5 +323,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             F.greatest(acc["end"], s["b"]).alias("end"),
             (acc["sum"] + F.greatest(F.lit(0), s["b"] - F.greatest(acc["end"], s["a"])))
             .cast("long").alias("sum")))
-    return merged.select(F.nullif(F.col("id"), F.lit(NO_ID)).alias("id"), "t", "n_words",
-                         covered["sum"].alias("n_hit"), "items", "near")
+    return merged.select("id", "t", "n_words", covered["sum"].alias("n_hit"), "items", "near")

@@ -6,7 +6,9 @@ share; equal windows have equal minimizers, so a minimizer stands at as many pla
 of its windows at least.
 
 1. Every partition sketches the minimizer places of its texts (two rows of counters that
-   saturate at 2; only touched cells travel), and the sketches are added up cell by cell.
+   saturate at 2; only touched cells travel), and the sketches are added up cell by cell, in two
+   levels: groups of partitions first, whose number grows with the root of the input, so that
+   neither level gathers much in one task.
    The merged sketch never underestimates a count. Only the bit "two or more" of each cell
    is needed from then on: at most ``2 ** MOST_BITS`` bits a row, 64 MB in all, a bound
    that does not depend on the input. Beyond about 1e9 words the sketch fills up, more
@@ -20,8 +22,9 @@ of its windows at least.
 
 Defined results: NULL text has no words and stays NULL; texts shorter than a window keep
 all words; windows at the same start of rows with the same doc_id are not earlier than one
-another; NULL doc_id comes first. Extra columns are ignored; an empty table gives an empty
-result. Long texts are handled whole; one text is the unit that has to fit in memory.
+another; NULL doc_id comes first (with -2^63, which may be an id like any other). Ids that are no
+integers are numbered in their order first. Extra columns are ignored; an empty table gives an
+empty result. Long texts are handled whole; one text is the unit that has to fit in memory.
 """
 
 from __future__ import annotations
@@ -32,15 +35,21 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from keelson.llm.common import lookup, store
 from keelson.llm.words import ODD, Slice, WordIds, mixed, rolling, slices
+from keelson.operators.ordered import dense_ids
 
 LEAST_BITS, MOST_BITS, CHUNK_BITS = 16, 28, 18
 CELLS_PER_BYTE = 1 / 16
 FLUSH = 1_000_000
 BYTES_PER_PART = 3_000_000
+#: The groups of partitions merged first number the root of the input in these units.
+BYTES_PER_SPREAD = 1 << 28
 NO_ID = -(1 << 63)
 _ROWS = (np.uint64(0), np.uint64(0xA0761D6478BD642F))
 
@@ -71,9 +80,10 @@ def _cells(values: np.ndarray, row: int, bits: int) -> np.ndarray:
     return mixed(values ^ _ROWS[row]) >> np.uint64(64 - bits)
 
 
-def _sketcher(window: int, gram: int, bits: int):
+def _sketcher(window: int, gram: int, bits: int, spread: int):
     chunk_bits = min(bits, CHUNK_BITS)
-    schema = pa.schema([("row", pa.int32()), ("chunk", pa.int64()), ("cells", pa.binary())])
+    schema = pa.schema([("row", pa.int32()), ("chunk", pa.int64()), ("part", pa.int32()),
+                        ("cells", pa.binary())])
 
     def flush(places: list[np.ndarray]) -> pa.RecordBatch:
         rows, chunks, cells = [], [], []
@@ -88,8 +98,10 @@ def _sketcher(window: int, gram: int, bits: int):
                 rows.append(row)
                 chunks.append(int(number))
                 cells.append(part.tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(chunks, pa.int64()),
-                                           pa.array(cells, pa.binary())], schema=schema)
+        part = TaskContext.get().partitionId() % spread
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows, pa.int32()), pa.array(chunks, pa.int64()),
+             pa.array([part] * len(rows), pa.int32()), pa.array(cells, pa.binary())], schema=schema)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, places, held = WordIds(), [], 0
@@ -111,18 +123,35 @@ def _sketcher(window: int, gram: int, bits: int):
     return sketch
 
 
-def merged_sketch(texts: DataFrame, window: int, gram: int, bits: int) -> list[np.ndarray]:
+def merged_sketch(texts: DataFrame, window: int, gram: int, bits: int,
+                  spread: int = 1) -> list[np.ndarray]:
     """Per row of the sketch, a packed bit for each cell: counted twice or more."""
     chunk_bits = min(bits, CHUNK_BITS)
+    packed = lambda flags: np.packbits(flags, bitorder="little").tobytes()
 
     def add(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        cells = np.frombuffer(b"".join(parts["cells"]), np.uint32)
-        twice = np.bincount(cells, minlength=1 << chunk_bits) >= 2
-        return pd.DataFrame({"row": [key[0]], "chunk": [key[1]],
-                             "bits": [np.packbits(twice, bitorder="little").tobytes()]})
-
-    found = (texts.mapInArrow(_sketcher(window, gram, bits), "row int, chunk long, cells binary")
-             .groupBy("row", "chunk").applyInPandas(add, "row int, chunk long, bits binary"))
+        """A group of partitions: cells counted once or more, twice or more."""
+        count = np.zeros(1 << chunk_bits, np.uint8)
+        for cells in parts["cells"]:
+            cells = np.frombuffer(cells, np.uint32)
+            count = np.minimum(count + np.minimum(np.bincount(
+                cells, minlength=len(count)), 2).astype(np.uint8), 2)
+        return pd.DataFrame({"row": [key[0]], "chunk": [key[1]], "once": [packed(count > 0)],
+                             "bits": [packed(count > 1)]})
+
+    def merge(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        once, twice = (np.zeros(1 << (chunk_bits - 3), np.uint8) for _ in range(2))
+        for a, b in zip(parts["once"], parts["bits"]):
+            a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+            twice = twice | b | (once & a)
+            once = once | a
+        return pd.DataFrame({"row": [key[0]], "chunk": [key[1]], "bits": [twice.tobytes()]})
+
+    found = (texts.mapInArrow(_sketcher(window, gram, bits, spread),
+                              "row int, chunk long, part int, cells binary")
+             .groupBy("row", "chunk", "part").applyInPandas(
+                 add, "row int, chunk long, once binary, bits binary")
+             .groupBy("row", "chunk").applyInPandas(merge, "row int, chunk long, bits binary"))
     whole = [np.zeros(1 << (bits - 3), np.uint8) for _ in _ROWS]
     size = 1 << (chunk_bits - 3)
     for row, chunk, packed in found.toLocalIterator():  # bounded: the bits of the sketch
@@ -226,7 +255,8 @@ def repeated_runs(texts: DataFrame, window: int = 20, gram: int = 8) -> DataFram
     bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(size * CELLS_PER_BYTE + 1))))
     parts = max(8, size // BYTES_PER_PART)
     sketch = spark.sparkContext.broadcast(
-        merged_sketch(texts.select("text"), window, gram, bits))
+        merged_sketch(texts.select("text"), window, gram, bits,
+                      max(1, math.isqrt(size // BYTES_PER_SPREAD))))
 
     def judge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         if key[0] >= parts:  # already judged in its partition
@@ -280,11 +310,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = 20, gram: int = 8) -> DataFrame:
-    """(id, n_words, n_removed, text): a row for each row of ``docs``; ``id_col`` is integer."""
-    texts = docs.select(F.col(text_col).alias("text"),
-                        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
+    """(id, n_words, n_removed, text): a row for each row of ``docs``."""
+    texts = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("own"),
                         F.xxhash64(F.col(text_col)).alias("t"))
-    runs = repeated_runs(texts, window, gram)
-    return (texts.join(runs, ["id", "t"], "left")
-            .select(F.nullif(F.col("id"), F.lit(NO_ID)).alias("id"), "text", "runs")
-            .mapInArrow(_cut, "id long, n_words long, n_removed long, text string"))
+    kind = texts.schema["own"].dataType
+    number = F.col("own").cast("long") if isinstance(kind, T.IntegralType) else F.col("number")
+    if not isinstance(kind, T.IntegralType):
+        named = texts.filter("own IS NOT NULL").groupBy("own").agg(F.count(F.lit(1)).alias("n"))
+        texts = lookup(texts, store(dense_ids(named, [F.col("own")], "number"), "numbered_ids"),
+                       "own", "n", F.col("t")).drop("n")
+    texts = texts.withColumn("id", F.coalesce(number, F.lit(NO_ID)))
+    runs = repeated_runs(texts.select("text", "id", "t"), window, gram)
+    return (texts.join(runs, ["id", "t"], "left").select(F.col("own").alias("id"), "text", "runs")
+            .mapInArrow(_cut, f"id {kind.simpleString()}, n_words long, n_removed long, text string"))

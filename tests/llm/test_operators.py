@@ -485,3 +485,46 @@ def test_edit_join_does_not_pair_a_group_with_itself(spark, monkeypatch):
     same([(r.id, r.size, r.component_id) for r in near.near_dedup(df, shingle=2).collect()],
          brute.near_dedup(rows, 2))
     assert seen and all(pairs < places for places, pairs in seen)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_ids_of_any_type_come_back(spark, kind):
+    """The smallest number, NULL and text ids return unchanged."""
+    shared = rng_text(61, 40, 5000)
+    ids = [-2 ** 63, None, 5, 2 ** 63 - 1] if kind == "long" else ["b", None, "a", "é"]
+    rows = list(zip(ids, [shared + " x", rng_text(62, 30), "y " + shared, shared])) + [
+        (ids[0], None), (None, "")]
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+    cut = {(r.id, r.text): r.n_removed for r in substring_dedup(df).collect()}
+    assert Counter(i for i, _ in cut) == Counter(i for i, _ in rows)
+    first = min((i for i in ids if i is not None))
+    assert cut[(first, dict(rows[:4])[first])] == 0
+    assert sum(n for n in cut.values()) == 2 * len(shared.split())
+    bench = spark.createDataFrame([(1, shared)], "item_id long, text string")
+    hit = Counter((r.id, r.n_hit) for r in decontaminate(df, bench).collect())
+    assert hit == Counter((i, 40 if shared in (t or "") else 0) for i, t in rows)
+
+
+def test_one_index_for_all_slices(spark, monkeypatch):
+    from keelson.llm import decontamination as deco
+    items = [(k, rng_text(500 + k, 25, 3000)) for k in range(60)]
+    rows = [(k, rng_text(700 + k, 50, 3000) + " " + " ".join(items[k][1].split()[3:20]))
+            for k in range(0, 60, 3)] + [(99, rng_text(9, 80))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    size = sum(len(t) for _, t in items)
+    monkeypatch.setattr(deco, "ITEM_WORDS", size // (6 * 5) + 1)
+    built, plain = [], deco.store
+    monkeypatch.setattr(deco, "store", lambda df, name: built.append(name) or plain(df, name))
+    assert len(deco._items(bench, "item_id", "text")) == 5
+    got = deco.decontaminate(docs, bench, slop=None).collect()
+    assert built == ["phrase_index"]
+    same([(r.id, r.n_words, r.n_hit, r["items"]) for r in got], brute.decontaminate(rows, items))
+
+
+def test_sketch_in_two_levels(spark):
+    from keelson.llm import substring_dedup as sub
+    texts = spark.createDataFrame([(rng_text(k % 7, 60, 900),) for k in range(40)], "text string")
+    plain = sub.merged_sketch(texts.repartition(9), 20, 8, 18)
+    split = sub.merged_sketch(texts.repartition(9), 20, 8, 18, spread=4)
+    assert all((a == b).all() and a.any() for a, b in zip(plain, split))
