@@ -153,40 +153,31 @@ def _compared(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across_labels(places: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Probing and posted places (aliases p and q), to be joined on ``way`` and ``slot``.
-
-    Only members of different components are to meet. So edits that stand in one component
-    only go (they would pair a whole group with itself), and what is left is dealt by ways: an
-    edit and two of its components. The probing places of a way are cut into slots of
-    ``SERVED``, and the posted ones are copied to each slot.
+    """Probing and posted places (aliases p and q), to be joined on ``way`` and ``side``.
+
+    Only members of different components are to meet. So edits that stand in one component only
+    go (they would pair a whole group with itself). Within an edit the components are numbered,
+    and a place takes part once for each bit of that number: it meets the places whose number
+    has the other value there and the same higher bits. Two different numbers have one highest
+    bit in which they differ, so members of different components meet exactly once, members of
+    one component never, and no pairs of components are listed.
     """
-    counted = places.groupBy("key", "label").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("place") <= F.col("probe")).alias("probing"))
-    shared = store(counted.groupBy("key").agg(
-        F.count(F.lit(1)).alias("labels"), F.sum("n").alias("rows")).filter("labels > 1"),
-        "shared_edits")
-    sides = counted.join(shared.select("key"), "key").withColumn("side", F.xxhash64("key", "label"))
-    mine, theirs = sides.alias("mine"), sides.alias("theirs")
-    ways = store(mine.join(theirs, F.col("mine.key") == F.col("theirs.key")).filter(
-        (F.col("mine.label") != F.col("theirs.label")) & (F.col("mine.probing") > 0)).select(
-        F.col("mine.side").alias("p"), F.col("theirs.side").alias("q"),
-        F.xxhash64("mine.key", "mine.label", "theirs.label").alias("way"),
-        F.ceil(F.col("mine.probing") / SERVED).cast("long").alias("slots"),
-        F.col("mine.n").alias("np"), F.col("theirs.n").alias("nq")), "edit_ways")
-
-    def placed(side: str, some: DataFrame, slot) -> DataFrame:
-        of = ways.groupBy(side).agg(F.collect_list(F.struct("way", "slots")).alias("ways"),
-                                    F.first("n" + side).alias("n")).withColumnRenamed(side, "side")
-        met = lookup(some.withColumn("side", F.xxhash64("key", "label")), of, "side", "n",
-                     F.col("m")).filter("n IS NOT NULL").withColumn("w", F.explode("ways"))
-        return met.withColumn("way", F.col("w.way")).withColumn("slot", slot).drop(
-            "ways", "w", "side", "n", "key")
-
-    probing = placed("p", places.filter("place <= probe"),
-                     F.pmod(F.xxhash64("m"), F.col("w.slots")))
-    posted = placed("q", places.filter("place <= post"),
-                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("w.slots") - 1)))
-    return probing.alias("p"), posted.alias("q")
+    counted = places.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    shared = store(counted.groupBy("key").agg(F.count(F.lit(1)).alias("labels"))
+                   .filter("labels > 1"), "shared_edits")
+    numbers = store(counted.join(shared, "key").select(
+        F.xxhash64("key", "label").alias("owner"), "n", "labels",
+        (F.row_number().over(Window.partitionBy("key").orderBy("label")) - 1).alias("number")),
+        "edit_numbers")
+    met = lookup(places.withColumn("owner", F.xxhash64("key", "label")), numbers, "owner", "n",
+                 F.col("m")).filter("n IS NOT NULL")
+    bits = F.ceil(F.log2(F.col("labels") - 0.5)).cast("int")
+    placed = met.withColumn("bit", F.explode(F.sequence(F.lit(0), F.greatest(bits, F.lit(1)) - 1)))
+    placed = store(placed.withColumn("way", F.xxhash64("key", "bit", F.expr(
+        "shiftright(number, bit + 1)"))).withColumn("side", F.expr("shiftright(number, bit) & 1"))
+        .drop("key", "owner", "n", "labels", "number", "bit"), "edit_sides")
+    return (placed.filter("place <= probe").alias("p"),
+            placed.filter("place <= post").withColumn("side", 1 - F.col("side")).alias("q"))
 
 
 def _shared_edits(stars: DataFrame, percent: int) -> DataFrame:
@@ -224,7 +215,7 @@ def _shared_edits(stars: DataFrame, percent: int) -> DataFrame:
     enough = (2 * wide * left >= wide * (F.col("p.of") + F.col("q.of"))
               - narrow * (F.col("p.size") + F.col("q.size")))
     sizes = (F.least("p.size", "q.size") * 100 >= F.greatest("p.size", "q.size") * percent)
-    meet = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("way", "slot")]
+    meet = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("way", "side")]
     return p.join(q, [*meet, F.col("q.linked") | (F.col("p.b") < F.col("q.b")), sizes, enough]).select(
         F.least("p.b", "q.b").alias("a"), F.greatest("p.b", "q.b").alias("b")).distinct()
 

@@ -475,8 +475,15 @@ def test_edit_join_does_not_pair_a_group_with_itself(spark, monkeypatch):
 
     def counting(places):
         p, q = across(places)
-        meet = [F.col("p.way") == F.col("q.way"), F.col("p.slot") == F.col("q.slot")]
-        seen.append((places.count(), p.join(q, meet).count()))
+        meet = [F.col("p.way") == F.col("q.way"), F.col("p.side") == F.col("q.side")]
+        pairs = p.join(q, meet).select("p.m", "p.place", "q.m", "q.place", "p.label", "q.label")
+        found = Counter(map(tuple, pairs.collect()))
+        probing, posted = places.filter("place <= probe"), places.filter("place <= post")
+        apart = probing.alias("p").join(posted.alias("q"), (F.col("p.key") == F.col("q.key")) & (
+            F.col("p.label") != F.col("q.label")))
+        assert found == Counter(map(tuple, apart.select(
+            "p.m", "p.place", "q.m", "q.place", "p.label", "q.label").collect()))
+        seen.append((places.count(), sum(found.values())))
         return p, q
 
     monkeypatch.setattr(near, "_across_labels", counting)
@@ -484,7 +491,7 @@ def test_edit_join_does_not_pair_a_group_with_itself(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     same([(r.id, r.size, r.component_id) for r in near.near_dedup(df, shingle=2).collect()],
          brute.near_dedup(rows, 2))
-    assert seen and all(pairs < places for places, pairs in seen)
+    assert seen and all(0 < pairs < places for places, pairs in seen)
 
 
 @pytest.mark.parametrize("kind", ["long", "string"])
