@@ -30,7 +30,7 @@ from keelson.plans.job import gold, run_files
 from keelson.plans.quality import quality_report
 from keelson.plans.reports import category_kpis, status_counts
 from keelson.plans.silver import clean_orders
-from keelson.plans.star import Star, fact_sales
+from keelson.plans.star import FACT_YEAR, Star, fact_sales, since
 from keelson.session import scratch_dir
 from keelson.sources.csv_bronze import land_bronze_csv, write_bronze_csv
 from keelson.sources.fixtures import quotes_from_events, weekly_price_series
@@ -100,7 +100,8 @@ def q_landed_quote(spark, sf_dir):
 
 def _star_table(name: str) -> Query:
     def fn(spark, sf_dir):
-        return gold(spark, sf_dir).star[name]
+        found = gold(spark, sf_dir).star[name]
+        return found.drop(FACT_YEAR)  # a matter of layout
     return fn
 
 
@@ -124,12 +125,15 @@ def star_geo2(spark: SparkSession, sf_dir: str) -> Star:
     return Star(root=g.root, tables={**g.star.tables, "fact_sales": fact})
 
 
+def star_kpis(star: Star) -> DataFrame:
+    """The KPI row of a star; the trend needs no dimension."""
+    return _kpi.kpi_summary(flatten_star(star, NO_DIMS), parts=_kpi.star_kpi_aggregates(star))
+
+
 @register("kpi_summary_geo2")
 def q_kpi_summary_geo2(spark, sf_dir):
     """The KPI row over the fanned-out fact, as the reference computes it."""
-    star = star_geo2(spark, sf_dir)
-    frame = flatten_star(star, Dims(customer_geo=False, time=False))
-    return presented(_kpi.kpi_summary(frame, parts=_kpi.star_kpi_aggregates(star)))
+    return presented(star_kpis(star_geo2(spark, sf_dir)))
 
 
 @register("late_city_top10_geo2")
@@ -190,6 +194,7 @@ def q_fact_integrity(spark, sf_dir):
 
 
 PARTIAL_DIMS = Dims(product=True, customer_geo=False, logistics=False, time=False)
+NO_DIMS = Dims(product=False, customer_geo=False, logistics=False, time=False)
 NO_LOGISTICS_DIMS = Dims(product=True, customer_geo=False, logistics=False, time=True)
 
 
@@ -241,12 +246,10 @@ FILTER_FROM_YEAR = 1998
 def q_kpi_summary_filtered(spark, sf_dir):
     """KPIs of the orders from ``FILTER_FROM_YEAR`` on (E3: insights on filtered data).
 
-    ``year >= Y`` is written as ``full_date >= Y-01-01`` (same rows; NULL dates fail
-    both) so that it is pushed to the Parquet scan of the date-sorted fact.
+    ``year >= Y`` is written as a date filter (same rows; NULL dates fail both), which reaches
+    the scan as a partition filter and a pushed filter.
     """
-    since = F.lit(f"{FILTER_FROM_YEAR}-01-01 00:00:00").cast("timestamp_ntz")
-    return presented(_kpi.kpi_summary(
-        flat(spark, sf_dir, "product", "logistics").filter(F.col("full_date") >= since)))
+    return presented(star_kpis(since(gold(spark, sf_dir).star, f"{FILTER_FROM_YEAR}-01-01 00:00:00")))
 
 
 @register("sales_trend")

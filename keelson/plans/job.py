@@ -87,7 +87,7 @@ def build_gold(spark: SparkSession, bronze: DataFrame, quotes: DataFrame | None,
     if n == 0:
         raise ValueError("silver is empty: nothing to model")
     return Gold(root=root, typed=typed, silver=silver, silver_rows=n,
-                star=build_star(silver, f"{root}/gold", star), oil_price=price,
+                star=build_star(silver, f"{root}/gold", star, n), oil_price=price,
                 scratch=scratch_dir(spark, "memo"))
 
 

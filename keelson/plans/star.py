@@ -4,7 +4,11 @@ Dimensions are distinct projections of silver (shuffle on the natural key with a
 partial aggregate). Surrogate ids are dense, 1..n in natural-key order with NULLs last,
 computed by ``dense_ids`` (no single-task window), so a rebuild gives the same ids.
 Each dimension is written and read back before the fact join, so the fact joins the
-ids that were stored; its stored size decides between a broadcast and the skew-safe join.
+ids that were stored; its stored size decides between a broadcast and the skew-safe join. The
+time dimension is made from the stored context dimension, which has every timestamp already.
+
+The fact is partitioned by ``order_year`` (NULL dates have a partition of their own) and sorted by
+date within its files: a date filter (``since``) leaves out whole folders, then row groups.
 """
 
 from __future__ import annotations
@@ -73,6 +77,11 @@ def dim_context(silver: DataFrame) -> DataFrame:
         F.col("order_ts").alias("ref_ts"), "oil_price")
 
 
+#: The fact's partition column, beside FACT_COLUMNS.
+FACT_YEAR = "order_year"
+#: A year is written in so many files that each holds about this many rows at most.
+FACT_FILE_ROWS = 4_000_000
+
 FACT_COLUMNS = ("time_id", "full_date", "product_id", "customer_geo_id", "logistics_id",
                 "daily_oil_price", "sales", "profit", "sales_per_customer", "ship_days_real")
 
@@ -118,17 +127,27 @@ class Star:
         return self.tables[name]
 
 
-def _write_read(spark: SparkSession, df: DataFrame, path: str,
-                sort: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+def _write_read(spark: SparkSession, df: DataFrame, path: str, sort: tuple[str, ...] = (),
+                partition: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     if sort:  # layout only: sorted files compress better and keep min/max stats tight
-        df = df.sortWithinPartitions(*sort)
-    df.write.mode("overwrite").parquet(path)
+        df = df.sortWithinPartitions(*partition, *sort)
+    df.write.mode("overwrite").partitionBy(*partition).parquet(path)
     back = spark.read.parquet(path)
     return back, back.count()
 
 
-def build_star(silver: DataFrame, root: str, cfg: StarConfig = DEFAULT_STAR) -> Star:
-    """Build, write and read back the five dims and the fact under ``root``."""
+def by_year(fact: DataFrame, rows: int) -> DataFrame:
+    """The fact with its year, dealt so that a task writes one file for each of a few years; a
+    year that holds most rows is spread over many tasks by a hash of the row."""
+    slots = max(1, -(-rows // FACT_FILE_ROWS))
+    slot = F.pmod(F.xxhash64(*fact.columns), F.lit(slots))
+    return fact.withColumn(FACT_YEAR, F.year("full_date")).repartition(F.col(FACT_YEAR), slot)
+
+
+def build_star(silver: DataFrame, root: str, cfg: StarConfig = DEFAULT_STAR,
+               rows: int | None = None) -> Star:
+    """Build, write and read back the five dims and the fact under ``root``; ``rows`` is the
+    number of silver rows, if known."""
     spark = silver.sparkSession
     star = Star(root=root, tables={})
     builders = {"dim_time": dim_time, "dim_logistics": dim_logistics,
@@ -138,19 +157,36 @@ def build_star(silver: DataFrame, root: str, cfg: StarConfig = DEFAULT_STAR) ->
     # threads, so Spark runs their (often small) stages side by side.
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
         def build(name: str, fn) -> tuple[DataFrame, int]:
-            return _write_read(spark, fn(silver), f"{root}/{name}", DIM_SORT[name])
-        futures = {name: pool.submit(build, name, fn) for name, fn in builders.items()}
+            source = silver
+            if name == "dim_time":  # the context has all timestamps
+                context, _ = futures["dim_context"].result()
+                source = context.select(F.col("ref_ts").alias("order_ts"))
+            return _write_read(spark, fn(source), f"{root}/{name}", DIM_SORT[name])
+        futures: dict = {}
+        for name in sorted(builders, key=lambda n: n != "dim_context"):
+            futures[name] = pool.submit(build, name, builders[name])
         for name, fut in futures.items():
             star.tables[name], star.rows[name] = fut.result()
     fact = fact_sales(silver, star["dim_product"], star["dim_customer_geo"],
                       star["dim_logistics"], cfg)
-    # Sorted by date inside each task (no shuffle): row groups cover narrow date ranges,
-    # so date predicates pushed to the Parquet reader skip most of them.
+    # Sorted by date inside each file: row groups cover narrow date ranges, so date
+    # predicates pushed to the Parquet reader skip most of them.
+    dealt = by_year(fact, silver.count() if rows is None else rows)
     star.tables["fact_sales"], star.rows["fact_sales"] = _write_read(
-        spark, fact, f"{root}/fact_sales", ("full_date",))
+        spark, dealt, f"{root}/fact_sales", ("full_date",), (FACT_YEAR,))
     return star
 
 
+def since(star: Star, start: str) -> Star:
+    """``star`` with the facts from a date on; NULL dates fail. The year reaches the scan as a
+    partition filter, the date as a pushed filter."""
+    fact, when = star["fact_sales"], F.lit(start).cast("timestamp_ntz")
+    if FACT_YEAR in fact.columns:
+        fact = fact.filter(F.col(FACT_YEAR) >= int(start[:4]))
+    fact = fact.filter(F.col("full_date") >= when)
+    return Star(root=star.root, tables={**star.tables, "fact_sales": fact})
+
+
 def read_star(spark: SparkSession, root: str) -> Star:
     """Open a star written by ``build_star``; absent dimensions are left out.
 

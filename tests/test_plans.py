@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from keelson.config import Dims, StarConfig
+from keelson.plans.job import gold
 from keelson.plans.insights import insights, prompt_context
 from keelson.plans.kpi import kpi_summary
 from keelson.plans.marts import category_mart
@@ -16,6 +17,7 @@ from keelson.plans.reports import status_counts
 from keelson.plans.silver import fill_orders, keep_valid
 from keelson.plans.star import Star, dim_customer_geo, dim_logistics, dim_product, fact_sales
 from keelson.plans.flatten import flatten_star
+from tests.conftest import SF_SMALL
 
 FLAT = ("full_date timestamp_ntz, sales double, profit double, oil_price double, "
         "delivery_status string, category string, cust_city string, ship_mode string")
@@ -152,7 +154,6 @@ def test_empty_inputs_raise(spark, tmp_path):
 
     from keelson.plans.job import build_gold
     from keelson.sources.fixtures import bronze_orders
-    from tests.conftest import SF_SMALL
     with pytest.raises(ValueError):
         kpi_summary(_flat(spark, []))
     with pytest.raises(ValueError, match="silver is empty"):
@@ -200,3 +201,36 @@ def test_fact_join_with_hot_key_without_broadcast(spark):
             else:
                 spark.conf.set(k, v)
     assert got == want and sum(got.values()) == 3000
+
+
+def test_date_filter_prunes_partitions(spark):
+    """The fact is stored by year: a date filter reads the folders of its years only."""
+    from keelson.plans.star import FACT_YEAR, since
+    star = gold(spark, SF_SMALL).star
+    late = since(star, "1998-03-01 00:00:00")
+    plan = flatten_star(late)._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "PartitionFilters" in x and FACT_YEAR in x)
+    assert f"({FACT_YEAR}#" in scan.split("PartitionFilters:")[1] and ">= 1998)" in scan
+    assert "GreaterThanOrEqual(full_date" in scan
+    files = lambda df: {f.split(f"{FACT_YEAR}=")[1].split("/")[0] for f in df.inputFiles()}
+    assert len(files(star["fact_sales"])) > len([y for y in files(star["fact_sales"])
+                                                if y.isdigit() and int(y) >= 1998]) > 0
+    rows = star["fact_sales"].collect()
+    want = [r for r in rows if r.full_date is not None and str(r.full_date) >= "1998-03-01"]
+    assert late["fact_sales"].count() == len(want)
+    assert all((r.full_date.year if r.full_date else None) == r[FACT_YEAR] for r in rows)
+
+
+def test_a_year_with_most_rows_is_spread(spark):
+    from keelson.plans.star import FACT_COLUMNS, by_year
+    rows = spark.range(40_000).select(F.col("id").alias("product_id"), F.when(
+        F.col("id") % 10 > 0, F.lit("2001-05-01").cast("timestamp_ntz")).alias("full_date"))
+    import keelson.plans.star as star
+    before, star.FACT_FILE_ROWS = star.FACT_FILE_ROWS, 1000
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        sizes = [r[1] for r in by_year(rows, 40_000).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        star.FACT_FILE_ROWS = before
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 2 * 40_000 / 8 and FACT_COLUMNS
