@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 
 SLICE_WORDS = 400_000
-_VOCABULARY = 1_000_000
+_VOCABULARY = 300_000
 
 ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F),
        np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
