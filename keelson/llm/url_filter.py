@@ -7,8 +7,9 @@ probability is folded from the shortest to the longest context with Witten-Bell
 as it has seen, and an unseen one falls back to the next shorter. A URL's score is its
 log-likelihood difference per symbol. The threshold is calibrated on the rule-decided URLs
 where the two classes' scores would err equally often (equal distance from both means in
-standard deviations). It is approximate: 1 is taken off each count and context total for the
-URL itself, so what a URL adds beyond that by repeating a gram or context stays in its score.
+standard deviations). For this, these URLs are split into two halves by hash and counted apart,
+and each half is scored by the models of the other one, so that nothing a URL adds to the counts
+is in its own score.
 
 All counts are distributed: n-grams are aggregated, the few distinct longest grams get
 their probabilities from one join with the counts of all orders, and the URLs' grams look
@@ -73,39 +74,49 @@ def grams(url: Column, order: int = ORDER) -> Column:
         lambda i: F.array_join(F.slice(s, i, F.lit(order + 1)), ""))), F.lit(0))
 
 
+#: Counts of grams: accepted and rejected, in both halves of the training URLs.
+_HALVES = ("a0", "a1", "r0", "r1")
+
+
+def half_of(url: Column) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(2)).cast("int")
+
+
 def _counts(train: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
-    """Of all orders: (gram, a, r) and (context, na, ka, nr, kr), a accepted, r rejected."""
-    seen = lambda verdict: F.sum((F.col("verdict") == verdict).cast("long"))
-    longest = (train.select("verdict", F.explode(grams(F.col("url"), order)).alias("gram"))
-               .groupBy("gram").agg(seen("allow").alias("a"), seen("block").alias("r")))
+    """Of all orders: (gram, counts of ``_HALVES``) and (context, their totals n.., the kinds of
+    symbols k.. in each half and, as ka and kr, in both)."""
+    seen = lambda verdict, half: F.sum(
+        ((F.col("verdict") == verdict) & (F.col("half") == half)).cast("long"))
+    longest = (train.withColumn("half", half_of(F.col("url")))
+               .select("verdict", "half", F.explode(grams(F.col("url"), order)).alias("gram"))
+               .groupBy("gram").agg(*[seen("allow" if c[0] == "a" else "block", int(c[1])).alias(c)
+                                      for c in _HALVES]))
     suffixes = F.transform(F.sequence(F.lit(1), F.lit(order + 1)),
                            lambda k: F.substring(F.col("gram"), F.lit(order + 2) - k, k))
-    every = store(longest.select("a", "r", F.explode(suffixes).alias("gram"))
-                  .groupBy("gram").agg(F.sum("a").alias("a"), F.sum("r").alias("r")), "url_grams")
+    every = store(longest.select(*_HALVES, F.explode(suffixes).alias("gram"))
+                  .groupBy("gram").agg(*[F.sum(c).alias(c) for c in _HALVES]), "url_grams")
     context = F.substring(F.col("gram"), F.lit(1), F.length("gram") - 1)
-    kinds = lambda c: F.sum((F.col(c) > 0).cast("long"))
+    kinds = lambda *c: F.sum((sum((F.col(x) for x in c), F.lit(0)) > 0).cast("long"))
     contexts = store(every.groupBy(context.alias("context")).agg(
-        F.sum("a").alias("na"), kinds("a").alias("ka"),
-        F.sum("r").alias("nr"), kinds("r").alias("kr")), "url_contexts")
+        *[F.sum(c).alias("n" + c) for c in _HALVES], *[kinds(c).alias("k" + c) for c in _HALVES],
+        kinds("a0", "a1").alias("ka"), kinds("r0", "r1").alias("kr")), "url_contexts")
     return every, contexts
 
 
-def _fold(steps: Column, count: str, total: str, kinds: str, leave_out: bool) -> Column:
+def _fold(steps: Column, count: tuple[str, ...], kinds: str) -> Column:
     """Natural logarithm of the smoothed probability, from contexts short to long."""
-    own = 1 if leave_out else 0
-
     def step(p: Column, s: Column) -> Column:
-        c = F.greatest(s[count] - own, F.lit(0)).cast("double")
-        n = F.greatest(s[total] - own, F.lit(0)).cast("double")
-        k = (F.greatest(s[kinds] - F.when(s[count] == 1, 1).otherwise(0), F.lit(0))
-             if leave_out else s[kinds]).cast("double")
+        c = sum((s[x] for x in count), F.lit(0)).cast("double")
+        n = sum((s["n" + x] for x in count), F.lit(0)).cast("double")
+        k = s[kinds].cast("double")
         return F.when(n + k > 0, (c + k * p) / (n + k)).otherwise(p)
 
     return F.log(F.aggregate(steps, F.lit(1.0 / SYMBOLS), step))
 
 
 def _model(used: DataFrame, train: DataFrame, order: int) -> DataFrame:
-    """(gram, uses, la, lr, la_own, lr_own) for each distinct gram of the URLs to score."""
+    """(gram, uses, la, lr, la0, lr0, la1, lr1) for each distinct gram of the URLs to score: its
+    log-probability under all training URLs and under each half of them."""
     every, contexts = _counts(train, order)
     place = F.sequence(F.lit(0), F.lit(order))
     long = store(used.select("gram", F.explode(place).alias("k")).select(
@@ -117,17 +128,15 @@ def _model(used: DataFrame, train: DataFrame, order: int) -> DataFrame:
     known = lookup(long, every.join(weigh("gram"), "gram"), "gram", "w", F.col("whole")).drop("w")
     known = lookup(known, contexts.join(weigh("context"), "context"), "context", "w",
                    F.col("whole"))
-    fields = ("a", "r", "na", "ka", "nr", "kr")
+    fields = [c for c in (*every.columns, *contexts.columns) if c not in ("gram", "context")]
     row = F.struct("k", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in fields])
     folded = known.groupBy(F.col("whole").alias("gram")).agg(
         F.sort_array(F.collect_list(row)).alias("steps"))
     steps = F.col("steps")
     return store(folded.join(used, "gram").select(
         "gram", "uses",
-        _fold(steps, "a", "na", "ka", False).alias("la"),
-        _fold(steps, "r", "nr", "kr", False).alias("lr"),
-        _fold(steps, "a", "na", "ka", True).alias("la_own"),
-        _fold(steps, "r", "nr", "kr", True).alias("lr_own")), "url_model")
+        _fold(steps, ("a0", "a1"), "ka").alias("la"), _fold(steps, ("r0", "r1"), "kr").alias("lr"),
+        *[_fold(steps, (c,), "k" + c).alias("l" + c) for c in _HALVES]), "url_model")
 
 
 def _threshold(scored: DataFrame) -> float | None:
@@ -157,8 +166,9 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id
         "id", "url", "verdict", F.explode(grams(url, order)).alias("gram")), "url_spelled")
     used = spelled.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
     model = _model(used, train, order)
-    own = (F.when(F.col("verdict") == "allow", F.col("la_own") - F.col("lr"))
-           .when(F.col("verdict") == "block", F.col("la") - F.col("lr_own")))
+    # a URL of one half, by the models of the other
+    own = F.when(F.col("verdict").isNotNull(), F.when(
+        half_of(url) == 0, F.col("la1") - F.col("lr1")).otherwise(F.col("la0") - F.col("lr0")))
     scored = store(
         lookup(spelled, model, "gram", "uses", F.struct("id", "url"))
         .groupBy("id", "url").agg(F.avg(F.col("la") - F.col("lr")).alias("score"),

@@ -7,6 +7,8 @@ import math
 import re
 from collections import Counter
 
+import xxhash
+
 WORD = re.compile("[^\x20\x09-\x0D]+")
 TEST_WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -286,3 +288,43 @@ def hard_negatives(rows, positives=5, negatives=3):
                     if r[2] != a[2] and 50 * ps <= 100 * -s <= 95 * ps][:negatives]
             out |= {(a[0], p[0], k + 1, r[0], ps, s) for k, (r, s) in enumerate(near)}
     return out
+
+
+def url_scores(urls, rules, order=5, symbols=94 - 26 + 2):
+    """({url: score}, threshold) by Witten-Bell models of the URLs that a rule decides."""
+    def marked(url):
+        body = re.sub(r"[^\x21-\x7E]", "\x01", re.sub("^[^:/?#]*://", "", url).lower())
+        return "\x02" * order + body + "\x03"
+
+    half = lambda u: xxhash.xxh64_intdigest(u.encode(), 42) & 1
+    counts: dict = {}
+    decided = {u: url_rule(u, rules)[3] for u in set(urls) if u}
+    for u, verdict in decided.items():
+        for f in ((half(u), None) if verdict else ()):
+            t = marked(u)
+            for i in range(order, len(t)):
+                for k in range(order + 1):
+                    counts.setdefault((verdict, f, t[i - k:i]), Counter())[t[i]] += 1
+
+    def log(verdict, f, t, i):
+        p = 1 / symbols
+        for k in range(order + 1):
+            c = counts.get((verdict, f, t[i - k:i]))
+            if c:
+                p = (c[t[i]] + len(c) * p) / (sum(c.values()) + len(c))
+        return math.log(p)
+
+    def score(u, f):
+        t = marked(u)
+        each = [log("allow", f, t, i) - log("block", f, t, i) for i in range(order, len(t))]
+        return sum(each) / len(each)
+
+    own = {v: [score(u, 1 - half(u)) for u, x in decided.items() if x == v] for v in ("allow", "block")}
+    if not own["allow"] or not own["block"]:
+        return {u: score(u, None) for u in decided}, None
+    mean = {v: sum(x) / len(x) for v, x in own.items()}
+    dev = {v: math.sqrt(sum((y - mean[v]) ** 2 for y in x) / len(x)) for v, x in own.items()}
+    a, b = "allow", "block"
+    limit = ((mean[a] + mean[b]) / 2 if dev[a] + dev[b] == 0
+             else (mean[a] * dev[b] + mean[b] * dev[a]) / (dev[a] + dev[b]))
+    return {u: score(u, None) for u in decided}, limit

@@ -272,6 +272,12 @@ def test_url_filter(spark):
     assert verdict[60] == "allow" and verdict[61] == "block" and verdict[62] == "allow"
     assert judge_urls(df.limit(0), RULES).count() == 0
     assert {r.verdict for r in judge_urls(df.filter("page_id = 62"), RULES).collect()} == {"allow"}
+    scores, limit = brute.url_scores(urls, plain)
+    for r in got:
+        url = dict(rows).get(r.id)
+        if r.rule is None and url:
+            assert r.score == pytest.approx(scores[url])
+            assert r.verdict == ("block" if scores[url] < limit else "allow")
 
 
 def test_url_model_is_witten_bell(spark):

@@ -41,7 +41,18 @@ def test_op1(spark, con):
     for i, url in pages:
         host, path, rule, verdict = brute.url_rule(url, plain)
         assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule)
-        assert got[i].verdict == verdict if verdict else got[i].verdict in ("allow", "block")
+    scores, limit = brute.url_scores([u for _, u in pages], plain)
+    judged = 0
+    for i, url in pages:
+        verdict = brute.url_rule(url, plain)[3]
+        if verdict or not url or limit is None:
+            assert got[i].verdict == (verdict or "allow")
+            continue
+        assert got[i].score == pytest.approx(scores[url])
+        judged += 1
+        if abs(scores[url] - limit) > 1e-9:
+            assert got[i].verdict == ("block" if scores[url] < limit else "allow")
+    assert limit is not None and judged > 5
 
 
 def test_op3(spark, con, docs):
