@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import lookup, store
+from keelson.llm.common import store
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Link every neighbour on one side of a node to the smallest of its neighbourhood.
 
     ``edges`` has a > b; so has the result, possibly with repeated rows. A node with very many
-    neighbours is served by ``lookup``, so they need not meet in one task."""
+    neighbours is left to AQE, which splits its part of the join (serving such nodes by broadcast
+    costs more small stages a round than it saves)."""
     ways = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
                              ) if large else edges
-    least = ways.groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("n")
-                                  ).withColumn("least", F.least("a", "least"))
-    near = lookup(ways, least, "a", "n", F.col("b"))
-    near = near.filter("b > a") if large else near.drop("n").unionByName(
+    least = ways.groupBy("a").agg(F.min("b").alias("least")).withColumn(
+        "least", F.least("a", "least"))
+    near = ways.join(least, "a")
+    near = near.filter("b > a") if large else near.unionByName(
         least.select("a", F.col("a").alias("b"), "least"))
     return near.select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b")
 
