@@ -1,8 +1,9 @@
 """The corpus pipeline: five stages over ``documents``, each by one operator of keelson.llm.
 
 1. language_id: documents without a recognised language go: ``und``, and those whose fit to
-   the chosen languages is below what clean documents of these languages have (limits calibrated
-   on the labelled documents that the model is not trained on).
+   the chosen languages is below what clean documents of these languages have. The model is
+   trained on all labelled documents; the limits are calibrated on all of them, too, each one
+   fitted by a model of the folds that it is not in.
 2. line_dedup: lines of repeated runs, and repeated lines of more than 50 words, go; a document
    of which nothing but blanks is left goes with them.
 3. near_dedup: five-word shingles, similarity 0.8; the document with the smallest doc_id of
@@ -40,8 +41,8 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = lang.train(docs.filter(~lang.held_out()))
-    limits = lang.calibrate(docs.filter(lang.held_out()), model)
+    model, others = lang.train_folds(docs)
+    limits = lang.calibrate(docs, model, others)
     read = lang.predict(_packed(docs).select("text", "row"), model, ["row"], limits=limits)
     return read.filter("accepted").select("row.*")
 

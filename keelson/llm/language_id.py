@@ -14,12 +14,15 @@ as long as each raises the log-likelihood (proportions fitted anew) by more than
 The fit is the set's log-likelihood a trigram, less that of no language (all cells alike), plus
 the entropy of the proportions, so that a mixture is measured like its languages alone.
 
-Rejection. ``calibrate`` takes labelled documents that the model was not trained on, at most
-about ``CALIBRATION_ROWS``, and finds for each language and length (``LENGTHS`` in trigrams) the
-lowest fit that a clean document has: the ``LOW`` quantile, or ``SPREAD`` deviations (by the
-median deviation) below the median if that is lower. With fewer than ``LEAST_ROWS`` such documents
-of a language and length, all languages stand in for it, and else 0 is the limit.
-``predict(..., limits)`` accepts what reaches the limits of one of its languages.
+Rejection. ``train_folds`` gives the model of all labelled rows and, for each of ``FOLDS`` folds,
+one of all the others: the counts are kept by fold and added up. ``calibrate`` fits every labelled
+document by the model that has not seen it, and finds for each language and length (``LENGTHS`` in
+trigrams) the lowest fit that a clean document has: the ``LOW`` quantile, or ``SPREAD`` deviations
+(by the median deviation) below the median if that is lower. All fits are counted, rounded down to
+steps of 1 / ``STEPS``, so the quantiles are taken from a table that does not grow with the rows.
+With fewer than ``LEAST_ROWS`` such documents of a language and length, all languages stand in for
+it, and else 0 is the limit. ``predict(..., limits)`` accepts what reaches the limits of one of its
+languages.
 
 Defined results: NULL text and text without a letter are ``und`` with score and fit 0, as is
 everything while there are no training rows; ties go to the language that sorts first;
@@ -31,12 +34,13 @@ from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.common import store
@@ -50,11 +54,15 @@ ROUNDS = 40
 SETTLED = 1e-4
 #: A language below this proportion is not tried as a member of the set.
 LEAST_SHARE = 0.02
-CALIBRATION_ROWS = 40_000
+FOLDS = 4
+#: Steps of a unit of fit in which the fits are counted.
+STEPS = 10_000
 LENGTHS = (64, 256, 1024)
 LOW, SPREAD, LEAST_ROWS = 0.002, 4.0, 30
 UNKNOWN = "und"
 _CHUNK = 4096
+#: Languages and folds that a task counts at the same time (half a megabyte each).
+_COUNTED = 256
 _SPREAD = 64
 _M = tuple(np.uint32(m) for m in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
 
@@ -89,26 +97,35 @@ def trigrams(text: str) -> np.ndarray:
     return (h >> np.uint32(32 - BITS)).astype(np.int64)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per partition and language: dense counts, in chunks of cells that occur."""
-    totals: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            found = trigrams(text.as_py() or "")
-            if len(found):
-                if lang not in totals:
-                    totals[lang] = np.zeros(BUCKETS, np.int64)
-                np.add.at(totals[lang], found, 1)
-    part = TaskContext.get().partitionId() % _SPREAD
-    for lang, total in totals.items():
+def _packed(totals: dict[tuple[str, int], np.ndarray], part: int) -> Iterator[pa.RecordBatch]:
+    """The counts in chunks of cells that occur."""
+    for (lang, fold), total in totals.items():
         chunks = [(k, total[k * _CHUNK:(k + 1) * _CHUNK]) for k in range(BUCKETS // _CHUNK)]
         chunks = [(k, c) for k, c in chunks if c.any()]
         n = len(chunks)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * n), pa.array([part] * n, pa.int32()),
-             pa.array([k for k, _ in chunks], pa.int32()),
+            [pa.array([lang] * n), pa.array([fold] * n, pa.int32()),
+             pa.array([part] * n, pa.int32()), pa.array([k for k, _ in chunks], pa.int32()),
              pa.array([c.tobytes() for _, c in chunks], pa.binary())],
-            ["lang", "part", "chunk", "counts"])
+            ["lang", "fold", "part", "chunk", "counts"])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per partition, language and fold: dense counts."""
+    totals: dict[tuple[str, int], np.ndarray] = {}
+    part = TaskContext.get().partitionId() % _SPREAD
+    for batch in batches:
+        for lang, fold, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                    batch.column(2)):
+            found = trigrams(text.as_py() or "")
+            if len(found):
+                if (lang, fold) not in totals:
+                    if len(totals) == _COUNTED:
+                        yield from _packed(totals, part)
+                        totals.clear()
+                    totals[lang, fold] = np.zeros(BUCKETS, np.int64)
+                np.add.at(totals[lang, fold], found, 1)
+    yield from _packed(totals, part)
 
 
 def _add(group: pd.DataFrame) -> pd.DataFrame:
@@ -116,21 +133,26 @@ def _add(group: pd.DataFrame) -> pd.DataFrame:
     return group[:1].assign(counts=[total.tobytes()])
 
 
-def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text"
-          ) -> tuple[list[str], np.ndarray]:
-    """The languages and their trigram log-probabilities, one row each."""
-    spark = rows.sparkSession
-    schema = "lang string, part int, chunk int, counts binary"
-    labelled = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
-        "lang IS NOT NULL")
+_COUNTS = "lang string, fold int, part int, chunk int, counts binary"
+
+
+def _counts(rows: DataFrame, lang_col: str, text_col: str, fold: Column) -> DataFrame:
+    """(lang, fold, part, chunk, counts): one row for each language, fold and chunk."""
+    labelled = rows.select(F.col(lang_col).alias("lang"), fold.cast("int").alias("fold"),
+                           F.col(text_col).alias("text")).filter("lang IS NOT NULL")
     learned = (labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang")
                .limit(MOST_LANGUAGES).select("lang"))
-    sums = (labelled.join(F.broadcast(learned), "lang").filter("text IS NOT NULL")
-            .mapInArrow(_count, schema)
-            .groupBy("lang", "part", "chunk").applyInPandas(_add, schema)
-            .groupBy("lang", "chunk").applyInPandas(_add, schema).drop("part"))
+    return (labelled.join(F.broadcast(learned), "lang").filter("text IS NOT NULL")
+            .mapInArrow(_count, _COUNTS)
+            .groupBy("lang", "fold", "part", "chunk").applyInPandas(_add, _COUNTS)
+            .groupBy("lang", "fold", "chunk").applyInPandas(_add, _COUNTS))
+
+
+def _model(sums: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The languages and their trigram log-probabilities, from one row a language and chunk."""
     counts: dict[str, np.ndarray] = {}
-    for lang, chunk, packed in sums.toLocalIterator():  # bounded: cells times languages
+    # bounded: cells times languages
+    for lang, chunk, packed in sums.select("lang", "chunk", "counts").toLocalIterator():
         counts.setdefault(lang, np.zeros(BUCKETS, np.int64))[
             chunk * _CHUNK:(chunk + 1) * _CHUNK] = np.frombuffer(packed, np.int64)
     names = sorted(counts)
@@ -139,6 +161,20 @@ def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text"
     return names, (smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
+def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text"
+          ) -> tuple[list[str], np.ndarray]:
+    """The languages and their trigram log-probabilities, one row each."""
+    return _model(_counts(rows, lang_col, text_col, F.lit(0)))
+
+
+def train_folds(rows: DataFrame, id_col: str = "doc_id", lang_col: str = "lang",
+                text_col: str = "text") -> tuple[tuple, list[tuple]]:
+    """The model of all rows, and for each fold that of the rows of the other folds."""
+    sums = store(_counts(rows, lang_col, text_col, fold(id_col)), "trigram_counts")
+    total = lambda part: _model(part.groupBy("lang", "chunk").applyInPandas(_add, _COUNTS))
+    return total(sums), [total(sums.filter(F.col("fold") != k)) for k in range(FOLDS)]
+
+
 def proportions(likely: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, float]:
     """Mixture weights of the rows of ``likely`` (languages x trigrams), log-likelihood."""
     share = np.full(len(likely), 1.0 / len(likely))
@@ -205,23 +241,26 @@ def _predictor(shared, at: int, carry: int):
     return predict
 
 
-def calibrate(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id",
+def calibrate(docs: DataFrame, model: tuple[list[str], np.ndarray],
+              others: list[tuple[list[str], np.ndarray]], id_col: str = "doc_id",
               lang_col: str = "lang", text_col: str = "text") -> dict[tuple[str, int], float]:
-    """The limits by language and length, from documents that the model was not trained on and
-    that it gives the language they are labelled with. Of many, those with the lowest hashes."""
+    """The limits by language and length, from all labelled documents whose fold's model, of
+    ``others``, gives them the language they are labelled with."""
     known = docs.filter(F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    share = CALIBRATION_ROWS / max(known.count(), CALIBRATION_ROWS)
-    some = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    fits = predict(some.select("_lang", "text"), model, ["_lang"]).filter(
-        "lang_pred = _lang AND trigrams > 0")
+        F.col(lang_col).alias("_lang"), fold(id_col).alias("_fold"), F.col(text_col).alias("text"))
+    # fold by fold, so that a task holds one model
+    fits = reduce(DataFrame.unionByName, [
+        predict(known.filter(F.col("_fold") == k).select("_lang", "text"), other, ["_lang"])
+        for k, other in enumerate(others)]).filter("lang_pred = _lang AND trigrams > 0")
     length = F.lit(0)
     for limit in LENGTHS:
         length = length + (F.col("trigrams") >= limit).cast("int")
-    fits = store(fits.select("_lang", length.alias("length"), "fit"), "language_fits")
+    fits = store(fits.groupBy("_lang", length.alias("length"),
+                              F.floor(F.col("fit") * STEPS).alias("step"))
+                 .agg(F.count(F.lit(1)).alias("n")), "language_fits")
     middle = fits.groupingSets([["_lang", "length"], ["length"]], "_lang", "length").agg(
-        F.percentile("fit", 0.5).alias("middle"), F.percentile("fit", LOW).alias("low"),
-        F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_ROWS)
+        F.percentile("step", 0.5, F.col("n")).alias("middle"), F.percentile("step", LOW, F.col("n")).alias("low"),
+        F.sum("n").alias("rows")).filter(F.col("rows") >= LEAST_ROWS)
     # at most MOST_LANGUAGES + 1 times the lengths
     rows = {(r["_lang"], r["length"]): r for r in middle.collect()}
     away = fits.join(F.broadcast(middle.select(
@@ -229,8 +268,9 @@ def calibrate(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str
         (F.col("_lang").eqNullSafe(F.col("_l")) | F.col("_l").isNull())
         & (F.col("length") == F.col("_n")))
     spread = {(r["_l"], r["_n"]): r["mad"] for r in away.groupBy("_l", "_n").agg(
-        F.percentile(F.abs(F.col("fit") - F.col("middle")), 0.5).alias("mad")).collect()}
-    at = {k: min(r["low"], r["middle"] - SPREAD * 1.4826 * spread[k]) for k, r in rows.items()}
+        F.percentile(F.abs(F.col("step") - F.col("middle")), 0.5, F.col("n")).alias("mad")).collect()}
+    at = {k: min(r["low"], r["middle"] - SPREAD * 1.4826 * spread[k]) / STEPS
+          for k, r in rows.items()}
     return {(name, n): at.get((name, n), at.get((None, n), 0.0))
             for name in model[0] for n in range(len(LENGTHS) + 1)}
 
@@ -250,7 +290,12 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str
                             ", ".join(fields))
 
 
-def held_out(id_col: str = "doc_id"):
-    """Rows that training leaves out: crc32 of the id as text, modulo 4, is 2."""
+def fold(id_col: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo the folds."""
     text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    return F.pmod(F.crc32(text.cast("binary")), F.lit(4)) == 2
+    return F.pmod(F.crc32(text.cast("binary")), F.lit(FOLDS))
+
+
+def held_out(id_col: str = "doc_id") -> Column:
+    """Rows that training leaves out: crc32 of the id as text, modulo 4, is 2."""
+    return fold(id_col) == 2

@@ -172,6 +172,30 @@ def test_language_stage_keeps_recognised_mixtures(spark):
     assert {x.doc_id for x in kept} == {i for i, *_ in rows} - {3000, 3001, 3002}
 
 
+def test_language_stage_learns_and_calibrates_on_all_labelled_rows(spark):
+    """Also where a language stands in one fold only; no row is left out of the limits."""
+    from zlib import crc32
+
+    from keelson.llm import language_id as lang
+    inside = [k for k in range(4000) if crc32(str(k).encode()) % 4 == 2]
+    outside = [k for k in range(4000) if crc32(str(k).encode()) % 4 != 2]
+    texts = {"aa": "ka ta ma pa la " * 12, "bb": "strich blond kern dorf " * 8}
+    rows = [(k, texts["aa"], "aa") for k in inside[:40]] + [
+        (k, texts["bb"], "bb") for k in outside[:45]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, others = lang.train_folds(docs)
+    assert model[0] == ["aa", "bb"] and others[2][0] == ["bb"]
+    whole = lang.train(docs)
+    assert whole[0] == model[0] and (whole[1] == model[1]).all()
+    limits = lang.calibrate(docs, model, others)
+    at = len(lang.trigrams(texts["bb"]))
+    assert lang.LENGTHS[0] <= at < lang.LENGTHS[1] and limits["bb", 1] > 1
+    own = [lang.identify(lang.trigrams(texts["bb"]), m)[2] for n, m in others if "bb" in n]
+    assert min(own) - 3 <= limits["bb", 1] <= max(own)
+    kept = {x.doc_id for x in corpus_pipeline.language_stage(spark, docs, "").collect()}
+    assert kept == {i for i, *_ in rows}
+
+
 def test_near_stage_with_missing_and_repeated_ids(spark):
     """One of a group stays, also where an unrelated row without an id, or with the id of
     the one that stays, is kept."""
