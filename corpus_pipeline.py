@@ -58,12 +58,14 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    # one key for the join and the window, so the documents are shuffled once; NULL ids are
+    # equal within it
     kept = near_dedup(docs).filter("kept").select(
-        F.col("id").alias("_id"), F.col("t").alias("_t")).distinct()
-    rows = _packed(docs).withColumn("hash", F.xxhash64("text"))
-    first = Window.partitionBy("doc_id", "hash").orderBy("hash")
-    return (rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"])
-                      & (rows["hash"] == kept["_t"]), "left_semi")
+        F.struct(F.col("id"), F.col("t")).alias("key")).distinct()
+    rows = _packed(docs).select(F.struct(
+        F.col("doc_id").alias("id"), F.xxhash64("text").alias("t")).alias("key"), "row")
+    first = Window.partitionBy("key").orderBy("key")
+    return (rows.join(kept, "key", "left_semi")
             .withColumn("copy", F.row_number().over(first)).filter("copy = 1").select("row.*"))
 
 

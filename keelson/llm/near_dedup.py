@@ -156,18 +156,27 @@ def _across_labels(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Probing and posted places (aliases p and q), to be joined on ``way`` and ``side``.
 
     Only members of different components are to meet. So edits that stand in one component only
-    go (they would pair a whole group with itself). Within an edit the components are numbered,
-    and a place takes part once for each bit of that number: it meets the places whose number
-    has the other value there and the same higher bits. Two different numbers have one highest
-    bit in which they differ, so members of different components meet exactly once, members of
-    one component never, and no pairs of components are listed.
+    go (they would pair a whole group with itself), and so do edits by which no member probes.
+    Within an edit the components that probe are numbered; all others, which need not meet each
+    other, share number 0. A place takes part once for each bit of that number: it meets the
+    places whose number has the other value there and the same higher bits. Two different numbers
+    have one highest bit in which they differ, so members of different components of which one
+    probes meet exactly once, members of one component never, and no pairs of components are
+    listed.
     """
-    counted = places.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    shared = store(counted.groupBy("key").agg(F.count(F.lit(1)).alias("labels"))
-                   .filter("labels > 1"), "shared_edits")
+    counted = places.groupBy("key", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("place") <= F.col("probe")).alias("probes"))
+    # ``labels``: how many different numbers there are
+    shared = store(counted.groupBy("key").agg(
+        F.count(F.lit(1)).alias("all"), F.count_if("probes").alias("asking"))
+        .filter("all > 1 AND asking > 0").select(
+            "key", F.when(F.col("all") > F.col("asking"), 1).otherwise(0).alias("silent"),
+            (F.col("asking") + F.col("silent")).alias("labels")), "shared_edits")
+    among = Window.partitionBy("key").orderBy(F.col("probes").desc(), "label")
     numbers = store(counted.join(shared, "key").select(
         F.xxhash64("key", "label").alias("owner"), "n", "labels",
-        (F.row_number().over(Window.partitionBy("key").orderBy("label")) - 1).alias("number")),
+        F.when(F.col("probes"), F.row_number().over(among) - 1 + F.col("silent")).otherwise(0)
+        .alias("number")),
         "edit_numbers")
     met = lookup(places.withColumn("owner", F.xxhash64("key", "label")), numbers, "owner", "n",
                  F.col("m")).filter("n IS NOT NULL")
