@@ -259,7 +259,8 @@ def calibrate(docs: DataFrame, model: tuple[list[str], np.ndarray],
                               F.floor(F.col("fit") * STEPS).alias("step"))
                  .agg(F.count(F.lit(1)).alias("n")), "language_fits")
     middle = fits.groupingSets([["_lang", "length"], ["length"]], "_lang", "length").agg(
-        F.percentile("step", 0.5, F.col("n")).alias("middle"), F.percentile("step", LOW, F.col("n")).alias("low"),
+        F.percentile("step", 0.5, F.col("n")).alias("middle"),
+        F.percentile("step", LOW, F.col("n")).alias("low"),
         F.sum("n").alias("rows")).filter(F.col("rows") >= LEAST_ROWS)
     # at most MOST_LANGUAGES + 1 times the lengths
     rows = {(r["_lang"], r["length"]): r for r in middle.collect()}
