@@ -541,3 +541,21 @@ def test_sketch_in_two_levels(spark):
     plain = sub.merged_sketch(texts.repartition(9), 20, 8, 18)
     split = sub.merged_sketch(texts.repartition(9), 20, 8, 18, spread=4)
     assert all((a == b).all() and a.any() for a, b in zip(plain, split))
+
+
+def test_edits_meet_only_where_a_component_probes(spark):
+    """Components without a probe share a number, edits without a probe go; no pair is lost."""
+    from keelson.llm import near_dedup as near
+    # (m, key, place, probe, post, label): edit 1 has two probing components of three members,
+    # and 40 silent ones; edit 2 silent ones only; in edit 3 every component probes
+    rows = [(k, 1, 1, 0, 1, 100 + k) for k in range(40)]
+    rows += [(50 + k, 1, 1, 1, 1, 1000) for k in range(2)] + [(60, 1, 1, 1, 1, 2000)]
+    rows += [(k, 2, 1, 0, 1, 100 + k) for k in range(40)]
+    rows += [(70 + k, 3, 1, 1, 1, 3000 + k) for k in range(5)]
+    places = spark.createDataFrame(rows, "m long, key long, place int, probe int, post int, label long")
+    p, q = near._across_labels(places)
+    met = p.join(q, [F.col("p.way") == F.col("q.way"), F.col("p.side") == F.col("q.side")]).select(
+        F.col("p.m"), F.col("q.m")).collect()
+    want = [(a[0], b[0]) for a in rows for b in rows if a[1] == b[1] and a[5] != b[5] and a[3]]
+    assert sorted(map(tuple, met)) == sorted(want)
+    assert q.filter("m < 40").count() <= 2 * 40  # not once for each bit of 42 numbers

@@ -163,3 +163,35 @@ def test_landing_quotes_twice_adds_nothing(spark, tmp_path):
     assert land("a", batch).count() == 2
     assert land("b", batch).count() == 2
     assert land("c", [(2, t, "BRENT", 81.0, "USD", "x"), (1, t, "WTI", 70.0, "USD", "x")]).count() == 4
+
+
+def test_bronze_joins_are_dealt_by_the_number_of_lines(spark, monkeypatch):
+    """Many tasks for many lines, and parts too many for a broadcast: the same rows."""
+    from keelson.sources import fixtures
+    from tests.conftest import SF_SMALL
+    rows = lambda: sorted(map(str, fixtures.bronze_orders(spark, SF_SMALL).collect()))
+    want = rows()
+    monkeypatch.setattr(fixtures, "TASK_LINES", 500)
+    plan = lambda: fixtures.bronze_orders(
+        spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert rows() == want
+    assert "RepartitionByExpression [l_orderkey" in plan() and "l_partkey#" in plan()
+    monkeypatch.setattr(fixtures, "UNPACKED", 10 ** 12)
+    assert rows() == want and "RepartitionByExpression [l_partkey" in plan()
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    assert fixtures._dealt(lines, "l_orderkey", 12).rdd.getNumPartitions() == 12
+
+
+def test_raw_file_is_packed_and_landed_once(spark):
+    import os
+
+    from keelson.catalog import landed_csv, raw_csv
+    from keelson.plans.job import gold
+    from tests.conftest import SF_SMALL
+    folder = raw_csv(spark, SF_SMALL).removeprefix("file:")
+    files = [f for f in os.listdir(folder) if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    landed = landed_csv(spark, SF_SMALL)
+    assert landed.count() == gold(spark, SF_SMALL).typed.count()
+    scratch = os.listdir(gold(spark, SF_SMALL).scratch.removeprefix("file:"))
+    assert "raw_landing" in scratch and "bronze_csv" not in scratch
