@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.llm.common import lookup, store
@@ -152,6 +152,38 @@ def _compared(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         _comparer(percent), "a long, b long, size long, linked boolean, edits array<long>")
 
 
+def _partnered(places: DataFrame, percent: int) -> DataFrame:
+    """Places without those that have no partner in another component by their edit; edits of
+    one or two components stay whole (a place of these is listed once at most).
+
+    From its place on, a member has ``of - place + 1`` edits left, and a pair has to share enough
+    of them: with w = 100 + percent, cost = w of - (100 - percent) size and reach = 2 w (edits
+    left) - cost, each one's reach is at least the other's cost. So a place goes whose reach is
+    below the least cost, or whose cost is above the highest reach, that the other components
+    have at the edit.
+    """
+    wide, narrow = 100 + percent, 100 - percent
+    cost = wide * F.col("of") - narrow * F.col("size")
+    marked = places.withColumn("cost", cost).withColumn(
+        "reach", 2 * wide * (F.col("of") - F.col("place") + 1) - F.col("cost"))
+    bounds = marked.groupBy("key", "label").agg(
+        F.min("cost").alias("cost"), F.max("reach").alias("reach"))
+
+    def others(name: str, order: Column) -> Column:
+        """The first value that another component has; NULL if there is none."""
+        among = Window.partitionBy("key").orderBy(order, "label").rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing)
+        return F.when(F.first("label").over(among) == F.col("label"),
+                      F.nth_value(name, 2).over(among)).otherwise(F.first(name).over(among))
+
+    met = bounds.select(
+        F.xxhash64("key", "label").alias("owner"), others("cost", F.col("cost")).alias("least"),
+        others("reach", F.col("reach").desc()).alias("most"),
+        F.count(F.lit(1)).over(Window.partitionBy("key")).alias("labels"))
+    return (marked.withColumn("owner", F.xxhash64("key", "label")).join(met, "owner")
+            .filter("labels < 3 OR (reach >= least AND most >= cost)").select(places.columns))
+
+
 def _across_labels(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Probing and posted places (aliases p and q), to be joined on ``way`` and ``side``.
 
@@ -219,7 +251,7 @@ def _shared_edits(stars: DataFrame, percent: int) -> DataFrame:
     kept = ordered.filter((F.col("place") <= F.col("probe")) | (F.col("place") <= F.col("post")))
     places = store(kept.select("m", "key", "of", "probe", "post", "place").join(
         marked.select("m", "b", "size", "linked", "label"), "m"), "edit_places")
-    p, q = _across_labels(places)
+    p, q = _across_labels(store(_partnered(places, percent), "edit_partners"))
     left = F.least(F.col("p.of") - F.col("p.place"), F.col("q.of") - F.col("q.place")) + 1
     enough = (2 * wide * left >= wide * (F.col("p.of") + F.col("q.of"))
               - narrow * (F.col("p.size") + F.col("q.size")))

@@ -559,3 +559,29 @@ def test_edits_meet_only_where_a_component_probes(spark):
     want = [(a[0], b[0]) for a in rows for b in rows if a[1] == b[1] and a[5] != b[5] and a[3]]
     assert sorted(map(tuple, met)) == sorted(want)
     assert q.filter("m < 40").count() <= 2 * 40  # not once for each bit of 42 numbers
+
+
+def test_edits_without_a_partner_within_reach_are_not_listed(spark):
+    """Many components share an edit so late that too few edits are left of nearly all of them."""
+    from keelson.llm import near_dedup as near
+    # (m, key, of, place, probe, post, size, linked, label): edit 1 stands early in two members of
+    # two components and late in 60; edit 2 early in two members of one component, late in others;
+    # edit 3 has two components only
+    rows = [(k, 1, 60, 50, 50, 50, 100, False, k) for k in range(60)]
+    rows += [(100, 1, 60, 1, 50, 50, 100, False, 100), (101, 1, 60, 3, 50, 50, 104, False, 101)]
+    rows += [(102 + k, 2, 60, 1, 50, 50, 100, False, 100) for k in range(2)]
+    rows += [(104 + k, 2, 60, 50, 50, 50, 100, False, 101 + k) for k in range(2)]
+    rows += [(106 + k, 3, 60, 50, 50, 50, 100, False, 100 + k) for k in range(2)]
+    places = spark.createDataFrame(rows, "m long, key long, of int, place int, probe int, "
+                                   "post int, size long, linked boolean, label long")
+
+    def enough(a, b):
+        left = min(a[2] - a[3], b[2] - b[3]) + 1
+        return 2 * 180 * left >= 180 * (a[2] + b[2]) - 20 * (a[6] + b[6])
+
+    paired = {a[0] for a in rows for b in rows if a[1] == b[1] and a[8] != b[8] and enough(a, b)}
+    kept = near._partnered(places, 80)
+    assert kept.columns == places.columns
+    assert {r.m for r in kept.collect()} == paired | {106, 107} == {100, 101, 106, 107}
+    p, q = near._across_labels(kept)
+    assert p.count() + q.count() <= 8  # 62 components of edit 1 took 6 places each
