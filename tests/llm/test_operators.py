@@ -585,3 +585,22 @@ def test_edits_without_a_partner_within_reach_are_not_listed(spark):
     assert {r.m for r in kept.collect()} == paired | {106, 107} == {100, 101, 106, 107}
     p, q = near._across_labels(kept)
     assert p.count() + q.count() <= 8  # 62 components of edit 1 took 6 places each
+
+
+def test_url_symbols_carry_no_url(spark, monkeypatch):
+    """What is stored and shuffled for each symbol of a URL has a bounded width."""
+    from keelson.llm import url_filter as u
+    widths, plain = {}, u.lookup
+
+    def watched(left, right, key, weight, spread):
+        if left.columns[0] == "row":
+            widths["symbol"] = dict(left.dtypes)
+            widths["model"] = len(right.columns)
+        return plain(left, right, key, weight, spread)
+
+    monkeypatch.setattr(u, "lookup", watched)
+    urls = ["https://a.org/fr/x", "https://b.net/y", "https://c.com/z", None, "https://c.com/z"]
+    df = spark.createDataFrame([(k % 4, v) for k, v in enumerate(urls)], "page_id long, url string")
+    got = u.judge_urls(df, RULES).collect()
+    assert Counter(r.id for r in got) == Counter(k % 4 for k in range(5))
+    assert widths == {"symbol": {"row": "bigint", "half": "int", "gram": "string"}, "model": 5}
