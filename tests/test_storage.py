@@ -78,3 +78,26 @@ def test_runs_that_store_bronze_and_silver_apart_open(spark, tmp_path):
     publish(spark, root, folder, {"star_rows": {}, "silver_rows": g.silver_rows, "oil_price": 1.0})
     old = open_gold(spark, root)
     assert _rows(old.typed) == _rows(g.typed) and _rows(old.silver) == _rows(g.silver)
+
+
+def test_raw_file_needs_no_gold_tables(spark, tmp_path, monkeypatch):
+    import os
+
+    from keelson.catalog import raw_csv
+    from keelson.sources import tables
+    monkeypatch.setattr(tables, "SLICE_LINES", 1500)
+    folder = str(tmp_path / "in")
+    _small_copy(spark, folder)
+    found = {q: _rows(QUERIES[q](spark, folder))
+             for q in ("bronze_csv_scan", "silver_from_csv")}
+    shell = gold(spark, folder, tables=False)
+    assert shell.star is None and not os.path.exists(shell.root.removeprefix("file:"))
+    assert sorted(set(os.listdir(shell.scratch.removeprefix("file:")))) == [
+        "raw_csv", "raw_landing"]
+    g = gold(spark, folder)
+    assert g is shell and found["silver_from_csv"] == _rows(g.silver)
+    before = {*spark.read.text(raw_csv(spark, folder)).collect()}
+    g.memo.clear()  # now from the landed lines
+    g.scratch += "-again"
+    assert {*spark.read.text(raw_csv(spark, folder)).collect()} == before
+    assert _rows(QUERIES["bronze_csv_scan"](spark, folder)) == found["bronze_csv_scan"]
