@@ -89,13 +89,13 @@ def test_raw_file_needs_no_gold_tables(spark, tmp_path, monkeypatch):
     folder = str(tmp_path / "in")
     _small_copy(spark, folder)
     found = {q: _rows(QUERIES[q](spark, folder))
-             for q in ("bronze_csv_scan", "silver_from_csv")}
+             for q in ("bronze_csv_scan", "silver_from_csv", "silver_stream")}
     shell = gold(spark, folder, tables=False)
     assert shell.star is None and not os.path.exists(shell.root.removeprefix("file:"))
     assert sorted(set(os.listdir(shell.scratch.removeprefix("file:")))) == [
-        "raw_csv", "raw_landing"]
+        "raw_csv", "raw_landing", "stream_ckpt", "stream_silver"]
     g = gold(spark, folder)
-    assert g is shell and found["silver_from_csv"] == _rows(g.silver)
+    assert g is shell and found["silver_stream"] == found["silver_from_csv"] == _rows(g.silver)
     before = {*spark.read.text(raw_csv(spark, folder)).collect()}
     g.memo.clear()  # now from the landed lines
     g.scratch += "-again"
