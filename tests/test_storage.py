@@ -89,15 +89,38 @@ def test_raw_file_needs_no_gold_tables(spark, tmp_path, monkeypatch):
     folder = str(tmp_path / "in")
     _small_copy(spark, folder)
     found = {q: _rows(QUERIES[q](spark, folder))
-             for q in ("bronze_csv_scan", "silver_from_csv", "silver_stream")}
+             for q in ("bronze_csv_scan", "silver_from_csv", "silver_stream", "batch_from_files")}
     shell = gold(spark, folder, tables=False)
     assert shell.star is None and not os.path.exists(shell.root.removeprefix("file:"))
     assert sorted(set(os.listdir(shell.scratch.removeprefix("file:")))) == [
         "raw_csv", "raw_landing", "stream_ckpt", "stream_silver"]
     g = gold(spark, folder)
     assert g is shell and found["silver_stream"] == found["silver_from_csv"] == _rows(g.silver)
+    assert found["batch_from_files"] == _rows(QUERIES["gold_audit"](spark, folder))
     before = {*spark.read.text(raw_csv(spark, folder)).collect()}
     g.memo.clear()  # now from the landed lines
     g.scratch += "-again"
     assert {*spark.read.text(raw_csv(spark, folder)).collect()} == before
     assert _rows(QUERIES["bronze_csv_scan"](spark, folder)) == found["bronze_csv_scan"]
+
+
+def test_a_batch_stores_raw_lines_once(spark, tmp_path):
+    """Over-long lines are counted, and in neither typed bronze nor silver."""
+    import os
+
+    from keelson.plans.job import run_files
+    from keelson.config import RAW_TO_SILVER
+    names = [raw for raw, _ in RAW_TO_SILVER]
+    line = ["A", "p", "c", "s", "k", "oc", "os", "ok", "or", "Late delivery", "m", "1", "2",
+            "1/2/2020 3:04", "1/3/2020 3:04", "5.0", "1.0", "5.0", "1.0", "1", "2", "3"]
+    lines = [names, line, [*line, "more"], ["", *line[1:]], [*line[:15], "-1", *line[16:]],
+             [*line[:15], "", *line[16:]]]
+    (tmp_path / "raw.csv").write_text("\n".join(map(",".join, lines)) + "\n")
+    out = run_files(spark, str(tmp_path / "raw.csv"), str(tmp_path / "out"))
+    g = open_gold(spark, str(tmp_path / "out"))
+    assert {r.rule: r.violations for r in out["quality"].collect()} == {
+        "future_order_date": 0, "negative_sales": 1, "negative_ship_days": 0,
+        "missing_category": 1, "overlong_line": 1}
+    assert g.typed.count() == 4 and g.typed.filter("category IS NULL").count() == 1
+    assert sorted(r.category for r in g.silver.collect()) == ["A", "UNCATEGORIZED"]
+    assert "bronze_raw" not in os.listdir(g.root.removeprefix("file:"))
