@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from keelson.catalog import QUERIES
+from keelson.catalog import QUERIES, presented
 from keelson.plans.job import gold, open_gold, run
 from tests.conftest import SF_SMALL
 from tests.test_invariants import _small_copy
@@ -65,8 +65,8 @@ def test_order_lines_are_stored_once_in_slices(spark, tmp_path, monkeypatch):
     parts = tables.file_slices(g.silver, 3)
     assert _rows(reduce(lambda a, b: a.union(b), parts)) == _rows(g.silver)
     star = gold(spark, SF_SMALL).star
-    for name in star.tables:
-        assert _rows(g.star[name]) == _rows(star[name])
+    for name in star.tables:  # means of doubles differ in their last digits with the order
+        assert _rows(presented(g.star[name])) == _rows(presented(star[name]))
 
 
 def test_runs_that_store_bronze_and_silver_apart_open(spark, tmp_path):
